@@ -68,7 +68,8 @@ def cast_rejects(df: DataFrame, schema: T.StructType, keys: Sequence[str] = ())
 
 def cast_report(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Per-column validation report in one pass: rows, present, typed, rejected."""
-    fields = [f for f in schema.fields if f.name in df.columns]
+    fields = [f for f in schema.fields
+              if f.name in df.columns and not isinstance(f.dataType, T.StringType)]
     aggs = []
     for f in fields:
         raw = F.col(f.name).cast("string")

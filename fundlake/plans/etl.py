@@ -1,0 +1,50 @@
+"""Batch jobs: Bronze -> Silver -> Gold, written as Parquet and registered.
+
+One action per output table (the write), with its row count observed in
+the same job.  Nothing is collected to the driver.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+from fundlake.plans import gold, silver
+from fundlake.sources import (create_layers, read_bronze_all, read_table, register_table,
+                              write_table)
+
+SILVER_TABLES = ("portfolio_companies", "company_financials", "quarterly_cashflows",
+                 "fund_history", "fund_metrics", "deal_pipeline", "sector_breakdown",
+                 "geo_breakdown")
+
+# Write-time layout: range-cluster by key so later scans prune row groups.
+SORT_KEYS = {"company_financials": ("company_id", "year"), "portfolio_table": ("id",),
+             "pipeline": ("stage",), "quarterly_cashflows": ("row_num",),
+             "cashflow_jcurve": ("row_num",)}
+
+
+def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, load_date: str,
+               as_of_year: int = silver.DEFAULT_AS_OF_YEAR,
+               register: bool = False) -> dict[str, int]:
+    """Bronze CSV of one load date -> eight Silver Parquet tables; rows written."""
+    frames = silver.build_silver(read_bronze_all(spark, bronze_root, load_date), as_of_year)
+    counts = {name: write_table(df, silver_root, name, sort_within=SORT_KEYS.get(name, ()))
+              for name, df in frames.items()}
+    if register:
+        create_layers(spark, silver_root.rsplit("/", 1)[0], ["silver"])
+        for name in frames:
+            register_table(spark, "silver", name, f"{silver_root}/{name}")
+    return counts
+
+
+def run_gold(spark: SparkSession, silver_root: str, gold_root: str,
+             register: bool = False) -> dict[str, int]:
+    """Silver Parquet -> eleven Gold Parquet tables; rows written."""
+    sv = {name: read_table(spark, silver_root, name) for name in SILVER_TABLES}
+    frames = gold.build_gold(sv)
+    counts = {name: write_table(df, gold_root, name, sort_within=SORT_KEYS.get(name, ()))
+              for name, df in frames.items()}
+    if register:
+        create_layers(spark, gold_root.rsplit("/", 1)[0], ["gold"])
+        for name in frames:
+            register_table(spark, "gold", name, f"{gold_root}/{name}")
+    return counts

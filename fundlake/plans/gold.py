@@ -74,13 +74,17 @@ def company_financials(fin: DataFrame) -> DataFrame:
     return fin.join(growth_, "company_id", "left").select(*fin.columns, "revenue_cagr_pct")
 
 
+def stage_aggs() -> list:
+    """A4: per-stage count, equity, weighted equity (2 dp), mean probability (1 dp)."""
+    return [F.count(F.lit(1)).alias("stage_count"),
+            exact_round(exact_sum("equity_m"), 2).alias("stage_equity_m"),
+            exact_round(exact_sum("weighted_equity_m"), 2).alias("stage_weighted_m"),
+            exact_round(exact_avg("probability"), 1).alias("stage_avg_prob")]
+
+
 def pipeline(pl: DataFrame) -> DataFrame:
     """Every deal + its stage's count, equity, weighted equity, mean probability."""
-    return group_enrich(pl, "stage", [
-        F.count(F.lit(1)).alias("stage_count"),
-        exact_round(exact_sum("equity_m"), 2).alias("stage_equity_m"),
-        exact_round(exact_sum("weighted_equity_m"), 2).alias("stage_weighted_m"),
-        exact_round(exact_avg("probability"), 1).alias("stage_avg_prob")])
+    return group_enrich(pl, "stage", stage_aggs())
 
 
 def risk_summary(portco: DataFrame, sb: DataFrame, gb: DataFrame,

@@ -1,0 +1,306 @@
+"""Registered queries: one per operator group of the inventory.
+
+Each entry takes ``(spark, sf_dir)``, reads the driver's tables under
+``sf_dir`` (whole tables) and returns a lazy DataFrame whose column names
+match the oracle statement of the same key.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fundlake import schemas
+from fundlake.functions.numeric import exact_avg, exact_round
+from fundlake.operators import (cagr, cast_report, flatten, global_stats, irr, multiples_check,
+                                number_rows, running_total, unpivot_years, weighted_mean)
+from fundlake.plans import gold, silver, star, views
+from fundlake.session import fresh_dir
+from fundlake.sources import infer_types, read_bronze, write_bronze
+
+AS_OF = star.STAR_AS_OF_YEAR
+
+
+def _portco(spark, sf):
+    return silver.portfolio_companies(star.holdings(spark, sf, AS_OF), AS_OF)
+
+
+def _fin(spark, sf):
+    return silver.company_financials(star.revenue(spark, sf), star.ebitda(spark, sf))
+
+
+def _sb(spark, sf):
+    return silver.sector_breakdown(star.sector_breakdown(star.holdings(spark, sf, AS_OF)))
+
+
+def _gb(spark, sf):
+    return silver.geo_breakdown(star.geo_breakdown(star.holdings(spark, sf, AS_OF)))
+
+
+def _pl(spark, sf):
+    return silver.deal_pipeline(star.deals(spark, sf))
+
+
+def _fm(spark, sf):
+    return silver.fund_metrics(star.fund_metrics(spark, sf))
+
+
+# -- Silver-level operators -------------------------------------------------
+
+def holding_metrics(spark, sf):
+    """D1-D5, C4."""
+    return _portco(spark, sf)
+
+
+def financial_margins(spark, sf):
+    """J1 + D6 (the window columns are pruned by Catalyst)."""
+    return _fin(spark, sf).select("company_id", "year", "company_name", "is_estimate",
+                                  "revenue_m", "ebitda_m", "ebitda_margin_pct")
+
+
+def yoy_growth(spark, sf):
+    """W1, W2."""
+    return _fin(spark, sf)
+
+
+def running_cashflows(spark, sf):
+    """W3 + O2 + D10 (distributed prefix sums)."""
+    cf = silver.quarterly_cashflows(star.cashflows(spark, sf))
+    return views.serve(spark, "cashflow", {"cashflow_jcurve": gold.cashflow_jcurve(cf)})
+
+
+def running_total_distributed(spark, sf):
+    """H1 at row level: running sum of every event's value in (ts, event_id) order."""
+    return running_total(star.flows_fine(spark, sf), "ts", ["value"], tiebreak=["event_id"],
+                         out=["cum_value"])
+
+
+def number_rows_(spark, sf):
+    """1-based position of every event in (ts, event_id) order."""
+    ev = star.table(spark, sf, "events").select("event_id", "ts")
+    return number_rows(ev, "ts", "row_num", tiebreak=["event_id"])
+
+
+def fund_ratios(spark, sf):
+    """T5: D7, D8."""
+    return _fm(spark, sf)
+
+
+def weighted_pipeline(spark, sf):
+    """D9."""
+    return _pl(spark, sf)
+
+
+# -- Gold tables through the serving SQL -------------------------------------
+
+def nav_history(spark, sf):
+    """T4 / G2 / Q2."""
+    fh = silver.fund_history(star.fund_history(spark, sf))
+    return views.serve(spark, "nav_history", {"nav_history": gold.nav_history(fh)})
+
+
+def fund_kpis(spark, sf):
+    """G1 / Q1: A1, A2, F2, J6, D15."""
+    return views.serve(spark, "fund_kpis", {"fund_kpis": gold.fund_kpis(_fm(spark, sf),
+                                                                        _portco(spark, sf))})
+
+
+def sector_allocation(spark, sf):
+    """D11, D12, A3, O3."""
+    return views.serve(spark, "sector_allocation",
+                       {"sector_allocation": gold.sector_allocation(_sb(spark, sf))})
+
+
+def geo_allocation(spark, sf):
+    """G5 / Q8."""
+    return views.serve(spark, "geo_allocation",
+                       {"geo_allocation": gold.geo_allocation(_gb(spark, sf))})
+
+
+def latest_financials(spark, sf):
+    """W4 + F1 + F3."""
+    return gold.latest_financials(_fin(spark, sf))
+
+
+def portfolio_table(spark, sf):
+    """J2, C1, O4, D16."""
+    return views.serve(spark, "portfolio", {"portfolio_table": gold.portfolio_table(
+        _portco(spark, sf), _fin(spark, sf))})
+
+
+def revenue_cagr(spark, sf):
+    """first/last actual year and value, CAGR."""
+    return cagr(_fin(spark, sf), "company_id", "year", "revenue_m",
+                where=~F.col("is_estimate"), keep_parts=True)
+
+
+def company_financials(spark, sf):
+    """J4, O5."""
+    return views.serve(spark, "all_financials",
+                       {"company_financials": gold.company_financials(_fin(spark, sf))})
+
+
+def company_financials_by_id(spark, sf):
+    """F4 / Q6 keyed by data: the financials of the largest holding.
+
+    The id comes from the data (a one-row aggregate), so the lookup is a
+    semi join against one row rather than a literal.
+    """
+    pc = _portco(spark, sf)
+    top = pc.where(F.col("fmv").isNotNull()).agg(
+        F.max_by("id", F.struct(F.col("fmv"), -F.col("id"))).alias("company_id"))
+    fin = gold.company_financials(_fin(spark, sf))
+    return fin.join(F.broadcast(top), "company_id", "left_semi").orderBy("year")
+
+
+def pipeline_by_stage(spark, sf):
+    """A4: per-stage aggregates (count, equity, weighted equity, mean probability)."""
+    return _pl(spark, sf).groupBy("stage").agg(*gold.stage_aggs())
+
+
+def pipeline(spark, sf):
+    """A4 + J5 + O6."""
+    return views.serve(spark, "pipeline", {"pipeline": gold.pipeline(_pl(spark, sf))})
+
+
+def leverage_bands(spark, sf):
+    """C2, A5, O7."""
+    return views.serve(spark, "leverage_bands",
+                       {"risk_leverage_bands": gold.risk_leverage_bands(_portco(spark, sf))})
+
+
+def moic_bands(spark, sf):
+    """C3, A6, O7."""
+    return views.serve(spark, "moic_bands",
+                       {"risk_moic_bands": gold.risk_moic_bands(_portco(spark, sf))})
+
+
+def leverage_stats(spark, sf):
+    """A10."""
+    return global_stats(_portco(spark, sf), [
+        exact_round(exact_avg("net_leverage_x"), 2).alias("avg_net_leverage_x"),
+        exact_round(F.max("net_leverage_x"), 2).alias("max_net_leverage_x")])
+
+
+def weighted_returns(spark, sf):
+    """A11 with both NULL-weight policies."""
+    return global_stats(_portco(spark, sf), [
+        weighted_mean("moic", "fmv").alias("weighted_avg_moic"),
+        weighted_mean("irr", "fmv").alias("weighted_avg_irr"),
+        weighted_mean("moic", "fmv", "drop").alias("weighted_avg_moic_drop"),
+        weighted_mean("irr", "fmv", "drop").alias("weighted_avg_irr_drop")])
+
+
+def risk_summary(spark, sf):
+    """A12, F5, O8."""
+    h = star.holdings(spark, sf, AS_OF)
+    pc = silver.portfolio_companies(h, AS_OF)
+    sb = silver.sector_breakdown(star.sector_breakdown(h))
+    gb = silver.geo_breakdown(star.geo_breakdown(h))
+    return views.serve(spark, "risk_summary", {"risk_summary": gold.risk_summary(pc, sb, gb)})
+
+
+# -- Reshaping, sources and sinks --------------------------------------------
+
+def unpivot_years_(spark, sf):
+    """Revenue feed -> {year[E]: value} map per company -> rows again."""
+    rev = star.revenue(spark, sf)
+    key = F.concat(F.col("year").cast("string"),
+                   F.when(F.col("is_estimate"), F.lit("E")).otherwise(F.lit("")))
+    nested = rev.groupBy("company_id", "company_name").agg(
+        F.map_from_entries(F.collect_list(F.struct(key, F.col("revenue_m")))).alias("revenue"))
+    return unpivot_years(nested, ["company_id", "company_name"], "revenue", "revenue_m")
+
+
+def flatten_entities(spark, sf):
+    """D18 + D13: holdings nested in camelCase structs -> flat snake_case."""
+    h = star.holdings(spark, sf, AS_OF)
+    nested = h.select(
+        F.struct("id", "name", "sector", "subsector", "geography", "status", "description",
+                 F.col("employees")).alias("company"),
+        F.struct(F.col("entry_year").alias("entryYear"), F.col("entry_ev").alias("entryEV"),
+                 F.col("entry_ebitda").alias("entryEBITDA"),
+                 F.col("entry_multiple").alias("entryMultiple"),
+                 F.col("invested_capital").alias("investedCapital"),
+                 F.col("ownership_pct").alias("ownershipPct")).alias("entry"),
+        F.struct(F.col("current_ev").alias("currentEV"),
+                 F.col("current_ebitda").alias("currentEBITDA"),
+                 F.col("current_multiple").alias("currentMultiple"), "fmv", "moic", "irr",
+                 "debt", F.when(F.col("realized") != 0, F.col("realized")).alias("realized"))
+        .alias("valuation"))
+    return flatten(nested, defaults={"realized": 0.0})
+
+
+def bronze_roundtrip(spark, sf):
+    """Holdings landed as Bronze CSV (load_date layout)
+    in a fresh folder of the shared lake, read back as text, typed to T1."""
+    root = fresh_dir(spark, "bronze")
+    write_bronze(star.holdings(spark, sf, AS_OF), root, "portfolio-companies", "2002-01-01")
+    raw = read_bronze(spark, root, "portfolio-companies", "2002-01-01")
+    return silver.portfolio_companies(raw, AS_OF)
+
+
+def _holdings_text(spark, sf) -> DataFrame:
+    h = star.holdings(spark, sf, AS_OF)
+    return h.select(*[F.col(c).cast("string").alias(c) for c in h.columns])
+
+
+def infer_types_(spark, sf):
+    """Narrowest type per column of the holdings' Bronze text."""
+    return infer_types(_holdings_text(spark, sf))
+
+
+def cast_rejects(spark, sf):
+    """Per-column validation report of the holdings' Bronze text."""
+    return cast_report(_holdings_text(spark, sf), schemas.PORTFOLIO_COMPANIES)
+
+
+def multiples_check_(spark, sf):
+    """Supplied vs recomputed fund multiples."""
+    return multiples_check(_fm(spark, sf))
+
+
+def irr_by_company(spark, sf):
+    """IRR per company from dated order flows (F paid in, O/P paid out)."""
+    o = star.table(spark, sf, "orders")
+    flows = o.select("o_custkey", "o_orderdate", F.when(
+        F.col("o_orderstatus") == "F", -F.col("o_totalprice")).otherwise(
+        F.col("o_totalprice")).alias("amount"))
+    return irr(flows, "o_custkey", "o_orderdate", "amount", out_key="company_id")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "leverage_bands": leverage_bands,
+    "moic_bands": moic_bands,
+    "holding_metrics": holding_metrics,
+    "financial_margins": financial_margins,
+    "yoy_growth": yoy_growth,
+    "running_cashflows": running_cashflows,
+    "running_total_distributed": running_total_distributed,
+    "number_rows": number_rows_,
+    "nav_history": nav_history,
+    "fund_ratios": fund_ratios,
+    "fund_kpis": fund_kpis,
+    "sector_allocation": sector_allocation,
+    "geo_allocation": geo_allocation,
+    "latest_financials": latest_financials,
+    "portfolio_table": portfolio_table,
+    "revenue_cagr": revenue_cagr,
+    "company_financials": company_financials,
+    "company_financials_by_id": company_financials_by_id,
+    "weighted_pipeline": weighted_pipeline,
+    "pipeline_by_stage": pipeline_by_stage,
+    "pipeline": pipeline,
+    "leverage_stats": leverage_stats,
+    "weighted_returns": weighted_returns,
+    "risk_summary": risk_summary,
+    "unpivot_years": unpivot_years_,
+    "flatten_entities": flatten_entities,
+    "bronze_roundtrip": bronze_roundtrip,
+    "infer_types": infer_types_,
+    "cast_rejects": cast_rejects,
+    "multiples_check": multiples_check_,
+    "irr_by_company": irr_by_company,
+}
