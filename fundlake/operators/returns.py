@@ -37,61 +37,103 @@ def dated_flows(df: DataFrame, key: str, date, amount) -> DataFrame:
         exact_sum(amount).alias("amount"))
 
 
-def _solve_irr(t_years: np.ndarray, cf: np.ndarray) -> float:
-    """Annual rate r with sum(cf * (1+r)^-t) = 0; the root nearest r = 0.
+# Search range of x = log(1 + rate), grid size, bisection steps.
+_GRID = np.linspace(-20.0, 20.0, 401)
+_BISECT_STEPS = 60
 
-    Search over x = log(1+r) on a grid, then bisect; NaN when the flows
-    have one sign (no rate exists).
+
+def _npv_sign(x_row: np.ndarray, t: np.ndarray, cf: np.ndarray, g: np.ndarray, n: int,
+              tmax_row: np.ndarray) -> np.ndarray:
+    """Per-group NPV rescaled by exp(x * c) with c = 0 (x >= 0) or c = t_max (x < 0).
+
+    Same sign as the NPV, but every discount factor is <= 1, so no overflow
+    for extreme rates or long horizons.
     """
-    if cf.size == 0 or not (np.any(cf > 0) and np.any(cf < 0)):
-        return float("nan")
-
-    def npv(x):
-        return np.exp(-np.outer(np.atleast_1d(x), t_years)) @ cf
-
-    grid = np.linspace(-5.0, 5.0, 401)
-    vals = npv(grid)
-    idx = np.nonzero(np.sign(vals[:-1]) * np.sign(vals[1:]) <= 0)[0]
-    if idx.size == 0:
-        return float("nan")
-    i = idx[np.argmin(np.abs(grid[idx]))]
-    lo, hi, flo = grid[i], grid[i + 1], vals[i]
-    for _ in range(80):
-        mid = 0.5 * (lo + hi)
-        fm = npv(mid)[0]
-        if np.sign(fm) == np.sign(flo) and fm != 0:
-            lo, flo = mid, fm
-        else:
-            hi = mid
-    return float(np.expm1(0.5 * (lo + hi)))
+    shift = np.where(x_row < 0, tmax_row, 0.0)
+    return np.bincount(g, weights=cf * np.exp(-x_row * (t - shift)), minlength=n)
 
 
-def _irr_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("flow_date")
-    days = (pd.to_datetime(pdf["flow_date"]) - pd.to_datetime(pdf["flow_date"].iloc[0])).dt.days
-    rate = _solve_irr(days.to_numpy(dtype=float) / 365.0, pdf["amount"].to_numpy(dtype=float))
-    return pd.DataFrame({"key": [pdf["key"].iloc[0]],
-                         "irr_pct": [None if np.isnan(rate) else rate * 100.0],
-                         "n_flows": [len(pdf)],
-                         "first_date": [pdf["flow_date"].iloc[0]],
-                         "last_date": [pdf["flow_date"].iloc[-1]]})
+def solve_irr(t: np.ndarray, cf: np.ndarray, g: np.ndarray, n: int) -> np.ndarray:
+    """Annual rates r with sum(cf * (1+r)^-t) = 0 for ``n`` groups at once.
+
+    ``g`` is the group index of every flow, ``t`` its time in years from the
+    group's first flow.  A grid over x = log(1+r) finds the sign changes;
+    the one nearest r = 0 is bisected to machine precision.  NaN where a
+    group's flows have one sign or the NPV never changes sign.
+    """
+    tmax = np.zeros(n)
+    np.maximum.at(tmax, g, t)
+    tmax_row = tmax[g]
+    has_pos = np.bincount(g, weights=(cf > 0).astype(float), minlength=n) > 0
+    has_neg = np.bincount(g, weights=(cf < 0).astype(float), minlength=n) > 0
+    vals = np.stack([_npv_sign(np.full(t.shape, x), t, cf, g, n, tmax_row) for x in _GRID])
+    sgn = np.sign(vals)
+    change = (sgn[:-1] * sgn[1:]) <= 0
+    dist = np.where(change, np.abs(0.5 * (_GRID[:-1] + _GRID[1:]))[:, None], np.inf)
+    idx = np.argmin(dist, axis=0)
+    cols = np.arange(n)
+    valid = np.isfinite(dist[idx, cols]) & has_pos & has_neg
+    lo, hi = _GRID[idx].copy(), _GRID[idx + 1].copy()
+    slo = sgn[idx, cols]
+    for _ in range(_BISECT_STEPS):
+        mid = 0.5 * (lo + hi)
+        sm = np.sign(_npv_sign(mid[g], t, cf, g, n, tmax_row))
+        keep_lo = (sm == slo) & (sm != 0)
+        lo, hi = np.where(keep_lo, mid, lo), np.where(keep_lo, hi, mid)
+    return np.where(valid, np.expm1(0.5 * (lo + hi)), np.nan)
+
+
+def _irr_frame(pdf: pd.DataFrame) -> pd.DataFrame:
+    """IRR for every key of a frame whose keys are contiguous."""
+    keys = pdf["key"].to_numpy()
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    n = len(starts)
+    g = np.repeat(np.arange(n), np.diff(np.r_[starts, len(keys)]))
+    days = pd.to_datetime(pdf["flow_date"]).to_numpy().astype("datetime64[D]").astype(np.int64)
+    first = np.minimum.reduceat(days, starts)
+    last = np.maximum.reduceat(days, starts)
+    rate = solve_irr((days - first[g]) / 365.0, pdf["amount"].to_numpy(dtype=float), g, n)
+    return pd.DataFrame({"key": keys[starts], "irr_pct": rate * 100.0,
+                         "n_flows": np.diff(np.r_[starts, len(keys)]),
+                         "first_date": first.astype("datetime64[D]"),
+                         "last_date": last.astype("datetime64[D]")})
+
+
+def _irr_partition(batches):
+    """Arrow batches of one partition, sorted by key: solve whole keys per
+    batch; the last key of a batch is carried into the next one."""
+    carry = None
+    for pdf in batches:
+        if carry is not None:
+            pdf = pd.concat([carry, pdf], ignore_index=True)
+        if pdf.empty:
+            continue
+        tail = (pdf["key"] == pdf["key"].iloc[-1]).to_numpy()
+        carry = pdf[tail]
+        if (~tail).any():
+            yield _irr_frame(pdf[~tail].reset_index(drop=True))
+    if carry is not None and len(carry):
+        yield _irr_frame(carry.reset_index(drop=True))
 
 
 def irr(flows: DataFrame, key: str, date, amount, out_key: str | None = None,
-        scale: int = 2) -> DataFrame:
+        scale: int = 2, partitions: int | None = None) -> DataFrame:
     """Per-key IRR (percent, annualised on actual days / 365).
 
-    Flows are first netted per (key, date) on the cluster; then one pandas
-    group per key solves the rate.  Groups run in parallel across tasks and
-    each holds at most one row per calendar date.
+    Flows are netted per (key, date) with map-side partial aggregation, so a
+    key holding a third of all rows arrives as at most one row per calendar
+    date.  The netted table is hash-partitioned by key and sorted; each
+    partition streams through one vectorised pandas solver in Arrow batches.
     """
-    # Ship the group function by value: executors need not have this package.
+    # Ship the solver by value: executors need not have this package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     net = dated_flows(flows, key, date, amount)
+    n = partitions or int(flows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key_type = net.schema["key"].dataType.simpleString()
     schema = (f"key {key_type}, irr_pct double, n_flows long, first_date date, "
               "last_date date")
-    res = net.groupBy("key").applyInPandas(_irr_group, schema=schema)
+    res = (net.repartition(n, "key").sortWithinPartitions("key", "flow_date")
+              .mapInPandas(_irr_partition, schema=schema))
     return res.select(F.col("key").alias(out_key or key),
                       exact_round("irr_pct", scale).alias("irr_pct"),
                       "n_flows", "first_date", "last_date")
