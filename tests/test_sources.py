@@ -1,0 +1,93 @@
+"""Bronze CSV round trip, load-date pruning, Parquet sink, catalog, decoding."""
+
+from pyspark.sql import functions as F
+
+from fundlake.plans import etl, gold, silver, star, views
+from fundlake.session import fresh_dir
+from fundlake.sources import (create_layers, decode, infer_types, list_layer, read_bronze,
+                              read_table, register_table, write_bronze, write_bronze_all,
+                              write_table)
+
+from conftest import SF001
+
+
+def test_csv_round_trip_quotes_commas_newlines(spark):
+    root = fresh_dir(spark, "t-csv")
+    tricky = ['plain', 'a,b', 'say "hi"', 'line1\nline2', '', None]
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(tricky)],
+                               "sector string, fmv_m string")
+    write_bronze(df, root, "sector-breakdown", "2026-01-01")
+    back = {r["sector"]: r["fmv_m"] for r in
+            read_bronze(spark, root, "sector-breakdown", "2026-01-01").collect()}
+    assert back == {"0": "plain", "1": "a,b", "2": 'say "hi"', "3": "line1\nline2",
+                    "4": None, "5": None}
+
+
+def test_load_date_selection_prunes_partitions(spark):
+    root = fresh_dir(spark, "t-dates")
+    for d, v in (("2026-01-01", "1"), ("2026-01-02", "2")):
+        write_bronze(spark.createDataFrame([("x", v)], "region string, fmv_m string"),
+                     root, "geo-breakdown", d)
+    df = read_bronze(spark, root, "geo-breakdown", "2026-01-02")
+    assert [r["fmv_m"] for r in df.collect()] == ["2"] and "load_date" not in df.columns
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "load_date" in plan
+    # overwriting one date keeps the other
+    write_bronze(spark.createDataFrame([("x", "3")], "region string, fmv_m string"),
+                 root, "geo-breakdown", "2026-01-02")
+    assert sorted(r["fmv_m"] for r in read_bronze(spark, root, "geo-breakdown").collect()) == \
+        ["1", "3"]
+
+
+def test_write_table_counts_in_the_same_job(spark):
+    root = fresh_dir(spark, "t-parquet")
+    n = write_table(spark.range(1234).withColumn("k", F.col("id") % 7), root, "t",
+                    partition_by=["k"])
+    assert n == 1234 and read_table(spark, root, "t").count() == 1234
+
+
+def test_infer_and_decode(spark):
+    df = spark.createDataFrame([("1", "1.5", "true", "x", "12.0"), ("2", "", "False", "7", None)],
+                               "a string, b string, c string, d string, e string")
+    kinds = {r["column_name"]: r["inferred_type"] for r in infer_types(df).collect()}
+    assert kinds == {"a": "bigint", "b": "double", "c": "boolean", "d": "string", "e": "double"}
+    row = decode(df).orderBy("a").collect()[1]
+    assert (row["a"], row["b"], row["c"], row["d"]) == (2, None, False, "7")
+
+
+def test_bronze_to_gold_jobs_and_sql_views_over_catalog(spark):
+    """Star tables -> Bronze CSV (9 entities) -> Silver -> Gold Parquet ->
+    registered catalog tables -> serving SQL; equals the in-memory path."""
+    lake = fresh_dir(spark, "t-lake")
+    entities = star.bronze_entities(spark, SF001)
+    write_bronze_all(entities, f"{lake}/bronze", "2002-01-01")
+    counts = etl.run_silver(spark, f"{lake}/bronze", f"{lake}/silver", "2002-01-01",
+                            as_of_year=star.STAR_AS_OF_YEAR)
+    assert counts["portfolio_companies"] == 150 and counts["quarterly_cashflows"] == 27
+    gcounts = etl.run_gold(spark, f"{lake}/silver", f"{lake}/gold", register=True)
+    assert gcounts["risk_summary"] == 1 and gcounts["risk_leverage_bands"] == 4
+    assert "portfolio_table" in {r["tableName"] for r in list_layer(spark, "gold").collect()}
+    served = views.serve(spark, "leverage_bands", database="gold")
+    direct = gold.risk_leverage_bands(silver.portfolio_companies(
+        star.holdings(spark, SF001), star.STAR_AS_OF_YEAR))
+    assert sorted(map(tuple, served.collect())) == sorted(map(tuple, direct.collect()))
+    one = views.serve(spark, "company_financials", database="gold", company_id=1).collect()
+    assert one and all(r["company_id"] == 1 for r in one)
+    assert views.serve(spark, "company_financials", database="gold",
+                       company_id=10 ** 9).count() == 0
+    spark.catalog.setCurrentDatabase("default")
+
+
+def test_register_bronze_csv_table(spark):
+    lake = fresh_dir(spark, "t-cat")
+    write_bronze(spark.createDataFrame([("x", "1")], "region string, fmv_m string"),
+                 f"{lake}/bronze", "geo-breakdown", "2026-01-01")
+    create_layers(spark, lake, ["bronze"])
+    t = register_table(spark, "bronze", "geo_breakdown", f"{lake}/bronze/geo-breakdown", "csv")
+    assert set(t.columns) == {"region", "fmv_m", "load_date"} and t.count() == 1
+
+
+def test_serve_rejects_non_positive_company_id(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        views.serve(spark, "company_financials", database="default", company_id=0)
