@@ -8,6 +8,7 @@ dashboards expect them last).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,24 +21,24 @@ QUARTER_KEY = ("CASE WHEN quarter RLIKE '^[0-9]{4}Q[1-4]$' "
                "THEN CAST(substr(quarter, 4, 4) AS INT) * 10 + CAST(substr(quarter, 2, 1) AS INT) "
                "END")
 
-# The serving queries (view name -> SQL over Gold table names).
+# The serving queries (view name -> SQL; {t} is the Gold table).
 VIEW_SQL = {
-    "fund_kpis": "SELECT * FROM fund_kpis LIMIT 1",
-    "nav_history": f"SELECT * FROM nav_history ORDER BY {QUARTER_KEY} ASC NULLS LAST, "
+    "fund_kpis": "SELECT * FROM {t} LIMIT 1",
+    "nav_history": f"SELECT * FROM {{t}} ORDER BY {QUARTER_KEY} ASC NULLS LAST, "
                    "quarter ASC NULLS LAST",
-    "cashflow": "SELECT * FROM cashflow_jcurve ORDER BY row_num ASC NULLS LAST",
-    "portfolio": "SELECT * FROM portfolio_table ORDER BY fmv DESC NULLS LAST",
-    "all_financials": "SELECT * FROM company_financials "
+    "cashflow": "SELECT * FROM {t} ORDER BY row_num ASC NULLS LAST",
+    "portfolio": "SELECT * FROM {t} ORDER BY fmv DESC NULLS LAST",
+    "all_financials": "SELECT * FROM {t} "
                       "ORDER BY company_id ASC NULLS LAST, year ASC NULLS LAST",
-    "company_financials": "SELECT * FROM company_financials WHERE company_id = :company_id "
+    "company_financials": "SELECT * FROM {t} WHERE company_id = :company_id "
                           "ORDER BY year ASC NULLS LAST",
-    "sector_allocation": "SELECT * FROM sector_allocation ORDER BY fmv_m DESC NULLS LAST",
-    "geo_allocation": "SELECT * FROM geo_allocation ORDER BY fmv_m DESC NULLS LAST",
-    "pipeline": "SELECT * FROM pipeline ORDER BY stage ASC NULLS LAST, "
+    "sector_allocation": "SELECT * FROM {t} ORDER BY fmv_m DESC NULLS LAST",
+    "geo_allocation": "SELECT * FROM {t} ORDER BY fmv_m DESC NULLS LAST",
+    "pipeline": "SELECT * FROM {t} ORDER BY stage ASC NULLS LAST, "
                 "probability DESC NULLS LAST",
-    "risk_summary": "SELECT * FROM risk_summary LIMIT 1",
-    "leverage_bands": "SELECT * FROM risk_leverage_bands ORDER BY leverage_band ASC NULLS LAST",
-    "moic_bands": "SELECT * FROM risk_moic_bands ORDER BY moic_band ASC NULLS LAST",
+    "risk_summary": "SELECT * FROM {t} LIMIT 1",
+    "leverage_bands": "SELECT * FROM {t} ORDER BY leverage_band ASC NULLS LAST",
+    "moic_bands": "SELECT * FROM {t} ORDER BY moic_band ASC NULLS LAST",
 }
 
 VIEW_TABLE = {"fund_kpis": "fund_kpis", "nav_history": "nav_history",
@@ -52,19 +53,25 @@ def serve(spark: SparkSession, view: str, tables: Mapping[str, DataFrame] | None
           database: str | None = None, company_id: int | None = None) -> DataFrame:
     """Run serving query ``view``.
 
-    ``tables`` maps Gold names to DataFrames (registered as temp views);
-    otherwise ``database`` (e.g. ``"gold"``) is made current.  ``company_id``
+    ``tables`` maps Gold names to DataFrames: the one needed is registered
+    under a unique temporary name for the analysis of the statement and
+    dropped again (the returned DataFrame keeps its plan).  Otherwise the
+    table is read as ``<database>.<name>`` from the catalog.  ``company_id``
     must be a positive integer (an empty result means "not found").
     """
-    sql = VIEW_SQL[view]
     args = None
     if view == "company_financials":
         if not isinstance(company_id, int) or isinstance(company_id, bool) or company_id <= 0:
             raise ValueError("company_id must be a positive integer")
         args = {"company_id": company_id}
+    name = VIEW_TABLE[view]
     if tables is not None:
-        name = VIEW_TABLE[view]
-        tables[name].createOrReplaceTempView(name)
-    elif database is not None:
-        spark.catalog.setCurrentDatabase(database)
-    return spark.sql(sql, args=args) if args else spark.sql(sql)
+        temp = f"_fundlake_{name}_{uuid.uuid4().hex[:8]}"
+        tables[name].createOrReplaceTempView(temp)
+        try:
+            return spark.sql(VIEW_SQL[view].replace("{t}", temp), args=args)
+        finally:
+            spark.catalog.dropTempView(temp)
+    if database is None:
+        raise ValueError("give either tables or database")
+    return spark.sql(VIEW_SQL[view].replace("{t}", f"`{database}`.`{name}`"), args=args)

@@ -75,7 +75,6 @@ def test_bronze_to_gold_jobs_and_sql_views_over_catalog(spark):
     assert one and all(r["company_id"] == 1 for r in one)
     assert views.serve(spark, "company_financials", database="gold",
                        company_id=10 ** 9).count() == 0
-    spark.catalog.setCurrentDatabase("default")
 
 
 def test_register_bronze_csv_table(spark):
