@@ -29,10 +29,14 @@ def growth(df: DataFrame, key, order, cols: Sequence[str], tiebreak: Sequence[st
     """
     w = Window.partitionBy(*_names(key)).orderBy(*_names(order), *tiebreak)
     outs = list(out) if out else [f"{c.removesuffix('_m')}{suffix}" for c in cols]
+    # One lag per column (a window function is not de-duplicated when the
+    # derived expression repeats it), then the ratio in a Project above.
+    prevs = {f"_prev_{o}": F.lag(c).over(w) for c, o in zip(cols, outs)}
+    df = df.withColumns(prevs)
     for c, o in zip(cols, outs):
-        prev = F.lag(c).over(w)
+        prev = F.col(f"_prev_{o}")
         df = df.withColumn(o, exact_round(safe_div(F.col(c) - prev, F.abs(prev)) * 100, scale))
-    return df
+    return df.drop(*prevs)
 
 
 def _prefix(df: DataFrame, keys: Sequence[str], values: dict[str, Column],
