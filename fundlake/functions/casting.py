@@ -6,18 +6,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundlake.functions.numeric import to_col
+from fundlake.functions.numeric import q
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def lenient_cast(c, dtype: T.DataType, int_via_double: bool = True) -> Column:
-    """Cast text to ``dtype`` without failing under ANSI mode.
+def sql_lenient_cast(x: str, dtype: T.DataType, int_via_double: bool = True) -> str:
+    """SQL text casting expression ``x`` to ``dtype`` without failing under ANSI.
 
     Integers go through ``double`` so that ``'12.0'`` reads as 12, as a
     non-ANSI cast does.  Dates use ``try_to_date`` on ISO text.
     """
-    c = to_col(c)
+    t = dtype.simpleString()
+    if isinstance(dtype, T.StringType):
+        return f"CAST({x} AS STRING)"
+    if isinstance(dtype, T.DateType):
+        return f"try_to_date(CAST({x} AS STRING))"
+    if isinstance(dtype, _INTEGRAL) and int_via_double:
+        return f"try_cast(try_cast({x} AS DOUBLE) AS {t})"
+    return f"try_cast({x} AS {t})"
+
+
+def lenient_cast(c, dtype: T.DataType, int_via_double: bool = True) -> Column:
+    """Column form of :func:`sql_lenient_cast` (``c``: name or Column)."""
+    if isinstance(c, str):
+        return F.expr(sql_lenient_cast(q(c), dtype, int_via_double))
     if isinstance(dtype, T.StringType):
         return c.cast("string")
     if isinstance(dtype, T.DateType):

@@ -6,6 +6,10 @@ in which order partial sums are merged (a double sum does).  Rounding is
 HALF_UP on the decimal value, which is what ``round`` on a double does in
 Spark for the values the tables hold, and what an ANSI SQL engine does on
 ``DECIMAL``.
+
+Each helper exists in two forms: ``sql_*`` builds Spark SQL text (one
+``expr`` per finished expression keeps driver-side plan building cheap), and
+the Column form wraps it for column names or accepts a ``Column``.
 """
 
 from __future__ import annotations
@@ -17,29 +21,61 @@ from pyspark.sql import functions as F
 EXACT_TYPE = "decimal(38,6)"
 
 
+def q(name: str) -> str:
+    """Quote a column name for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_round(x: str, scale: int = 2) -> str:
+    """HALF_UP round of SQL expression ``x`` through an exact decimal;
+    NaN and infinities pass through."""
+    return (f"CASE WHEN isnan({x}) OR abs({x}) = CAST('Infinity' AS DOUBLE) THEN ({x}) "
+            f"ELSE CAST(round(try_cast(({x}) AS {EXACT_TYPE}), {scale}) AS DOUBLE) END")
+
+
+def sql_sum(x: str) -> str:
+    """Exact, order-independent sum of double expression ``x`` as double."""
+    return f"CAST(sum(try_cast(({x}) AS {EXACT_TYPE})) AS DOUBLE)"
+
+
+def sql_avg(x: str) -> str:
+    """Mean as exact sum / non-null count."""
+    return f"try_divide({sql_sum(x)}, CAST(count({x}) AS DOUBLE))"
+
+
+def sql_div(num: str, den: str) -> str:
+    """Division that yields NULL for a zero or NULL divisor (ANSI-safe)."""
+    return f"try_divide({num}, {den})"
+
+
 def to_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def exact_round(c, scale: int = 2) -> Column:
     """``round(c, scale)`` HALF_UP through an exact decimal; NaN/inf pass through."""
-    c = to_col(c)
+    if isinstance(c, str):
+        return F.expr(sql_round(q(c), scale))
     special = F.isnan(c) | (F.abs(c) == F.lit(float("inf")))
-    return F.when(special, c).otherwise(
-        F.round(c.try_cast(EXACT_TYPE), scale).cast("double"))
+    return F.when(special, c).otherwise(F.round(c.try_cast(EXACT_TYPE), scale).cast("double"))
 
 
 def exact_sum(c) -> Column:
     """Order-independent sum of a double column (NULL for no non-null input)."""
-    return F.sum(to_col(c).try_cast(EXACT_TYPE)).cast("double")
+    if isinstance(c, str):
+        return F.expr(sql_sum(q(c)))
+    return F.sum(c.try_cast(EXACT_TYPE)).cast("double")
 
 
 def exact_avg(c) -> Column:
     """Mean as exact sum / non-null count, both as double."""
-    c = to_col(c)
+    if isinstance(c, str):
+        return F.expr(sql_avg(q(c)))
     return F.try_divide(exact_sum(c), F.count(c).cast("double"))
 
 
 def safe_div(num, den) -> Column:
     """Division that yields NULL for a zero or NULL divisor (ANSI-safe)."""
+    if isinstance(num, str) and isinstance(den, str):
+        return F.expr(sql_div(q(num), q(den)))
     return F.try_divide(to_col(num), to_col(den))

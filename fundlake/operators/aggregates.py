@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundlake.functions.numeric import exact_round, exact_sum, safe_div, to_col
+from fundlake.functions.numeric import (exact_round, exact_sum, q, safe_div, sql_round, sql_sum,
+                                        to_col)
 
 
 def global_stats(df: DataFrame, exprs: Sequence[Column]) -> DataFrame:
@@ -36,9 +37,15 @@ def weighted_mean(value, weight, null_weights: str = "keep", scale: int | None =
     its weight stays in the denominator (the dashboards' definition);
     ``"drop"``: its weight is excluded too.
     """
-    x, w = to_col(value), to_col(weight)
     if null_weights not in ("keep", "drop"):
         raise ValueError("null_weights must be 'keep' or 'drop'")
+    if isinstance(value, str) and isinstance(weight, str):
+        x, w = q(value), q(weight)
+        den = sql_sum(w) if null_weights == "keep" else sql_sum(
+            f"CASE WHEN {x} IS NOT NULL THEN {w} END")
+        m = f"try_divide({sql_sum(f'{w} * {x}')}, {den})"
+        return F.expr(sql_round(m, scale) if scale is not None else m)
+    x, w = to_col(value), to_col(weight)
     den = exact_sum(w) if null_weights == "keep" else exact_sum(F.when(x.isNotNull(), w))
     m = safe_div(exact_sum(w * x), den)
     return exact_round(m, scale) if scale is not None else m

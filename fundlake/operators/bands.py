@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundlake.functions.numeric import exact_avg, exact_round, exact_sum
+from fundlake.functions.numeric import q, sql_avg, sql_round, sql_sum
 from fundlake.functions.rules import bucketize_expr, first_match_expr
 
 # Band edges and labels, as the dashboards show them.
@@ -37,9 +37,9 @@ def first_match(df: DataFrame, rules: Sequence[tuple[Column, str]], default: str
 def risk_flag(df: DataFrame, status: str = "status", leverage: str = "net_leverage_x",
               moic: str = "moic", out: str = "risk_flag") -> DataFrame:
     """Ordered flag: Watch status, then leverage > 6, then moic < 1, else OK."""
-    rules = [(F.col(status) == "Watch", RISK_WATCH),
-             (F.col(leverage) > HIGH_LEVERAGE_ABOVE, RISK_HIGH_LEVERAGE),
-             (F.col(moic) < BELOW_COST_UNDER, RISK_BELOW_COST)]
+    rules = [(f"{q(status)} = 'Watch'", RISK_WATCH),
+             (f"{q(leverage)} > {HIGH_LEVERAGE_ABOVE!r}D", RISK_HIGH_LEVERAGE),
+             (f"{q(moic)} < {BELOW_COST_UNDER!r}D", RISK_BELOW_COST)]
     return first_match(df, rules, RISK_OK, out)
 
 
@@ -51,9 +51,9 @@ def band_summary(df: DataFrame, band: str, sums: Mapping[str, str] | None = None
     ``sums`` / ``avgs`` map output name -> input column.  Map-side partial
     aggregation keeps a hot band from landing whole in one task.
     """
-    aggs = [F.count(F.lit(1)).alias(count_as)]
-    aggs += [exact_round(exact_sum(c), scale).alias(o) for o, c in (sums or {}).items()]
-    aggs += [exact_round(exact_avg(c), scale).alias(o) for o, c in (avgs or {}).items()]
+    aggs = [F.expr(f"count(1) AS {q(count_as)}")]
+    aggs += [F.expr(f"{sql_round(sql_sum(q(c)), scale)} AS {q(o)}") for o, c in (sums or {}).items()]
+    aggs += [F.expr(f"{sql_round(sql_avg(q(c)), scale)} AS {q(o)}") for o, c in (avgs or {}).items()]
     return df.groupBy(band).agg(*aggs)
 
 

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundlake.functions.numeric import EXACT_TYPE, exact_round, safe_div, to_col
+from fundlake.functions.numeric import EXACT_TYPE, q, sql_round, to_col
 from fundlake.session import checkpoint_dir
 
 
@@ -27,15 +27,16 @@ def growth(df: DataFrame, key, order, cols: Sequence[str], tiebreak: Sequence[st
     single Window node (one shuffle by key, one sort).  Group size is the
     number of periods per key, which is bounded by the calendar, not by data.
     """
-    w = Window.partitionBy(*_names(key)).orderBy(*_names(order), *tiebreak)
+    spec = (f"PARTITION BY {', '.join(q(k) for k in _names(key))} "
+            f"ORDER BY {', '.join(q(k) for k in [*_names(order), *tiebreak])}")
     outs = list(out) if out else [f"{c.removesuffix('_m')}{suffix}" for c in cols]
     # One lag per column (a window function is not de-duplicated when the
     # derived expression repeats it), then the ratio in a Project above.
-    prevs = {f"_prev_{o}": F.lag(c).over(w) for c, o in zip(cols, outs)}
+    prevs = {f"_prev_{o}": F.expr(f"lag({q(c)}) OVER ({spec})") for c, o in zip(cols, outs)}
     df = df.withColumns(prevs)
-    for c, o in zip(cols, outs):
-        prev = F.col(f"_prev_{o}")
-        df = df.withColumn(o, exact_round(safe_div(F.col(c) - prev, F.abs(prev)) * 100, scale))
+    df = df.withColumns({o: F.expr(sql_round(
+        f"try_divide({q(c)} - {q('_prev_' + o)}, abs({q('_prev_' + o)})) * 100.0D", scale))
+        for c, o in zip(cols, outs)})
     return df.drop(*prevs)
 
 
@@ -111,7 +112,7 @@ def number_rows(df: DataFrame, order, out: str = "row_num", tiebreak: Sequence[s
 
 
 def latest_per_key(df: DataFrame, key, order, cols: Sequence[str] | None = None,
-                   tiebreak: Sequence[Column | str] = (), where: Column | None = None,
+                   tiebreak: Sequence[Column | str] = (), where: Column | str | None = None,
                    rename: dict[str, str] | None = None) -> DataFrame:
     """One row per key: the row with the greatest (order, tiebreak...).
 
@@ -124,14 +125,21 @@ def latest_per_key(df: DataFrame, key, order, cols: Sequence[str] | None = None,
     if where is not None:
         df = df.where(where)
     cols = [c for c in (cols or df.columns) if c not in keys]
-    rank = F.struct(*[to_col(c) for c in _names(order)], *[to_col(t) for t in tiebreak],
-                    *[F.col(c) for c in cols])
-    res = df.groupBy(*keys).agg(F.max_by(F.struct(*cols), rank).alias("_latest"))
+    tb = [t if isinstance(t, str) else None for t in tiebreak]
+    if all(t is not None for t in tb):
+        rank_sql = ", ".join(q(c) for c in [*_names(order), *tb, *cols])
+        latest = F.expr(f"max_by(struct({', '.join(q(c) for c in cols)}), struct({rank_sql}))")
+    else:
+        rank = F.struct(*[to_col(c) for c in _names(order)], *[to_col(t) for t in tiebreak],
+                        *[F.col(c) for c in cols])
+        latest = F.max_by(F.struct(*cols), rank)
+    res = df.groupBy(*keys).agg(latest.alias("_latest"))
     rename = rename or {}
-    return res.select(*keys, *[F.col(f"_latest.{c}").alias(rename.get(c, c)) for c in cols])
+    return res.selectExpr(*[q(k) for k in keys],
+                          *[f"_latest.{q(c)} AS {q(rename.get(c, c))}" for c in cols])
 
 
-def cagr(df: DataFrame, key, time: str, value: str, where: Column | None = None,
+def cagr(df: DataFrame, key, time: str, value: str, where: Column | str | None = None,
          out: str = "revenue_cagr_pct", scale: int = 2, keep_parts: bool = False) -> DataFrame:
     """Compound annual growth per key, one grouped aggregate (no self-join).
 
@@ -143,14 +151,14 @@ def cagr(df: DataFrame, key, time: str, value: str, where: Column | None = None,
     keys = _names(key)
     if where is not None:
         df = df.where(where)
-    v, t = F.col(value), F.col(time)
-    rank = F.when(v.isNotNull(), F.struct(t, v))
+    v, t = q(value), q(time)
+    rank = f"CASE WHEN {v} IS NOT NULL THEN struct({t}, {v}) END"
     g = df.groupBy(*keys).agg(
-        F.min(t).alias("first_year"), F.max(t).alias("last_year"),
-        F.min_by(v, rank).alias("first_value"), F.max_by(v, rank).alias("last_value"))
-    span = F.col("last_year") - F.col("first_year")
-    growth_ = (F.pow(F.col("last_value") / F.col("first_value"),
-                     F.lit(1.0) / span.cast("double")) - 1) * 100
-    g = g.withColumn(out, F.when((F.col("first_value") > 0) & (span > 0),
-                                 exact_round(growth_, scale)))
+        F.expr(f"min({t}) AS first_year"), F.expr(f"max({t}) AS last_year"),
+        F.expr(f"min_by({v}, {rank}) AS first_value"),
+        F.expr(f"max_by({v}, {rank}) AS last_value"))
+    span = "(last_year - first_year)"
+    growth_ = (f"(pow(last_value / first_value, 1.0D / CAST({span} AS DOUBLE)) - 1) * 100")
+    g = g.withColumn(out, F.expr(
+        f"CASE WHEN first_value > 0 AND {span} > 0 THEN {sql_round(growth_, scale)} END"))
     return g if keep_parts else g.select(*keys, out)

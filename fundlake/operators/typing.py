@@ -8,16 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundlake.functions.casting import lenient_cast
+from fundlake.functions.casting import lenient_cast, sql_lenient_cast
+from fundlake.functions.numeric import q
 
 
-def _typed(df: DataFrame, field: T.StructField, int_via_double: bool) -> Column:
-    src = df.schema[field.name].dataType
+def _typed_sql(src: T.DataType, field: T.StructField, int_via_double: bool) -> str:
+    name = q(field.name)
     if isinstance(src, T.StringType):
-        return lenient_cast(F.col(field.name), field.dataType, int_via_double)
+        return sql_lenient_cast(name, field.dataType, int_via_double)
     if src == field.dataType:
-        return F.col(field.name)
-    return F.col(field.name).try_cast(field.dataType)
+        return name
+    return f"try_cast({name} AS {field.dataType.simpleString()})"
+
+
+def _sql_value(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "\\'") + "'"
+    return repr(v)
 
 
 def typed_select(df: DataFrame, schema: T.StructType, int_via_double: bool = True,
@@ -29,18 +36,20 @@ def typed_select(df: DataFrame, schema: T.StructType, int_via_double: bool = Tru
     for it; ``defaults`` also replaces NULLs (e.g. ``realized`` -> 0).
     """
     defaults = dict(defaults or {})
-    cols = []
+    src = {f.name: f.dataType for f in df.schema.fields}
+    exprs = []
     for f in schema.fields:
-        if f.name in df.columns:
-            c = _typed(df, f, int_via_double)
+        t = f.dataType.simpleString()
+        if f.name in src:
+            e = _typed_sql(src[f.name], f, int_via_double)
             if f.name in defaults:
-                c = F.coalesce(c, F.lit(defaults[f.name]).cast(f.dataType))
+                e = f"coalesce({e}, CAST({_sql_value(defaults[f.name])} AS {t}))"
         elif f.name in defaults:
-            c = F.lit(defaults[f.name]).cast(f.dataType)
+            e = f"CAST({_sql_value(defaults[f.name])} AS {t})"
         else:
             raise ValueError(f"column {f.name!r} missing from input")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+        exprs.append(f"{e} AS {q(f.name)}")
+    return df.selectExpr(*exprs)
 
 
 def cast_rejects(df: DataFrame, schema: T.StructType, keys: Sequence[str] = ()) -> DataFrame:
@@ -53,36 +62,31 @@ def cast_rejects(df: DataFrame, schema: T.StructType, keys: Sequence[str] = ())
     for f in schema.fields:
         if f.name not in df.columns or isinstance(f.dataType, T.StringType):
             continue
-        raw = F.col(f.name).cast("string")
-        bad = raw.isNotNull() & (F.trim(raw) != "") & lenient_cast(raw, f.dataType).isNull()
-        cells.append(F.when(bad, F.struct(F.lit(f.name).alias("column_name"),
-                                          raw.alias("raw_value"))))
+        raw = f"CAST({q(f.name)} AS STRING)"
+        bad = (f"{raw} IS NOT NULL AND trim({raw}) <> '' AND "
+               f"{sql_lenient_cast(raw, f.dataType)} IS NULL")
+        cells.append(f"CASE WHEN {bad} THEN named_struct('column_name', '{f.name}', "
+                     f"'raw_value', {raw}) END")
+    key_sql = [q(k) for k in keys]
     if not cells:
-        empty = F.array().cast("array<struct<column_name:string,raw_value:string>>")
-        arr = empty
+        arr = "CAST(array() AS array<struct<column_name:string,raw_value:string>>)"
     else:
-        arr = F.filter(F.array(*cells), lambda x: x.isNotNull())
-    return (df.select(*keys, F.explode(arr).alias("_cell"))
-              .select(*keys, "_cell.column_name", "_cell.raw_value"))
+        arr = f"filter(array({', '.join(cells)}), x -> x IS NOT NULL)"
+    return (df.selectExpr(*key_sql, f"explode({arr}) AS _cell")
+              .selectExpr(*key_sql, "_cell.column_name", "_cell.raw_value"))
 
 
 def cast_report(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Per-column validation report in one pass: rows, present, typed, rejected."""
     fields = [f for f in schema.fields
               if f.name in df.columns and not isinstance(f.dataType, T.StringType)]
-    aggs = []
-    for f in fields:
-        raw = F.col(f.name).cast("string")
-        present = raw.isNotNull() & (F.trim(raw) != "")
-        typed = lenient_cast(raw, f.dataType).isNotNull()
-        aggs += [F.count_if(present).alias(f"{f.name}__present"),
-                 F.count_if(present & ~typed).alias(f"{f.name}__rejected")]
-    one = df.agg(F.count(F.lit(1)).alias("_rows"), *aggs)
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(f.name).alias("column_name"),
-                 F.lit(f.dataType.simpleString()).alias("target_type"),
-                 F.col(f"{f.name}__present").alias("present_rows"),
-                 F.col(f"{f.name}__rejected").alias("rejected_rows")) for f in fields]))
-    return (one.select(F.col("_rows").alias("total_rows"), stacked.alias("_c"))
-               .select("_c.column_name", "_c.target_type", "total_rows",
-                       "_c.present_rows", "_c.rejected_rows"))
+    aggs = ["count(1) AS `_rows`"]
+    for i, f in enumerate(fields):
+        raw = f"CAST({q(f.name)} AS STRING)"
+        present = f"({raw} IS NOT NULL AND trim({raw}) <> '')"
+        aggs += [f"count_if({present}) AS `p{i}`",
+                 f"count_if({present} AND {sql_lenient_cast(raw, f.dataType)} IS NULL) AS `r{i}`"]
+    rows = [f"struct('{f.name}' AS column_name, '{f.dataType.simpleString()}' AS target_type, "
+            f"`_rows` AS total_rows, `p{i}` AS present_rows, `r{i}` AS rejected_rows)"
+            for i, f in enumerate(fields)]
+    return df.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(rows)}))")

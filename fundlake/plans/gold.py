@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundlake.functions.numeric import exact_avg, exact_round, exact_sum
+from fundlake.functions.numeric import sql_avg, sql_round, sql_sum
 from fundlake.operators import (attach_scalar, cagr, concentration, global_stats, group_enrich,
                                 hhi, latest_per_key, leverage_bands, lookup, moic_bands,
                                 risk_flag, weighted_mean)
@@ -23,10 +23,10 @@ ACTIVE, WATCH = "Active", "Watch"
 def fund_kpis(fm: DataFrame, portco: DataFrame) -> DataFrame:
     """G1: fund metrics + total FMV, total invested, Active and Watch counts."""
     stats = global_stats(portco, [
-        exact_sum("fmv").alias("total_fmv_m"),
-        exact_sum("invested_capital").alias("total_invested_m"),
-        F.count_if(F.col("status") == ACTIVE).alias("active_companies"),
-        F.count_if(F.col("status") == WATCH).alias("watch_companies")])
+        F.expr(f"{sql_sum('fmv')} AS total_fmv_m"),
+        F.expr(f"{sql_sum('invested_capital')} AS total_invested_m"),
+        F.expr(f"count_if(status = '{ACTIVE}') AS active_companies"),
+        F.expr(f"count_if(status = '{WATCH}') AS watch_companies")])
     return attach_scalar(fm, stats)
 
 
@@ -59,7 +59,7 @@ LATEST_RENAME = {"year": "latest_fin_year", "revenue_m": "latest_revenue_m",
 def latest_financials(fin: DataFrame) -> DataFrame:
     """Latest actual year per company (W4 with F1); deterministic on ties."""
     return latest_per_key(fin, "company_id", "year", cols=list(LATEST_RENAME),
-                          where=~F.col("is_estimate"), rename=LATEST_RENAME)
+                          where="NOT is_estimate", rename=LATEST_RENAME)
 
 
 def portfolio_table(portco: DataFrame, fin: DataFrame) -> DataFrame:
@@ -70,16 +70,16 @@ def portfolio_table(portco: DataFrame, fin: DataFrame) -> DataFrame:
 
 def company_financials(fin: DataFrame) -> DataFrame:
     """Full history + revenue CAGR over actual years (one grouped pass)."""
-    growth_ = cagr(fin, "company_id", "year", "revenue_m", where=~F.col("is_estimate"))
+    growth_ = cagr(fin, "company_id", "year", "revenue_m", where="NOT is_estimate")
     return fin.join(growth_, "company_id", "left").select(*fin.columns, "revenue_cagr_pct")
 
 
 def stage_aggs() -> list:
     """A4: per-stage count, equity, weighted equity (2 dp), mean probability (1 dp)."""
-    return [F.count(F.lit(1)).alias("stage_count"),
-            exact_round(exact_sum("equity_m"), 2).alias("stage_equity_m"),
-            exact_round(exact_sum("weighted_equity_m"), 2).alias("stage_weighted_m"),
-            exact_round(exact_avg("probability"), 1).alias("stage_avg_prob")]
+    return [F.expr("count(1) AS stage_count"),
+            F.expr(f"{sql_round(sql_sum('equity_m'), 2)} AS stage_equity_m"),
+            F.expr(f"{sql_round(sql_sum('weighted_equity_m'), 2)} AS stage_weighted_m"),
+            F.expr(f"{sql_round(sql_avg('probability'), 1)} AS stage_avg_prob")]
 
 
 def pipeline(pl: DataFrame) -> DataFrame:
@@ -91,12 +91,12 @@ def risk_summary(portco: DataFrame, sb: DataFrame, gb: DataFrame,
                  null_weights: str = "keep") -> DataFrame:
     """One row of HHIs, leverage stats, FMV-weighted MOIC/IRR and counts."""
     stats = global_stats(portco, [
-        exact_round(exact_avg("net_leverage_x"), 2).alias("avg_net_leverage_x"),
-        exact_round(F.max("net_leverage_x"), 2).alias("max_net_leverage_x"),
+        F.expr(f"{sql_round(sql_avg('net_leverage_x'), 2)} AS avg_net_leverage_x"),
+        F.expr(f"{sql_round('max(net_leverage_x)', 2)} AS max_net_leverage_x"),
         weighted_mean("moic", "fmv", null_weights).alias("weighted_avg_moic"),
         weighted_mean("irr", "fmv", null_weights).alias("weighted_avg_irr"),
-        F.count_if(F.col("status") == ACTIVE).alias("active_count"),
-        F.count_if(F.col("status") == WATCH).alias("watch_count")])
+        F.expr(f"count_if(status = '{ACTIVE}') AS active_count"),
+        F.expr(f"count_if(status = '{WATCH}') AS watch_count")])
     one = attach_scalar(attach_scalar(hhi(sb, "fmv_m", "hhi_sector"),
                                       hhi(gb, "fmv_m", "hhi_geo")), stats)
     return one.select("hhi_sector", "hhi_geo", "avg_net_leverage_x", "max_net_leverage_x",

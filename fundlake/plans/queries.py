@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake import schemas
-from fundlake.functions.numeric import exact_avg, exact_round
+from fundlake.functions.numeric import sql_avg, sql_round
 from fundlake.operators import (cagr, cast_report, flatten, global_stats, irr, multiples_check,
                                 number_rows, running_total, unpivot_years, weighted_mean)
 from fundlake.plans import gold, silver, star, views
@@ -133,7 +133,7 @@ def portfolio_table(spark, sf):
 def revenue_cagr(spark, sf):
     """first/last actual year and value, CAGR."""
     return cagr(_fin(spark, sf), "company_id", "year", "revenue_m",
-                where=~F.col("is_estimate"), keep_parts=True)
+                where="NOT is_estimate", keep_parts=True)
 
 
 def company_financials(spark, sf):
@@ -180,8 +180,8 @@ def moic_bands(spark, sf):
 def leverage_stats(spark, sf):
     """A10."""
     return global_stats(_portco(spark, sf), [
-        exact_round(exact_avg("net_leverage_x"), 2).alias("avg_net_leverage_x"),
-        exact_round(F.max("net_leverage_x"), 2).alias("max_net_leverage_x")])
+        F.expr(f"{sql_round(sql_avg('net_leverage_x'), 2)} AS avg_net_leverage_x"),
+        F.expr(f"{sql_round('max(net_leverage_x)', 2)} AS max_net_leverage_x")])
 
 
 def weighted_returns(spark, sf):
@@ -244,7 +244,7 @@ def bronze_roundtrip(spark, sf):
 
 def _holdings_text(spark, sf) -> DataFrame:
     h = star.holdings(spark, sf, AS_OF)
-    return h.select(*[F.col(c).cast("string").alias(c) for c in h.columns])
+    return h.selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in h.columns])
 
 
 def infer_types_(spark, sf):

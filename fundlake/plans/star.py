@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.functions.numeric import EXACT_TYPE, exact_round, exact_sum, safe_div
+from fundlake.functions.numeric import EXACT_TYPE, sql_round, sql_sum
 from fundlake.operators import number_rows, weights
 
 # Fixed values of the adapter (not of the engine).
@@ -35,8 +35,12 @@ def _orders(spark, sf_dir) -> DataFrame:
         "o_orderpriority")
 
 
-def _when_status(status: str):
-    return F.when(F.col("o_orderstatus") == status, F.col("o_totalprice"))
+def _when_status(status: str) -> str:
+    return f"CASE WHEN o_orderstatus = '{status}' THEN o_totalprice END"
+
+
+def _sum_as(x: str, name: str):
+    return F.expr(f"{sql_sum(x)} AS {name}")
 
 
 def holdings(spark: SparkSession, sf_dir: str, as_of_year: int = STAR_AS_OF_YEAR) -> DataFrame:
@@ -46,49 +50,39 @@ def holdings(spark: SparkSession, sf_dir: str, as_of_year: int = STAR_AS_OF_YEAR
     debt = urgent/high-priority orders, EBITDA from the account balance,
     status Watch / Exited / Active by key digit.
     """
+    debt_in = ", ".join(f"'{p}'" for p in DEBT_PRIORITIES)
     per_cust = _orders(spark, sf_dir).groupBy("o_custkey").agg(
-        F.min(F.year("o_orderdate")).cast("int").alias("entry_year"),
-        exact_sum(_when_status("F")).alias("invested_capital"),
-        exact_sum(_when_status("O")).alias("fmv"),
-        exact_sum(_when_status("P")).alias("realized"),
-        exact_sum(F.when(F.col("o_orderpriority").isin(*DEBT_PRIORITIES),
-                         F.col("o_totalprice"))).alias("debt"),
-        F.count(F.lit(1)).alias("n_orders"),
-        F.min("o_totalprice").alias("min_price"),
-        F.max("o_totalprice").alias("max_price"))
+        F.expr("CAST(min(year(o_orderdate)) AS INT) AS entry_year"),
+        _sum_as(_when_status("F"), "invested_capital"), _sum_as(_when_status("O"), "fmv"),
+        _sum_as(_when_status("P"), "realized"),
+        _sum_as(f"CASE WHEN o_orderpriority IN ({debt_in}) THEN o_totalprice END", "debt"),
+        F.expr("count(1) AS n_orders"), F.expr("min(o_totalprice) AS min_price"),
+        F.expr("max(o_totalprice) AS max_price"))
     # nation (25 rows) and region (5 rows) are fixed-size dimension tables.
     geo = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     cust = table(spark, sf_dir, "customer").join(
         F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     h = cust.join(per_cust, F.col("c_custkey") == F.col("o_custkey"), "left")
-    realized = F.coalesce(F.col("realized"), F.lit(0.0))
-    moic = safe_div(F.col("fmv") + realized, F.col("invested_capital"))
-    years = (F.lit(as_of_year) - F.col("entry_year")).cast("double")
-    irr = exact_round((F.pow(moic, F.lit(1.0) / years) - 1) * 100, 2)
-    key_digit = F.col("c_custkey") % 10
-    return h.select(
-        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
-        F.col("c_mktsegment").alias("sector"), F.col("n_name").alias("subsector"),
-        F.col("r_name").alias("geography"), "entry_year",
-        (F.col("min_price") * 10).alias("entry_ev"),
-        (F.col("c_acctbal") * 40).alias("entry_ebitda"),
-        (F.col("min_price") / 10000).alias("entry_multiple"),
-        "invested_capital",
-        (F.col("c_nationkey").cast("double") * 4).alias("ownership_pct"),
-        (F.col("max_price") * 10).alias("current_ev"),
-        (F.col("c_acctbal") * 50).alias("current_ebitda"),
-        (F.col("max_price") / 10000).alias("current_multiple"),
-        "fmv", moic.alias("moic"), irr.alias("irr"),
-        F.when(key_digit == 0, "Watch").when(key_digit == 5, "Exited")
-         .otherwise("Active").alias("status"),
-        "debt", (F.col("n_orders") * 10).cast("int").alias("employees"),
-        F.concat_ws(" / ", "c_mktsegment", "n_name").alias("description"),
-        realized.alias("realized"))
+    realized = "coalesce(realized, 0.0D)"
+    moic = f"try_divide(fmv + {realized}, invested_capital)"
+    years = f"CAST({int(as_of_year)} - entry_year AS DOUBLE)"
+    irr = sql_round(f"(pow({moic}, 1.0D / {years}) - 1) * 100", 2)
+    return h.selectExpr(
+        "c_custkey AS id", "c_name AS name", "c_mktsegment AS sector", "n_name AS subsector",
+        "r_name AS geography", "entry_year", "min_price * 10 AS entry_ev",
+        "c_acctbal * 40 AS entry_ebitda", "min_price / 10000 AS entry_multiple",
+        "invested_capital", "CAST(c_nationkey AS DOUBLE) * 4 AS ownership_pct",
+        "max_price * 10 AS current_ev", "c_acctbal * 50 AS current_ebitda",
+        "max_price / 10000 AS current_multiple", "fmv", f"{moic} AS moic", f"{irr} AS irr",
+        "CASE WHEN c_custkey % 10 = 0 THEN 'Watch' WHEN c_custkey % 10 = 5 THEN 'Exited' "
+        "ELSE 'Active' END AS status",
+        "debt", "CAST(n_orders * 10 AS INT) AS employees",
+        "concat_ws(' / ', c_mktsegment, n_name) AS description", f"{realized} AS realized")
 
 
 def _year(c="o_orderdate"):
-    return F.year(c).cast("int")
+    return F.expr(f"CAST(year({c}) AS INT)")
 
 
 def revenue(spark: SparkSession, sf_dir: str,
@@ -96,12 +90,12 @@ def revenue(spark: SparkSession, sf_dir: str,
     """Bronze-shaped revenue feed: order value per (customer, year)."""
     rev = _orders(spark, sf_dir).groupBy(
         F.col("o_custkey").alias("company_id"), _year().alias("year")
-    ).agg(exact_sum("o_totalprice").alias("revenue_m"))
+    ).agg(_sum_as("o_totalprice", "revenue_m"))
     names = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("company_id"), F.col("c_name").alias("company_name"))
-    return rev.join(names, "company_id", "left").select(
-        "company_id", "company_name", "year",
-        (F.col("year") >= estimate_from).alias("is_estimate"), "revenue_m")
+    return rev.join(names, "company_id", "left").selectExpr(
+        "company_id", "company_name", "year", f"year >= {int(estimate_from)} AS is_estimate",
+        "revenue_m")
 
 
 def ebitda(spark: SparkSession, sf_dir: str, estimate_from: int = ESTIMATE_FROM_YEAR,
@@ -112,43 +106,39 @@ def ebitda(spark: SparkSession, sf_dir: str, estimate_from: int = ESTIMATE_FROM_
     orders: the big join moves one row per order, not one per line.
     """
     per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.sum((F.col("l_extendedprice") * F.col("l_discount")).try_cast(EXACT_TYPE)).alias("d"))
+        F.expr(f"sum(try_cast(l_extendedprice * l_discount AS {EXACT_TYPE})) AS d"))
     eb = (_orders(spark, sf_dir)
           .join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
           .groupBy(F.col("o_custkey").alias("company_id"), _year().alias("year"))
-          .agg(F.sum("d").cast("double").alias("ebitda_m")))
-    cols = ["company_id", "year", (F.col("year") >= estimate_from).alias("is_estimate"),
-            "ebitda_m"]
+          .agg(F.expr("CAST(sum(d) AS DOUBLE) AS ebitda_m")))
+    cols = ["company_id", "year", f"year >= {int(estimate_from)} AS is_estimate", "ebitda_m"]
     if with_name:
         names = table(spark, sf_dir, "customer").select(
             F.col("c_custkey").alias("company_id"), F.col("c_name").alias("company_name"))
         eb = eb.join(names, "company_id", "left")
         cols.insert(1, "company_name")
-    return eb.select(*cols)
+    return eb.selectExpr(*cols)
 
 
 def _quarterly(spark, sf_dir) -> DataFrame:
     o = _orders(spark, sf_dir)
-    return o.groupBy(_year().alias("_y"), F.quarter("o_orderdate").alias("_q")).agg(
-        exact_sum(_when_status("F")).alias("_f"), exact_sum(_when_status("O")).alias("_o"),
-        exact_sum(_when_status("P")).alias("_p"), exact_sum("o_totalprice").alias("_all"),
-        exact_sum(F.when(F.col("o_orderstatus").isin("O", "P"),
-                         F.col("o_totalprice"))).alias("_op"))
+    return o.groupBy(_year().alias("_y"), F.expr("CAST(quarter(o_orderdate) AS INT) AS _q")).agg(
+        _sum_as(_when_status("F"), "_f"), _sum_as(_when_status("O"), "_o"),
+        _sum_as(_when_status("P"), "_p"), _sum_as("o_totalprice", "_all"),
+        _sum_as("CASE WHEN o_orderstatus IN ('O', 'P') THEN o_totalprice END", "_op"))
 
 
-def _quarter_label():
-    return F.concat(F.col("_y").cast("string"), F.lit("Q"), F.col("_q").cast("string"))
+_QUARTER_LABEL = "concat(CAST(_y AS STRING), 'Q', CAST(_q AS STRING))"
 
 
 def cashflows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped cashflows: per quarter, contributions (-F), distributions
     (+O), net; ``row_num`` numbers quarters in calendar order (D14)."""
     q = _quarterly(spark, sf_dir)
-    contrib = F.lit(0.0) - F.coalesce(F.col("_f"), F.lit(0.0))
-    dist = F.coalesce(F.col("_o"), F.lit(0.0))
-    cf = q.select("_y", "_q", _quarter_label().alias("quarter"),
-                  contrib.alias("contributions_m"), dist.alias("distributions_m"),
-                  (contrib + dist).alias("net_cashflow_m"))
+    contrib, dist = "(0.0D - coalesce(_f, 0.0D))", "coalesce(_o, 0.0D)"
+    cf = q.selectExpr("_y", "_q", f"{_QUARTER_LABEL} AS quarter",
+                      f"{contrib} AS contributions_m", f"{dist} AS distributions_m",
+                      f"{contrib} + {dist} AS net_cashflow_m")
     cf = number_rows(cf, ["_y", "_q"], "row_num")
     return cf.select("row_num", "quarter", "contributions_m", "distributions_m",
                      "net_cashflow_m")
@@ -157,41 +147,39 @@ def cashflows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fund_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped fund history: NAV, IRR proxy and TVPI per quarter."""
     q = _quarterly(spark, sf_dir)
-    return q.select(
-        _quarter_label().alias("quarter"), F.col("_all").alias("nav_m"),
-        exact_round(safe_div(F.col("_p"), F.col("_all")) * 100, 2).alias("net_irr"),
-        exact_round(safe_div(F.col("_op"), F.col("_f")), 2).alias("tvpi"))
+    return q.selectExpr(
+        f"{_QUARTER_LABEL} AS quarter", "_all AS nav_m",
+        f"{sql_round('try_divide(_p, _all) * 100', 2)} AS net_irr",
+        f"{sql_round('try_divide(_op, _f)', 2)} AS tvpi")
 
 
 def fund_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped fund metrics: one row aggregated over all orders."""
     o = _orders(spark, sf_dir)
     a = o.agg(
-        F.min(_year()).alias("vintage"), exact_sum("o_totalprice").alias("committed_capital"),
-        exact_sum(F.when(F.col("o_orderstatus").isin("F", "O"),
-                         F.col("o_totalprice"))).alias("called_capital"),
-        exact_sum(_when_status("F")).alias("distributions"),
-        exact_sum(_when_status("O")).alias("nav"),
-        exact_sum(_when_status("P")).alias("_p"),
-        F.count_distinct("o_custkey").cast("int").alias("num_portcos"),
-        F.to_date(F.max("o_orderdate")).alias("as_of_date"))
-    called = F.col("called_capital")
-    tv = F.col("distributions") + F.col("nav")
-    return a.select(
-        F.lit(FUND_LITERALS["fund_name"]).alias("fund_name"),
-        F.lit(FUND_LITERALS["short_name"]).alias("short_name"), "vintage",
-        F.lit(FUND_LITERALS["strategy"]).alias("strategy"),
-        F.lit(FUND_LITERALS["geography"]).alias("geography"),
-        "committed_capital", "called_capital",
-        exact_round(F.col("committed_capital") - called, 2).alias("uncalled_capital"),
-        "distributions", "nav", tv.alias("total_value"),
-        exact_round(safe_div(tv, called), 2).alias("tvpi"),
-        exact_round(safe_div(F.col("distributions"), called), 2).alias("dpi"),
-        exact_round(safe_div(F.col("nav"), called), 2).alias("rvpi"),
-        exact_round(safe_div(F.col("_p"), F.col("committed_capital")) * 100, 2).alias("net_irr"),
-        exact_round(safe_div(F.col("_p"), called) * 100, 2).alias("gross_irr"),
-        exact_round(safe_div(tv, called), 2).alias("moic"),
-        *[F.lit(v).alias(k) for k, v in FUND_TERMS.items()],
+        F.expr("CAST(min(year(o_orderdate)) AS INT) AS vintage"),
+        _sum_as("o_totalprice", "committed_capital"),
+        _sum_as("CASE WHEN o_orderstatus IN ('F', 'O') THEN o_totalprice END", "called_capital"),
+        _sum_as(_when_status("F"), "distributions"), _sum_as(_when_status("O"), "nav"),
+        _sum_as(_when_status("P"), "_p"),
+        F.expr("CAST(count(DISTINCT o_custkey) AS INT) AS num_portcos"),
+        F.expr("to_date(max(o_orderdate)) AS as_of_date"))
+    tv = "(distributions + nav)"
+
+    def r2(x):
+        return sql_round(x, 2)
+    lits = [f"'{v}' AS {k}" for k, v in FUND_LITERALS.items()]
+    return a.selectExpr(
+        lits[0], lits[1], "vintage", lits[2], lits[3], "committed_capital", "called_capital",
+        f"{r2('committed_capital - called_capital')} AS uncalled_capital",
+        "distributions", "nav", f"{tv} AS total_value",
+        f"{r2(f'try_divide({tv}, called_capital)')} AS tvpi",
+        f"{r2('try_divide(distributions, called_capital)')} AS dpi",
+        f"{r2('try_divide(nav, called_capital)')} AS rvpi",
+        f"{r2('try_divide(_p, committed_capital) * 100')} AS net_irr",
+        f"{r2('try_divide(_p, called_capital) * 100')} AS gross_irr",
+        f"{r2(f'try_divide({tv}, called_capital)')} AS moic",
+        *[f"{float(v)!r}D AS {k}" for k, v in FUND_TERMS.items()],
         "num_portcos", "as_of_date")
 
 
@@ -199,30 +187,26 @@ def deals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped deal pipeline: one deal per order, stage = priority,
     probability = order key mod 101 (percent)."""
     o = _orders(spark, sf_dir)
-    return o.select(
-        F.col("o_orderkey").alias("id"),
-        F.concat(F.lit("Deal "), F.col("o_orderkey").cast("string")).alias("name"),
-        F.col("o_orderstatus").alias("sector"), F.col("o_orderpriority").alias("subsector"),
-        F.lit("orders").alias("source"), F.col("o_orderpriority").alias("stage"),
-        (F.col("o_totalprice") * 2).alias("target_ev_m"), F.col("o_totalprice").alias("equity_m"),
-        (F.col("o_totalprice") / 10000).alias("ev_ebitda"),
-        (F.col("o_orderkey") % 101).cast("double").alias("probability"),
-        F.col("o_custkey").cast("string").alias("owner"),
-        F.concat_ws(" ", "o_orderpriority", F.lit("deal")).alias("description"),
-        F.lit(None).cast("string").alias("notes"))
+    return o.selectExpr(
+        "o_orderkey AS id", "concat('Deal ', CAST(o_orderkey AS STRING)) AS name",
+        "o_orderstatus AS sector", "o_orderpriority AS subsector", "'orders' AS source",
+        "o_orderpriority AS stage", "o_totalprice * 2 AS target_ev_m", "o_totalprice AS equity_m",
+        "o_totalprice / 10000 AS ev_ebitda", "CAST(o_orderkey % 101 AS DOUBLE) AS probability",
+        "CAST(o_custkey AS STRING) AS owner",
+        "concat_ws(' ', o_orderpriority, 'deal') AS description", "CAST(NULL AS STRING) AS notes")
 
 
 def sector_breakdown(holdings_df: DataFrame) -> DataFrame:
     """Bronze-shaped sector breakdown: FMV and company count per sector."""
     sb = holdings_df.groupBy("sector").agg(
-        exact_sum("fmv").alias("fmv_m"), F.count(F.lit(1)).cast("int").alias("company_count"))
+        _sum_as("fmv", "fmv_m"), F.expr("CAST(count(1) AS INT) AS company_count"))
     return weights(sb, "fmv_m", "portfolio_pct", scale=1)
 
 
 def geo_breakdown(holdings_df: DataFrame) -> DataFrame:
     """Bronze-shaped geography breakdown: FMV and company count per region."""
     return holdings_df.groupBy(F.col("geography").alias("region")).agg(
-        exact_sum("fmv").alias("fmv_m"), F.count(F.lit(1)).cast("int").alias("company_count"))
+        _sum_as("fmv", "fmv_m"), F.expr("CAST(count(1) AS INT) AS company_count"))
 
 
 def flows_fine(spark: SparkSession, sf_dir: str) -> DataFrame:

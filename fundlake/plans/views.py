@@ -3,7 +3,9 @@
 Gold tables are either registered catalog tables (``gold.<name>``) or lazy
 DataFrames registered as temporary views; the SQL text is the same.  NULL
 placement is always spelled out (Spark sorts NULLs first ascending, the
-dashboards expect them last).
+dashboards expect them last).  Each ORDER BY ends in a unique column, so the
+order is deterministic and the range partitioning of the global sort can split
+any hot sort value (a stage holding most deals) across tasks.
 """
 
 from __future__ import annotations
@@ -27,15 +29,15 @@ VIEW_SQL = {
     "nav_history": f"SELECT * FROM {{t}} ORDER BY {QUARTER_KEY} ASC NULLS LAST, "
                    "quarter ASC NULLS LAST",
     "cashflow": "SELECT * FROM {t} ORDER BY row_num ASC NULLS LAST",
-    "portfolio": "SELECT * FROM {t} ORDER BY fmv DESC NULLS LAST",
+    "portfolio": "SELECT * FROM {t} ORDER BY fmv DESC NULLS LAST, id ASC NULLS LAST",
     "all_financials": "SELECT * FROM {t} "
-                      "ORDER BY company_id ASC NULLS LAST, year ASC NULLS LAST",
+                      "ORDER BY company_id ASC NULLS LAST, year ASC NULLS LAST, is_estimate",
     "company_financials": "SELECT * FROM {t} WHERE company_id = :company_id "
-                          "ORDER BY year ASC NULLS LAST",
-    "sector_allocation": "SELECT * FROM {t} ORDER BY fmv_m DESC NULLS LAST",
-    "geo_allocation": "SELECT * FROM {t} ORDER BY fmv_m DESC NULLS LAST",
+                          "ORDER BY year ASC NULLS LAST, is_estimate",
+    "sector_allocation": "SELECT * FROM {t} ORDER BY fmv_m DESC NULLS LAST, sector",
+    "geo_allocation": "SELECT * FROM {t} ORDER BY fmv_m DESC NULLS LAST, region",
     "pipeline": "SELECT * FROM {t} ORDER BY stage ASC NULLS LAST, "
-                "probability DESC NULLS LAST",
+                "probability DESC NULLS LAST, id ASC NULLS LAST",
     "risk_summary": "SELECT * FROM {t} LIMIT 1",
     "leverage_bands": "SELECT * FROM {t} ORDER BY leverage_band ASC NULLS LAST",
     "moic_bands": "SELECT * FROM {t} ORDER BY moic_band ASC NULLS LAST",

@@ -8,42 +8,45 @@ casts to.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from fundlake.functions.numeric import q
 
 # Candidate types, narrowest first.
 CANDIDATES = ("boolean", "bigint", "double")
 
 
-def _present(c):
-    return c.isNotNull() & (F.trim(c) != "")
+def _present(x: str) -> str:
+    return f"({x} IS NOT NULL AND trim({x}) <> '')"
 
 
-def _fits(c, t: str):
+def _fits(x: str, t: str) -> str:
     if t == "boolean":
-        return F.lower(F.trim(c)).isin("true", "false")
+        return f"lower(trim({x})) IN ('true', 'false')"
     if t == "bigint":
-        return F.trim(c).rlike(r"^[+-]?[0-9]+$") & c.try_cast("bigint").isNotNull()
-    return c.try_cast(t).isNotNull()
+        return f"(trim({x}) RLIKE '^[+-]?[0-9]+$' AND try_cast({x} AS BIGINT) IS NOT NULL)"
+    return f"try_cast({x} AS {t.upper()}) IS NOT NULL"
 
 
 def infer_types(df: DataFrame) -> DataFrame:
-    """(column_name, inferred_type, present_rows) for every column of ``df``."""
+    """(column_name, inferred_type, present_rows) for every column of ``df``.
+
+    One global aggregate (partial per partition, so it scales with the
+    table), then one small row per column.
+    """
     aggs = []
-    for name in df.columns:
-        c = F.col(name).cast("string")
-        aggs.append(F.count_if(_present(c)).alias(f"{name}__n"))
-        aggs += [F.count_if(_present(c) & ~_fits(c, t)).alias(f"{name}__{t}") for t in CANDIDATES]
-    one = df.agg(*aggs)
+    for i, name in enumerate(df.columns):
+        x = f"CAST({q(name)} AS STRING)"
+        aggs.append(f"count_if({_present(x)}) AS `n{i}`")
+        aggs += [f"count_if({_present(x)} AND NOT {_fits(x, t)}) AS `{t}{i}`"
+                 for t in CANDIDATES]
+    one = df.selectExpr(*aggs)
     rows = []
-    for name in df.columns:
-        n = F.col(f"{name}__n")
-        kind = F.when(n == 0, F.lit("string"))
-        for t in CANDIDATES:
-            kind = kind.when(F.col(f"{name}__{t}") == 0, F.lit(t))
-        rows.append(F.struct(F.lit(name).alias("column_name"),
-                             kind.otherwise(F.lit("string")).alias("inferred_type"),
-                             n.alias("present_rows")))
-    return one.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+    for i, name in enumerate(df.columns):
+        arms = " ".join(f"WHEN `{t}{i}` = 0 THEN '{t}'" for t in CANDIDATES)
+        label = name.replace("'", "\\'")
+        rows.append(f"struct('{label}' AS column_name, "
+                    f"CASE WHEN `n{i}` = 0 THEN 'string' {arms} ELSE 'string' END "
+                    f"AS inferred_type, `n{i}` AS present_rows)")
+    return one.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def decode(df: DataFrame, types: dict[str, str] | None = None) -> DataFrame:
@@ -54,15 +57,15 @@ def decode(df: DataFrame, types: dict[str, str] | None = None) -> DataFrame:
     """
     if types is None:
         types = {r["column_name"]: r["inferred_type"] for r in infer_types(df).collect()}
-    cols = []
+    exprs = []
     for name in df.columns:
-        c = F.col(name).cast("string")
+        x = f"CAST({q(name)} AS STRING)"
         t = types.get(name, "string")
         if t == "boolean":
-            v = F.when(_present(c), F.lower(F.trim(c)) == "true")
+            v = f"lower(trim({x})) = 'true'"
         elif t == "string":
-            v = F.when(_present(c), c)
+            v = x
         else:
-            v = F.when(_present(c), c.try_cast(t))
-        cols.append(v.alias(name))
-    return df.select(*cols)
+            v = f"try_cast({x} AS {t.upper()})"
+        exprs.append(f"CASE WHEN {_present(x)} THEN {v} END AS {q(name)}")
+    return df.selectExpr(*exprs)
