@@ -39,12 +39,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # remote (Connect) sessions have no local context
+        pass
     return spark
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    try:
+        return spark.sparkContext.master.startswith("local")
+    except Exception:
+        return False
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -55,7 +61,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     fresh scratch folder; a cluster session without one is an error, never a
     machine-local path.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Connect: the server's configured folder is used
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir is not set on the server")
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
