@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from fundlake.functions.casting import lenient_cast, sql_lenient_cast
+from fundlake.functions.casting import sql_lenient_cast
 from fundlake.functions.numeric import q
 
 

@@ -257,10 +257,10 @@ ORACLE_SQL: dict[str, str] = {
     "unpivot_years": _w(FEEDS) + "\nSELECT * FROM revenue",
     "running_cashflows": _w(QCF) + "\nSELECT * FROM qcf ORDER BY row_num",
     "running_total_distributed": (
-        "SELECT event_id, ts, value, " + _cum("value", "(ORDER BY ts, event_id ROWS BETWEEN "
+        "SELECT event_id, value, " + _cum("value", "(ORDER BY ts, event_id ROWS BETWEEN "
                                           "UNBOUNDED PRECEDING AND CURRENT ROW)")
         + " AS cum_value FROM events"),
-    "number_rows": "SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) AS row_num "
+    "number_rows": "SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS row_num "
                    "FROM events",
     "nav_history": _w(FUND_HISTORY) + "\nSELECT * FROM fund_history ORDER BY quarter",
     "fund_ratios": _w(FUND_METRICS) + "\nSELECT * FROM silver_fm",

@@ -73,14 +73,15 @@ def running_cashflows(spark, sf):
 
 def running_total_distributed(spark, sf):
     """H1 at row level: running sum of every event's value in (ts, event_id) order."""
-    return running_total(star.flows_fine(spark, sf), "ts", ["value"], tiebreak=["event_id"],
-                         out=["cum_value"])
+    res = running_total(star.flows_fine(spark, sf), "ts", ["value"], tiebreak=["event_id"],
+                        out=["cum_value"])
+    return res.select("event_id", "value", "cum_value")
 
 
 def number_rows_(spark, sf):
     """1-based position of every event in (ts, event_id) order."""
     ev = star.table(spark, sf, "events").select("event_id", "ts")
-    return number_rows(ev, "ts", "row_num", tiebreak=["event_id"])
+    return number_rows(ev, "ts", "row_num", tiebreak=["event_id"]).select("event_id", "row_num")
 
 
 def fund_ratios(spark, sf):
