@@ -162,3 +162,29 @@ def cagr(df: DataFrame, key, time: str, value: str, where: Column | str | None =
     g = g.withColumn(out, F.expr(
         f"CASE WHEN first_value > 0 AND {span} > 0 THEN {sql_round(growth_, scale)} END"))
     return g if keep_parts else g.select(*keys, out)
+
+
+def with_cagr(df: DataFrame, key, time: str, value: str, where: str | None = None,
+              out: str = "revenue_cagr_pct", scale: int = 2) -> DataFrame:
+    """Attach :func:`cagr` to every row of its key as window aggregates.
+
+    Same result as ``df.join(cagr(df, ...), key, "left")``, but computed over
+    a ``PARTITION BY key`` window: when the input is already partitioned by
+    the key (e.g. after a per-key growth window) there is no second scan of
+    the input, no extra shuffle and no join.  ``where`` is SQL text selecting
+    the rows that count (e.g. ``"NOT is_estimate"``).
+    """
+    keys = _names(key)
+    cond = f"({where})" if where else "TRUE"
+    v, t = q(value), q(time)
+    spec = f"OVER (PARTITION BY {', '.join(q(k) for k in keys)})"
+    rank = f"CASE WHEN {cond} AND {v} IS NOT NULL THEN struct({t}, {v}) END"
+    parts = {"_c_fy": f"min(CASE WHEN {cond} THEN {t} END) {spec}",
+             "_c_ly": f"max(CASE WHEN {cond} THEN {t} END) {spec}",
+             "_c_fv": f"min_by({v}, {rank}) {spec}",
+             "_c_lv": f"max_by({v}, {rank}) {spec}"}
+    df = df.withColumns({k: F.expr(e) for k, e in parts.items()})
+    growth_ = "(pow(_c_lv / _c_fv, 1.0D / CAST(_c_ly - _c_fy AS DOUBLE)) - 1) * 100"
+    df = df.withColumn(out, F.expr(
+        f"CASE WHEN _c_fv > 0 AND _c_ly - _c_fy > 0 THEN {sql_round(growth_, scale)} END"))
+    return df.drop(*parts)

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundlake.functions.numeric import sql_avg, sql_round, sql_sum
-from fundlake.operators import (attach_scalar, cagr, concentration, global_stats, group_enrich,
+from fundlake.operators.series import with_cagr
+from fundlake.operators import (attach_scalar, concentration, global_stats, group_enrich,
                                 hhi, latest_per_key, leverage_bands, lookup, moic_bands,
                                 risk_flag, weighted_mean)
 
@@ -69,9 +70,12 @@ def portfolio_table(portco: DataFrame, fin: DataFrame) -> DataFrame:
 
 
 def company_financials(fin: DataFrame) -> DataFrame:
-    """Full history + revenue CAGR over actual years (one grouped pass)."""
-    growth_ = cagr(fin, "company_id", "year", "revenue_m", where="NOT is_estimate")
-    return fin.join(growth_, "company_id", "left").select(*fin.columns, "revenue_cagr_pct")
+    """Full history + revenue CAGR over actual years.
+
+    Window aggregates over ``company_id``: the YoY window has already
+    partitioned the rows by company, so no second scan and no join.
+    """
+    return with_cagr(fin, "company_id", "year", "revenue_m", where="NOT is_estimate")
 
 
 def stage_aggs() -> list:

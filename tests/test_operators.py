@@ -218,3 +218,22 @@ def test_cast_rejects_quarantine(spark):
     got = sorted(tuple(r) for r in cast_rejects(df, _schema(("id", L), ("name", S), ("fmv", D)),
                                                 keys=["name"]).collect())
     assert got == [("", "fmv", "abc"), ("n", "id", "zz")]
+
+
+def test_with_cagr_equals_grouped_cagr_joined_back(spark):
+    from fundlake.operators import with_cagr
+    rows = [(1, 2020, False, 100.0), (2, 2020, False, -5.0), (2, 2022, False, 10.0),
+            (3, 2020, False, 100.0), (3, 2022, False, -50.0), (4, 2019, False, None),
+            (4, 2020, False, 100.0), (4, 2022, False, 121.0), (4, 2023, True, 500.0),
+            (5, 2024, True, 1.0), (6, 2020, None, 10.0)]
+    df = spark.createDataFrame(rows, "company_id long, year int, is_estimate boolean, "
+                                     "revenue_m double")
+    win = with_cagr(df, "company_id", "year", "revenue_m", where="NOT is_estimate")
+    grp = df.join(cagr(df, "company_id", "year", "revenue_m", where="NOT is_estimate"),
+                  "company_id", "left")
+
+    def norm(d):
+        return sorted((r["company_id"], r["year"], "nan" if r["revenue_cagr_pct"] is not None
+                       and math.isnan(r["revenue_cagr_pct"]) else r["revenue_cagr_pct"])
+                      for r in d.collect())
+    assert norm(win) == norm(grp)
