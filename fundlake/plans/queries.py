@@ -17,7 +17,7 @@ from fundlake.functions.numeric import sql_avg, sql_round
 from fundlake.operators import (cagr, cast_report, flatten, global_stats, irr, multiples_check,
                                 number_rows, running_total, unpivot_years, weighted_mean)
 from fundlake.plans import gold, silver, star, views
-from fundlake.session import fresh_dir
+from fundlake.session import fresh_dir, materialize
 from fundlake.sources import infer_types, read_bronze, write_bronze
 
 AS_OF = star.STAR_AS_OF_YEAR
@@ -32,11 +32,13 @@ def _fin(spark, sf):
 
 
 def _sb(spark, sf):
-    return silver.sector_breakdown(star.sector_breakdown(star.holdings(spark, sf, AS_OF)))
+    # the two-pass HHI reads the breakdown twice: compute it once
+    return materialize(silver.sector_breakdown(star.sector_breakdown(
+        star.holdings(spark, sf, AS_OF))))
 
 
 def _gb(spark, sf):
-    return silver.geo_breakdown(star.geo_breakdown(star.holdings(spark, sf, AS_OF)))
+    return materialize(silver.geo_breakdown(star.geo_breakdown(star.holdings(spark, sf, AS_OF))))
 
 
 def _pl(spark, sf):
@@ -196,7 +198,9 @@ def weighted_returns(spark, sf):
 
 def risk_summary(spark, sf):
     """A12, F5, O8."""
-    h = star.holdings(spark, sf, AS_OF)
+    # holdings feed five branches (statistics, two passes of each HHI):
+    # compute them once, as the batch job does by writing Silver
+    h = materialize(star.holdings(spark, sf, AS_OF))
     pc = silver.portfolio_companies(h, AS_OF)
     sb = silver.sector_breakdown(star.sector_breakdown(h))
     gb = silver.geo_breakdown(star.geo_breakdown(h))

@@ -104,5 +104,18 @@ def local_path(uri: str) -> str:
     return uri[len("file:"):] if uri.startswith("file:") else uri
 
 
-__all__ = ["get_session", "checkpoint_dir", "lake_root", "fresh_dir", "local_path",
+__all__ = ["get_session", "checkpoint_dir", "lake_root", "fresh_dir", "local_path", "materialize",
            "DEFAULT_CONF", "LAKE_ROOT_CONF"]
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage (reliable checkpoint).
+
+    For a relation that several branches of one plan consume (e.g. holdings
+    feeding portfolio statistics and two two-pass HHIs): Spark recomputes a
+    shared subplan per branch unless the exchanges happen to be identical.
+    The checkpoint goes to the shared checkpoint folder, so a lost executor
+    does not lose it.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
