@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundlake.functions.numeric import EXACT_TYPE, q, sql_round, to_col
@@ -40,9 +40,9 @@ def growth(df: DataFrame, key, order, cols: Sequence[str], tiebreak: Sequence[st
     return df.drop(*prevs)
 
 
-def _prefix(df: DataFrame, keys: Sequence[str], values: dict[str, Column],
+def _prefix(df: DataFrame, keys: Sequence[str], values: dict[str, str],
             partitions: int | None) -> DataFrame:
-    """Exact prefix sums of ``values`` (decimal Columns) in ``keys`` order.
+    """Exact prefix sums of ``values`` (SQL decimal expressions) in ``keys`` order.
 
     Distributed two-pass plan (no single-partition window over rows):
 
@@ -59,29 +59,25 @@ def _prefix(df: DataFrame, keys: Sequence[str], values: dict[str, Column],
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(k).asc_nulls_first() for k in keys]
-    vals = {f"_v_{k}": v for k, v in values.items()}
-    ranged = (df.withColumns(vals)
-                .repartitionByRange(n, *order)
-                .withColumn("_part", F.spark_partition_id())
+    zero = f"CAST(0 AS {EXACT_TYPE})"
+    ranged = (df.withColumns({f"_v_{k}": F.expr(v) for k, v in values.items()})
+                .repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys])
+                .withColumn("_part", F.expr("spark_partition_id()"))
                 .checkpoint(eager=True))
-    tot_aggs = []
-    for k in values:
-        tot_aggs += [F.sum(f"_v_{k}").alias(f"_t_{k}"), F.count(f"_v_{k}").alias(f"_n_{k}")]
-    totals = ranged.groupBy("_part").agg(*tot_aggs)
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_part", *[c for k in values for c in (
-        F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0).cast(EXACT_TYPE)).alias(f"_o_{k}"),
-        F.coalesce(F.sum(f"_n_{k}").over(before), F.lit(0)).alias(f"_on_{k}"))])
-    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    out = ranged.join(F.broadcast(offsets), "_part")
-    for k in values:
-        run = F.coalesce(F.sum(f"_v_{k}").over(inside), F.lit(0).cast(EXACT_TYPE))
-        seen = F.count(f"_v_{k}").over(inside) + F.col(f"_on_{k}")
-        out = out.withColumn(f"_cum_{k}", F.when(seen > 0, F.col(f"_o_{k}") + run))
-    drop = ["_part"] + [c for k in values for c in (f"_v_{k}", f"_o_{k}", f"_on_{k}")]
-    return out.drop(*drop)
+    totals = ranged.groupBy("_part").agg(*[F.expr(e) for k in values for e in (
+        f"sum(`_v_{k}`) AS `_t_{k}`", f"count(`_v_{k}`) AS `_n_{k}`")])
+    before = "OVER (ORDER BY _part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    offsets = totals.selectExpr("_part", *[e for k in values for e in (
+        f"coalesce(sum(`_t_{k}`) {before}, {zero}) AS `_o_{k}`",
+        f"coalesce(sum(`_n_{k}`) {before}, 0) AS `_on_{k}`")])
+    order_sql = ", ".join(f"{q(k)} ASC NULLS FIRST" for k in keys)
+    inside = (f"OVER (PARTITION BY _part ORDER BY {order_sql} "
+              "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    out = ranged.join(F.broadcast(offsets), "_part").withColumns({
+        f"_cum_{k}": F.expr(f"CASE WHEN count(`_v_{k}`) {inside} + `_on_{k}` > 0 "
+                            f"THEN `_o_{k}` + coalesce(sum(`_v_{k}`) {inside}, {zero}) END")
+        for k in values})
+    return out.drop("_part", *[c for k in values for c in (f"_v_{k}", f"_o_{k}", f"_on_{k}")])
 
 
 def running_total(df: DataFrame, order, cols: Sequence[str], tiebreak: Sequence[str] = (),
@@ -96,10 +92,10 @@ def running_total(df: DataFrame, order, cols: Sequence[str], tiebreak: Sequence[
     """
     keys = _names(order) + list(tiebreak)
     outs = list(out) if out else [f"{prefix}{c}" for c in cols]
-    values = {o: F.col(c).try_cast(EXACT_TYPE) for c, o in zip(cols, outs)}
+    values = {o: f"try_cast({q(c)} AS {EXACT_TYPE})" for c, o in zip(cols, outs)}
     res = _prefix(df, keys, values, partitions)
-    return res.select(*df.columns, *[
-        F.round(F.col(f"_cum_{o}"), scale).cast("double").alias(o) for o in outs])
+    return res.selectExpr(*[q(c) for c in df.columns], *[
+        f"CAST(round(`_cum_{o}`, {scale}) AS DOUBLE) AS {q(o)}" for o in outs])
 
 
 def number_rows(df: DataFrame, order, out: str = "row_num", tiebreak: Sequence[str] = (),
@@ -107,8 +103,8 @@ def number_rows(df: DataFrame, order, out: str = "row_num", tiebreak: Sequence[s
     """1-based position in ``order`` + ``tiebreak`` (distributed, like
     :func:`running_total` of 1 per row)."""
     keys = _names(order) + list(tiebreak)
-    res = _prefix(df, keys, {out: F.lit(1).cast(EXACT_TYPE)}, partitions)
-    return res.select(*df.columns, F.col(f"_cum_{out}").cast("bigint").alias(out))
+    res = _prefix(df, keys, {out: f"CAST(1 AS {EXACT_TYPE})"}, partitions)
+    return res.selectExpr(*[q(c) for c in df.columns], f"CAST(`_cum_{out}` AS BIGINT) AS {q(out)}")
 
 
 def latest_per_key(df: DataFrame, key, order, cols: Sequence[str] | None = None,
