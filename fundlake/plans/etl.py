@@ -48,3 +48,41 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str,
         for name in frames:
             register_table(spark, "gold", name, f"{gold_root}/{name}")
     return counts
+
+
+def main(argv=None) -> None:
+    """Command line: ``python -m fundlake.plans.etl silver|gold|all ...``.
+
+    Paths are folders on the cluster's shared file system; the session's
+    own settings (``spark.checkpoint.dir`` etc.) come from spark-submit.
+    """
+    import argparse
+    import json
+
+    from fundlake.session import get_session
+
+    ap = argparse.ArgumentParser(prog="fundlake-etl")
+    ap.add_argument("step", choices=["silver", "gold", "all"])
+    ap.add_argument("--bronze-root")
+    ap.add_argument("--silver-root", required=True)
+    ap.add_argument("--gold-root")
+    ap.add_argument("--load-date")
+    ap.add_argument("--as-of-year", type=int, default=silver.DEFAULT_AS_OF_YEAR)
+    ap.add_argument("--register", action="store_true")
+    a = ap.parse_args(argv)
+    spark = get_session(app_name=f"fundlake-{a.step}")
+    out = {}
+    if a.step in ("silver", "all"):
+        if not (a.bronze_root and a.load_date):
+            ap.error("silver needs --bronze-root and --load-date")
+        out["silver"] = run_silver(spark, a.bronze_root, a.silver_root, a.load_date,
+                                   a.as_of_year, a.register)
+    if a.step in ("gold", "all"):
+        if not a.gold_root:
+            ap.error("gold needs --gold-root")
+        out["gold"] = run_gold(spark, a.silver_root, a.gold_root, a.register)
+    print(json.dumps(out))
+
+
+if __name__ == "__main__":
+    main()

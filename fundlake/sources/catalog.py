@@ -33,6 +33,9 @@ def register_table(spark: SparkSession, database: str, name: str, path: str,
     opts = ""
     if fmt == "csv":
         opts = " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in CSV_OPTIONS.items()) + ")"
+    elif fmt == "parquet":
+        # files written by later runs may add columns: merge footers' schemas
+        opts = " OPTIONS ('mergeSchema' 'true')"
     spark.sql(f"CREATE TABLE {full} USING {fmt}{opts} LOCATION '{path}'")
     if spark.table(full).columns and "load_date" in spark.table(full).columns:
         spark.catalog.recoverPartitions(f"{database}.{name}")
