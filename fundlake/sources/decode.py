@@ -29,19 +29,22 @@ def _fits(x: str, t: str) -> str:
 def infer_types(df: DataFrame) -> DataFrame:
     """(column_name, inferred_type, present_rows) for every column of ``df``.
 
-    One global aggregate (partial per partition, so it scales with the
-    table), then one small row per column.
+    Each present cell gets a bitmask of the candidate types it casts to;
+    ``bit_and`` over the column keeps the types every value fits.  One global
+    aggregate (partial per partition, so it scales with the table), then one
+    small row per column.
     """
     aggs = []
     for i, name in enumerate(df.columns):
         x = f"CAST({q(name)} AS STRING)"
-        aggs.append(f"count_if({_present(x)}) AS `n{i}`")
-        aggs += [f"count_if({_present(x)} AND NOT {_fits(x, t)}) AS `{t}{i}`"
-                 for t in CANDIDATES]
+        mask = " | ".join(f"IF({_fits(x, t)}, {1 << b}, 0)" for b, t in enumerate(CANDIDATES))
+        aggs += [f"count_if({_present(x)}) AS `n{i}`",
+                 f"bit_and(CASE WHEN {_present(x)} THEN {mask} END) AS `m{i}`"]
     one = df.selectExpr(*aggs)
     rows = []
     for i, name in enumerate(df.columns):
-        arms = " ".join(f"WHEN `{t}{i}` = 0 THEN '{t}'" for t in CANDIDATES)
+        arms = " ".join(f"WHEN `m{i}` & {1 << b} <> 0 THEN '{t}'"
+                        for b, t in enumerate(CANDIDATES))
         label = name.replace("'", "\\'")
         rows.append(f"struct('{label}' AS column_name, "
                     f"CASE WHEN `n{i}` = 0 THEN 'string' {arms} ELSE 'string' END "
