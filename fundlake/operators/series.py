@@ -17,15 +17,57 @@ def _names(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def distributed_lag(df: DataFrame, key, order, cols: Sequence[str],
+                    tiebreak: Sequence[str] = (), prefix: str = "_prev_",
+                    partitions: int | None = None) -> DataFrame:
+    """``lag(c)`` per key in (order, tiebreak) order, without any task holding a
+    whole key: exact even when one key holds a third of all rows.
+
+    Rows are range-partitioned on (key, order, tiebreak) and checkpointed
+    (stable partition ids).  Inside a partition the lag is a window over
+    (partition, key).  The first row of a key inside a partition takes the
+    last row of the nearest preceding partition, when that row has the same
+    key: one boundary row per partition, broadcast (size bound: the
+    partition count).  Adds ``<prefix><col>`` columns.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys, ords = _names(key), [*_names(order), *tiebreak]
+    allk = [*keys, *ords]
+    ranged = (df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in allk])
+                .withColumn("_part", F.expr("spark_partition_id()"))
+                .checkpoint(eager=True))
+    struct_k = ", ".join(q(k) for k in keys)
+    struct_all = ", ".join(q(k) for k in allk)
+    last = ranged.groupBy("_part").agg(F.expr(
+        f"max_by(struct(struct({struct_k}) AS k, {', '.join(q(c) for c in cols)}), "
+        f"struct({struct_all})) AS _last"))
+    prev_part = last.selectExpr(
+        "_part", "lag(_last) OVER (ORDER BY _part) AS _bnd")
+    order_sql = ", ".join(f"{q(k)} ASC NULLS FIRST" for k in ords)
+    w = f"OVER (PARTITION BY _part, {struct_k} ORDER BY {order_sql})"
+    out = ranged.join(F.broadcast(prev_part), "_part").withColumns(
+        {"_first": F.expr(f"row_number() {w} = 1"),
+         **{f"_in_{c}": F.expr(f"lag({q(c)}) {w}") for c in cols}})
+    same = f"(_bnd IS NOT NULL AND _bnd.k <=> struct({struct_k}))"
+    out = out.withColumns({f"{prefix}{c}": F.expr(
+        f"CASE WHEN _first THEN IF({same}, _bnd.{q(c)}, NULL) ELSE `_in_{c}` END")
+        for c in cols})
+    return out.drop("_part", "_bnd", "_first", *[f"_in_{c}" for c in cols])
+
+
 def growth(df: DataFrame, key, order, cols: Sequence[str], tiebreak: Sequence[str] = (),
            suffix: str = "_yoy_pct", out: Sequence[str] | None = None,
-           scale: int = 2) -> DataFrame:
+           scale: int = 2, skew_safe: bool = False) -> DataFrame:
     """Change against the previous row of the same key, in percent.
 
     ``(x - lag(x)) / abs(lag(x)) * 100``, rounded; previous *row*, not
     previous period.  All columns share one window spec, so Catalyst plans a
-    single Window node (one shuffle by key, one sort).  Group size is the
-    number of periods per key, which is bounded by the calendar, not by data.
+    single Window node (one shuffle by key, one sort).  For a per-period
+    series (one row per key and period) the group size is bounded by the
+    calendar; for raw input where one key may hold a large share of the rows,
+    ``skew_safe=True`` uses :func:`distributed_lag` instead.
     """
     spec = (f"PARTITION BY {', '.join(q(k) for k in _names(key))} "
             f"ORDER BY {', '.join(q(k) for k in [*_names(order), *tiebreak])}")
@@ -33,7 +75,12 @@ def growth(df: DataFrame, key, order, cols: Sequence[str], tiebreak: Sequence[st
     # One lag per column (a window function is not de-duplicated when the
     # derived expression repeats it), then the ratio in a Project above.
     prevs = {f"_prev_{o}": F.expr(f"lag({q(c)}) OVER ({spec})") for c, o in zip(cols, outs)}
-    df = df.withColumns(prevs)
+    if skew_safe:
+        df = distributed_lag(df, key, order, list(cols), tiebreak, prefix="_lagtmp_")
+        df = df.withColumns({p: F.col(f"_lagtmp_{c}") for p, c in zip(prevs, cols)}).drop(
+            *[f"_lagtmp_{c}" for c in cols])
+    else:
+        df = df.withColumns(prevs)
     df = df.withColumns({o: F.expr(sql_round(
         f"try_divide({q(c)} - {q('_prev_' + o)}, abs({q('_prev_' + o)})) * 100.0D", scale))
         for c, o in zip(cols, outs)})

@@ -51,3 +51,32 @@ def test_irr_flows_are_netted_per_date_before_the_shuffle(spark):
     net = dated_flows(_hot(spark), "k", "d", "v")
     assert _partial_before_exchange(_plan(net), "sum")
     assert net.where("key = 0").count() == 10   # one row per calendar date (id % 30, id % 3 == 0)
+
+
+def test_skew_safe_growth_equals_window_growth(spark):
+    from fundlake.operators import growth
+    df = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 17 + 1).alias("k"),
+        F.col("id").alias("t"),
+        F.when(F.col("id") % 13 == 0, F.lit(None)).otherwise((F.col("id") % 29) - 7.5)
+         .cast("double").alias("x"))
+    plain = {r["t"]: r["x_g"] for r in growth(df, "k", "t", ["x"], out=["x_g"]).collect()}
+    safe = {r["t"]: r["x_g"] for r in growth(df, "k", "t", ["x"], out=["x_g"],
+                                             skew_safe=True).collect()}
+    assert safe == plain and sum(v is not None for v in plain.values()) > 500
+
+
+def test_distributed_lag_across_many_boundaries(spark):
+    from fundlake.operators import distributed_lag
+    df = spark.range(700).select(
+        F.when(F.col("id") < 400, F.lit(5)).otherwise(F.col("id") % 9).alias("k"),
+        (F.col("id") % 50).alias("t"), F.col("id").alias("tb"),
+        (F.col("id") * 1.5).alias("x"))
+    got = {r["tb"]: r["_prev_x"] for r in distributed_lag(
+        df, "k", "t", ["x"], tiebreak=["tb"], partitions=7).collect()}
+    rows = sorted(((r["k"], r["t"], r["tb"], r["x"]) for r in df.collect()))
+    exp, prev = {}, None
+    for k, t, tb, x in rows:
+        exp[tb] = prev[1] if prev is not None and prev[0] == k else None
+        prev = (k, x)
+    assert got == exp
