@@ -363,3 +363,17 @@ def _infer_sql() -> str:
 
 
 ORACLE_SQL["infer_types"] = _infer_sql()
+
+
+def _decode_sql() -> str:
+    from fundlake import schemas
+    cols = []
+    for f in schemas.PORTFOLIO_COMPANIES.fields:
+        t = f.dataType.simpleString()
+        # text of an int column reads back as bigint, of a double as double
+        cols.append(f"CAST({f.name} AS BIGINT) AS {f.name}" if t in ("int", "bigint")
+                    else f.name)
+    return _w(HOLDINGS) + "\nSELECT " + ", ".join(cols) + " FROM holdings"
+
+
+ORACLE_SQL["decode_text"] = _decode_sql()

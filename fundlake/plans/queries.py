@@ -18,7 +18,7 @@ from fundlake.operators import (cagr, cast_report, flatten, global_stats, irr, m
                                 number_rows, running_total, unpivot_years, weighted_mean)
 from fundlake.plans import gold, silver, star, views
 from fundlake.session import fresh_dir, materialize
-from fundlake.sources import infer_types, read_bronze, write_bronze
+from fundlake.sources import decode, infer_types, read_bronze, write_bronze
 
 AS_OF = star.STAR_AS_OF_YEAR
 
@@ -257,6 +257,12 @@ def infer_types_(spark, sf):
     return infer_types(_holdings_text(spark, sf))
 
 
+def decode_text(spark, sf):
+    """holdings' Bronze text decoded per column to its narrowest type
+    (one inference aggregate; its per-column result is schema-sized)."""
+    return decode(_holdings_text(spark, sf))
+
+
 def cast_rejects(spark, sf):
     """Per-column validation report of the holdings' Bronze text."""
     return cast_report(_holdings_text(spark, sf), schemas.PORTFOLIO_COMPANIES)
@@ -305,6 +311,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_entities": flatten_entities,
     "bronze_roundtrip": bronze_roundtrip,
     "infer_types": infer_types_,
+    "decode_text": decode_text,
     "cast_rejects": cast_rejects,
     "multiples_check": multiples_check_,
     "irr_by_company": irr_by_company,

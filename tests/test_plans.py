@@ -41,3 +41,21 @@ def test_risk_summary_has_no_driver_scalars(spark):
     df = queries.risk_summary(spark, SF01)
     plan = _plan(df)
     assert "LocalTableScan" not in plan and "BroadcastNestedLoopJoin" in plan
+
+
+def test_one_scan_per_aggregate_bundle(spark):
+    """The leverage statistics and the weighted returns are each one pass over
+    the holdings: orders scanned once, no driver round trip per statistic."""
+    import re
+    for name in ("leverage_stats", "weighted_returns", "fund_ratios"):
+        df = getattr(queries, name)(spark, SF01)
+        df.collect()
+        plan = _plan(df).split("== Initial Plan ==")[0]
+        assert len(re.findall(r"/orders\.parquet\]", plan)) == 1, name
+
+
+def test_shared_holdings_are_computed_once_in_risk_summary(spark):
+    df = queries.risk_summary(spark, SF01)
+    df.collect()
+    plan = _plan(df).split("== Initial Plan ==")[0]
+    assert "orders.parquet" not in plan   # branches read the materialized holdings
