@@ -34,3 +34,18 @@ def test_incremental_ingest_picks_up_new_dates_only(spark):
     exp = silver.company_financials(rev, eb)
     assert sorted(map(tuple, fin.select(*exp.columns).collect())) == \
         sorted(map(tuple, exp.collect()))
+
+
+def test_incremental_ingest_of_windowed_and_single_row_tables(spark):
+    lake = fresh_dir(spark, "t-stream2")
+    bronze, silver_root, ckpt = f"{lake}/bronze", f"{lake}/silver", f"{lake}/_ckpt"
+    cf, fm = star.cashflows(spark, SF001), star.fund_metrics(spark, SF001)
+    write_bronze(cf, bronze, "cashflows", "2002-01-01")
+    write_bronze(fm, bronze, "fund-metrics", "2002-01-01")
+    got = ingest(spark, bronze, silver_root, ckpt, ["quarterly_cashflows", "fund_metrics"])
+    assert got == {"quarterly_cashflows": 1, "fund_metrics": 1}
+    out = read_table(spark, silver_root, "quarterly_cashflows").drop("load_date")
+    exp = silver.quarterly_cashflows(cf)
+    assert sorted(map(tuple, out.select(*exp.columns).collect())) == \
+        sorted(map(tuple, exp.collect()))
+    assert read_table(spark, silver_root, "fund_metrics").first()["deployed_pct"] is not None
