@@ -16,19 +16,24 @@ SILVER_TABLES = ("portfolio_companies", "company_financials", "quarterly_cashflo
                  "fund_history", "fund_metrics", "deal_pipeline", "sector_breakdown",
                  "geo_breakdown")
 
-# Write-time layout: range-cluster by key so later scans prune row groups.
-SORT_KEYS = {"company_financials": ("company_id", "year"), "portfolio_table": ("id",),
-             "pipeline": ("stage",), "quarterly_cashflows": ("row_num",),
+# Write-time layout.  Tables served by key lookups are range-clustered on the
+# key (files and row groups cover narrow key ranges); others are sorted per task.
+CLUSTER_KEYS = {"company_financials": ("company_id", "year"), "portfolio_table": ("id",)}
+SORT_KEYS = {"pipeline": ("stage",), "quarterly_cashflows": ("row_num",),
              "cashflow_jcurve": ("row_num",)}
 
 
+def _write(df, root: str, name: str) -> int:
+    return write_table(df, root, name, sort_within=SORT_KEYS.get(name, ()),
+                       cluster_by=CLUSTER_KEYS.get(name, ()))
+
+
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, load_date: str,
                as_of_year: int = silver.DEFAULT_AS_OF_YEAR,
                register: bool = False) -> dict[str, int]:
     """Bronze CSV of one load date -> eight Silver Parquet tables; rows written."""
     frames = silver.build_silver(read_bronze_all(spark, bronze_root, load_date), as_of_year)
-    counts = {name: write_table(df, silver_root, name, sort_within=SORT_KEYS.get(name, ()))
-              for name, df in frames.items()}
+    counts = {name: _write(df, silver_root, name) for name, df in frames.items()}
     if register:
         create_layers(spark, silver_root.rsplit("/", 1)[0], ["silver"])
         for name in frames:
@@ -41,8 +46,7 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str,
     """Silver Parquet -> eleven Gold Parquet tables; rows written."""
     sv = {name: read_table(spark, silver_root, name) for name in SILVER_TABLES}
     frames = gold.build_gold(sv)
-    counts = {name: write_table(df, gold_root, name, sort_within=SORT_KEYS.get(name, ()))
-              for name, df in frames.items()}
+    counts = {name: _write(df, gold_root, name) for name, df in frames.items()}
     if register:
         create_layers(spark, gold_root.rsplit("/", 1)[0], ["gold"])
         for name in frames:

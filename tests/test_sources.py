@@ -71,8 +71,11 @@ def test_bronze_to_gold_jobs_and_sql_views_over_catalog(spark):
     direct = gold.risk_leverage_bands(silver.portfolio_companies(
         star.holdings(spark, SF001), star.STAR_AS_OF_YEAR))
     assert sorted(map(tuple, served.collect())) == sorted(map(tuple, direct.collect()))
-    one = views.serve(spark, "company_financials", database="gold", company_id=1).collect()
+    q6 = views.serve(spark, "company_financials", database="gold", company_id=1)
+    one = q6.collect()
     assert one and all(r["company_id"] == 1 for r in one)
+    plan = q6._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(company_id), EqualTo(company_id,1)]" in plan
     assert views.serve(spark, "company_financials", database="gold",
                        company_id=10 ** 9).count() == 0
 
