@@ -237,3 +237,28 @@ def test_with_cagr_equals_grouped_cagr_joined_back(spark):
                        and math.isnan(r["revenue_cagr_pct"]) else r["revenue_cagr_pct"])
                       for r in d.collect())
     assert norm(win) == norm(grp)
+
+
+def test_irr_known_rates(spark):
+    import datetime as dt
+
+    from fundlake.operators import irr
+    d0 = dt.date(2020, 1, 1)
+    rows = [(1, d0, -100.0), (1, d0 + dt.timedelta(days=365), 110.0),          # 10 %
+            (2, d0, -100.0), (2, d0 + dt.timedelta(days=730), 200.0),          # sqrt(2) - 1
+            (3, d0, 50.0), (3, d0 + dt.timedelta(days=365), 60.0),             # one sign
+            (4, d0, -60.0), (4, d0, -40.0), (4, d0 + dt.timedelta(days=365), 110.0)]  # netted
+    df = spark.createDataFrame(rows, "k long, d date, a double")
+    got = {r["k"]: r for r in irr(df, "k", "d", "a").collect()}
+    assert got[1]["irr_pct"] == 10.0 and got[4]["irr_pct"] == 10.0
+    assert got[4]["n_flows"] == 2
+    assert got[2]["irr_pct"] == round((2 ** 0.5 - 1) * 100, 2)
+    assert got[3]["irr_pct"] is None
+
+
+def test_nav_history_orders_quarter_labels_chronologically(spark):
+    from fundlake.plans import views
+    fh = spark.createDataFrame([("2001Q1", 1.0), ("Q4 2000", 2.0), ("2000Q3", 3.0), ("odd", 4.0)],
+                               "quarter string, nav_m double")
+    got = [r["quarter"] for r in views.serve(spark, "nav_history", {"nav_history": fh}).collect()]
+    assert got == ["2000Q3", "Q4 2000", "2001Q1", "odd"]
