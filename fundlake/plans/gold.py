@@ -12,10 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundlake.functions.numeric import sql_avg, sql_round, sql_sum
-from fundlake.operators.series import with_cagr
 from fundlake.operators import (attach_scalar, concentration, global_stats, group_enrich,
                                 hhi, latest_per_key, leverage_bands, lookup, moic_bands,
-                                risk_flag, weighted_mean)
+                                risk_flag, weighted_mean, with_cagr)
 
 # Status labels counted in the KPIs.
 ACTIVE, WATCH = "Active", "Watch"
