@@ -377,3 +377,7 @@ def _decode_sql() -> str:
 
 
 ORACLE_SQL["decode_text"] = _decode_sql()
+
+ORACLE_SQL["flatten_json_events"] = (
+    "SELECT event_id, user_id, event_type, "
+    "CAST(json_extract(props, '$.k') AS INTEGER) AS props_k FROM events")

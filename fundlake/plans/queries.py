@@ -238,6 +238,16 @@ def flatten_entities(spark, sf):
     return flatten(nested, defaults={"realized": 0.0})
 
 
+def flatten_json_events(spark, sf):
+    """D18 on JSON text: each event nested with its parsed ``props`` document,
+    flattened by an explicit field mapping."""
+    ev = star.table(spark, sf, "events")
+    nested = ev.select(F.struct("event_id", "user_id", "event_type").alias("event"),
+                       F.from_json("props", "k int").alias("props"))
+    return flatten(nested, {"event.event_id": "event_id", "event.user_id": "user_id",
+                            "event.event_type": "event_type", "props.k": "props_k"})
+
+
 def bronze_roundtrip(spark, sf):
     """Holdings landed as Bronze CSV (load_date layout)
     in a fresh folder of the shared lake, read back as text, typed to T1."""
@@ -309,6 +319,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "risk_summary": risk_summary,
     "unpivot_years": unpivot_years_,
     "flatten_entities": flatten_entities,
+    "flatten_json_events": flatten_json_events,
     "bronze_roundtrip": bronze_roundtrip,
     "infer_types": infer_types_,
     "decode_text": decode_text,
