@@ -1,5 +1,7 @@
-"""Time-series operators: growth (W1, W2), running totals (W3, H1),
-row numbering (D14), latest row per key (W4, F1, F3) and CAGR (A7-A9).
+"""Time-series operators: growth (W1, W2; window lag or skew-safe
+distributed lag), running totals (W3, H1), row numbering (D14), latest row
+per key (W4, F1, F3) and CAGR (A7-A9; grouped, or as window aggregates on an
+existing key partitioning).
 """
 
 from __future__ import annotations
