@@ -32,9 +32,13 @@ def multiples_check(fm: DataFrame, called: str = "called_capital",
 
 def dated_flows(df: DataFrame, key: str, date, amount) -> DataFrame:
     """Net flow per (key, date): the pre-aggregation that bounds IRR groups
-    by the number of calendar dates, however many rows a key has."""
-    return df.groupBy(F.col(key).alias("key"), F.to_date(to_col(date)).alias("flow_date")).agg(
-        exact_sum(amount).alias("amount"))
+    by the number of calendar dates, however many rows a key has.  Flows
+    without a date cannot be discounted and are left out."""
+    d = F.to_date(to_col(date))
+    return (df.where(d.isNotNull())
+              .groupBy(F.col(key).alias("key"), d.alias("flow_date"))
+              .agg(exact_sum(amount).alias("amount"))
+              .where(F.col("amount").isNotNull()))
 
 
 # Search range of x = log(1 + rate), grid size, bisection steps.
