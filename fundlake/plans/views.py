@@ -77,3 +77,19 @@ def serve(spark: SparkSession, view: str, tables: Mapping[str, DataFrame] | None
     if database is None:
         raise ValueError("give either tables or database")
     return spark.sql(VIEW_SQL[view].replace("{t}", f"`{database}`.`{name}`"), args=args)
+
+
+def create_views(spark: SparkSession, database: str = "gold", prefix: str = "q_") -> list[str]:
+    """Register the parameterless serving statements as catalog views
+    ``<database>.<prefix><view>`` over the Gold tables of that database, so
+    SQL users query them directly.  The one-company lookup keeps its
+    parameter and stays a call to :func:`serve`."""
+    names = []
+    for view, sql in VIEW_SQL.items():
+        if ":company_id" in sql:
+            continue
+        name = f"`{database}`.`{prefix}{view}`"
+        body = sql.replace("{t}", f"`{database}`.`{VIEW_TABLE[view]}`")
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {body}")
+        names.append(f"{database}.{prefix}{view}")
+    return names

@@ -78,6 +78,11 @@ def test_bronze_to_gold_jobs_and_sql_views_over_catalog(spark):
     assert "PushedFilters: [IsNotNull(company_id), EqualTo(company_id,1)]" in plan
     assert views.serve(spark, "company_financials", database="gold",
                        company_id=10 ** 9).count() == 0
+    created = views.create_views(spark, "gold")
+    assert len(created) == 11
+    via_view = spark.sql("SELECT * FROM gold.q_leverage_bands")
+    assert sorted(map(tuple, via_view.collect())) == sorted(map(tuple, direct.collect()))
+    assert spark.sql("SELECT * FROM gold.q_risk_summary").count() == 1
 
 
 def test_register_bronze_csv_table(spark):
