@@ -22,18 +22,21 @@ def entity_path(root: str, entity: str) -> str:
 
 
 def read_bronze(spark: SparkSession, root: str, entity: str,
-                load_date: str | None = None) -> DataFrame:
+                load_date: str | None = None, multiline: bool = True) -> DataFrame:
     """All-text DataFrame of one Bronze entity (S1), one load date.
 
     Reads the entity directory so ``load_date`` is a partition column and the
     date filter prunes directories; the column is dropped afterwards.  With
     no ``load_date`` every date is read.  Columns come from the header, all
     as strings (no inference); quoted fields may hold commas, doubled quotes
-    and newlines.
+    and newlines.  Multi-line parsing reads each file in one task (files are
+    the unit of parallelism, as the landing writer produces one per task);
+    ``multiline=False`` splits large files when the producer guarantees no
+    newline inside a value.
     """
     path = entity_path(root, entity)
-    df = (spark.read.options(**CSV_OPTIONS).option("inferSchema", "false")
-          .option("basePath", path).csv(path))
+    df = (spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
+          .option("inferSchema", "false").option("basePath", path).csv(path))
     if load_date is not None:
         df = df.where(F.col(LOAD_DATE).cast("string") == F.lit(load_date))
     return df.drop(LOAD_DATE)

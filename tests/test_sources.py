@@ -98,3 +98,11 @@ def test_serve_rejects_non_positive_company_id(spark):
     import pytest
     with pytest.raises(ValueError):
         views.serve(spark, "company_financials", database="default", company_id=0)
+
+
+def test_splittable_read_when_values_have_no_newlines(spark):
+    root = fresh_dir(spark, "t-split")
+    df = spark.range(5000).selectExpr("CAST(id AS STRING) AS sector", "'a,b' AS fmv_m")
+    write_bronze(df.coalesce(1), root, "sector-breakdown", "2026-01-01")
+    back = read_bronze(spark, root, "sector-breakdown", "2026-01-01", multiline=False)
+    assert back.count() == 5000 and back.where("fmv_m = 'a,b'").count() == 5000
