@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from fundlake.operators import cast_rejects
 from fundlake.plans import gold, silver
+from fundlake.schemas import BRONZE_ENTITIES
 from fundlake.sources import (create_layers, read_bronze_all, read_table, register_table,
                               write_table)
 
@@ -30,10 +32,23 @@ def _write(df, root: str, name: str) -> int:
 
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, load_date: str,
                as_of_year: int = silver.DEFAULT_AS_OF_YEAR,
-               register: bool = False) -> dict[str, int]:
-    """Bronze CSV of one load date -> eight Silver Parquet tables; rows written."""
-    frames = silver.build_silver(read_bronze_all(spark, bronze_root, load_date), as_of_year)
+               register: bool = False, quarantine: bool = False) -> dict[str, int]:
+    """Bronze CSV of one load date -> eight Silver Parquet tables; rows written.
+
+    ``quarantine=True`` also writes, per Bronze entity, every cell whose text
+    is present but does not cast to its Silver type (``_rejects/<entity>``,
+    one row per cell with the row's first column as key) and reports the
+    counts as ``rejects:<entity>``.
+    """
+    bronze = read_bronze_all(spark, bronze_root, load_date)
+    frames = silver.build_silver(bronze, as_of_year)
     counts = {name: _write(df, silver_root, name) for name, df in frames.items()}
+    if quarantine:
+        for entity, raw in bronze.items():
+            schema = BRONZE_ENTITIES[entity][0]
+            rejects = cast_rejects(raw, schema, keys=[raw.columns[0]])
+            counts[f"rejects:{entity}"] = write_table(
+                rejects, f"{silver_root}/_rejects", entity)
     if register:
         create_layers(spark, silver_root.rsplit("/", 1)[0], ["silver"])
         for name in frames:
@@ -73,6 +88,7 @@ def main(argv=None) -> None:
     ap.add_argument("--load-date")
     ap.add_argument("--as-of-year", type=int, default=silver.DEFAULT_AS_OF_YEAR)
     ap.add_argument("--register", action="store_true")
+    ap.add_argument("--quarantine", action="store_true")
     a = ap.parse_args(argv)
     spark = get_session(app_name=f"fundlake-{a.step}")
     out = {}
@@ -80,7 +96,7 @@ def main(argv=None) -> None:
         if not (a.bronze_root and a.load_date):
             ap.error("silver needs --bronze-root and --load-date")
         out["silver"] = run_silver(spark, a.bronze_root, a.silver_root, a.load_date,
-                                   a.as_of_year, a.register)
+                                   a.as_of_year, a.register, a.quarantine)
     if a.step in ("gold", "all"):
         if not a.gold_root:
             ap.error("gold needs --gold-root")

@@ -106,3 +106,21 @@ def test_splittable_read_when_values_have_no_newlines(spark):
     write_bronze(df.coalesce(1), root, "sector-breakdown", "2026-01-01")
     back = read_bronze(spark, root, "sector-breakdown", "2026-01-01", multiline=False)
     assert back.count() == 5000 and back.where("fmv_m = 'a,b'").count() == 5000
+
+
+def test_silver_job_quarantines_rejected_cells(spark):
+    lake = fresh_dir(spark, "t-quar")
+    entities = star.bronze_entities(spark, SF001)
+    bad = entities["portfolio-companies"].selectExpr(
+        "*", "CASE WHEN id % 50 = 0 THEN 'n/a' ELSE CAST(employees AS STRING) END AS _e"
+    ).drop("employees").withColumnRenamed("_e", "employees")
+    entities["portfolio-companies"] = bad
+    write_bronze_all(entities, f"{lake}/bronze", "2002-01-01")
+    counts = etl.run_silver(spark, f"{lake}/bronze", f"{lake}/silver", "2002-01-01",
+                            as_of_year=2002, quarantine=True)
+    assert counts["rejects:portfolio-companies"] == 3          # ids 0, 50, 100 of 150
+    assert counts["rejects:company-revenue"] == 0
+    rej = read_table(spark, f"{lake}/silver/_rejects", "portfolio-companies").collect()
+    assert {(r["column_name"], r["raw_value"]) for r in rej} == {("employees", "n/a")}
+    pc = read_table(spark, f"{lake}/silver", "portfolio_companies")
+    assert pc.where("employees IS NULL").count() == 3
