@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fundlake.functions.numeric import q
 from fundlake.schemas import BRONZE_ENTITIES
 
 # CSV dialect of the landing files.
@@ -56,7 +57,7 @@ def write_bronze(df: DataFrame, root: str, entity: str, load_date: str,
     partition, so other load dates stay.  Returns the entity path.
     """
     path = entity_path(root, entity)
-    text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    text = df.selectExpr(*[f"CAST({q(c)} AS STRING) AS {q(c)}" for c in df.columns])
     (text.withColumn(LOAD_DATE, F.lit(load_date))
          .write.mode(mode).option("partitionOverwriteMode", "dynamic")
          .options(**{k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"})
