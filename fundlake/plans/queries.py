@@ -269,8 +269,9 @@ def infer_types_(spark, sf):
 
 def decode_text(spark, sf):
     """holdings' Bronze text decoded per column to its narrowest type
-    (one inference aggregate; its per-column result is schema-sized)."""
-    return decode(_holdings_text(spark, sf))
+    (one inference aggregate; its per-column result is schema-sized).  The
+    text is read twice (inference, then decoding), so it is computed once."""
+    return decode(materialize(_holdings_text(spark, sf)))
 
 
 def cast_rejects(spark, sf):
