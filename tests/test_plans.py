@@ -59,3 +59,14 @@ def test_shared_holdings_are_computed_once_in_risk_summary(spark):
     df.collect()
     plan = _plan(df).split("== Initial Plan ==")[0]
     assert "orders.parquet" not in plan   # branches read the materialized holdings
+
+
+def test_cagr_shares_the_company_partitioning(spark):
+    """The CAGR is window aggregates on the YoY window's partitioning,
+    so orders are scanned only for the two feeds (not a third time)."""
+    import re
+    df = queries.company_financials(spark, SF01)
+    df.collect()
+    plan = _plan(df).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"/orders\.parquet\]", plan)) == 2
+    assert len(re.findall(r"/lineitem\.parquet\]", plan)) == 1
