@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.functions.numeric import q
-from fundlake.schemas import BRONZE_ENTITIES
+from fundlake.schemas import BRONZE_ENTITIES, text_schema
 
 # CSV dialect of the landing files.
 CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"',
@@ -36,8 +37,14 @@ def read_bronze(spark: SparkSession, root: str, entity: str,
     newline inside a value.
     """
     path = entity_path(root, entity)
-    df = (spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
-          .option("inferSchema", "false").option("basePath", path).csv(path))
+    try:
+        df = (spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
+              .option("inferSchema", "false").option("basePath", path).csv(path))
+    except AnalysisException as e:
+        # an empty drop lands no file at all: read it as an empty text table
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], text_schema(BRONZE_ENTITIES[entity][0]))
     if load_date is not None:
         df = df.where(F.col(LOAD_DATE).cast("string") == F.lit(load_date))
     return df.drop(LOAD_DATE)

@@ -124,3 +124,15 @@ def test_silver_job_quarantines_rejected_cells(spark):
     assert {(r["column_name"], r["raw_value"]) for r in rej} == {("employees", "n/a")}
     pc = read_table(spark, f"{lake}/silver", "portfolio_companies")
     assert pc.where("employees IS NULL").count() == 3
+
+
+def test_missing_entity_reads_as_empty_and_gold_still_has_one_row(spark):
+    from fundlake.plans import gold
+    root = fresh_dir(spark, "t-empty")
+    raw = read_bronze(spark, root, "portfolio-companies", "2026-01-01")
+    assert raw.count() == 0 and "fmv" in raw.columns
+    pc = silver.portfolio_companies(raw)
+    rs = gold.risk_summary(pc, silver.sector_breakdown(read_bronze(spark, root, "sector-breakdown")),
+                           silver.geo_breakdown(read_bronze(spark, root, "geo-breakdown")))
+    rows = rs.collect()
+    assert len(rows) == 1 and rows[0]["watch_count"] == 0 and rows[0]["hhi_geo"] is None
