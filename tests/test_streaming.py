@@ -49,3 +49,17 @@ def test_incremental_ingest_of_windowed_and_single_row_tables(spark):
     assert sorted(map(tuple, out.select(*exp.columns).collect())) == \
         sorted(map(tuple, exp.collect()))
     assert read_table(spark, silver_root, "fund_metrics").first()["deployed_pct"] is not None
+
+
+def test_several_new_dates_in_one_run(spark):
+    lake = fresh_dir(spark, "t-stream3")
+    bronze, silver_root, ckpt = f"{lake}/bronze", f"{lake}/silver", f"{lake}/_ckpt"
+    h = star.holdings(spark, SF001)
+    for d in ("2002-03-01", "2002-04-01", "2002-05-01"):
+        write_bronze(h, bronze, "portfolio-companies", d)
+    got = ingest(spark, bronze, silver_root, ckpt, ["portfolio_companies"], as_of_year=2002)
+    assert got == {"portfolio_companies": 3}
+    pc = read_table(spark, silver_root, "portfolio_companies")
+    assert sorted(str(r[0]) for r in pc.select("load_date").distinct().collect()) == \
+        ["2002-03-01", "2002-04-01", "2002-05-01"]
+    assert pc.count() == 450
