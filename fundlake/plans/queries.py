@@ -152,10 +152,15 @@ def company_financials_by_id(spark, sf):
     semi join against one row rather than a literal.
     """
     pc = _portco(spark, sf)
-    top = pc.where(F.col("fmv").isNotNull()).agg(
-        F.max_by("id", F.struct(F.col("fmv"), -F.col("id"))).alias("company_id"))
-    fin = gold.company_financials(_fin(spark, sf))
-    return fin.join(F.broadcast(top), "company_id", "left_semi").orderBy("year")
+    # one row, used by both feeds: computed once
+    top = F.broadcast(materialize(pc.where(F.col("fmv").isNotNull()).agg(
+        F.max_by("id", F.struct(F.col("fmv"), -F.col("id"))).alias("company_id"))))
+    # YoY and CAGR are per company: restricting the orders that feed revenue
+    # and EBITDA to the one company gives the same rows, and the orders and
+    # lineitem of every other company never reach a shuffle.
+    fin = silver.company_financials(star.revenue(spark, sf, companies=top),
+                                    star.ebitda(spark, sf, companies=top))
+    return gold.company_financials(fin).orderBy("year")
 
 
 def pipeline_by_stage(spark, sf):

@@ -85,10 +85,21 @@ def _year(c="o_orderdate"):
     return F.expr(f"CAST(year({c}) AS INT)")
 
 
-def revenue(spark: SparkSession, sf_dir: str,
-            estimate_from: int = ESTIMATE_FROM_YEAR) -> DataFrame:
-    """Bronze-shaped revenue feed: order value per (customer, year)."""
-    rev = _orders(spark, sf_dir).groupBy(
+def _orders_of(spark, sf_dir, companies: DataFrame | None) -> DataFrame:
+    """Orders, optionally restricted to ``companies`` (a one-column DataFrame
+    of customer keys; the caller marks it for broadcast when it is small)."""
+    o = _orders(spark, sf_dir)
+    if companies is None:
+        return o
+    keys = companies.select(F.col(companies.columns[0]).alias("o_custkey"))
+    return o.join(keys, "o_custkey", "left_semi")
+
+
+def revenue(spark: SparkSession, sf_dir: str, estimate_from: int = ESTIMATE_FROM_YEAR,
+            companies: DataFrame | None = None) -> DataFrame:
+    """Bronze-shaped revenue feed: order value per (customer, year).
+    ``companies`` restricts the feed before any aggregation."""
+    rev = _orders_of(spark, sf_dir, companies).groupBy(
         F.col("o_custkey").alias("company_id"), _year().alias("year")
     ).agg(_sum_as("o_totalprice", "revenue_m"))
     names = table(spark, sf_dir, "customer").select(
@@ -99,7 +110,7 @@ def revenue(spark: SparkSession, sf_dir: str,
 
 
 def ebitda(spark: SparkSession, sf_dir: str, estimate_from: int = ESTIMATE_FROM_YEAR,
-           with_name: bool = False) -> DataFrame:
+           with_name: bool = False, companies: DataFrame | None = None) -> DataFrame:
     """Bronze-shaped EBITDA feed: discount value per (customer, year).
 
     lineitem is summed per order first (exact decimal), then joined 1:1 to
@@ -107,7 +118,7 @@ def ebitda(spark: SparkSession, sf_dir: str, estimate_from: int = ESTIMATE_FROM_
     """
     per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.expr(f"sum(try_cast(l_extendedprice * l_discount AS {EXACT_TYPE})) AS d"))
-    eb = (_orders(spark, sf_dir)
+    eb = (_orders_of(spark, sf_dir, companies)
           .join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
           .groupBy(F.col("o_custkey").alias("company_id"), _year().alias("year"))
           .agg(F.expr("CAST(sum(d) AS DOUBLE) AS ebitda_m")))
