@@ -136,3 +136,16 @@ def test_missing_entity_reads_as_empty_and_gold_still_has_one_row(spark):
                            silver.geo_breakdown(read_bronze(spark, root, "geo-breakdown")))
     rows = rs.collect()
     assert len(rows) == 1 and rows[0]["watch_count"] == 0 and rows[0]["hhi_geo"] is None
+
+
+def test_etl_command_line(spark, capsys):
+    import json
+    lake = fresh_dir(spark, "t-cli")
+    write_bronze_all(star.bronze_entities(spark, SF001), f"{lake}/bronze", "2002-01-01")
+    etl.main(["all", "--bronze-root", f"{lake}/bronze", "--silver-root", f"{lake}/silver",
+              "--gold-root", f"{lake}/gold", "--load-date", "2002-01-01", "--as-of-year", "2002",
+              "--quarantine"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["silver"]["portfolio_companies"] == 150
+    assert out["silver"]["rejects:portfolio-companies"] == 0
+    assert out["gold"]["risk_summary"] == 1 and out["gold"]["pipeline"] == 1500
