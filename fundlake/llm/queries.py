@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, url_filter
+from . import fingerprint, line_dedup, mixing, packing, url_filter
 from .common import table
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the public vocabulary file lies; it is not part of this repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated sampling of every document: cell, words, probability and decision."""
     return mixing.calibrated(table(spark, sf_dir, "documents"))
@@ -26,10 +33,22 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut into power-of-two sequences."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, its edited text's, and the likeness to the next document."""
+    return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op5_line_dedup": op5_line_dedup,
+    "op8_packing": op8_packing,
     "op9_url_filter": op9_url_filter,
+    "op10_fingerprint": op10_fingerprint,
 }
 
 ORACLE_SQL: dict[str, str] = {
