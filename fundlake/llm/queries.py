@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, line_dedup, mixing, packing, url_filter
+from . import fingerprint, line_dedup, mixing, packing, pii, quality, url_filter
 from .common import table
 
 
@@ -22,6 +22,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.calibrated(table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, plain and disguised."""
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated three-line windows."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -33,6 +38,12 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut into power-of-two sequences."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -45,7 +56,9 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_pii": op2_pii,
     "op5_line_dedup": op5_line_dedup,
+    "op7_quality": op7_quality,
     "op8_packing": op8_packing,
     "op9_url_filter": op9_url_filter,
     "op10_fingerprint": op10_fingerprint,
