@@ -1,14 +1,17 @@
 """Quality classifier: a convolutional network over a text's bytes, in numpy.
 
-Bytes are embedded, a layer of learned filters runs over overlapping chunks
+Bytes are embedded (a byte whose last four bytes stood a short way before has
+an embedding of its own, so that repetition shows), a layer of learned filters runs over overlapping chunks
 that cover the whole text, each filter's largest answer in a chunk is kept, and
 the chunks' answers (their mean and their largest) combine into one
 probability that the text is of label 1.
 
 Fitting takes a bounded sample of labelled rows: at most ``SAMPLE_PER_LABEL``
 documents of each label, those with the smallest hash of their id among the
-rows that are not held out, without texts over ``MAX_FIT_BYTES``.  Scoring
-reads every text whole.  Only text bytes go in.
+rows that are not held out, without texts over ``MAX_FIT_BYTES``.  Short
+stretches of the label-1 texts are learnt as label 1 too, so that a text is
+not rejected for being short.  Scoring reads every text whole.  Only text bytes
+go in.
 
 Defined cases: a null text counts as empty; an empty text has no chunk and
 gets the score that the network gives to silence; null labels are not learnt
@@ -37,13 +40,16 @@ THRESHOLD = 0.7
 CHUNK, STEP = 512, 480
 #: Embedding size, filter width in bytes, distance of the filters' places, number of filters.
 DIM, WIDTH, STRIDE, FILTERS = 8, 8, 2, 24
-_PAD = 256
+#: Distances at which the last four bytes count as repeated.
+LAGS = range(3, 33)
+SYMBOLS = 513
+_PAD = 512
 _SLAB = 512
 
 
 @dataclass(frozen=True)
 class Network:
-    embed: np.ndarray  # (257, DIM), the padding's row is 0
+    embed: np.ndarray  # (SYMBOLS, DIM), the padding's row is 0
     filters: np.ndarray  # (WIDTH * DIM, FILTERS)
     bias: np.ndarray  # (FILTERS,)
     weights: np.ndarray  # (2 * FILTERS,): of the chunks' means, of their maxima
@@ -52,7 +58,7 @@ class Network:
     @staticmethod
     def constant(share: float) -> Network:
         share = min(max(share, 1e-6), 1 - 1e-6)
-        return Network(np.zeros((257, DIM), np.float32), np.zeros((WIDTH * DIM, FILTERS), np.float32), np.zeros(FILTERS, np.float32),
+        return Network(np.zeros((SYMBOLS, DIM), np.float32), np.zeros((WIDTH * DIM, FILTERS), np.float32), np.zeros(FILTERS, np.float32),
                        np.zeros(2 * FILTERS, np.float32), float(np.log(share / (1 - share))))
 
 
@@ -61,8 +67,26 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def symbols(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Each byte's number, plus 256 if it and the three bytes before it stood 3 to 32 bytes earlier in its text too."""
+    out = data.astype(np.int16)
+    n = len(data)
+    if n < 7:
+        return out
+    four = data.astype(np.uint32)
+    four[3:] |= (four[2:-1] << np.uint32(8)) | (four[1:-2] << np.uint32(16)) | (four[:-3] << np.uint32(24))
+    lengths = np.diff(offsets)
+    within = np.arange(n, dtype=np.int32) - np.repeat(offsets[:-1], lengths).astype(np.int32)
+    repeated = np.zeros(n, bool)
+    for lag in LAGS:
+        if lag < n:
+            repeated[lag:] |= (four[lag:] == four[:-lag]) & (within[lag:] >= lag + 3)
+    out[repeated] += 256
+    return out
+
+
 def chunked(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(chunks by CHUNK as byte numbers, padded; first chunk of each text): every byte is in a chunk, every filter place too."""
+    """(chunks by CHUNK as symbols, padded; first chunk of each text): every byte is in a chunk, every filter place too."""
     lengths = np.diff(offsets)
     counts = np.where(lengths > 0, 1 + np.maximum(0, -(-(lengths - CHUNK) // STEP)), 0)
     first = np.concatenate([[0], np.cumsum(counts)])
@@ -71,7 +95,7 @@ def chunked(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     at = begin[:, None] + np.arange(CHUNK)
     inside = at < offsets[1:][text][:, None]
     out = np.full(at.shape, _PAD, np.int16)
-    out[inside] = data[at[inside]]
+    out[inside] = symbols(data, offsets)[at[inside]]
     return out, first
 
 
@@ -120,12 +144,24 @@ def probabilities(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.nda
     return 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
 
 
-def train(texts: list[bytes], labels: np.ndarray, epochs: int = 10, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Network:
+def with_stretches(texts: list[bytes], labels: np.ndarray, rng: np.random.Generator) -> tuple[list[bytes], np.ndarray]:
+    """The sample and a random short run of words of each label-1 text."""
+    more = []
+    for text in (t for t, label in zip(texts, labels, strict=True) if label == 1):
+        words = text.split(b" ")
+        n = int(rng.integers(2, 40))
+        a = int(rng.integers(0, max(1, len(words) - n)))
+        more.append(b" ".join(words[a:a + n]))
+    return texts + more, np.concatenate([labels, np.ones(len(more))])
+
+
+def train(texts: list[bytes], labels: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Network:
     """Adam on the mean cross-entropy; gradients follow the pooled places only."""
     if len(set(labels.tolist())) < 2:
         return Network.constant(float(labels.mean()) if len(labels) else 0.5)
     rng = np.random.default_rng(seed)
-    p = {"embed": rng.normal(0, 0.5, (257, DIM)), "filters": rng.normal(0, (WIDTH * DIM) ** -0.5, (WIDTH * DIM, FILTERS)),
+    texts, labels = with_stretches(texts, labels, rng)
+    p = {"embed": rng.normal(0, 0.5, (SYMBOLS, DIM)), "filters": rng.normal(0, (WIDTH * DIM) ** -0.5, (WIDTH * DIM, FILTERS)),
          "bias": np.zeros(FILTERS), "weights": rng.normal(0, FILTERS ** -0.5, 2 * FILTERS), "offset": np.zeros(1)}
     p = {k: v.astype(np.float32) for k, v in p.items()}
     p["embed"][_PAD] = 0
@@ -168,7 +204,7 @@ def _gradients(p: dict[str, np.ndarray], texts: list[bytes], labels: np.ndarray)
         down = net.filters[part][:, f].T * d[:, None]
         for j in range(DIM):
             d_filters[k * DIM + j] = np.bincount(f, embedded[:, j], FILTERS)
-            d_embed[:, j] += np.bincount(byte, down[:, j], 257)
+            d_embed[:, j] += np.bincount(byte, down[:, j], SYMBOLS)
     return {"embed": d_embed, "filters": d_filters, "bias": d_live.sum(axis=0), "weights": features.T @ error,
             "offset": np.array([error.sum()], np.float32)}
 
