@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, line_dedup, minhash, mixing, packing, pii, quality, url_filter
+from . import fingerprint, line_dedup, minhash, mixing, packing, pii, quality, suffix_dedup, url_filter
 from .common import table
 
 
@@ -27,6 +27,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 200-byte strings that start anywhere else too."""
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component of near-duplicates."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -62,6 +67,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_pii": op2_pii,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_minhash": op4_minhash,
     "op5_line_dedup": op5_line_dedup,
     "op7_quality": op7_quality,
