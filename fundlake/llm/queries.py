@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, line_dedup, minhash, mixing, packing, pii, quality, suffix_dedup, url_filter
+from . import fingerprint, line_dedup, minhash, mixing, nn_descent, packing, pii, quality, suffix_dedup, url_filter
 from .common import table
 
 
@@ -48,6 +48,11 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links and component."""
+    return nn_descent.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learnt from the labels that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_minhash": op4_minhash,
     "op5_line_dedup": op5_line_dedup,
+    "op6_nn_descent": op6_nn_descent,
     "op7_quality": op7_quality,
     "op8_packing": op8_packing,
     "op9_url_filter": op9_url_filter,
