@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,14 +23,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
-from .common import as_column
+from .common import as_column, importable
 
 MAX_LENGTH = 2048
 CLOSING_ID = 1
-#: Words whose ids a worker remembers, and the longest word it remembers.
-MEMORY_WORDS = 400_000
+#: Words whose ids a worker remembers, the longest word it remembers, and characters of text whose words it learns together.
+MEMORY_WORDS = 800_000
 MEMORY_CHARS = 40
+TOGETHER = 1_000_000
+#: ASCII signs without the apostrophe, which may start a run of letters.
+_SIGNS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'")
 
 
 class WordIds:
@@ -42,54 +47,53 @@ class WordIds:
     """
 
     _other = re.compile("[^\\t\\n\\r\\x20-\\x7e\\u00a1-\\u00ff]")
-    _mark = "¤"
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.memory: dict[str, bytes] = {}
-        self.mark_ids = self._whole(self._mark)
+        # how the tokenizer writes the bytes of letters before its model sees them
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelled = {c: spell(chr(c))[0][0] for c in range(0xA1, 0x100)}
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """The ids of new words; a letters-only word's closing full stop or comma is a token run of its own."""
-        stems = {w[:-1] if w[-1] in ".," and w[:-1].isalpha() else w for w in words}
-        new = sorted(s for s in stems if s not in self.memory and self._mark not in s)
-        known = {s: self.memory[s] for s in stems if s in self.memory}
-        if new and len(self.mark_ids) == 4:
-            ids = np.array(self.tokenizer.encode(f" {self._mark} ".join(new), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(ids == np.frombuffer(self.mark_ids, "<u4")[0])
-            if len(cuts) == len(new) - 1:
-                known.update(zip(new, (p.tobytes() for p in np.split(ids, cuts)), strict=True))
-                known.update((s, known[s][4:]) for s in new[1:])
-        known.update((s, self._whole(s)) for s in stems if s not in known)
-        for w in words:
-            if w not in known:
-                if w[-1] not in self.memory:
-                    self.memory[w[-1]] = self._whole(w[-1])
-                known[w] = known[w[:-1]] + self.memory[w[-1]]
-        if len(self.memory) + len(known) > MEMORY_WORDS:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _letters(self, word: str) -> bytes:
+        """Ids of a lower-case word of letters: it is one run, which normalising and splitting leave as it is."""
+        return array("I", [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.spelled))]).tobytes()
+
+    def _learn(self, words: set[str]) -> None:
+        """Put new words' ids into the memory; signs that close a word of letters are a token run of their own."""
+        memory = self.memory
+        for word in words:
+            if word.isalpha():
+                memory[word] = self._letters(word)
+            elif (stem := word.rstrip(_SIGNS)).isalpha():
+                signs = word[len(stem):]
+                if stem not in memory:
+                    memory[stem] = self._letters(stem)
+                if signs not in memory:
+                    memory[signs] = self._whole(signs)
+                memory[word] = memory[stem] + memory[signs]
+            else:
+                memory[word] = self._whole(word)
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each whole text."""
+        split = [None if self._other.search(t) or "<|" in t else t.lower().split() for t in texts]
+        words = set().union(*(w for w in split if w))
+        new = words.difference(self.memory)
+        if new and len(self.memory) + len(new) > MEMORY_WORDS:
             self.memory.clear()
-        self.memory.update((w, b) for w, b in known.items() if len(w) <= MEMORY_CHARS)
-        return known
-
-    def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids of the whole text."""
-        if self._other.search(text) or "<|" in text:
-            return self._whole(text)
-        words = text.lower().split()
-        if not words:
-            return b""
-        missing = set(words).difference(self.memory)
-        if not missing:
-            return b"".join(map(self.memory.__getitem__, words))
-        learned = self._learn(missing)
-        rest = {w: self.memory[w] for w in set(words).difference(learned) if w in self.memory}
-        lost = set(words).difference(learned, rest)
-        if lost:  # the memory was cleared meanwhile
-            learned |= self._learn(lost)
-        return b"".join(map({**learned, **rest}.__getitem__, words))
+            new = words
+        if new:
+            self._learn(new)
+        get = {w: self.memory[w] for w in words}.__getitem__
+        out = [self._whole(t) if w is None else b"".join(map(get, w)) for t, w in zip(texts, split, strict=True)]
+        for w in [w for w in new if len(w) > MEMORY_CHARS]:
+            self.memory.pop(w, None)
+        return out
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -102,6 +106,19 @@ def word_ids(path: str) -> WordIds:
     return _LOADED[path]
 
 
+def _parts(texts: list[str | None]) -> Iterator[list[str]]:
+    """The texts in runs of about TOGETHER characters."""
+    run, size = [], 0
+    for text in texts:
+        run.append(text or "")
+        size += len(run[-1])
+        if size >= TOGETHER:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
 def piece_lengths(tokens: int, max_length: int = MAX_LENGTH) -> list[int]:
     """Longest pieces first, then the rest's binary form."""
     whole, rest = divmod(tokens, max_length)
@@ -117,6 +134,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     """
     if max_length & (max_length - 1) or max_length < 1:
         raise ValueError("max_length must be a power of two")
+    importable(docs.sparkSession)
     own = docs.select(as_column(id_col).alias("doc_id"), as_column(text_col).cast("string").alias("text"))
     closing = np.array([closing_id], "<u4").tobytes()
 
@@ -124,8 +142,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         encoder = word_ids(tokenizer_path)
         for batch in batches:
             row, start, length, crc, total, ids = [], [], [], [], [], []
-            for i, text in enumerate(batch["text"]):
-                coded = encoder.ids(text.as_py() or "") + closing
+            for i, coded in enumerate(c + closing for part in _parts(batch["text"].to_pylist()) for c in encoder.ids(part)):
                 tokens, at = len(coded) // 4, 0
                 for n in piece_lengths(tokens, max_length):
                     part = coded[4 * at:4 * (at + n)]
