@@ -7,6 +7,7 @@ lost executor never takes them along.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -21,13 +22,28 @@ from fundlake.session import checkpoint_dir
 BLOCK_BYTES = 2 << 20
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver found it.
+
+    That is enough where all machines see the driver's files; elsewhere the
+    package goes along with the job (``--py-files``).
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: computed once, lineage cut."""
     spark = df.sparkSession
+    importable(spark)
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
     if partition_by:

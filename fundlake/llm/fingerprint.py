@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, as_column, text_or_empty
+from .common import BLOCK_BYTES, as_column, importable, text_or_empty
 from .shingles import shingle_sets
 
 K = 128
@@ -56,11 +56,10 @@ def distinct_count(a: np.ndarray, k: int = K) -> float:
 
 
 def containment(a: np.ndarray, b: np.ndarray, k: int = K) -> float:
-    """Estimated share of a's shingles that b has too."""
-    if not len(a):
-        return 1.0
-    union = distinct_count(merge([a, b], k), k)
-    return min(1.0, resemblance(a, b, k) * union / distinct_count(a, k))
+    """Estimated share of a's shingles that b has too: of a's hashes in the range that both sketches cover whole."""
+    covered = min((int(x[-1]) for x in (a, b) if len(x) >= k), default=2**64 - 1)
+    own = a[a <= np.uint64(covered)]
+    return float(np.isin(own, b, assume_unique=True).mean()) if len(own) else 1.0
 
 
 def to_text(sketch: np.ndarray) -> str:
@@ -73,6 +72,7 @@ def from_text(text: str) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
     """(doc_id, n_shingles_est, fingerprint) of every text; row by row, nothing is shuffled."""
+    importable(docs.sparkSession)
     own = docs.select(as_column(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,6 +131,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    importable(docs.sparkSession)
     own = docs.select(as_column(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

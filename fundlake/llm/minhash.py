@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_column, blocks, free_names, staged, text_or_empty, utf8_buffers
+from .common import as_column, blocks, free_names, importable, staged, text_or_empty, utf8_buffers
 from .components import components
 from .shingles import WIDTH, mix, seeds, shingle_sets
 
@@ -253,6 +253,7 @@ def _linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
 
 def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, tag, n_shingles, set_key, component_id, kept) of every row; tag is a hash of the text."""
+    importable(docs.sparkSession)
     own = docs.select(as_column(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn("tag", F.xxhash64("text"))
     rows = staged(sketched(own), "minhash-rows")
     classes = staged(rows.where("set_key is not null and doc_id is not null").groupBy("set_key")

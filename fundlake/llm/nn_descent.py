@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_column, staged
+from .common import as_column, importable, staged
 from .components import components
 
 COSINE = 0.93
@@ -250,6 +250,7 @@ def neighbour_graph(classes: DataFrame, tables: int = TABLES, seed: int = SEED)
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
+    importable(vectors.sparkSession)
     classes = staged(_classes(vectors, id_col, vector_col, label_col), "nn-classes")
     tables = TABLES
     for attempt in range(TRIES):

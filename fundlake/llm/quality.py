@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_column, blocks, staged, text_or_empty, utf8_buffers
+from .common import as_column, blocks, importable, staged, text_or_empty, utf8_buffers
 
 SAMPLE_PER_LABEL = 1000
 MAX_FIT_BYTES = 1 << 16
@@ -225,6 +225,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL, m
 def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document."""
     own = docs.select(as_column(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), held_out(as_column(id_col)).alias("held_out"))
+    importable(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,6 +245,7 @@ def _scores(net: Network, texts: pa.Array) -> np.ndarray:
 
 def keep_good(docs: DataFrame, net: Network, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose text scores at least ``threshold``; all columns kept."""
+    importable(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(net)
     at = docs.columns.index(text_col)
 

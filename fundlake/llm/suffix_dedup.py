@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_column, blocks, staged, text_or_empty, utf8_buffers
+from .common import as_column, blocks, importable, staged, text_or_empty, utf8_buffers
 from .shingles import mix
 from .suffix_array import common_prefixes, suffix_array, words
 
@@ -249,6 +249,7 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, keep_text: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document, with the kept bytes and the removed spans if asked for."""
+    importable(docs.sparkSession)
     own = docs.select(as_column(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn("tag", F.xxhash64("text"))
     spans = repeated_spans(own, length).select(F.col("doc_id").alias("of"), F.col("tag").alias("with"), "spans")
     there = own.join(spans, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("tag") == F.col("with")), "left").select("doc_id", "text", "spans")

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_column
+from .common import as_column, importable
 
 #: (host, path, verdict)
 RULES = (
@@ -173,6 +173,7 @@ def build_cascade(urls: DataFrame, rules: Iterable[tuple[str, str, str]], first_
 def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, id_col: str = "page_id", url_col: str = "url",
                 default: str = DEFAULT_VERDICT, first_rate: float = FIRST_RATE) -> DataFrame:
     """(page_id, host, path, rule, verdict) of every url; the longest fitting rule decides."""
+    importable(pages.sparkSession)
     urls = pages.select(as_column(id_col).alias("page_id"), *parts(pages, url_col))
     spark = pages.sparkSession
     cascade = spark.sparkContext.broadcast(build_cascade(urls, rules, first_rate))
