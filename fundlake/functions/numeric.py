@@ -1,11 +1,11 @@
 """Deterministic numeric helpers.
 
-Money stays ``double`` in and out, but every sum goes through an exact
-decimal so that the result does not depend on how rows are partitioned or
-in which order partial sums are merged (a double sum does).  Rounding is
-HALF_UP on the decimal value, which is what ``round`` on a double does in
-Spark for the values the tables hold, and what an ANSI SQL engine does on
-``DECIMAL``.
+Money stays ``double`` in and out, but sums go through an exact decimal so
+that the result does not depend on how rows are partitioned or in which order
+partial sums are merged (a double sum does).  A value that the decimal cannot
+hold to nine digits (NaN, an infinity, a very large or very small one) makes
+its whole sum a double sum, so nothing is dropped.  Rounding is Spark's
+``round`` on the double, once.
 
 Each helper exists in two forms: ``sql_*`` builds Spark SQL text (one
 ``expr`` per finished expression keeps driver-side plan building cheap), and
@@ -17,8 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: scale of the exact intermediate (6 decimal places, 38 digits).
-EXACT_TYPE = "decimal(38,6)"
+# Type of the exact intermediate: 26 digits before the point, 12 after it.
+EXACT_TYPE = "decimal(38,12)"
 
 
 def q(name: str) -> str:
@@ -27,19 +27,31 @@ def q(name: str) -> str:
 
 
 def sql_round(x: str, scale: int = 2) -> str:
-    """HALF_UP round of SQL expression ``x`` through an exact decimal;
-    NaN and infinities pass through."""
-    return (f"CASE WHEN isnan({x}) OR abs({x}) = CAST('Infinity' AS DOUBLE) THEN ({x}) "
-            f"ELSE CAST(round(try_cast(({x}) AS {EXACT_TYPE}), {scale}) AS DOUBLE) END")
+    """HALF_UP round of the double SQL expression ``x``; NaN and infinities pass through."""
+    return f"round({x}, {scale})"
+
+
+def sql_exact(x: str) -> str:
+    """``x`` as the exact decimal; NULL where it does not fit."""
+    return f"try_cast(({x}) AS {EXACT_TYPE})"
+
+
+def sql_inexact(x: str) -> str:
+    """Whether the non-null ``x`` does not fit the exact decimal to nine digits."""
+    return (f"(({x}) IS NOT NULL AND ({sql_exact(x)} IS NULL "
+            f"OR abs(CAST({sql_exact(x)} AS DOUBLE) - ({x})) > 1e-9D * abs({x})))")
 
 
 def sql_sum(x: str) -> str:
-    """Exact, order-independent sum of double expression ``x`` as double."""
-    return f"CAST(sum(try_cast(({x}) AS {EXACT_TYPE})) AS DOUBLE)"
+    """Sum of double expression ``x`` as double: exact and order-independent
+    if every value fits the exact decimal, else the plain double sum."""
+    return (f"CASE WHEN count_if({sql_inexact(x)}) = 0 "
+            f"THEN coalesce(CAST(try_sum({sql_exact(x)}) AS DOUBLE), sum(CAST(({x}) AS DOUBLE))) "
+            f"ELSE sum(CAST(({x}) AS DOUBLE)) END")
 
 
 def sql_avg(x: str) -> str:
-    """Mean as exact sum / non-null count."""
+    """Mean as sum / non-null count."""
     return f"try_divide({sql_sum(x)}, CAST(count({x}) AS DOUBLE))"
 
 
@@ -53,18 +65,19 @@ def to_col(c) -> Column:
 
 
 def exact_round(c, scale: int = 2) -> Column:
-    """``round(c, scale)`` HALF_UP through an exact decimal; NaN/inf pass through."""
-    if isinstance(c, str):
-        return F.expr(sql_round(q(c), scale))
-    special = F.isnan(c) | (F.abs(c) == F.lit(float("inf")))
-    return F.when(special, c).otherwise(F.round(c.try_cast(EXACT_TYPE), scale).cast("double"))
+    """``round(c, scale)`` HALF_UP of a double; NaN/inf pass through."""
+    return F.round(to_col(c).cast("double"), scale)
 
 
 def exact_sum(c) -> Column:
-    """Order-independent sum of a double column (NULL for no non-null input)."""
+    """Column form of :func:`sql_sum` (NULL for no non-null input)."""
     if isinstance(c, str):
         return F.expr(sql_sum(q(c)))
-    return F.sum(c.try_cast(EXACT_TYPE)).cast("double")
+    x = c.cast("double")
+    exact = c.try_cast(EXACT_TYPE)
+    bad = c.isNotNull() & (exact.isNull() | (F.abs(exact.cast("double") - x) > F.abs(x) * 1e-9))
+    return F.when(F.count_if(bad) == 0, F.coalesce(F.try_sum(exact).cast("double"), F.sum(x))
+                  ).otherwise(F.sum(x))
 
 
 def exact_avg(c) -> Column:

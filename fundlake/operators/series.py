@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundlake.functions.numeric import EXACT_TYPE, q, sql_round, to_col
+from fundlake.functions.numeric import q, sql_exact, sql_inexact, sql_round, to_col
 from fundlake.session import checkpoint_dir
 
 
@@ -91,7 +91,7 @@ def growth(df: DataFrame, key, order, cols: Sequence[str], tiebreak: Sequence[st
 
 def _prefix(df: DataFrame, keys: Sequence[str], values: dict[str, str],
             partitions: int | None) -> DataFrame:
-    """Exact prefix sums of ``values`` (SQL decimal expressions) in ``keys`` order.
+    """Prefix sums of ``values`` (SQL expressions of a decimal or other numeric type) in ``keys`` order.
 
     Distributed two-pass plan (no single-partition window over rows):
 
@@ -108,23 +108,23 @@ def _prefix(df: DataFrame, keys: Sequence[str], values: dict[str, str],
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    zero = f"CAST(0 AS {EXACT_TYPE})"
     ranged = (df.withColumns({f"_v_{k}": F.expr(v) for k, v in values.items()})
                 .repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys])
                 .withColumn("_part", F.expr("spark_partition_id()"))
                 .checkpoint(eager=True))
     totals = ranged.groupBy("_part").agg(*[F.expr(e) for k in values for e in (
-        f"sum(`_v_{k}`) AS `_t_{k}`", f"count(`_v_{k}`) AS `_n_{k}`")])
+        f"try_sum(`_v_{k}`) AS `_t_{k}`", f"count(`_v_{k}`) AS `_n_{k}`")])
     before = "OVER (ORDER BY _part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     offsets = totals.selectExpr("_part", *[e for k in values for e in (
-        f"coalesce(sum(`_t_{k}`) {before}, {zero}) AS `_o_{k}`",
+        f"sum(`_t_{k}`) {before} AS `_o_{k}`",
         f"coalesce(sum(`_n_{k}`) {before}, 0) AS `_on_{k}`")])
     order_sql = ", ".join(f"{q(k)} ASC NULLS FIRST" for k in keys)
     inside = (f"OVER (PARTITION BY _part ORDER BY {order_sql} "
               "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
     out = ranged.join(F.broadcast(offsets), "_part").withColumns({
-        f"_cum_{k}": F.expr(f"CASE WHEN count(`_v_{k}`) {inside} + `_on_{k}` > 0 "
-                            f"THEN `_o_{k}` + coalesce(sum(`_v_{k}`) {inside}, {zero}) END")
+        f"_cum_{k}": F.expr(f"CASE WHEN `_on_{k}` = 0 THEN sum(`_v_{k}`) {inside} "
+                            f"WHEN count(`_v_{k}`) {inside} = 0 THEN `_o_{k}` "
+                            f"ELSE `_o_{k}` + sum(`_v_{k}`) {inside} END")
         for k in values})
     return out.drop("_part", *[c for k in values for c in (f"_v_{k}", f"_o_{k}", f"_on_{k}")])
 
@@ -141,10 +141,15 @@ def running_total(df: DataFrame, order, cols: Sequence[str], tiebreak: Sequence[
     """
     keys = _names(order) + list(tiebreak)
     outs = list(out) if out else [f"{prefix}{c}" for c in cols]
-    values = {o: f"try_cast({q(c)} AS {EXACT_TYPE})" for c, o in zip(cols, outs)}
+    # what does not fit the decimal is summed apart, and only what does not fit
+    values = {f"{o}{kind}": e for c, o in zip(cols, outs) for kind, e in (
+        ("", f"CASE WHEN NOT {sql_inexact(q(c))} THEN {sql_exact(q(c))} END"),
+        ("_rest", f"CASE WHEN {sql_inexact(q(c))} THEN CAST({q(c)} AS DOUBLE) END"))}
     res = _prefix(df, keys, values, partitions)
     return res.selectExpr(*[q(c) for c in df.columns], *[
-        f"CAST(round(`_cum_{o}`, {scale}) AS DOUBLE) AS {q(o)}" for o in outs])
+        f"CASE WHEN `_cum_{o}_rest` IS NULL THEN CAST(round(`_cum_{o}`, {scale}) AS DOUBLE) ELSE "
+        f"round(coalesce(CAST(`_cum_{o}` AS DOUBLE), 0D) + `_cum_{o}_rest`, {scale}) END AS {q(o)}"
+        for o in outs])
 
 
 def number_rows(df: DataFrame, order, out: str = "row_num", tiebreak: Sequence[str] = (),
@@ -152,7 +157,7 @@ def number_rows(df: DataFrame, order, out: str = "row_num", tiebreak: Sequence[s
     """1-based position in ``order`` + ``tiebreak`` (distributed, like
     :func:`running_total` of 1 per row)."""
     keys = _names(order) + list(tiebreak)
-    res = _prefix(df, keys, {out: f"CAST(1 AS {EXACT_TYPE})"}, partitions)
+    res = _prefix(df, keys, {out: "1L"}, partitions)
     return res.selectExpr(*[q(c) for c in df.columns], f"CAST(`_cum_{out}` AS BIGINT) AS {q(out)}")
 
 

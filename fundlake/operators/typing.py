@@ -11,10 +11,10 @@ from fundlake.functions.casting import sql_lenient_cast
 from fundlake.functions.numeric import q
 
 
-def _typed_sql(src: T.DataType, field: T.StructField, int_via_double: bool) -> str:
+def _typed_sql(src: T.DataType, field: T.StructField, int_via_decimal: bool) -> str:
     name = q(field.name)
     if isinstance(src, T.StringType):
-        return sql_lenient_cast(name, field.dataType, int_via_double)
+        return sql_lenient_cast(name, field.dataType, int_via_decimal)
     if src == field.dataType:
         return name
     return f"try_cast({name} AS {field.dataType.simpleString()})"
@@ -26,7 +26,7 @@ def _sql_value(v) -> str:
     return repr(v)
 
 
-def typed_select(df: DataFrame, schema: T.StructType, int_via_double: bool = True,
+def typed_select(df: DataFrame, schema: T.StructType, int_via_decimal: bool = True,
                  defaults: Mapping[str, object] | None = None) -> DataFrame:
     """Select exactly the schema's columns, cast leniently, in schema order.
 
@@ -40,7 +40,7 @@ def typed_select(df: DataFrame, schema: T.StructType, int_via_double: bool = Tru
     for f in schema.fields:
         t = f.dataType.simpleString()
         if f.name in src:
-            e = _typed_sql(src[f.name], f, int_via_double)
+            e = _typed_sql(src[f.name], f, int_via_decimal)
             if f.name in defaults:
                 e = f"coalesce({e}, CAST({_sql_value(defaults[f.name])} AS {t}))"
         elif f.name in defaults:

@@ -1,7 +1,7 @@
 """Independent ANSI-SQL statements (DuckDB dialect) for every registered
 query, written from the definitions rather than generated from the Spark
-plans.  Both sides use the same numeric recipe: exact decimal sums, HALF_UP
-rounding of an exact decimal, NULL on a zero divisor.
+plans.  Sums are exact decimals; rounding is HALF_UP, once, on the shortest
+decimal text of the double (Spark's ``round``); a zero divisor gives NULL.
 """
 
 from __future__ import annotations
@@ -10,14 +10,19 @@ from fundlake.plans.star import STAR_AS_OF_YEAR, ESTIMATE_FROM_YEAR
 
 
 def R(x: str, s: int = 2) -> str:
-    """Round HALF_UP through DECIMAL(38,6); NaN / inf pass through."""
-    return (f"(CASE WHEN isnan({x}) OR isinf({x}) THEN ({x}) "
-            f"ELSE CAST(ROUND(TRY_CAST(({x}) AS DECIMAL(38,6)), {s}) AS DOUBLE) END)")
+    """Round HALF_UP once, on the shortest decimal text of the double; NaN, inf and huge values as they are."""
+    return (f"(CASE WHEN isnan({x}) OR isinf({x}) OR abs({x}) >= 1e15 THEN ({x}) "
+            f"ELSE CAST(ROUND(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,20)), {s}) AS DOUBLE) END)")
+
+
+def D(x: str) -> str:
+    """The double as an exact decimal, by its shortest text."""
+    return f"TRY_CAST(CAST(CAST(({x}) AS DOUBLE) AS VARCHAR) AS DECIMAL(38,12))"
 
 
 def S(x: str) -> str:
     """Exact sum of a double expression, as double."""
-    return f"CAST(SUM(TRY_CAST(({x}) AS DECIMAL(38,6))) AS DOUBLE)"
+    return f"CAST(SUM({D(x)}) AS DOUBLE)"
 
 
 def AVG(x: str) -> str:
@@ -75,11 +80,11 @@ revenue AS (
          r.year >= {ESTIMATE_FROM_YEAR} AS is_estimate, r.revenue_m
   FROM rev0 r LEFT JOIN customer c ON c.c_custkey = r.company_id),
 per_order AS (SELECT l_orderkey,
-                     SUM(TRY_CAST(l_extendedprice * l_discount AS DECIMAL(38,6))) AS d
+                     {S("l_extendedprice * l_discount")} AS d
               FROM lineitem GROUP BY l_orderkey),
 ebitda AS (
   SELECT o_custkey AS company_id, {Y} AS year, {Y} >= {ESTIMATE_FROM_YEAR} AS is_estimate,
-         CAST(SUM(d) AS DOUBLE) AS ebitda_m
+         {S("d")} AS ebitda_m
   FROM orders JOIN per_order ON o_orderkey = l_orderkey GROUP BY 1, 2, 3)"""
 
 FIN0 = FEEDS + f""",
@@ -124,7 +129,7 @@ cashflows AS (
 
 
 def _cum(c: str, w: str = "w") -> str:
-    return f"CAST(ROUND(SUM(TRY_CAST({c} AS DECIMAL(38,6))) OVER {w}, 2) AS DOUBLE)"
+    return f"CAST(ROUND(SUM({D(c)}) OVER {w}, 2) AS DOUBLE)"
 
 
 QCF = CASHFLOWS + f""",
@@ -288,7 +293,7 @@ SELECT * FROM gold_fin WHERE company_id = (
 ORDER BY year""",
     "weighted_pipeline": _w(DEALS) + "\nSELECT * FROM deal_pipeline",
     "pipeline_by_stage": _w(DEALS) + "\nSELECT * FROM stage_agg",
-    "pipeline": _w(DEALS) + """
+    "deal_pipeline": _w(DEALS) + """
 SELECT d.*, s.stage_count, s.stage_equity_m, s.stage_weighted_m, s.stage_avg_prob
 FROM deal_pipeline d LEFT JOIN stage_agg s ON d.stage = s.stage
 ORDER BY d.stage, d.probability DESC""",

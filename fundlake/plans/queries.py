@@ -319,7 +319,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "company_financials_by_id": company_financials_by_id,
     "weighted_pipeline": weighted_pipeline,
     "pipeline_by_stage": pipeline_by_stage,
-    "pipeline": pipeline,
+    "deal_pipeline": pipeline,
     "leverage_stats": leverage_stats,
     "weighted_returns": weighted_returns,
     "risk_summary": risk_summary,

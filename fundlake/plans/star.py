@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.functions.numeric import EXACT_TYPE, sql_round, sql_sum
+from fundlake.functions.numeric import sql_round, sql_sum
 from fundlake.operators import number_rows, weights
 
 # Fixed values of the adapter (not of the engine).
@@ -113,15 +113,15 @@ def ebitda(spark: SparkSession, sf_dir: str, estimate_from: int = ESTIMATE_FROM_
            with_name: bool = False, companies: DataFrame | None = None) -> DataFrame:
     """Bronze-shaped EBITDA feed: discount value per (customer, year).
 
-    lineitem is summed per order first (exact decimal), then joined 1:1 to
+    lineitem is summed per order first, then joined 1:1 to
     orders: the big join moves one row per order, not one per line.
     """
     per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.expr(f"sum(try_cast(l_extendedprice * l_discount AS {EXACT_TYPE})) AS d"))
+        _sum_as("l_extendedprice * l_discount", "d"))
     eb = (_orders_of(spark, sf_dir, companies)
           .join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
           .groupBy(F.col("o_custkey").alias("company_id"), _year().alias("year"))
-          .agg(F.expr("CAST(sum(d) AS DOUBLE) AS ebitda_m")))
+          .agg(_sum_as("d", "ebitda_m")))
     cols = ["company_id", "year", f"year >= {int(estimate_from)} AS is_estimate", "ebitda_m"]
     if with_name:
         names = table(spark, sf_dir, "customer").select(
