@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fundlake.functions.numeric import (exact_round, exact_sum, q, safe_div, sql_round, sql_sum,
                                         to_col)
+from fundlake.session import fresh_dir
 
 
 def global_stats(df: DataFrame, exprs: Sequence[Column]) -> DataFrame:
@@ -24,10 +25,12 @@ def global_stats(df: DataFrame, exprs: Sequence[Column]) -> DataFrame:
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of a one-row DataFrame to every row.
 
-    Broadcast cross join; the build side is a global aggregate, so its size
-    is exactly one row by construction.
+    A scalar subquery: it is computed once, nothing is joined, and more than
+    one row is an error at run time (no row gives NULLs).
     """
-    return df.crossJoin(F.broadcast(one_row))
+    row = one_row.select(F.struct(*[F.col(q(c)) for c in one_row.columns]).alias("_row")).scalar()
+    return df.withColumn("_row", row).select(
+        *[F.col(q(c)) for c in df.columns], *[F.col(f"_row.{q(c)}").alias(c) for c in one_row.columns])
 
 
 def weighted_mean(value, weight, null_weights: str = "keep", scale: int | None = 2) -> Column:
@@ -54,13 +57,16 @@ def weighted_mean(value, weight, null_weights: str = "keep", scale: int | None =
 def group_enrich(df: DataFrame, key: str | Sequence[str], aggs: Sequence[Column]) -> DataFrame:
     """Attach per-group aggregates to every row of the group (left join).
 
-    The aggregate side is joined without a hint: AQE broadcasts it when its
-    measured size is under the threshold and otherwise keeps a sort-merge
-    join with skew splitting, so a hot group is split across tasks.  Rows
-    with a NULL key get NULL aggregates.
+    The aggregate is written to the shared folder first, so that its size is
+    known when the join is planned: under the broadcast threshold ``df`` is
+    not shuffled at all (a few hot groups would otherwise meet in as many
+    tasks); above it, the sort-merge join splits skewed keys.  Rows with a
+    NULL key get NULL aggregates.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    return df.join(df.groupBy(*keys).agg(*aggs), keys, "left")
+    path = fresh_dir(df.sparkSession, "group")
+    df.groupBy(*keys).agg(*aggs).write.parquet(path)
+    return df.join(df.sparkSession.read.parquet(path), keys, "left")
 
 
 def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str] | dict[str, str],

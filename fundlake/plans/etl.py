@@ -6,13 +6,17 @@ the same job.  Nothing is collected to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fundlake.operators import cast_rejects
 from fundlake.plans import gold, silver
 from fundlake.schemas import BRONZE_ENTITIES
 from fundlake.sources import (create_layers, read_bronze_all, read_table, register_table,
                               write_table)
+from fundlake.sources.bronze import LOAD_DATE
 
 SILVER_TABLES = ("portfolio_companies", "company_financials", "quarterly_cashflows",
                  "fund_history", "fund_metrics", "deal_pipeline", "sector_breakdown",
@@ -32,15 +36,21 @@ def _write(df, root: str, name: str) -> int:
 
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, load_date: str,
                as_of_year: int = silver.DEFAULT_AS_OF_YEAR,
-               register: bool = False, quarantine: bool = False) -> dict[str, int]:
+               register: bool = False, quarantine: bool = False, multiline: bool = True,
+               allow_empty: Sequence[str] = ()) -> dict[str, int]:
     """Bronze CSV of one load date -> eight Silver Parquet tables; rows written.
 
+    All drops are looked up before the first table is overwritten: a missing
+    one fails the run (unless ``allow_empty`` names its entity) and leaves
+    Silver as it was.  ``multiline=False`` lets large files be split.
+
     ``quarantine=True`` also writes, per Bronze entity, every cell whose text
     is present but does not cast to its Silver type (``_rejects/<entity>``,
     one row per cell with the row's first column as key) and reports the
     counts as ``rejects:<entity>``.
     """
-    bronze = read_bronze_all(spark, bronze_root, load_date)
+    bronze = read_bronze_all(spark, bronze_root, load_date, multiline=multiline,
+                             allow_empty=allow_empty)
     frames = silver.build_silver(bronze, as_of_year)
     counts = {name: _write(df, silver_root, name) for name, df in frames.items()}
     if quarantine:
@@ -56,10 +66,24 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, load_dat
     return counts
 
 
+def _one_date(df: DataFrame, name: str, load_date: str | None) -> DataFrame:
+    if LOAD_DATE not in df.columns:
+        return df
+    if load_date is None:
+        raise ValueError(f"{name} is partitioned by {LOAD_DATE}: name the date to build Gold from")
+    return df.where(F.col(LOAD_DATE).cast("string") == load_date).drop(LOAD_DATE)
+
+
 def run_gold(spark: SparkSession, silver_root: str, gold_root: str,
-             register: bool = False) -> dict[str, int]:
-    """Silver Parquet -> eleven Gold Parquet tables; rows written."""
-    sv = {name: read_table(spark, silver_root, name) for name in SILVER_TABLES}
+             register: bool = False, load_date: str | None = None) -> dict[str, int]:
+    """Silver Parquet -> eleven Gold Parquet tables; rows written.
+
+    Silver that streaming ingest wrote holds all dates, partitioned by
+    ``load_date``; ``load_date`` takes one of them (Silver of the batch job
+    holds one date only and has no such column).
+    """
+    sv = {name: _one_date(read_table(spark, silver_root, name), name, load_date)
+          for name in SILVER_TABLES}
     frames = gold.build_gold(sv)
     counts = {name: _write(df, gold_root, name) for name, df in frames.items()}
     if register:
@@ -89,6 +113,9 @@ def main(argv=None) -> None:
     ap.add_argument("--as-of-year", type=int, default=silver.DEFAULT_AS_OF_YEAR)
     ap.add_argument("--register", action="store_true")
     ap.add_argument("--quarantine", action="store_true")
+    ap.add_argument("--split-files", action="store_true",
+                    help="no value holds a newline: split large CSV files")
+    ap.add_argument("--allow-empty", nargs="*", default=(), metavar="ENTITY")
     a = ap.parse_args(argv)
     spark = get_session(app_name=f"fundlake-{a.step}")
     out = {}
@@ -96,11 +123,12 @@ def main(argv=None) -> None:
         if not (a.bronze_root and a.load_date):
             ap.error("silver needs --bronze-root and --load-date")
         out["silver"] = run_silver(spark, a.bronze_root, a.silver_root, a.load_date,
-                                   a.as_of_year, a.register, a.quarantine)
+                                   a.as_of_year, a.register, a.quarantine,
+                                   not a.split_files, a.allow_empty)
     if a.step in ("gold", "all"):
         if not a.gold_root:
             ap.error("gold needs --gold-root")
-        out["gold"] = run_gold(spark, a.silver_root, a.gold_root, a.register)
+        out["gold"] = run_gold(spark, a.silver_root, a.gold_root, a.register, a.load_date)
     print(json.dumps(out))
 
 

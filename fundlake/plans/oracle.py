@@ -386,3 +386,72 @@ ORACLE_SQL["decode_text"] = _decode_sql()
 ORACLE_SQL["flatten_json_events"] = (
     "SELECT event_id, user_id, event_type, "
     "CAST(json_extract(props, '$.k') AS INTEGER) AS props_k FROM events")
+
+ORACLE_SQL["company_by_literal_id"] = (
+    _w(FIN + "," + CAGR) + "\nSELECT * FROM gold_fin WHERE company_id = 1 ORDER BY year")
+
+# Silver tables from CSV text hold the same rows as from typed input.
+_SILVER = {
+    "company_financials": ORACLE_SQL["yoy_growth"],
+    "quarterly_cashflows": ORACLE_SQL["running_cashflows"],
+    "fund_history": ORACLE_SQL["nav_history"],
+    "fund_metrics": ORACLE_SQL["fund_ratios"],
+    "deal_pipeline": ORACLE_SQL["weighted_pipeline"],
+    "sector_breakdown": _w(HOLDINGS + BREAKDOWNS) + "\nSELECT * FROM sector_breakdown",
+    "geo_breakdown": _w(HOLDINGS + BREAKDOWNS) + "\nSELECT * FROM geo_breakdown",
+}
+ORACLE_SQL.update({f"text_{t}": sql for t, sql in _SILVER.items()})
+
+_GOLD = {
+    "fund_kpis": "fund_kpis", "nav_history": "nav_history", "cashflow_jcurve": "running_cashflows",
+    "sector_allocation": "sector_allocation", "geo_allocation": "geo_allocation",
+    "portfolio_table": "portfolio_table", "company_financials": "company_financials",
+    "pipeline": "deal_pipeline", "risk_summary": "risk_summary",
+    "risk_leverage_bands": "leverage_bands", "risk_moic_bands": "moic_bands"}
+
+
+def _count_sql(layer: str, table: str, sql: str) -> str:
+    return (f"SELECT '{layer}' AS layer, '{table}' AS table_name, count(*) AS reported_rows, "
+            f"count(*) AS read_rows FROM ({sql})")
+
+
+ORACLE_SQL["layers_roundtrip"] = "\nUNION ALL ".join(
+    [_count_sql("silver", t, q) for t, q in {**_SILVER, "portfolio_companies":
+                                             ORACLE_SQL["holding_metrics"]}.items()]
+    + [_count_sql("gold", t, ORACLE_SQL[key]) for t, key in _GOLD.items()])
+
+# A company whose first and last nonzero net flows differ in sign has a rate.
+ORACLE_SQL["irr_check"] = f"""
+WITH net AS (
+  SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS d,
+         {S("CASE WHEN o_orderstatus = 'F' THEN -o_totalprice ELSE o_totalprice END")} AS amount
+  FROM orders GROUP BY 1, 2),
+ends AS (
+  SELECT k, count(*) AS n_flows, min(d) AS first_date, max(d) AS last_date,
+         arg_min(amount, d) FILTER (WHERE amount <> 0) AS a,
+         arg_max(amount, d) FILTER (WHERE amount <> 0) AS z FROM net GROUP BY k)
+SELECT k AS company_id, n_flows, first_date, last_date, TRUE AS solved FROM ends
+WHERE sign(a) <> sign(z)"""
+
+
+def _corrupted_sql() -> str:
+    from fundlake import schemas
+    bad = "count(*) FILTER (WHERE id % 10 = 3)"
+    parts = []
+    for f in schemas.PORTFOLIO_COMPANIES.fields:
+        t = f.dataType.simpleString()
+        if t == "string":
+            continue
+        # a constant replaces NULLs too, an appended letter leaves them NULL
+        if f.name in ("employees", "entry_year"):
+            present, rejected = f"count(*) FILTER (WHERE id % 10 = 3 OR {f.name} IS NOT NULL)", bad
+        elif f.name == "fmv":
+            present, rejected = "count(fmv)", "count(fmv) FILTER (WHERE id % 10 = 3)"
+        else:
+            present, rejected = f"count({f.name})", "CAST(0 AS BIGINT)"
+        parts.append(f"SELECT '{f.name}' AS column_name, '{t}' AS target_type, count(*) AS total_rows, "
+                     f"{present} AS present_rows, {rejected} AS rejected_rows FROM holdings")
+    return _w(HOLDINGS) + "\n" + "\nUNION ALL ".join(parts)
+
+
+ORACLE_SQL["cast_rejects_corrupted"] = _corrupted_sql()

@@ -7,6 +7,7 @@ match the oracle statement of the same key.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,11 +15,12 @@ from pyspark.sql import functions as F
 
 from fundlake import schemas
 from fundlake.functions.numeric import sql_avg, sql_round
-from fundlake.operators import (cagr, cast_report, flatten, global_stats, irr, multiples_check,
+from fundlake.operators import (cagr, cast_report, flatten, global_stats, irr, irr_check, multiples_check,
                                 number_rows, running_total, unpivot_years, weighted_mean)
-from fundlake.plans import gold, silver, star, views
+from fundlake.plans import etl, gold, silver, star, views
 from fundlake.session import fresh_dir, materialize
-from fundlake.sources import decode, infer_types, read_bronze, write_bronze
+from fundlake.sources import decode, infer_types, read_bronze, write_bronze, write_bronze_all
+from fundlake.streaming.ingest import SILVER_SOURCES
 
 AS_OF = star.STAR_AS_OF_YEAR
 
@@ -156,13 +158,19 @@ def company_financials_by_id(spark, sf):
     top = F.broadcast(materialize(pc.where(F.col("fmv").isNotNull()).agg(
         F.max_by("id", F.struct(F.col("fmv"), -F.col("id"))).alias("company_id"))))
     # YoY and CAGR are per company: restricting the orders that feed revenue
-    # and EBITDA to the one company gives the same rows, and the orders and
-    # lineitem of every other company never reach a shuffle.
+    # and EBITDA to the one company gives the same rows; lineitem is cut to
+    # those orders by a semi join whose small side has a known size.
     fin = silver.company_financials(star.revenue(spark, sf, companies=top),
                                     star.ebitda(spark, sf, companies=top))
     return gold.company_financials(fin).orderBy("year")
 
 
+def company_by_literal_id(spark, sf):
+    """F4 / Q6 by a literal id through the serving statement (company 1)."""
+    return views.serve(spark, "company_financials", {"company_financials": gold.company_financials(
+        _fin(spark, sf))}, company_id=1)
+
+
 def pipeline_by_stage(spark, sf):
     """A4: per-stage aggregates (count, equity, weighted equity, mean probability)."""
     return _pl(spark, sf).groupBy("stage").agg(*gold.stage_aggs())
@@ -203,12 +211,12 @@ def weighted_returns(spark, sf):
 
 def risk_summary(spark, sf):
     """A12, F5, O8."""
-    # holdings feed five branches (statistics, two passes of each HHI):
-    # compute them once, as the batch job does by writing Silver
-    h = materialize(star.holdings(spark, sf, AS_OF))
-    pc = silver.portfolio_companies(h, AS_OF)
-    sb = silver.sector_breakdown(star.sector_breakdown(h))
-    gb = silver.geo_breakdown(star.geo_breakdown(h))
+    # holdings feed five branches (statistics, two passes of each HHI): their
+    # eight columns are computed once, as the batch job does by writing Silver
+    pc = materialize(_portco(spark, sf).select("id", "sector", "geography", "status", "fmv", "moic",
+                                               "irr", "net_leverage_x"))
+    sb = silver.sector_breakdown(star.sector_breakdown(pc))
+    gb = silver.geo_breakdown(star.geo_breakdown(pc))
     return views.serve(spark, "risk_summary", {"risk_summary": gold.risk_summary(pc, sb, gb)})
 
 
@@ -254,7 +262,7 @@ def flatten_json_events(spark, sf):
 
 
 def bronze_roundtrip(spark, sf):
-    """Holdings landed as Bronze CSV (load_date layout)
+    """Holdings landed as Bronze CSV (load_date layout)
     in a fresh folder of the shared lake, read back as text, typed to T1."""
     root = fresh_dir(spark, "bronze")
     write_bronze(star.holdings(spark, sf, AS_OF), root, "portfolio-companies", "2002-01-01")
@@ -262,6 +270,36 @@ def bronze_roundtrip(spark, sf):
     return silver.portfolio_companies(raw, AS_OF)
 
 
+TEXT_DATE = "2002-01-01"
+
+
+def _from_text(table: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The Silver table built from its Bronze entities, landed as CSV and read back as text."""
+    def query(spark, sf):
+        entities, build = SILVER_SOURCES[table]
+        root, typed = fresh_dir(spark, "bronze"), star.bronze_entities(spark, sf)
+        for entity in entities:
+            write_bronze(typed[entity], root, entity, TEXT_DATE)
+        return build(*[read_bronze(spark, root, e, TEXT_DATE) for e in entities])
+    query.__doc__ = f"Typed projection and derived columns of {table} from CSV text."
+    return query
+
+
+def layers_roundtrip(spark, sf):
+    """Bronze CSV -> Silver -> Gold Parquet by the batch jobs, registered;
+    per table the row count that the job reported and the rows read back from the catalog."""
+    lake = fresh_dir(spark, "lake")
+    write_bronze_all(star.bronze_entities(spark, sf), f"{lake}/bronze", TEXT_DATE)
+    rows = []
+    for layer, counts in (
+            ("silver", etl.run_silver(spark, f"{lake}/bronze", f"{lake}/silver", TEXT_DATE, AS_OF, register=True)),
+            ("gold", etl.run_gold(spark, f"{lake}/silver", f"{lake}/gold", register=True))):
+        rows += [spark.table(f"{layer}.{name}").agg(F.count("*").alias("read_rows")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"),
+            F.lit(n).cast("long").alias("reported_rows"), "read_rows") for name, n in counts.items()]
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
 def _holdings_text(spark, sf) -> DataFrame:
     h = star.holdings(spark, sf, AS_OF)
     return h.selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in h.columns])
@@ -298,6 +336,24 @@ def irr_by_company(spark, sf):
     return irr(flows, "o_custkey", "o_orderdate", "amount", out_key="company_id")
 
 
+def irr_check_(spark, sf):
+    """X2 verified: every company that must have a rate has one at which its value changes sign."""
+    o = star.table(spark, sf, "orders")
+    flows = o.select("o_custkey", "o_orderdate", F.when(
+        F.col("o_orderstatus") == "F", -F.col("o_totalprice")).otherwise(
+        F.col("o_totalprice")).alias("amount"))
+    return irr_check(flows, "o_custkey", "o_orderdate", "amount", out_key="company_id")
+
+
+def cast_rejects_corrupted(spark, sf):
+    """X3 on text with unreadable cells: the report of the holdings with every tenth value spoilt."""
+    h = _holdings_text(spark, sf)
+    spoilt = {"employees": "'n/a'", "fmv": "concat(fmv, 'x')", "entry_year": "'12.x'", "id": "id"}
+    text = h.selectExpr(*[f"CASE WHEN CAST(id AS BIGINT) % 10 = 3 THEN {spoilt[c]} ELSE {c} END AS {c}"
+                          if c in spoilt else c for c in h.columns])
+    return cast_report(text, schemas.PORTFOLIO_COMPANIES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "leverage_bands": leverage_bands,
     "moic_bands": moic_bands,
@@ -332,4 +388,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cast_rejects": cast_rejects,
     "multiples_check": multiples_check_,
     "irr_by_company": irr_by_company,
+    "irr_check": irr_check_,
+    "company_by_literal_id": company_by_literal_id,
+    "cast_rejects_corrupted": cast_rejects_corrupted,
+    "layers_roundtrip": layers_roundtrip,
+    **{f"text_{t}": _from_text(t) for t in SILVER_SOURCES if t != "portfolio_companies"},
 }

@@ -39,7 +39,11 @@ def company_financials(revenue_raw: DataFrame, ebitda_raw: DataFrame,
     keys = list(keys)
     rev = typed_select(revenue_raw, schemas.COMPANY_REVENUE)
     eb = typed_select(ebitda_raw, schemas.COMPANY_EBITDA).select(*keys, "ebitda_m")
-    fin = rev.join(eb, keys, "left").select(
+    # an unreadable is_estimate (NULL) matches another unreadable one
+    eb = eb.select(*[eb[k].alias(f"_{k}") for k in keys], "ebitda_m")
+    match = [rev[k].eqNullSafe(eb[f"_{k}"]) if k == "is_estimate" else rev[k] == eb[f"_{k}"]
+             for k in keys]
+    fin = rev.join(eb, match, "left").select(
         "company_id", "year", "company_name", "is_estimate", "revenue_m", "ebitda_m")
     fin = ratio(fin, "ebitda_m", "revenue_m", "ebitda_margin_pct", factor=100.0,
                 require_positive=True)

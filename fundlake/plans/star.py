@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from fundlake.functions.numeric import sql_round, sql_sum
 from fundlake.operators import number_rows, weights
+from fundlake.session import fresh_dir
 
 # Fixed values of the adapter (not of the engine).
 STAR_AS_OF_YEAR = 2002          # test data ends in 2001
@@ -87,12 +88,15 @@ def _year(c="o_orderdate"):
 
 def _orders_of(spark, sf_dir, companies: DataFrame | None) -> DataFrame:
     """Orders, optionally restricted to ``companies`` (a one-column DataFrame
-    of customer keys; the caller marks it for broadcast when it is small)."""
+    of customer keys).  A restriction is written to the shared folder, so that
+    what follows is planned with its true size."""
     o = _orders(spark, sf_dir)
     if companies is None:
         return o
     keys = companies.select(F.col(companies.columns[0]).alias("o_custkey"))
-    return o.join(keys, "o_custkey", "left_semi")
+    path = fresh_dir(spark, "orders-of")
+    o.join(keys, "o_custkey", "left_semi").write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def revenue(spark: SparkSession, sf_dir: str, estimate_from: int = ESTIMATE_FROM_YEAR,
@@ -114,12 +118,15 @@ def ebitda(spark: SparkSession, sf_dir: str, estimate_from: int = ESTIMATE_FROM_
     """Bronze-shaped EBITDA feed: discount value per (customer, year).
 
     lineitem is summed per order first, then joined 1:1 to
-    orders: the big join moves one row per order, not one per line.
+    orders: the big join moves one row per order, not one per line.  With
+    ``companies``, lines of other companies' orders go before the sum.
     """
-    per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+    orders, lines = _orders_of(spark, sf_dir, companies), table(spark, sf_dir, "lineitem")
+    if companies is not None:
+        lines = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    per_order = lines.groupBy("l_orderkey").agg(
         _sum_as("l_extendedprice * l_discount", "d"))
-    eb = (_orders_of(spark, sf_dir, companies)
-          .join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
+    eb = (orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
           .groupBy(F.col("o_custkey").alias("company_id"), _year().alias("year"))
           .agg(_sum_as("d", "ebitda_m")))
     cols = ["company_id", "year", f"year >= {int(estimate_from)} AS is_estimate", "ebitda_m"]

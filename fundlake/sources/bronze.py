@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,36 +23,48 @@ def entity_path(root: str, entity: str) -> str:
     return f"{root.rstrip('/')}/{entity}"
 
 
+class MissingDrop(FileNotFoundError):
+    """An entity has no landing files for the load date that was asked for."""
+
+
 def read_bronze(spark: SparkSession, root: str, entity: str,
-                load_date: str | None = None, multiline: bool = True) -> DataFrame:
+                load_date: str | None = None, multiline: bool = True,
+                allow_empty: bool = False) -> DataFrame:
     """All-text DataFrame of one Bronze entity (S1), one load date.
 
-    Reads the entity directory so ``load_date`` is a partition column and the
-    date filter prunes directories; the column is dropped afterwards.  With
-    no ``load_date`` every date is read.  Columns come from the header, all
-    as strings (no inference); quoted fields may hold commas, doubled quotes
-    and newlines.  Multi-line parsing reads each file in one task (files are
-    the unit of parallelism, as the landing writer produces one per task);
-    ``multiline=False`` splits large files when the producer guarantees no
-    newline inside a value.
+    One load date is read from its own folder by its own header, whatever
+    other dates' files look like.  With no ``load_date`` every date is read;
+    files whose header differs then fail the read instead of being taken by
+    position.  Columns are strings (no inference); quoted fields may hold
+    commas, doubled quotes and newlines.  Multi-line parsing reads each file
+    in one task (files are the unit of parallelism, as the landing writer
+    produces one per task); ``multiline=False`` splits large files when the
+    producer guarantees no newline inside a value.
+
+    A drop that does not exist raises :class:`MissingDrop`;
+    ``allow_empty=True`` reads it as an empty text table.
     """
     path = entity_path(root, entity)
+    leaf = path if load_date is None else f"{path}/{LOAD_DATE}={load_date}"
     try:
         df = (spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
-              .option("inferSchema", "false").option("basePath", path).csv(path))
+              .option("inferSchema", "false").option("enforceSchema", "false")
+              .option("basePath", path).csv(leaf))
     except AnalysisException as e:
-        # an empty drop lands no file at all: read it as an empty text table
         if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
             raise
+        if not allow_empty:
+            raise MissingDrop(f"no landing files for {entity} at {leaf}") from e
         return spark.createDataFrame([], text_schema(BRONZE_ENTITIES[entity][0]))
-    if load_date is not None:
-        df = df.where(F.col(LOAD_DATE).cast("string") == F.lit(load_date))
     return df.drop(LOAD_DATE)
 
 
 def read_bronze_all(spark: SparkSession, root: str, load_date: str | None = None,
-                    entities=None) -> dict[str, DataFrame]:
-    return {e: read_bronze(spark, root, e, load_date) for e in (entities or BRONZE_ENTITIES)}
+                    entities=None, multiline: bool = True,
+                    allow_empty: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """Every entity; those in ``allow_empty`` may be absent."""
+    return {e: read_bronze(spark, root, e, load_date, multiline, e in allow_empty)
+            for e in (entities or BRONZE_ENTITIES)}
 
 
 def write_bronze(df: DataFrame, root: str, entity: str, load_date: str,

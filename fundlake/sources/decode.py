@@ -15,7 +15,7 @@ CANDIDATES = ("boolean", "bigint", "double")
 
 
 def _present(x: str) -> str:
-    return f"({x} IS NOT NULL AND trim({x}) <> '')"
+    return f"({x} IS NOT NULL AND {x} <> '')"
 
 
 def _fits(x: str, t: str) -> str:

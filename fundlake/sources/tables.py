@@ -20,19 +20,20 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite",
 
     No ``coalesce(1)``: the write keeps the plan's parallelism (AQE sizes
     the last shuffle).  The count is an ``Observation`` of the write itself,
-    so the plan is not run a second time.  ``cluster_by`` range-partitions
+    taken above its last exchange, so the sampling that finds range bounds
+    is not counted.  ``cluster_by`` range-partitions
     and sorts the rows on a lookup key, so each file and row group covers a
     narrow key range and a point filter skips the rest by min/max
     statistics; ``sort_within`` only sorts inside each task's output.
     """
     obs = Observation(f"rows_{name}")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = df
     if cluster_by:
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         out = out.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
     elif sort_within:
         out = out.sortWithinPartitions(*sort_within)
-    w = out.write.mode(mode)
+    w = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(f"{root.rstrip('/')}/{name}")

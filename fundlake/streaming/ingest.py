@@ -7,13 +7,16 @@ before (tracked in the checkpoint), and ``foreachBatch`` rebuilds the Silver
 partitions of the load dates that arrived.  Rebuilding whole dates with a
 dynamic partition overwrite makes a replayed micro-batch idempotent, and the
 entities whose Silver table needs a join or a window (financials, cash
-flows) are rebuilt from the complete Bronze text of those dates.
+flows) are rebuilt from the complete Bronze text of those dates.  A table is
+rebuilt whenever any of its entities lands something, so a feed that arrives
+late is joined in; until then it counts as empty.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,13 +49,24 @@ def bronze_stream(spark: SparkSession, bronze_root: str, entity: str) -> DataFra
             .option("basePath", path).load(path))
 
 
+def _landed(spark: SparkSession, bronze_root: str, entity: str) -> bool:
+    """Whether the entity has a folder yet (a stream cannot start without one)."""
+    try:
+        spark.read.format("text").load(entity_path(bronze_root, entity))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return False
+        raise
+    return True
+
+
 def rebuild_dates(spark: SparkSession, bronze_root: str, silver_root: str, table: str,
                   dates: Sequence[str], as_of_year: int = silver.DEFAULT_AS_OF_YEAR) -> None:
     """Rebuild the Silver partitions of ``dates`` for one table (whole dates)."""
     entities, build = SILVER_SOURCES[table]
     parts = []
     for d in dates:
-        frames = [read_bronze(spark, bronze_root, e, d) for e in entities]
+        frames = [read_bronze(spark, bronze_root, e, d, allow_empty=True) for e in entities]
         df = build(*frames, as_of_year) if table == "portfolio_companies" else build(*frames)
         parts.append(df.withColumn(LOAD_DATE, F.lit(d)))
     out = parts[0]
@@ -67,21 +81,23 @@ def ingest(spark: SparkSession, bronze_root: str, silver_root: str, checkpoint_r
            as_of_year: int = silver.DEFAULT_AS_OF_YEAR) -> dict[str, int]:
     """Process every Bronze landing file not yet ingested; returns, per Silver
     table, how many load dates were rebuilt in this run."""
-    rebuilt: dict[str, int] = {}
+    rebuilt: dict[str, set[str]] = {}
     for table in tables or SILVER_SOURCES:
-        entity = SILVER_SOURCES[table][0][0]
-        rebuilt[table] = 0
-
-        def on_batch(batch: DataFrame, epoch_id: int, table=table) -> None:
-            # one small row per new load date (bounded by the dates landed)
-            dates = sorted(r[0] for r in batch.select(LOAD_DATE).distinct().collect())
-            if dates:
-                rebuild_dates(spark, bronze_root, silver_root, table, dates, as_of_year)
-                rebuilt[table] += len(dates)
-
-        q = (bronze_stream(spark, bronze_root, entity).writeStream
-             .foreachBatch(on_batch)
-             .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{table}")
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-    return rebuilt
+        rebuilt[table] = set()
+        for entity in SILVER_SOURCES[table][0]:
+
+            def on_batch(batch: DataFrame, epoch_id: int, table=table) -> None:
+                # one small row per new load date (bounded by the dates landed)
+                dates = sorted(r[0] for r in batch.select(LOAD_DATE).distinct().collect())
+                if dates:
+                    rebuild_dates(spark, bronze_root, silver_root, table, dates, as_of_year)
+                    rebuilt[table].update(dates)
+
+            if not _landed(spark, bronze_root, entity):
+                continue
+            q = (bronze_stream(spark, bronze_root, entity).writeStream
+                 .foreachBatch(on_batch)
+                 .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{table}/{entity}")
+                 .trigger(availableNow=True).start())
+            q.awaitTermination()
+    return {table: len(dates) for table, dates in rebuilt.items()}

@@ -50,3 +50,24 @@ def test_first_match_null_condition_falls_through(spark):
     df = spark.createDataFrame([(None,), (5.0,)], "x double")
     e = first_match_expr([(F.col("x") > 1, "big")], "other")
     assert [r[0] for r in df.select(e).collect()] == ["other", "big"]
+
+
+def test_sums_drop_nothing(spark):
+    def total(*values):
+        return spark.createDataFrame([(v,) for v in values], "x double").agg(exact_sum("x")).first()[0]
+    assert total(*[4e-7] * 5) == 2e-6
+    assert total(*[4e-17] * 5) == 2e-16 and total(1e33, 1.0) == 1e33
+    assert math.isnan(total(1.0, float("nan"))) and total(1.0, float("inf")) == float("inf")
+    assert total(None, None) is None and total(None, 2.5) == 2.5
+
+
+def test_rounding_happens_once(spark):
+    df = spark.createDataFrame([(1.0049999,), (0.0049996,), (1e33,), (1.005,)], "x double")
+    assert [r[0] for r in df.select(exact_round("x", 2)).collect()] == [1.0, 0.0, 1e33, 1.01]
+
+
+def test_large_ids_keep_every_digit(spark):
+    df = spark.createDataFrame([("9007199254740993",), ("9007199254740992",), ("12.0",), ("12.7",),
+                                ("x",)], "s string")
+    got = [r[0] for r in df.select(lenient_cast("s", T.LongType())).collect()]
+    assert got == [9007199254740993, 9007199254740992, 12, 12, None]

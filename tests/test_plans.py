@@ -40,7 +40,7 @@ def test_filters_and_projection_reach_the_scan(spark):
 def test_risk_summary_has_no_driver_scalars(spark):
     df = queries.risk_summary(spark, SF01)
     plan = _plan(df)
-    assert "LocalTableScan" not in plan and "BroadcastNestedLoopJoin" in plan
+    assert "LocalTableScan" not in plan and "Subquery" in plan and "NestedLoop" not in plan
 
 
 def test_one_scan_per_aggregate_bundle(spark):
@@ -70,3 +70,29 @@ def test_cagr_shares_the_company_partitioning(spark):
     plan = _plan(df).split("== Initial Plan ==")[0]
     assert len(re.findall(r"/orders\.parquet\]", plan)) == 2
     assert len(re.findall(r"/lineitem\.parquet\]", plan)) == 1
+
+
+def test_stage_aggregates_are_broadcast_without_shuffling_the_deals(spark):
+    """The aggregate's size is known when the join is planned."""
+    from fundlake.plans import gold, silver
+    plan = _plan(gold.pipeline(silver.deal_pipeline(star.deals(spark, SF01))))
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_point_lookup_cuts_lineitem_before_any_shuffle(spark):
+    df = queries.company_financials_by_id(spark, SF01)
+    df.collect()
+    plan = _plan(df).split("== Initial Plan ==")[0]
+    lines = plan.splitlines()
+    at = next(i for i, ln in enumerate(lines) if "/lineitem.parquet]" in ln)
+    above = "".join(lines[:at])
+    assert above.rfind("LeftSemi") > above.rfind("hashpartitioning(l_orderkey")
+
+
+def test_attached_scalars_must_be_one_row(spark):
+    import pytest
+    from fundlake.operators import attach_scalar
+    df = spark.range(3)
+    assert attach_scalar(df, spark.sql("SELECT 1 AS a, 2 AS b")).columns == ["id", "a", "b"]
+    with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
+        attach_scalar(df, spark.range(2).withColumnRenamed("id", "a")).collect()

@@ -126,18 +126,62 @@ def test_silver_job_quarantines_rejected_cells(spark):
     assert pc.where("employees IS NULL").count() == 3
 
 
-def test_missing_entity_reads_as_empty_and_gold_still_has_one_row(spark):
+def test_missing_entity_is_an_error_unless_allowed_and_gold_still_has_one_row(spark):
+    import pytest
     from fundlake.plans import gold
+    from fundlake.sources.bronze import MissingDrop
     root = fresh_dir(spark, "t-empty")
-    raw = read_bronze(spark, root, "portfolio-companies", "2026-01-01")
+    with pytest.raises(MissingDrop):
+        read_bronze(spark, root, "portfolio-companies", "2026-01-01")
+
+    def empty(entity):
+        return read_bronze(spark, root, entity, "2026-01-01", allow_empty=True)
+    raw = empty("portfolio-companies")
     assert raw.count() == 0 and "fmv" in raw.columns
     pc = silver.portfolio_companies(raw)
-    rs = gold.risk_summary(pc, silver.sector_breakdown(read_bronze(spark, root, "sector-breakdown")),
-                           silver.geo_breakdown(read_bronze(spark, root, "geo-breakdown")))
+    rs = gold.risk_summary(pc, silver.sector_breakdown(empty("sector-breakdown")),
+                           silver.geo_breakdown(empty("geo-breakdown")))
     rows = rs.collect()
     assert len(rows) == 1 and rows[0]["watch_count"] == 0 and rows[0]["hhi_geo"] is None
 
 
+def test_wrong_date_leaves_silver_untouched_and_counts_are_what_is_read(spark):
+    import pytest
+    from fundlake.sources.bronze import MissingDrop
+    lake = fresh_dir(spark, "t-wrong")
+    write_bronze_all(star.bronze_entities(spark, SF001), f"{lake}/bronze", "2002-01-01")
+    counts = etl.run_silver(spark, f"{lake}/bronze", f"{lake}/silver", "2002-01-01", 2002,
+                            multiline=False)
+    with pytest.raises(MissingDrop):
+        etl.run_silver(spark, f"{lake}/bronze", f"{lake}/silver", "2002-01-10", 2002)
+    for name, n in counts.items():
+        assert read_table(spark, f"{lake}/silver", name).count() == n, name
+    for name, n in etl.run_gold(spark, f"{lake}/silver", f"{lake}/gold").items():
+        assert read_table(spark, f"{lake}/gold", name).count() == n, name
+
+
+def test_each_date_is_read_by_its_own_header(spark):
+    import pytest
+    root = fresh_dir(spark, "t-two-dates")
+    write_bronze(spark.createDataFrame([("a", "1.5", "7")], "region string, fmv_m string, company_count string"),
+                 root, "geo-breakdown", "2026-01-01")
+    write_bronze(spark.createDataFrame([("8", "x", "b", "2.5")], "company_count string, extra string, region string, fmv_m string"),
+                 root, "geo-breakdown", "2026-02-01")
+    for date, want in (("2026-01-01", ("a", 1.5, 7)), ("2026-02-01", ("b", 2.5, 8))):
+        got = silver.geo_breakdown(read_bronze(spark, root, "geo-breakdown", date))
+        assert [tuple(r) for r in got.select("region", "fmv_m", "company_count").collect()] == [want]
+    with pytest.raises(Exception, match="(?i)header"):
+        read_bronze(spark, root, "geo-breakdown").collect()
+
+
+def test_quoted_values_survive_the_landing(spark):
+    root = fresh_dir(spark, "t-quoted")
+    rows = [('a "quoted" name', "x, y"), ("two\nlines", "''"), ("plain", None)]
+    write_bronze(spark.createDataFrame(rows, "sector string, fmv_m string"), root, "sector-breakdown", "2026-01-01")
+    got = read_bronze(spark, root, "sector-breakdown", "2026-01-01").collect()
+    assert sorted((r["sector"], r["fmv_m"]) for r in got) == sorted(rows, key=lambda r: r[0])
+
+
 def test_etl_command_line(spark, capsys):
     import json
     lake = fresh_dir(spark, "t-cli")

@@ -63,3 +63,27 @@ def test_several_new_dates_in_one_run(spark):
     assert sorted(str(r[0]) for r in pc.select("load_date").distinct().collect()) == \
         ["2002-03-01", "2002-04-01", "2002-05-01"]
     assert pc.count() == 450
+
+
+def test_a_late_feed_is_joined_in_and_gold_equals_batch(spark):
+    from fundlake.plans import etl
+    from fundlake.sources import write_bronze_all
+    lake = fresh_dir(spark, "t-late")
+    bronze, silver_root, ckpt = f"{lake}/bronze", f"{lake}/silver", f"{lake}/_ckpt"
+    entities = star.bronze_entities(spark, SF001)
+    late = entities.pop("company-ebitda")
+    write_bronze_all(entities, bronze, "2002-01-01")
+    ingest(spark, bronze, silver_root, ckpt, as_of_year=2002)
+    fin = read_table(spark, silver_root, "company_financials")
+    rows = fin.count()
+    assert rows and fin.where("ebitda_m IS NOT NULL").count() == 0
+    write_bronze(late, bronze, "company-ebitda", "2002-01-01")
+    assert ingest(spark, bronze, silver_root, ckpt, as_of_year=2002)["company_financials"] == 1
+    fin = read_table(spark, silver_root, "company_financials")
+    assert fin.count() == rows and fin.where("ebitda_m IS NOT NULL").count() > 0
+    etl.run_silver(spark, bronze, f"{lake}/batch", "2002-01-01", 2002)
+    etl.run_gold(spark, f"{lake}/batch", f"{lake}/gold-batch")
+    etl.run_gold(spark, silver_root, f"{lake}/gold-stream", load_date="2002-01-01")
+    for name in ("fund_kpis", "risk_summary", "company_financials"):
+        a, b = (read_table(spark, f"{lake}/{g}", name) for g in ("gold-batch", "gold-stream"))
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect())), name
