@@ -194,7 +194,7 @@ def irr_check(flows: DataFrame, key: str, date, amount, out_key: str | None = No
     """Every key whose first and last net flows differ in sign (it must have a rate),
     with ``solved``: the net present value changes sign at the rate found.
 
-    A rate that rounds to -100 % or exceeds the double range counts as solved.
+    A rate that rounds to -100 % (six places) or exceeds the double range counts as solved.
     """
     net = dated_flows(flows, key, date, amount)
     rates = irr(flows, key, date, amount, out_key="_key", scale=None, partitions=partitions)
@@ -212,5 +212,5 @@ def irr_check(flows: DataFrame, key: str, date, amount, out_key: str | None = No
     return j.groupBy("_key", "n_flows", "first_date", "last_date", "irr_pct").agg(
         F.expr(value("- 1e-6D")).alias("_low"), F.expr(value("+ 1e-6D")).alias("_high")).select(
         F.col("_key").alias(out_key or key), "n_flows", "first_date", "last_date",
-        F.coalesce((F.signum("_low") * F.signum("_high") <= 0) | (F.col("irr_pct") <= -100)
+        F.coalesce((F.signum("_low") * F.signum("_high") <= 0) | (F.round("irr_pct", 6) <= -100)
                    | (F.col("irr_pct") == float("inf")), F.lit(False)).alias("solved"))
