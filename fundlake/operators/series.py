@@ -89,31 +89,52 @@ def growth(df: DataFrame, key, order, cols: Sequence[str], tiebreak: Sequence[st
     return df.drop(*prevs)
 
 
+# Sampled keys per bucket from which the bounds are taken.
+_SAMPLED = 24
+
+
+def range_buckets(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """``df`` with ``_part``: a row's bucket, 0 to n-1, in ascending order of ``keys`` (NULLs first).
+
+    A pure function of the row and of up to n - 1 bounds.  The bounds are
+    quantiles of the keys with the smallest hashes, ``24 * n`` of them at most,
+    and enter as a scalar subquery; nothing runs while the plan is built.
+    Buckets are balanced if the keys are (nearly) unique, whatever values they
+    take.
+    """
+    names = ", ".join(q(k) for k in keys)
+    sample = (df.select(F.expr(f"struct({names})").alias("k"), F.expr(f"xxhash64({names})").alias("h"))
+                .orderBy("h").limit(_SAMPLED * n))
+    bounds = sample.agg(F.sort_array(F.collect_list("k")).alias("s")).select(F.expr(
+        f"filter(transform(sequence(1, {max(n - 1, 1)}), i -> get(s, cast(i * size(s) div {n} as int))), "
+        "x -> x IS NOT NULL)").alias("bounds")).scalar()
+    steps = ", ".join(str(1 << i) for i in range(n.bit_length(), -1, -1))
+    # binary search: how many bounds are not above the row's keys
+    part = F.expr(f"aggregate(array({steps}), 0, (low, step) -> IF(low + step <= size(_bounds) "
+                  f"AND get(_bounds, low + step - 1) <= struct({names}), low + step, low))")
+    return df.withColumn("_bounds", bounds).withColumn("_part", part).drop("_bounds")
+
+
 def _prefix(df: DataFrame, keys: Sequence[str], values: dict[str, str],
             partitions: int | None) -> DataFrame:
     """Prefix sums of ``values`` (SQL expressions of a decimal or other numeric type) in ``keys`` order.
 
-    Distributed two-pass plan (no single-partition window over rows):
-
-    1. range-partition rows on the total order ``keys`` (balanced even when
-       one order value is hot, because ``keys`` ends in a unique tie-break)
-       and checkpoint to the shared checkpoint folder, so partition ids stay
-       fixed when a lost task is recomputed;
-    2. per-partition totals -> at most ``partitions`` rows -> running sum over
-       them (the only single-partition step, bounded by ``partitions``);
-    3. broadcast those offsets (size bound: ``partitions`` rows) and add a
-       running sum inside each range partition.
-    Returns ``df`` plus ``_cum_<name>`` decimal columns.
+    One shuffle of the rows, no single-partition window over them, no files:
+
+    1. every row gets a range bucket of the total order ``keys`` (balanced
+       even when one order value is hot, because ``keys`` ends in a unique
+       tie-break);
+    2. per-bucket totals from a narrow scan, combined map-side -> at most
+       ``partitions`` rows -> running sum over them (the only
+       single-partition step, bounded by ``partitions``), broadcast;
+    3. the rows are dealt out by bucket, one task each, and a running sum
+       inside each bucket is added to the offset.
+    Returns ``df`` plus ``_cum_<name>`` columns.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.withColumns({f"_v_{k}": F.expr(v) for k, v in values.items()})
-                .repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys])
-                .withColumn("_part", F.expr("spark_partition_id()"))
-                .checkpoint(eager=True))
-    totals = ranged.groupBy("_part").agg(*[F.expr(e) for k in values for e in (
-        f"try_sum(`_v_{k}`) AS `_t_{k}`", f"count(`_v_{k}`) AS `_n_{k}`")])
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = range_buckets(df, keys, n).withColumns({f"_v_{k}": F.expr(v) for k, v in values.items()})
+    totals = (placed.groupBy("_part").agg(*[F.expr(e) for k in values for e in (
+                    f"try_sum(`_v_{k}`) AS `_t_{k}`", f"count(`_v_{k}`) AS `_n_{k}`")]))
     before = "OVER (ORDER BY _part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     offsets = totals.selectExpr("_part", *[e for k in values for e in (
         f"sum(`_t_{k}`) {before} AS `_o_{k}`",
@@ -121,7 +142,7 @@ def _prefix(df: DataFrame, keys: Sequence[str], values: dict[str, str],
     order_sql = ", ".join(f"{q(k)} ASC NULLS FIRST" for k in keys)
     inside = (f"OVER (PARTITION BY _part ORDER BY {order_sql} "
               "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
-    out = ranged.join(F.broadcast(offsets), "_part").withColumns({
+    out = placed.repartitionById(n, F.col("_part")).join(F.broadcast(offsets), "_part").withColumns({
         f"_cum_{k}": F.expr(f"CASE WHEN `_on_{k}` = 0 THEN sum(`_v_{k}`) {inside} "
                             f"WHEN count(`_v_{k}`) {inside} = 0 THEN `_o_{k}` "
                             f"ELSE `_o_{k}` + sum(`_v_{k}`) {inside} END")

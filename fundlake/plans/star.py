@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fundlake.functions.numeric import sql_round, sql_sum
 from fundlake.operators import number_rows, weights
-from fundlake.session import fresh_dir
+from fundlake.session import fresh_dir, materialize
 
 # Fixed values of the adapter (not of the engine).
 STAR_AS_OF_YEAR = 2002          # test data ends in 2001
@@ -152,12 +152,13 @@ _QUARTER_LABEL = "concat(CAST(_y AS STRING), 'Q', CAST(_q AS STRING))"
 def cashflows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped cashflows: per quarter, contributions (-F), distributions
     (+O), net; ``row_num`` numbers quarters in calendar order (D14)."""
-    q = _quarterly(spark, sf_dir)
+    # one row per quarter: numbering reads it several times
+    q = materialize(_quarterly(spark, sf_dir))
     contrib, dist = "(0.0D - coalesce(_f, 0.0D))", "coalesce(_o, 0.0D)"
     cf = q.selectExpr("_y", "_q", f"{_QUARTER_LABEL} AS quarter",
                       f"{contrib} AS contributions_m", f"{dist} AS distributions_m",
                       f"{contrib} + {dist} AS net_cashflow_m")
-    cf = number_rows(cf, ["_y", "_q"], "row_num")
+    cf = materialize(number_rows(cf, ["_y", "_q"], "row_num"))
     return cf.select("row_num", "quarter", "contributions_m", "distributions_m",
                      "net_cashflow_m")
 
