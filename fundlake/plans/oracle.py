@@ -455,3 +455,26 @@ def _corrupted_sql() -> str:
 
 
 ORACLE_SQL["cast_rejects_corrupted"] = _corrupted_sql()
+
+ORACLE_SQL["seeds_to_bronze"] = _w(FEEDS) + """
+SELECT company_id, company_name, year, CAST(is_estimate AS INTEGER) AS is_estimate, revenue_m
+FROM revenue WHERE revenue_m IS NOT NULL"""
+
+
+def _order_sql() -> str:
+    orders = {
+        "nav_history": ("nav_history", "quarter", "quarter"),
+        "cashflow": ("running_cashflows", "quarter", "row_num"),
+        "portfolio": ("portfolio_table", "id", "fmv DESC NULLS LAST, id"),
+        "sector_allocation": ("sector_allocation", "sector", "fmv_m DESC NULLS LAST, sector"),
+        "geo_allocation": ("geo_allocation", "region", "fmv_m DESC NULLS LAST, region"),
+        "pipeline": ("deal_pipeline", "id", "stage NULLS LAST, probability DESC NULLS LAST, id"),
+        "all_financials": ("company_financials", "concat_ws(' ', company_id, year)", "company_id, year, is_estimate"),
+        "leverage_bands": ("leverage_bands", "leverage_band", "leverage_band"),
+        "moic_bands": ("moic_bands", "moic_band", "moic_band")}
+    return "\nUNION ALL ".join(
+        f"SELECT '{view}' AS view, CAST({key} AS VARCHAR) AS row_key, row_number() OVER (ORDER BY {order}) AS position "
+        f"FROM ({ORACLE_SQL[name]})" for view, (name, key, order) in orders.items())
+
+
+ORACLE_SQL["served_order"] = _order_sql()

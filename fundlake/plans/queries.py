@@ -17,7 +17,7 @@ from fundlake import schemas
 from fundlake.functions.numeric import sql_avg, sql_round
 from fundlake.operators import (cagr, cast_report, flatten, global_stats, irr, irr_check, multiples_check,
                                 number_rows, running_total, unpivot_years, weighted_mean)
-from fundlake.plans import etl, gold, silver, star, views
+from fundlake.plans import etl, gold, seeds, silver, star, views
 from fundlake.session import fresh_dir, materialize
 from fundlake.sources import decode, infer_types, read_bronze, write_bronze, write_bronze_all
 from fundlake.streaming.ingest import SILVER_SOURCES
@@ -336,6 +336,54 @@ def irr_by_company(spark, sf):
     return irr(flows, "o_custkey", "o_orderdate", "amount", out_key="company_id")
 
 
+def seeds_to_bronze(spark, sf):
+    """Holdings with year maps written as nested JSON Lines, read back with the
+    entity's schema and flattened to the revenue feed."""
+    def year_map(feed: DataFrame, value: str) -> DataFrame:
+        year = F.concat(F.col("year").cast("string"), F.when(F.col("is_estimate"), F.lit("E")).otherwise(F.lit("")))
+        return feed.where(f"{value} IS NOT NULL").groupBy("company_id").agg(
+            F.map_from_entries(F.collect_list(F.struct(year, F.col(value)))).alias(value))
+
+    h = star.holdings(spark, sf, AS_OF)
+    fields = [F.col(c).alias(f) for f, c in seeds.COMPANY_FIELDS.items()]
+    maps = year_map(star.revenue(spark, sf), "revenue_m").join(
+        year_map(star.ebitda(spark, sf), "ebitda_m"), "company_id", "left")
+    nested = h.join(maps, h["id"] == maps["company_id"]).select(
+        *fields, F.col("revenue_m").alias("revenue"), F.col("ebitda_m").alias("ebitda"))
+    path = fresh_dir(spark, "seeds")
+    nested.write.json(path)
+    companies = seeds.read_records(spark, path, seeds.COMPANY_FIELDS,
+                                   (("revenue", seeds.YEAR_MAP), ("ebitda", seeds.YEAR_MAP)))
+    return seeds.companies_to_bronze(companies)["company-revenue"]
+
+
+# Serving views whose order is compared row by row, and the columns that name a row.
+ORDERED_VIEWS = {"nav_history": ("nav_history", "quarter"), "cashflow": ("cashflow_jcurve", "quarter"),
+                 "portfolio": ("portfolio_table", "id"), "sector_allocation": ("sector_allocation", "sector"),
+                 "geo_allocation": ("geo_allocation", "region"), "pipeline": ("pipeline", "id"),
+                 "all_financials": ("company_financials", "concat_ws(' ', company_id, year)"),
+                 "leverage_bands": ("risk_leverage_bands", "leverage_band"),
+                 "moic_bands": ("risk_moic_bands", "moic_band")}
+
+
+def served_order(spark, sf):
+    """Position of every row in the served order of the nine ordered views."""
+    pc, fin = materialize(_portco(spark, sf)), materialize(_fin(spark, sf))
+    tables = {
+        "nav_history": gold.nav_history(silver.fund_history(star.fund_history(spark, sf))),
+        "cashflow_jcurve": gold.cashflow_jcurve(silver.quarterly_cashflows(star.cashflows(spark, sf))),
+        "portfolio_table": gold.portfolio_table(pc, fin), "pipeline": gold.pipeline(_pl(spark, sf)),
+        "sector_allocation": gold.sector_allocation(_sb(spark, sf)), "geo_allocation": gold.geo_allocation(_gb(spark, sf)),
+        "company_financials": gold.company_financials(fin), "risk_leverage_bands": gold.risk_leverage_bands(pc),
+        "risk_moic_bands": gold.risk_moic_bands(pc)}
+    # the id of a row in its sorted partition rises with the order; it is fixed before it is counted
+    rows = [materialize(views.serve(spark, view, {name: tables[name]}).select(
+        F.lit(view).alias("view"), F.expr(f"CAST({key} AS STRING)").alias("row_key"), F.monotonically_increasing_id().alias("_at")))
+        for view, (name, key) in ORDERED_VIEWS.items()]
+    placed = functools.reduce(DataFrame.unionByName, [number_rows(r, "_at", "position") for r in rows])
+    return placed.select("view", "row_key", "position")
+
+
 def irr_check_(spark, sf):
     """X2 verified: every company that must have a rate has one at which its value changes sign."""
     o = star.table(spark, sf, "orders")
@@ -392,5 +440,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "company_by_literal_id": company_by_literal_id,
     "cast_rejects_corrupted": cast_rejects_corrupted,
     "layers_roundtrip": layers_roundtrip,
+    "seeds_to_bronze": seeds_to_bronze,
+    "served_order": served_order,
     **{f"text_{t}": _from_text(t) for t in SILVER_SOURCES if t != "portfolio_companies"},
 }

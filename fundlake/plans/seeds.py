@@ -94,8 +94,8 @@ def records_to_bronze(spark: SparkSession, paths: Mapping[str, str]) -> dict[str
     history, pipeline, sectors, geo.
 
     Row numbers (D14) follow an explicit order, since input position is not
-    defined across files: cash flows by parsed quarter, deals by stage and
-    name.
+    defined across files: cash flows by parsed quarter, deals by stage, name
+    and then all other columns, so that only equal deals could swap ids.
     """
     out = companies_to_bronze(read_records(
         spark, paths["companies"], COMPANY_FIELDS, (("revenue", YEAR_MAP), ("ebitda", YEAR_MAP))))
@@ -108,7 +108,8 @@ def records_to_bronze(spark: SparkSession, paths: Mapping[str, str]) -> dict[str
     out["fund-history"] = flatten(read_records(spark, paths["history"], HISTORY_FIELDS),
                                   HISTORY_FIELDS)
     deals = flatten(read_records(spark, paths["pipeline"], DEAL_FIELDS), DEAL_FIELDS)
-    out["deal-pipeline"] = number_rows(deals, ["stage", "name"], "id").select(
+    rest = [c for c in DEAL_FIELDS.values() if c not in ("stage", "name")]
+    out["deal-pipeline"] = number_rows(deals, ["stage", "name"], "id", tiebreak=rest).select(
         "id", *DEAL_FIELDS.values())
     out["sector-breakdown"] = flatten(read_records(spark, paths["sectors"], SECTOR_FIELDS),
                                       SECTOR_FIELDS)
