@@ -42,14 +42,26 @@ SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four":
            "seven": "7", "eight": "8", "nine": "9"}
 
 _DIGIT_WORD = "(?:" + "|".join(SPELLED) + ")"
-_SPELLED_RUN = re.compile(rf"(?<![A-Za-z]){_DIGIT_WORD}(?:[ ,.-]{{0,2}}(?:(?:dot|point)[ ]?)?(?<![A-Za-z]){_DIGIT_WORD}(?![A-Za-z])|[ -]?[0-9]+(?![A-Za-z0-9]))+(?![A-Za-z])", re.I)
-_SPELLED_ITEM = re.compile(rf"{_DIGIT_WORD}|dot|point|[0-9]|[ ,.-]+", re.I)
-_PLUS = re.compile(r"(?<![A-Za-z])plus[ ](?=[0-9]|" + _DIGIT_WORD + ")", re.I)
+_SPELLED_RUN = re.compile(rf"(?<![A-Za-z]){_DIGIT_WORD}(?:[ ,.()-]{{0,3}}(?:(?:dot|point)[ ]?)?(?<![A-Za-z]){_DIGIT_WORD}(?![A-Za-z])|[ -]?[0-9]+(?![A-Za-z0-9]))+(?![A-Za-z])", re.I)
+_SPELLED_ITEM = re.compile(rf"{_DIGIT_WORD}|dot|point|[0-9]|[.]|[ ,()-]+", re.I)
+_PLUS = re.compile(r"(?<![A-Za-z])plus[ ](?=[0-9])", re.I)
 _BRACKET_AT = re.compile(r"[ ]{0,2}[\[({<][ ]{0,2}(?:at|@|arroba)[ ]{0,2}[\])}>][ ]{0,2}", re.I)
 _BRACKET_DOT = re.compile(r"[ ]{0,2}[\[({<][ ]{0,2}(?:dot|\.|punkt|punto)[ ]{0,2}[\])}>][ ]{0,2}", re.I)
-_WORD_AT = re.compile(r"(?<=[A-Za-z0-9_%+-])[ ]{1,2}(?:at|@)[ ]{1,2}(?=[A-Za-z0-9-]{1,63}(?:[ ]{1,2}dot[ ]{1,2}[A-Za-z0-9-]{1,63}){1,4}(?![A-Za-z0-9]))", re.I)
-_WORD_DOT = re.compile(r"(?<=[A-Za-z0-9])[ ]{1,2}dot[ ]{1,2}(?=[A-Za-z0-9])", re.I)
+_GAPS = (("[ ]{1,2}", "[A-Za-z0-9-]"), ("_", "[A-Za-z0-9-]"), ("-", "[A-Za-z0-9]"))
+_WORD_AT = re.compile("|".join(
+    rf"(?<=[A-Za-z0-9_%+-]){gap}at{gap}(?={label}{{1,63}}(?:{gap}dot{gap}{label}{{1,63}}){{1,4}}(?![A-Za-z0-9]))" for gap, label in _GAPS), re.I)
+_WORD_DOT = re.compile("|".join(rf"(?<=[A-Za-z0-9]){gap}dot{gap}(?=[A-Za-z0-9])" for gap, _ in _GAPS), re.I)
+# before a plain domain only what cannot be a word of prose counts as the local part
+_NAME = re.compile(r"(?:[A-Za-z0-9._%+-]*[A-Za-z][A-Za-z0-9._%+-]*[0-9_]|[A-Za-z]+[._][A-Za-z]{2,}|[A-Za-z][A-Za-z0-9._%+-]*[0-9_][A-Za-z0-9._%+-]*)\Z")
+_PLAIN_DOMAIN = re.compile(r"[A-Za-z0-9-]{1,63}(?:[.][A-Za-z0-9-]{1,63})*[.][A-Za-z]{2,24}(?![A-Za-z0-9])")
+# letters that stand for digits inside a long number; every part of it has a digit
+_PART = "(?=[OoIl]{0,9}[0-9])[0-9OoIl]+"
+_MIXED_NUMBER = re.compile(rf"(?<![A-Za-z0-9]){_PART}(?:[ ().-]{{1,2}}{_PART})*(?![A-Za-z0-9])")
+_AS_DIGIT = {"O": "0", "o": "0", "I": "1", "l": "1"}
 _SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])(?:[ ]{1,2}@[ ]{0,2}|@[ ]{1,2})(?=[A-Za-z0-9-]{1,63}\.[A-Za-z0-9-])")
+_AT_LEFT = re.compile(r"[A-Za-z0-9_%+-]*@[A-Za-z0-9.-]*(?:[ _-]{1,2}dot[ _-]{1,2}[A-Za-z0-9-]+)*\Z", re.I)
+_AT_RIGHT = re.compile(r"[A-Za-z0-9._%+-]+(?:[ _-]{1,2}dot[ _-]{1,2}[A-Za-z0-9._%+-]+)*@", re.I)
+_DIGIT = re.compile("[0-9]")
 _ODD = re.compile("[" + re.escape("".join(LOOKALIKES) + INVISIBLE) + "]")
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -170,18 +182,39 @@ def rewrite(text: str) -> Rewritten:
         if "@" in out.text and "dot" in low:
             _word_dots(out)
         _signs(out, _SPACED_AT, "@")
+    _name_ats(out)
     if _SPELLED_RUN.search(out.text):
         _spelled(out)
         _signs(out, _PLUS, "+")
+    if _DIGIT.search(out.text):
+        _mixed_numbers(out)
     return out
 
 
+def _name_ats(out: Rewritten) -> None:
+    """`` at `` between an account's name and a plain domain."""
+    edits, at = [], out.text.find(" at ")
+    while at >= 0:
+        if _PLAIN_DOMAIN.match(out.text, at + 4) and _NAME.match("".join(out.text[max(0, at - 64):at].split()[-1:])):
+            edits.append((at, at + 4, [("@", at, at + 4)]))
+        at = out.text.find(" at ", at + 4)
+    out.replace(edits)
+
+
+def _mixed_numbers(out: Rewritten) -> None:
+    edits = []
+    for number in _MIXED_NUMBER.finditer(out.text):
+        if len(number[0]) >= 9 and sum("0" <= c <= "9" for c in number[0]) >= 6:
+            edits += [(i, i + 1, [(_AS_DIGIT[c], i, i + 1)]) for i, c in enumerate(number[0], number.start()) if c in _AS_DIGIT]
+    out.replace(edits)
+
+
 def _word_dots(out: Rewritten) -> None:
     """`` dot `` counts in what touches an at sign: the words that it chains to the sign's left or right."""
     edits, text = [], out.text
     for m in _WORD_DOT.finditer(text):
-        left = re.compile(r"[A-Za-z0-9_%+-]*@[A-Za-z0-9.-]*(?: {1,2}dot {1,2}[A-Za-z0-9-]+)*\Z", re.I).search(text, max(0, m.start() - 300), m.start())
-        right = re.compile(r"[A-Za-z0-9._%+-]+(?: {1,2}dot {1,2}[A-Za-z0-9._%+-]+)*@", re.I).match(text, m.end(), m.end() + 300)
+        left = _AT_LEFT.search(text, max(0, m.start() - 300), m.start())
+        right = _AT_RIGHT.match(text, m.end(), m.end() + 300)
         if left or right:
             edits.append((m.start(), m.end(), [(".", m.start(), m.end())]))
     out.replace(edits)
