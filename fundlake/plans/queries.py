@@ -313,8 +313,10 @@ def infer_types_(spark, sf):
 def decode_text(spark, sf):
     """holdings' Bronze text decoded per column to its narrowest type
     (one inference aggregate; its per-column result is schema-sized).  The
-    text is read twice (inference, then decoding), so it is computed once."""
-    return decode(materialize(_holdings_text(spark, sf)))
+    text is read twice (inference, then decoding), so it is written once."""
+    path = fresh_dir(spark, "text")
+    _holdings_text(spark, sf).write.parquet(path)
+    return decode(spark.read.parquet(path))
 
 
 def cast_rejects(spark, sf):

@@ -18,29 +18,27 @@ def _present(x: str) -> str:
     return f"({x} IS NOT NULL AND {x} <> '')"
 
 
-def _fits(x: str, t: str) -> str:
-    if t == "boolean":
-        return f"lower(trim({x})) IN ('true', 'false')"
-    if t == "bigint":
-        return f"(trim({x}) RLIKE '^[+-]?[0-9]+$' AND try_cast({x} AS BIGINT) IS NOT NULL)"
-    return f"try_cast({x} AS {t.upper()}) IS NOT NULL"
+def _class(x: str) -> str:
+    """Bitmask of the candidate types that a present cell casts to: a cell that is no double can
+    only be a boolean, one that is a double may be a bigint too."""
+    return (f"CASE WHEN try_cast({x} AS DOUBLE) IS NULL THEN IF(lower(trim({x})) IN ('true', 'false'), 1, 0) "
+            f"WHEN trim({x}) RLIKE '^[+-]?[0-9]+$' AND try_cast({x} AS BIGINT) IS NOT NULL THEN 6 ELSE 4 END")
 
 
 def infer_types(df: DataFrame) -> DataFrame:
     """(column_name, inferred_type, present_rows) for every column of ``df``.
 
-    Each present cell gets a bitmask of the candidate types it casts to;
+    Each present cell gets a bitmask of the candidate types it casts to, once;
     ``bit_and`` over the column keeps the types every value fits.  One global
     aggregate (partial per partition, so it scales with the table), then one
     small row per column.
     """
-    aggs = []
+    cells, aggs = [], []
     for i, name in enumerate(df.columns):
         x = f"CAST({q(name)} AS STRING)"
-        mask = " | ".join(f"IF({_fits(x, t)}, {1 << b}, 0)" for b, t in enumerate(CANDIDATES))
-        aggs += [f"count_if({_present(x)}) AS `n{i}`",
-                 f"bit_and(CASE WHEN {_present(x)} THEN {mask} END) AS `m{i}`"]
-    one = df.selectExpr(*aggs)
+        cells.append(f"CASE WHEN {_present(x)} THEN {_class(x)} END AS `c{i}`")
+        aggs += [f"count(`c{i}`) AS `n{i}`", f"bit_and(`c{i}`) AS `m{i}`"]
+    one = df.selectExpr(*cells).selectExpr(*aggs)
     rows = []
     for i, name in enumerate(df.columns):
         arms = " ".join(f"WHEN `m{i}` & {1 << b} <> 0 THEN '{t}'"
