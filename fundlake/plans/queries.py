@@ -162,7 +162,7 @@ def company_financials_by_id(spark, sf):
     # those orders by a semi join whose small side has a known size.
     fin = silver.company_financials(star.revenue(spark, sf, companies=top),
                                     star.ebitda(spark, sf, companies=top))
-    return gold.company_financials(fin).orderBy("year")
+    return gold.company_financials(fin).orderBy(F.col("year").asc_nulls_last(), "is_estimate")
 
 
 def company_by_literal_id(spark, sf):

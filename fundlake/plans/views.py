@@ -25,7 +25,7 @@ QUARTER_KEY = ("CASE WHEN quarter RLIKE '^[0-9]{4}Q[1-4]$' "
 
 # The serving queries (view name -> SQL; {t} is the Gold table).
 VIEW_SQL = {
-    "fund_kpis": "SELECT * FROM {t} LIMIT 1",
+    "fund_kpis": "SELECT * FROM {t} ORDER BY ALL LIMIT 1",
     "nav_history": f"SELECT * FROM {{t}} ORDER BY {QUARTER_KEY} ASC NULLS LAST, "
                    "quarter ASC NULLS LAST",
     "cashflow": "SELECT * FROM {t} ORDER BY row_num ASC NULLS LAST",
@@ -38,7 +38,7 @@ VIEW_SQL = {
     "geo_allocation": "SELECT * FROM {t} ORDER BY fmv_m DESC NULLS LAST, region",
     "pipeline": "SELECT * FROM {t} ORDER BY stage ASC NULLS LAST, "
                 "probability DESC NULLS LAST, id ASC NULLS LAST",
-    "risk_summary": "SELECT * FROM {t} LIMIT 1",
+    "risk_summary": "SELECT * FROM {t} ORDER BY ALL LIMIT 1",
     "leverage_bands": "SELECT * FROM {t} ORDER BY leverage_band ASC NULLS LAST",
     "moic_bands": "SELECT * FROM {t} ORDER BY moic_band ASC NULLS LAST",
 }
