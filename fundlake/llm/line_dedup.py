@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_column, free_names
+from .common import as_column, free_names, staged
 
 WIDTH = 3
 
@@ -38,13 +38,14 @@ def repeated_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, tag, starts): the windows of each document that occur earlier; ``docs`` has doc_id and text.
 
     The first places come from a map-side combined minimum per hash, so a
-    window that a third of all documents hold stays one row per task there; the
-    join back is a plain equi-join, which adaptive execution splits.
+    window that a third of all documents hold stays one row per task there.
+    They are staged, so the join back has plain shuffles on both sides, and
+    adaptive execution splits its hot windows.
     """
     windows = _windows(docs, width)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("tag"), F.col("at"))
-    first = (windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-             .where("first != last").select("h1", "h2", "first"))
+    first = staged(windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                   .where("first != last").select("h1", "h2", "first"), "line-first")
     later = windows.join(first, ["h1", "h2"]).where(place != F.col("first"))
     return later.groupBy("doc_id", "tag").agg(F.collect_set("at").alias("starts"))
 

@@ -85,18 +85,18 @@ def symbols(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def chunked(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(chunks by CHUNK as symbols, padded; first chunk of each text): every byte is in a chunk, every filter place too."""
+def layout(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begin of each chunk, end of its text, first chunk of each text): every byte is in a chunk, every filter place too."""
     lengths = np.diff(offsets)
     counts = np.where(lengths > 0, 1 + np.maximum(0, -(-(lengths - CHUNK) // STEP)), 0)
     first = np.concatenate([[0], np.cumsum(counts)])
     text = np.repeat(np.arange(len(lengths)), counts)
-    begin = offsets[:-1][text] + (np.arange(first[-1]) - first[:-1][text]) * STEP
-    at = begin[:, None] + np.arange(CHUNK)
-    inside = at < offsets[1:][text][:, None]
-    out = np.full(at.shape, _PAD, np.int16)
-    out[inside] = symbols(data, offsets)[at[inside]]
-    return out, first
+    return offsets[:-1][text] + (np.arange(first[-1]) - first[:-1][text]) * STEP, offsets[1:][text], first
+
+
+def _symbols_at(marked: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Symbols at places, padding from ``end`` on."""
+    return np.where(at < end, marked[np.minimum(at, len(marked) - 1)], np.int16(_PAD))
 
 
 def _places(embedded: np.ndarray, phase: int) -> np.ndarray:
@@ -105,13 +105,15 @@ def _places(embedded: np.ndarray, phase: int) -> np.ndarray:
     return embedded[:, phase:phase + n * WIDTH].reshape(len(embedded), n, WIDTH * DIM)
 
 
-def pooled(net: Network, chunks: np.ndarray, with_places: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
-    """Each filter's largest answer in each chunk and, if asked for, where it is."""
-    best = np.full((len(chunks), FILTERS), -np.inf, np.float32)
-    where = np.zeros((len(chunks), FILTERS), np.int64) if with_places else None
-    for a in range(0, len(chunks), _SLAB):
-        embedded = net.embed[chunks[a:a + _SLAB]]
-        part = best[a:a + _SLAB]
+def pooled(net: Network, marked: np.ndarray, begin: np.ndarray, end: np.ndarray,
+           with_places: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    """Each filter's largest answer in each chunk and, if asked for, where it is; a slab of chunks at a time."""
+    best = np.full((len(begin), FILTERS), -np.inf, np.float32)
+    where = np.zeros((len(begin), FILTERS), np.int64) if with_places else None
+    for a in range(0, len(begin), _SLAB):
+        slab = slice(a, a + _SLAB)
+        embedded = net.embed[_symbols_at(marked, begin[slab, None] + np.arange(CHUNK), end[slab, None])]
+        part = best[slab]
         for phase in range(0, WIDTH, STRIDE):
             answers = _places(embedded, phase) @ net.filters
             if where is None:
@@ -120,7 +122,7 @@ def pooled(net: Network, chunks: np.ndarray, with_places: bool = False) -> tuple
                 at = answers.argmax(axis=1)
                 top = np.take_along_axis(answers, at[:, None], 1)[:, 0]
                 better = top > part
-                where[a:a + _SLAB][better] = (at * WIDTH + phase)[better]
+                where[slab][better] = (at * WIDTH + phase)[better]
                 part[better] = top[better]
     return best, where
 
@@ -139,8 +141,8 @@ def _combine(net: Network, answers: np.ndarray, first: np.ndarray) -> tuple[np.n
 
 
 def probabilities(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    chunks, first = chunked(data, offsets)
-    odds = _combine(net, pooled(net, chunks)[0], first)[1].astype(float)
+    begin, end, first = layout(offsets)
+    odds = _combine(net, pooled(net, symbols(data, offsets), begin, end)[0], first)[1].astype(float)
     return 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
 
 
@@ -183,8 +185,9 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 8, batch: int =
 def _gradients(p: dict[str, np.ndarray], texts: list[bytes], labels: np.ndarray) -> dict[str, np.ndarray]:
     net = Network(p["embed"], p["filters"], p["bias"], p["weights"], float(p["offset"][0]))
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
-    chunks, first = chunked(np.frombuffer(b"".join(texts), np.uint8), offsets)
-    answers, where = pooled(net, chunks, with_places=True)
+    marked = symbols(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    begin, end, first = layout(offsets)
+    answers, where = pooled(net, marked, begin, end, with_places=True)
     features, odds = _combine(net, answers, first)
     error = ((1 / (1 + np.exp(-np.clip(odds, -60, 60)))) - labels).astype(np.float32) / len(texts)
     text = np.repeat(np.arange(len(texts)), np.diff(first))
@@ -198,7 +201,7 @@ def _gradients(p: dict[str, np.ndarray], texts: list[bytes], labels: np.ndarray)
     d_filters, d_embed = np.zeros_like(p["filters"]), np.zeros_like(p["embed"])
     at = where[row, f]
     for k in range(WIDTH):
-        byte = chunks[row, at + k]
+        byte = _symbols_at(marked, begin[row] + at + k, end[row])
         embedded = net.embed[byte] * d[:, None]
         part = slice(k * DIM, (k + 1) * DIM)
         down = net.filters[part][:, f].T * d[:, None]
@@ -254,4 +257,6 @@ def keep_good(docs: DataFrame, net: Network, text_col: str = "text", threshold:
             texts = batch.column(at)
             yield batch.filter(pa.array(_scores(shared.value, texts) >= threshold))
 
-    return docs.mapInArrow(keep, docs.schema)
+    # plain names in between: a mapped DataFrame may not have dots in its column names
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)

@@ -107,14 +107,22 @@ def test_quality_of_awkward_rows(spark):
 
 def test_chunks_cover_every_byte_and_filter_place():
     for n in (0, 1, 7, 480, 511, 512, 513, 992, 993, 5000):
-        data = np.arange(n).astype(np.uint8)
-        chunks, first = quality.chunked(data, np.array([0, n]))
-        assert len(chunks) == first[-1] and (n == 0) == (len(chunks) == 0)
-        at = np.concatenate([np.arange(i * quality.STEP, min(n, i * quality.STEP + quality.CHUNK)) for i in range(len(chunks))] or [np.empty(0, int)])
-        assert set(at.tolist()) == set(range(n))
+        begin, end, first = quality.layout(np.array([3, 3 + n]))
+        assert len(begin) == first[-1] and (n == 0) == (len(begin) == 0) and set(end.tolist()) <= {3 + n}
+        places = [p for b in begin.tolist() for p in range(b, b + quality.CHUNK) if p < 3 + n]
+        assert set(places) == set(range(3, 3 + n))
         assert quality.CHUNK - quality.STEP >= quality.WIDTH
 
 
+def test_repetition_is_marked_within_texts_only():
+    texts = [b"reen reen reen", b"reen", b"abcabcabcabc", b"no such thing"]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    marks = quality.symbols(np.frombuffer(b"".join(texts), np.uint8), offsets) >= 256
+    parts = [marks[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    assert parts[0].tolist() == [False] * 8 + [True] * 6 and not parts[1].any() and not parts[3].any()
+    assert parts[2].tolist() == [False] * 6 + [True] * 6
+
+
 def test_scores_do_not_depend_on_neighbours():
     rng = random.Random(5)
     texts = [words(rng, rng.randint(1, 300)).encode() for _ in range(30)]
