@@ -4,7 +4,8 @@ Stage one sorts directly only the suffixes that are smaller than their
 successors; stage two finds the place of every other suffix by scanning the
 buckets (suffixes by first symbol) in ascending order: a scanned suffix's
 predecessor, if larger, is next in its own bucket.  Comparisons end at a given
-depth, beyond which the order of equal suffixes is left open.
+depth, beyond which the order of equal suffixes is left open.  If only some
+places are wanted, a suffix that no wanted one is induced from is left out.
 """
 
 from __future__ import annotations
@@ -38,25 +39,27 @@ def smaller_than_successor(symbols: np.ndarray) -> np.ndarray:
 
 def sort_directly(word: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
     """``places`` in the order of the suffixes there, compared over ``depth`` symbols, a word at a time."""
-    places = places[np.argsort(word[places], kind="stable")]
+    places = places[np.argsort(word[places])]
     run = np.concatenate([[0], np.cumsum(word[places[1:]] != word[places[:-1]])]) if len(places) else np.empty(0, np.int64)
     active = _tied(run)
     done = WORD
     last = len(word) - 1
     while done < depth and len(active):
-        group, here = run[active], places[active]
-        key = word[np.minimum(here + done, last)]
-        order = np.lexsort((key, group))
-        here, key = here[order], key[order]
-        places[active] = here
-        new = np.empty(len(active), bool)
-        new[0] = True
-        new[1:] = (group[1:] != group[:-1]) | (key[1:] != key[:-1])
-        # run numbers only have to tell groups apart: the first place of each will do
-        first = np.maximum.accumulate(np.where(new, active, 0))
-        run[active] = first + len(run)
-        alone = new & np.append(new[1:], True)
-        active = active[~alone]
+        here, key = places[active], word[np.minimum(places[active] + done, last)]
+        begins = np.concatenate([[True], run[active[1:]] != run[active[:-1]]])
+        group = np.cumsum(begins) - 1
+        # a group whose next words are all equal stays as it is
+        mixed = np.zeros(int(group[-1]) + 1, bool)
+        mixed[group[key != key[np.flatnonzero(begins)][group]]] = True
+        sort = np.flatnonzero(mixed[group])
+        if len(sort):
+            order = sort[np.lexsort((key[sort], group[sort]))]
+            here[sort], key[sort] = here[order], key[order]
+            places[active] = here
+            begins[1:] |= key[1:] != key[:-1]
+            # run numbers only have to tell groups apart: the first place of each will do
+            run[active] = np.maximum.accumulate(np.where(begins, active, 0)) + len(run)
+            active = active[~(begins & np.append(begins[1:], True))]
         done += WORD
     return places
 
@@ -68,23 +71,33 @@ def _tied(run: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(same, False) | np.concatenate([[False], same]))
 
 
-def suffix_array(symbols: np.ndarray, word: np.ndarray, depth: int) -> np.ndarray:
-    """Places of all suffixes in ascending order over at least ``depth`` symbols."""
+def suffix_array(symbols: np.ndarray, word: np.ndarray, depth: int, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Places of the wanted suffixes (all by default), and of those that they are induced from, in
+    ascending order over at least ``depth`` symbols."""
     n = len(symbols)
     if not n:
         return np.empty(0, np.int64)
     direct = smaller_than_successor(symbols)
-    ordered = sort_directly(word, np.flatnonzero(direct), depth)
+    live = np.ones(n, bool)
+    if wanted is not None:
+        # a place is live if a wanted one lies between the directly sorted place before it and itself
+        run = np.cumsum(direct) - direct
+        places = np.flatnonzero(wanted)
+        begin = np.full(int(run[-1]) + 1, n)
+        np.minimum.at(begin, run[places], places)
+        live = np.arange(n) >= begin[run]
+    ordered = sort_directly(word, np.flatnonzero(direct & live), depth)
     first = symbols[ordered]
     begins = np.searchsorted(first, np.arange(int(symbols.max()) + 2))
     larger: list[list[np.ndarray]] = [[] for _ in range(int(symbols.max()) + 1)]
-    larger[symbols[-1]].append(np.array([n - 1]))  # what the empty suffix, scanned first, induces
+    if live[-1]:
+        larger[symbols[-1]].append(np.array([n - 1]))  # what the empty suffix, scanned first, induces
     out = []
 
     def induce(scanned: np.ndarray, bucket: int) -> list[np.ndarray]:
         """Deals out the predecessors that are larger; returns those of this very bucket."""
         before = scanned[scanned > 0] - 1
-        before = before[~direct[before]]
+        before = before[~direct[before] & live[before]]
         symbol = symbols[before]
         order = np.argsort(symbol, kind="stable")
         before, symbol = before[order], symbol[order]
@@ -113,10 +126,10 @@ def common_prefixes(word: np.ndarray, order: np.ndarray, limit: int) -> np.ndarr
     alive, done, last = np.arange(len(lengths)), 0, len(word) - 1
     while done < limit and len(alive):
         differ = word[np.minimum(order[alive] + done, last)] ^ word[np.minimum(order[alive + 1] + done, last)]
-        for k in range(1, WORD):
-            lengths[alive] += (differ >> np.uint64(SYMBOL_BITS * (WORD - k))) == 0
         same = differ == 0
-        lengths[alive[same]] += 1
+        ended, rest = alive[~same], differ[~same]
+        lengths[ended] = done + sum((rest >> np.uint64(SYMBOL_BITS * (WORD - k))) == 0 for k in range(1, WORD))
         alive = alive[same]
         done += WORD
+    lengths[alive] = limit
     return np.minimum(lengths, limit)

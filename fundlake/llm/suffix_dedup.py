@@ -145,7 +145,7 @@ def repeated_windows(parts: list[bytes], windows: np.ndarray, counts: np.ndarray
     place = np.repeat(begins - offset, windows) + np.arange(int(windows.sum()))
     owned = np.full(len(symbols), -1)
     owned[place] = np.arange(len(place))
-    order = suffix_array(symbols, word, length)
+    order = suffix_array(symbols, word, length, owned >= 0)
     order = order[owned[order] >= 0]
     again = common_prefixes(word, order, length) >= length
     out = np.repeat(counts > 1, windows)
@@ -216,7 +216,8 @@ def _by_window(texts: DataFrame, length: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, tag, spans): for each document [from, to, ...] of bytes in repeated strings, unmerged; ``docs`` has doc_id, tag and text."""
     every = staged(_anchored(docs, length), "suffix-segments")
-    twice = every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # staged, so that both sides of the join come from plain shuffles, whose hot anchors can be split
+    twice = staged(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "suffix-twice")
     shared = staged(every.join(twice, "anchor"), "suffix-shared")
     texts = staged(_texts(docs, shared, length), "suffix-texts")
     sizes = texts.groupBy("anchor").agg(F.sum(F.octet_length("segment")).alias("bytes")).where(F.col("bytes") > ANCHOR_BYTES).select("anchor")
