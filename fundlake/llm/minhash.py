@@ -14,7 +14,8 @@ Linking goes by components, so no group is compared all with all:
 1. equal sets collapse into a class first;
 2. in a band's bucket of at most ``SMALL`` classes all pairs are candidates, in
    a larger one those with a few centres; each class verifies its likeliest
-   candidate first, and afterwards only candidates in another component;
+   candidate first, and afterwards only those candidates of small buckets that
+   lie in another component;
 3. the classes of larger buckets that still lie in several components are
    compared exactly, in tiles of bounded size, and only links that join
    components are put out.  So centres lose nothing.
@@ -119,21 +120,24 @@ def _buckets(classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(band), pa.array(np.repeat(rows, BANDS))], names=["band", "cid"])
 
     every = classes.select("cid", "bands").mapInArrow(keys, "band long, cid long")
-    shared = every.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    # staged, so that both sides of the join come from plain shuffles, whose hot bands can be split
+    shared = staged(every.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"), "minhash-shared")
     return every.join(shared, "band")
 
 
 def _candidates(members: DataFrame) -> DataFrame:
-    """(a, b, times): each class with the other classes of its small buckets, and with the centres of its large ones."""
+    """(a, b, times, small): each class with the other classes of its small buckets (``small``), and with the centres of its large ones."""
     small = members.where(F.col("size") <= SMALL).groupBy("band").agg(F.sort_array(F.collect_list("cid")).alias("cids"))
     pairs = small.select(F.explode(F.expr(
         "flatten(transform(cids, (x, i) -> transform(slice(cids, i + 2, size(cids)), y -> named_struct('a', x, 'b', y))))")).alias("p")).select("p.*")
     large = members.where(F.col("size") > SMALL)
     turn = [F.min("cid").alias("c0"), *[F.min(F.struct(F.xxhash64("cid", "band", F.lit(k)), F.col("cid")))["cid"].alias(f"c{k}") for k in range(1, CENTRES)]]
-    centres = large.groupBy("band").agg(*turn).select("band", F.array_distinct(F.array(*[f"c{k}" for k in range(CENTRES)])).alias("centres"))
+    centres = staged(large.groupBy("band").agg(*turn).select("band", F.array_distinct(F.array(*[f"c{k}" for k in range(CENTRES)])).alias("centres")),
+                     "minhash-centres")
     stars = (large.join(centres, "band").select("cid", F.explode("centres").alias("c")).where("cid != c")
              .select(F.least("cid", "c").alias("a"), F.greatest("cid", "c").alias("b")))
-    return pairs.unionByName(stars).groupBy("a", "b").agg(F.count("*").alias("times"))
+    every = pairs.withColumn("small", F.lit(True)).unionByName(stars.withColumn("small", F.lit(False)))
+    return every.groupBy("a", "b").agg(F.count("*").alias("times"), F.max("small").alias("small"))
 
 
 def _full_sets(docs: DataFrame, classes: DataFrame, needed: DataFrame) -> DataFrame:
@@ -244,7 +248,8 @@ def _linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     best = pairs.select(F.col("b").alias("cid"), F.struct(-F.col("times"), "a", "b").alias("p")).groupBy("cid").agg(F.min("p").alias("p")).select("p.a", "p.b")
     links = staged(_verified(best, sets), "minhash-links")
     labels = components(links, "minhash-first")
-    more = staged(_verified(_apart(pairs.join(best, ["a", "b"], "left_anti"), labels), sets), "minhash-links")
+    # of large buckets, the tiles compare what is still apart
+    more = staged(_verified(_apart(pairs.where("small").join(best, ["a", "b"], "left_anti"), labels), sets), "minhash-links")
     links = links.unionByName(more)
     labels = components(links, "minhash-second")
     rest = _rest_links(members, labels, sets)
