@@ -57,8 +57,13 @@ def topic_of(text: Column, rules: Mapping[str, str]) -> Column:
     padded = F.concat(F.lit(" "), text)
     counts = F.array(*[F.regexp_count(padded, F.lit(p)) for p in rules.values()])
     names = F.array(*[F.lit(n) for n in rules])
-    most = F.array_max(counts)
-    return F.when(most > 0, F.get(names, (F.array_position(counts, most) - 1).cast("int"))).otherwise(F.lit(OTHER))
+
+    def best(found: Column) -> Column:
+        most = F.array_max(found)
+        return F.when(most > 0, F.get(names, (F.array_position(found, most) - 1).cast("int"))).otherwise(F.lit(OTHER))
+
+    # as a lambda's variable the counts are taken once, however often the choice looks at them
+    return F.get(F.transform(F.array(counts), best), F.lit(0))
 
 
 def category(value: Column, targets: Mapping[str, float]) -> Column:
@@ -173,7 +178,8 @@ def mix(docs: DataFrame, sources: Mapping[str, float] = SOURCE_TARGETS, langs: M
     table = probabilities(fit(staged(cells, "mix-cells"), sources, langs, topics, rounds), share)
     table = F.broadcast(table.select(F.col("mix_source").alias(s), F.col("mix_lang").alias(g), F.col("mix_topic").alias(t), F.col("probability").alias(p)))
     named = docs.select(*[as_column(c) for c in docs.columns], *[c.alias(n) for c, n in zip(cols[:3], (s, g, t), strict=True)])
-    return named.join(table, [s, g, t]).where(unit(as_column("doc_id"), seed) < F.col(p)).select(*[as_column(c) for c in docs.columns])
+    # a left join that stays one: an inner join would evaluate the topics again to test them for null
+    return named.join(table, [s, g, t], "left").where(unit(as_column("doc_id"), seed) < F.coalesce(p, F.lit(0.0))).select(*[as_column(c) for c in docs.columns])
 
 
 def _oracle() -> str:
