@@ -29,8 +29,8 @@ def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     one row is an error at run time (no row gives NULLs).
     """
     row = one_row.select(F.struct(*[F.col(q(c)) for c in one_row.columns]).alias("_row")).scalar()
-    return df.withColumn("_row", row).select(
-        *[F.col(q(c)) for c in df.columns], *[F.col(f"_row.{q(c)}").alias(c) for c in one_row.columns])
+    # one reference to the subquery, however many columns it has
+    return df.withColumn("_row", row).select(*[F.col(q(c)) for c in df.columns], F.inline(F.array("_row")))
 
 
 def weighted_mean(value, weight, null_weights: str = "keep", scale: int | None = 2) -> Column:
