@@ -1,9 +1,16 @@
 """Mixing sources to target weights by iterative proportional fitting (DataFrame and SQL functions only).
 
 Every document counts its words.  The word counts of the cells (source,
-language, topic) are raked until the weighted corpus has the target share of
-each source, language and topic; a document is then kept with a probability in
-proportion to its cell's weight, decided by a hash of its id.
+language, topic) are raked until the expected sample has the target share of
+each source, language and topic; a document is then kept with its cell's
+probability, decided by a hash of its id.
+
+Probabilities stay within 1 during the raking (``bounded_fit``): a category
+that holds fewer words than its target is kept whole, and what it lacks goes to
+the other categories of its margin in proportion to their targets.  Targets
+that contradict each other across margins are met as nearly as the last rounds
+come.  ``op1_mixing`` is defined by its SQL, which rakes without that bound and
+cuts at the end (``fit`` and ``probabilities``).
 
 The targets are parameters and list their categories; anything else falls into
 the category ``other``.  So the number of cells is bounded by the parameters,
@@ -42,8 +49,10 @@ TOPIC_RULES = {
 }
 
 ROUNDS = 30
+#: Rounds of the bounded raking; cells at probability 1 slow it down.
+BOUNDED_ROUNDS = 100
 SEED = "mix-1"
-#: Share of the corpus's words that the expected sample has, before probabilities are held at 1.
+#: Share of the corpus's words that the expected sample has (in ``probabilities``: before they are cut at 1).
 SAMPLE_SHARE = 0.5
 
 
@@ -91,6 +100,21 @@ def _listed(names: list[str]) -> str:
     return "array(" + ", ".join("'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for n in names) + ")"
 
 
+def _numbers(values: list[float]) -> str:
+    return "array(" + ", ".join(f"{v!r}D" for v in values) + ")"
+
+
+def _dense(cells: DataFrame, s: list[str], g: list[str], t: list[str]) -> DataFrame:
+    """One row with ``w``: the words of all cells in the order source, language, topic."""
+    ng, nt = len(g), len(t)
+    cube = cells.agg(F.expr("map_from_entries(collect_list(struct(concat_ws('|', "
+                            f"array_position({_listed(s)}, mix_source) - 1, array_position({_listed(g)}, mix_lang) - 1, "
+                            f"array_position({_listed(t)}, mix_topic) - 1) as k, cast(words as double) as w)))").alias("m"))
+    return cube.select(F.expr(
+        f"transform(sequence(0, {len(s) * ng * nt - 1}), i -> coalesce(m[concat_ws('|', i div {ng * nt}, (i div {nt}) % {ng}, i % {nt})], 0D))"
+    ).alias("w"))
+
+
 def fit(cells: DataFrame, sources: Mapping[str, float], langs: Mapping[str, float], topics: Mapping[str, float],
         rounds: int = ROUNDS) -> DataFrame:
     """(mix_source, mix_lang, mix_topic, weight) of every cell, raked to the three targets.
@@ -102,15 +126,7 @@ def fit(cells: DataFrame, sources: Mapping[str, float], langs: Mapping[str, floa
     """
     (s, st), (g, gt), (t, tt) = _shares(sources), _shares(langs), _shares(topics)
     ns, ng, nt = len(s), len(g), len(t)
-    cube = cells.agg(F.expr("map_from_entries(collect_list(struct(concat_ws('|', "
-                            f"array_position({_listed(s)}, mix_source) - 1, array_position({_listed(g)}, mix_lang) - 1, "
-                            f"array_position({_listed(t)}, mix_topic) - 1) as k, cast(words as double) as w)))").alias("m"))
-    dense = cube.select(F.expr(
-        f"transform(sequence(0, {ns * ng * nt - 1}), i -> coalesce(m[concat_ws('|', i div {ng * nt}, (i div {nt}) % {ng}, i % {nt})], 0D))"
-    ).alias("w"))
-
-    def array(values: list[float]) -> str:
-        return "array(" + ", ".join(f"{v!r}D" for v in values) + ")"
+    dense = _dense(cells, s, g, t)
 
     def margin(size: int, target: str, index: str, others: tuple[int, int], product: str) -> str:
         """The factors of one margin: target share over the words that the other two factors give it."""
@@ -131,7 +147,7 @@ def fit(cells: DataFrame, sources: Mapping[str, float], langs: Mapping[str, floa
             f"when 1 then named_struct('s', f.s, 'g', {scaled(lng)}, 't', f.t) "
             f"else named_struct('s', f.s, 'g', f.g, 't', {scaled(top)}) end)")
     steps = f"aggregate(sequence(1, {int(rounds)}), {start}, (acc, r) -> {step})"
-    fitted = (dense.select("w", F.expr(array(st)).alias("goal_s"), F.expr(array(gt)).alias("goal_g"), F.expr(array(tt)).alias("goal_t"))
+    fitted = (dense.select("w", F.expr(_numbers(st)).alias("goal_s"), F.expr(_numbers(gt)).alias("goal_g"), F.expr(_numbers(tt)).alias("goal_t"))
               .select("w", F.expr(steps).alias("f")))
     weight = f"get(f.s, cast(i div {ng * nt} as int)) * get(f.g, cast((i div {nt}) % {ng} as int)) * get(f.t, cast(i % {nt} as int))"
     weighed = fitted.select("w", F.expr(f"transform(sequence(0, {ns * ng * nt - 1}), i -> {weight})").alias("x"))
@@ -150,18 +166,77 @@ def probabilities(fitted: DataFrame, share: float = SAMPLE_SHARE) -> DataFrame:
     return fitted.withColumn("probability", F.coalesce(F.round(p, 9), F.lit(0.0)))
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` for ``value``, which is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def bounded_fit(cells: DataFrame, sources: Mapping[str, float], langs: Mapping[str, float], topics: Mapping[str, float],
+                share: float = SAMPLE_SHARE, rounds: int = BOUNDED_ROUNDS) -> DataFrame:
+    """(mix_source, mix_lang, mix_topic, words, probability) of every cell, raked with no probability above 1.
+
+    Every category's goal is a number of expected words: its target share of
+    the sample, or all its words if it holds fewer, the rest of the margin
+    sharing what is left.  Each round scales the expected words of one margin
+    after the other to the goals and holds every cell at its own words.
+    """
+    margins = [_shares(m) for m in (sources, langs, topics)]
+    sizes = [len(names) for names, _ in margins]
+    ns, ng, nt = sizes
+    cells_n = ns * ng * nt
+    #: category of cell i; cell of the j-th member of category c; members of a category
+    of = [f"cast(i div {ng * nt} as int)", f"cast((i div {nt}) % {ng} as int)", f"cast(i % {nt} as int)"]
+    member = [f"c * {ng * nt} + j", f"(j div {nt}) * {ng * nt} + c * {nt} + j % {nt}", f"j * {nt} + c"]
+
+    def total(array: str) -> str:
+        return f"aggregate({array}, 0D, (a, v) -> a + v)"
+
+    def sums(k: int, array: str) -> str:
+        return (f"transform(sequence(0, {sizes[k] - 1}), c -> aggregate(sequence(0, {cells_n // sizes[k] - 1}), 0D, "
+                f"(a, j) -> a + get({array}, cast({member[k]} as int))))")
+
+    def words_of_goals(k: int) -> str:
+        """Goals in words: least(words, level * target), at the level where they add up to the sample."""
+        level = (f"aggregate(sequence(0, {sizes[k]}), 0D, (l, r) -> coalesce(try_divide("
+                 f"size - aggregate(zip_with(held, t{k}, (h, t) -> if(h <= l * t, h, 0D)), 0D, (a, v) -> a + v), "
+                 f"aggregate(zip_with(held, t{k}, (h, t) -> if(h <= l * t, 0D, t)), 0D, (a, v) -> a + v)), l))")
+        return _let("held", sums(k, "live"), _let("level", level, f"zip_with(held, t{k}, (h, t) -> least(h, level * t))"))
+
+    def step(k: int) -> str:
+        factors = f"zip_with({sums(k, 'x')}, goal{k}, (v, goal) -> if(v > 0, goal / v, 0D))"
+        return _let("factors", factors, f"transform(x, (v, i) -> least(get(live, i), v * get(factors, {of[k]})))")
+
+    x = (f"aggregate(sequence(1, {int(rounds)}), transform(live, v -> coalesce(v * try_divide(size, {total('live')}), 0D)), (y, r) -> "
+         f"aggregate(array(0, 1, 2), y, (x, m) -> case m when 0 then {step(0)} when 1 then {step(1)} else {step(2)} end))")
+    for k in (2, 1, 0):
+        x = _let(f"goal{k}", words_of_goals(k), x)
+    x = _let("size", f"least({float(share)!r}D * {total('w')}, {total('live')})", x)
+    x = _let("live", f"transform(w, (v, i) -> if(get(t0, {of[0]}) > 0 and get(t1, {of[1]}) > 0 and get(t2, {of[2]}) > 0, v, 0D))", x)
+    for k in (2, 1, 0):
+        x = _let(f"t{k}", _numbers(margins[k][1]), x)
+    (s, _), (g, _), (t, _) = margins
+    return _dense(cells, s, g, t).select("w", F.expr(x).alias("x")).select(F.expr(
+        f"inline(transform(arrays_zip(w, x), (v, i) -> named_struct('mix_source', get({_listed(s)}, {of[0]}), "
+        f"'mix_lang', get({_listed(g)}, {of[1]}), 'mix_topic', get({_listed(t)}, {of[2]}), 'words', v.w, "
+        f"'probability', coalesce(round(least(1D, try_divide(v.x, v.w)), 9), 0D))))")).where("words > 0")
+
+
 def calibrated(docs: DataFrame, sources: Mapping[str, float] = SOURCE_TARGETS, langs: Mapping[str, float] = LANG_TARGETS,
                topics: Mapping[str, float] = TOPIC_TARGETS, rules: Mapping[str, str] = TOPIC_RULES,
-               share: float = SAMPLE_SHARE, seed: str = SEED, rounds: int = ROUNDS) -> DataFrame:
+               share: float = SAMPLE_SHARE, seed: str = SEED, rounds: int | None = None, bounded: bool = True) -> DataFrame:
     """One row per document: doc_id, mix_source, mix_lang, mix_topic, words, probability, u and ``selected``.
 
     The features are computed once and staged without the text; the cells are
-    bounded by the targets, so their table is broadcast.
+    bounded by the targets, so their table is broadcast.  ``bounded=False``
+    rakes as ``ORACLE_SQL`` does: weights without a bound, cut at probability 1.
     """
     own = staged(docs.select(as_column("doc_id"), *features(docs, rules, sources, langs)), "mix-features")
     cells = own.groupBy("mix_source", "mix_lang", "mix_topic").agg(F.sum("words").alias("words"))
-    table = probabilities(fit(cells, sources, langs, topics, rounds), share)
-    out = own.join(F.broadcast(table.drop("words", "weight")), ["mix_source", "mix_lang", "mix_topic"], "left")
+    if bounded:
+        table = bounded_fit(cells, sources, langs, topics, share, rounds or BOUNDED_ROUNDS)
+    else:
+        table = probabilities(fit(cells, sources, langs, topics, rounds or ROUNDS), share)
+    out = own.join(F.broadcast(table.select("mix_source", "mix_lang", "mix_topic", "probability")), ["mix_source", "mix_lang", "mix_topic"], "left")
     probability = F.coalesce("probability", F.lit(0.0))
     return (out.withColumn("probability", probability).withColumn("u", unit(F.col("doc_id"), seed))
             .withColumn("selected", F.col("u") < F.col("probability"))
@@ -170,12 +245,12 @@ def calibrated(docs: DataFrame, sources: Mapping[str, float] = SOURCE_TARGETS, l
 
 def mix(docs: DataFrame, sources: Mapping[str, float] = SOURCE_TARGETS, langs: Mapping[str, float] = LANG_TARGETS,
         topics: Mapping[str, float] = TOPIC_TARGETS, rules: Mapping[str, str] = TOPIC_RULES,
-        share: float = SAMPLE_SHARE, seed: str = SEED, rounds: int = ROUNDS) -> DataFrame:
+        share: float = SAMPLE_SHARE, seed: str = SEED, rounds: int | None = None) -> DataFrame:
     """The sampled rows of ``docs``, all columns kept.  The decisions of ``calibrated`` without a join on ids."""
     s, g, t, w, p = free_names(docs, "mix_source", "mix_lang", "mix_topic", "mix_words", "mix_probability")
     cols = features(docs, rules, sources, langs)
     cells = (docs.select(*cols).groupBy("mix_source", "mix_lang", "mix_topic").agg(F.sum("words").alias("words")))
-    table = probabilities(fit(staged(cells, "mix-cells"), sources, langs, topics, rounds), share)
+    table = bounded_fit(staged(cells, "mix-cells"), sources, langs, topics, share, rounds or BOUNDED_ROUNDS)
     table = F.broadcast(table.select(F.col("mix_source").alias(s), F.col("mix_lang").alias(g), F.col("mix_topic").alias(t), F.col("probability").alias(p)))
     named = docs.select(*[as_column(c) for c in docs.columns], *[c.alias(n) for c, n in zip(cols[:3], (s, g, t), strict=True)])
     # a left join that stays one: an inner join would evaluate the topics again to test them for null

@@ -18,8 +18,8 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calibrated sampling of every document: cell, words, probability and decision."""
-    return mixing.calibrated(table(spark, sf_dir, "documents"))
+    """Calibrated sampling of every document: cell, words, probability and decision, as its SQL defines them."""
+    return mixing.calibrated(table(spark, sf_dir, "documents"), bounded=False)
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

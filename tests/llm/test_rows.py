@@ -251,3 +251,18 @@ def test_topic_takes_the_rule_that_matches_most(spark):
     texts = spark.createDataFrame([("ab go zz zz",), ("ab ab go go",), ("é",), ("",), ("1 2 a",)], "text string")
     got = [r[0] for r in texts.select(mixing.topic_of(F.col("text"), mixing.TOPIC_RULES)).collect()]
     assert got == ["late", "early", "other", "other", "marked"]
+
+
+def test_bounded_margins_of_the_expected_sample(spark):
+    """After the bound at 1 the margins have their shares; a topic of two words is kept whole and takes nothing from its sources."""
+    rng = random.Random(7)
+    targets = ({"a": 0.4, "b": 0.4, "c": 0.2}, {"en": 0.6, "fr": 0.4}, {"x": 0.5, "y": 0.4, "other": 0.1})
+    cells = {(s, g, t): rng.randint(300, 900) for s in "abc" for g in ("en", "fr") for t in "xy"} | {("a", "en", "other"): 1, ("b", "fr", "other"): 1}
+    table = spark.createDataFrame([(*k, v) for k, v in cells.items()], "mix_source string, mix_lang string, mix_topic string, words long")
+    got = {(r.mix_source, r.mix_lang, r.mix_topic): r.probability for r in mixing.bounded_fit(table, *targets, share=0.5).collect()}
+    size = 0.5 * sum(cells.values())
+    assert got.keys() == cells.keys() and all(0 < p <= 1 for p in got.values())
+    rest = (size - 2) / size / 0.9
+    for k, goals in enumerate((*targets[:2], {"x": 0.5 * rest, "y": 0.4 * rest, "other": 2 / size})):
+        for name, goal in goals.items():
+            assert sum(got[c] * cells[c] for c in cells if c[k] == name) / size == pytest.approx(goal, abs=1e-4), name
