@@ -13,7 +13,9 @@ come.  ``op1_mixing`` is defined by its SQL, which rakes without that bound and
 cuts at the end (``fit`` and ``probabilities``).
 
 The targets are parameters and list their categories; anything else falls into
-the category ``other``.  So the number of cells is bounded by the parameters,
+the category ``other``, whose target, unless it is listed too, is its own share
+of the corpus's words: such documents are thinned like the rest, not dropped
+(in ``op1_mixing`` an unlisted ``other`` has target 0).  So the number of cells is bounded by the parameters,
 not by the data, and the raking itself is one array expression over one row.
 
 Defined cases: null source, language or topic count as ``other``; a null or
@@ -195,6 +197,16 @@ def bounded_fit(cells: DataFrame, sources: Mapping[str, float], langs: Mapping[s
         return (f"transform(sequence(0, {sizes[k] - 1}), c -> aggregate(sequence(0, {cells_n // sizes[k] - 1}), 0D, "
                 f"(a, j) -> a + get({array}, cast({member[k]} as int))))")
 
+    def target(k: int) -> str:
+        """Target shares; an ``other`` that is not listed has its share of the corpus and the listed categories the rest."""
+        given = _numbers(margins[k][1])
+        if OTHER in (sources, langs, topics)[k]:
+            return given
+        listed = f"aggregate(zip_with(own, {given}, (v, t) -> if(v > 0, t, 0D)), 0D, (a, v) -> a + v)"
+        rest = f"coalesce(try_divide((1D - other) * t, {listed}), 0D)"
+        return _let("own", sums(k, "w"), _let("other", f"coalesce(try_divide(get(own, {sizes[k] - 1}), {total('own')}), 0D)",
+                    f"transform({given}, (t, c) -> if(c = {sizes[k] - 1}, other, {rest}))"))
+
     def words_of_goals(k: int) -> str:
         """Goals in words: least(words, level * target), at the level where they add up to the sample."""
         level = (f"aggregate(sequence(0, {sizes[k]}), 0D, (l, r) -> coalesce(try_divide("
@@ -213,7 +225,7 @@ def bounded_fit(cells: DataFrame, sources: Mapping[str, float], langs: Mapping[s
     x = _let("size", f"least({float(share)!r}D * {total('w')}, {total('live')})", x)
     x = _let("live", f"transform(w, (v, i) -> if(get(t0, {of[0]}) > 0 and get(t1, {of[1]}) > 0 and get(t2, {of[2]}) > 0, v, 0D))", x)
     for k in (2, 1, 0):
-        x = _let(f"t{k}", _numbers(margins[k][1]), x)
+        x = _let(f"t{k}", target(k), x)
     (s, _), (g, _), (t, _) = margins
     return _dense(cells, s, g, t).select("w", F.expr(x).alias("x")).select(F.expr(
         f"inline(transform(arrays_zip(w, x), (v, i) -> named_struct('mix_source', get({_listed(s)}, {of[0]}), "

@@ -266,3 +266,18 @@ def test_bounded_margins_of_the_expected_sample(spark):
     for k, goals in enumerate((*targets[:2], {"x": 0.5 * rest, "y": 0.4 * rest, "other": 2 / size})):
         for name, goal in goals.items():
             assert sum(got[c] * cells[c] for c in cells if c[k] == name) / size == pytest.approx(goal, abs=1e-4), name
+
+
+def test_unlisted_sources_and_languages_are_weighted(spark):
+    """They keep their share of the words, alone or beside listed ones; a listed target for ``other`` holds."""
+    rng = random.Random(13)
+    listed = [(i, words(rng, 20), "en", f"src{i % 20}", 1) for i in range(300)]
+    odd = [(1000 + i, words(rng, 20), rng.choice(["it", None, "en"]), rng.choice(["src20", None]), 1) for i in range(100)]
+    for rows in (listed + odd, odd):
+        got = mixing.calibrated(documents(spark, rows)).collect()
+        expected = {r.doc_id: r.words * r.probability for r in got}
+        share = sum(v for i, v in expected.items() if i >= 1000) / sum(expected.values())
+        assert share == pytest.approx(len(odd) / len(rows), abs=1e-3) and all(r.probability > 0 for r in got)
+        assert {r.doc_id for r in mixing.mix(documents(spark, rows)).collect()} == {r.doc_id for r in got if r.selected}
+    none = mixing.calibrated(documents(spark, listed + odd), sources=mixing.SOURCE_TARGETS | {"other": 0.0}).collect()
+    assert all((r.probability > 0) == (r.doc_id < 1000) for r in none)
