@@ -11,9 +11,11 @@ count first.
    compared with each other; lists keep the ``K`` best; this repeats until few
    lists change.  Neighbours under ``FLOOR`` are not listed: no link leads
    through them.
-3. Saturation: a list full of links may be too short, so wherever links were
-   found, lists grow to the whole component, compared exactly in tiles of
-   bounded size.  What is counted there is never capped.
+3. Saturation: a list full of links may be too short.  Classes with such lists
+   are compared with each other exactly, in tiles of bounded size, so that links
+   which the lists cut join their components; then links are counted over each
+   whole component, again in tiles.  Nothing is capped there.  The tiles grow
+   with the square of a label's saturated classes.
 4. Audit: up to ``AUDIT`` classes, those with the smallest hash, are compared
    with all vectors in blocks.  Below ``RECALL`` of their links, the graph is
    built again with twice the tables, up to ``TRIES`` times.
@@ -190,6 +192,45 @@ def _links_within(classes: DataFrame, labels: DataFrame) -> DataFrame:
     return each.groupBy("node").agg(F.sum("links").alias("links"))
 
 
+def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join what all links of a square 0/1 matrix join, at most one per row."""
+    fresh, out = np.ones(len(linked), bool), []
+    for first in range(len(linked)):
+        todo = [first] if fresh[first] else []
+        fresh[first] = False
+        while todo:
+            i = todo.pop()
+            new = np.flatnonzero(linked[i] & fresh)
+            fresh[new] = False
+            out += [(i, int(j)) for j in new]
+            todo += new.tolist()
+    return out
+
+
+def _exact_edges(classes: DataFrame) -> DataFrame:
+    """(a, b): links that join all of ``classes`` that links join, by comparing those of a place with each other in tiles."""
+    own = staged(classes.select("place", "node", "v"), "nn-compared")
+    sizes = own.groupBy("place").agg(F.ceil(F.count("*") / F.lit(PART)).alias("blocks"))
+    dealt = own.join(sizes, "place").withColumn("block", F.expr("pmod(xxhash64(node), blocks)"))
+    tiles = (dealt.select("place", "node", "v", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+             .select("place", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "v"))
+
+    def run(tile: pa.Table) -> pa.Table:
+        tile = tile.combine_chunks()
+        units, node = unit_rows(tile["v"].chunk(0)), tile["node"].to_numpy()
+        pairs = np.array(_forest(units @ units.T >= COSINE), np.int64).reshape(-1, 2)
+        ends = node[pairs]
+        return pa.table({"a": pa.array(ends.min(axis=1), pa.int64()), "b": pa.array(ends.max(axis=1), pa.int64())})
+
+    return tiles.groupBy("place", "i", "j").applyInArrow(run, "a long, b long")
+
+
+def _saturated(lists: DataFrame, classes: DataFrame) -> DataFrame:
+    """The classes whose lists are full of links, so that further links may have been cut."""
+    full = lists.where((F.size("near") >= K) & (F.element_at("near", -1)["far"] <= 1 - COSINE + 1e-4))
+    return classes.join(full.select("node"), "node", "left_semi")
+
+
 def _edges(lists: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b): listed pairs whose cosine, computed again in double precision, reaches COSINE."""
     pairs = (lists.select("node", F.explode("near").alias("x")).where(F.col("x.far") <= 1 - COSINE + 1e-4)
@@ -254,7 +295,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     classes = staged(_classes(vectors, id_col, vector_col, label_col), "nn-classes")
     tables = TABLES
     for attempt in range(TRIES):
-        links = staged(_edges(neighbour_graph(classes, tables, SEED + attempt), classes), "nn-edges")
+        lists = neighbour_graph(classes, tables, SEED + attempt)
+        links = staged(_edges(lists, classes).unionByName(_exact_edges(_saturated(lists, classes))), "nn-edges")
         labels = components(links, "nn")
         counted = staged(_links_within(classes, labels), "nn-counted")
         found, there = audit(classes, counted)

@@ -215,6 +215,40 @@ def test_near_vectors_equal_brute_force(spark):
     assert nn_descent.near_vectors(nothing).count() == 0
 
 
+def brute_vectors(rows):
+    """(links, root) of every vector of one label."""
+    units = np.array(rows) / np.linalg.norm(rows, axis=1)[:, None]
+    linked = units @ units.T >= nn_descent.COSINE
+    np.fill_diagonal(linked, False)
+    root = smallest_reachable(range(len(rows)), np.argwhere(np.triu(linked)).tolist())
+    return {i: (int(linked[i].sum()), root[i], root[i] == i) for i in range(len(rows))}
+
+
+def near_rows(rng, centre, n, cosine):
+    noise = rng.normal(size=(n, len(centre)))
+    noise -= np.outer(noise @ centre, centre)
+    return cosine * centre + np.sqrt(1 - cosine**2) * noise / np.linalg.norm(noise, axis=1)[:, None]
+
+
+def vectors_of(spark, rows):
+    return spark.createDataFrame([(i, [float(x) for x in v], 1) for i, v in enumerate(rows)], "vec_id long, embedding array<double>, label int")
+
+
+@pytest.mark.parametrize("part", [1024, 16])
+def test_links_between_saturated_cliques_are_found(spark, part, monkeypatch):
+    """Two tight groups larger than any list, linked only across: every list fills with its own group; also in many small tiles."""
+    monkeypatch.setattr(nn_descent, "PART", part)
+    rng = np.random.default_rng(5)
+    first = rng.normal(size=64)
+    first /= np.linalg.norm(first)
+    second = near_rows(rng, first, 1, 0.95)[0]
+    rows = [*near_rows(rng, first, 25, 0.997), *near_rows(rng, second, 25, 0.997), *rng.normal(size=(30, 64))]
+    want = brute_vectors(rows)
+    assert len({want[i][1] for i in range(50)}) == 1 and min(want[i][0] for i in range(50)) > 24
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in nn_descent.near_vectors(vectors_of(spark, rows)).collect()}
+    assert got == want
+
+
 # fingerprints
 
 
