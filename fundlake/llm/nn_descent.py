@@ -17,8 +17,11 @@ count first.
    whole component, again in tiles.  Nothing is capped there.  The tiles grow
    with the square of a label's saturated classes.
 4. Audit: up to ``AUDIT`` classes, those with the smallest hash, are compared
-   with all vectors in blocks.  Below ``RECALL`` of their links, the graph is
-   built again with twice the tables, up to ``TRIES`` times.
+   with all vectors in blocks.  Recall is the mean of the classes' own recalls,
+   once with equal weights and once with a group's classes sharing one weight,
+   so that a large clique hides nothing.  Below ``RECALL`` in either, the graph
+   is built again with twice the tables, up to ``TRIES`` times; after that all
+   classes of a label are compared with each other exactly, in tiles.
 
 Defined cases: a vector that is null, empty, zero or holds null or non-finite
 components, or whose label is null, has no links and is its own component; so
@@ -248,8 +251,12 @@ def _edges(lists: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
 
 
-def audit(classes: DataFrame, links: DataFrame, size: int = AUDIT) -> tuple[int, int]:
-    """(links found, links there) of up to ``size`` classes, the latter by comparing them with every vector."""
+def audit(classes: DataFrame, links: DataFrame, size: int = AUDIT) -> float:
+    """Recall of the links of up to ``size`` classes, found out by comparing them with every vector.
+
+    The lower of two means of found / there: over the audited classes that have
+    links, and over the same weighted by 1 / there.
+    """
     asked = classes.orderBy(F.xxhash64("node"), "node").limit(size).select("node", "place", "v").collect()
     groups = {}
     for place in {r.place for r in asked}:
@@ -272,8 +279,16 @@ def audit(classes: DataFrame, links: DataFrame, size: int = AUDIT) -> tuple[int,
             yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.int64())], names=["node", "there"])
 
     there = classes.select("node", "place", "v", "n").mapInArrow(run, "node long, there long").groupBy("node").agg(F.sum("there").alias("there"))
-    row = there.where("there > 0").join(links, "node", "left").agg(F.sum(F.coalesce("links", F.lit(0))), F.sum("there")).first()
-    return int(row[0] or 0), int(row[1] or 0)
+    recall = F.coalesce("links", F.lit(0)) / F.col("there")
+    row = (there.where("there > 0").join(links, "node", "left")
+           .agg(F.avg(recall), F.sum(recall / F.col("there")) / F.sum(1 / F.col("there"))).first())
+    return min(row[0], row[1]) if row[0] is not None else 1.0
+
+
+def _joined(edges: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(component of every class with links, links of every such class)."""
+    labels = components(staged(edges, "nn-edges"), "nn")
+    return labels, staged(_links_within(classes, labels), "nn-counted")
 
 
 def neighbour_graph(classes: DataFrame, tables: int = TABLES, seed: int = SEED) -> DataFrame:
@@ -296,13 +311,12 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     tables = TABLES
     for attempt in range(TRIES):
         lists = neighbour_graph(classes, tables, SEED + attempt)
-        links = staged(_edges(lists, classes).unionByName(_exact_edges(_saturated(lists, classes))), "nn-edges")
-        labels = components(links, "nn")
-        counted = staged(_links_within(classes, labels), "nn-counted")
-        found, there = audit(classes, counted)
-        if found >= RECALL * there:
+        labels, counted = _joined(_edges(lists, classes).unionByName(_exact_edges(_saturated(lists, classes))), classes)
+        if audit(classes, counted) >= RECALL:
             break
         tables *= 2
+    else:
+        labels, counted = _joined(_exact_edges(classes), classes)
     whole = (classes.join(counted, "node", "left").join(labels, "node", "left")
              .select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "node").alias("component")))
     rows = vectors.select(as_column(id_col).cast("long").alias("vec_id"), as_column(label_col).alias("label"),

@@ -249,6 +249,27 @@ def test_links_between_saturated_cliques_are_found(spark, part, monkeypatch):
     assert got == want
 
 
+def test_audit_sees_small_groups_beside_a_clique(spark, monkeypatch):
+    """A graph that has lost the links of all pairs does not pass, and after the last try everything is compared exactly."""
+    rng = np.random.default_rng(8)
+    rows = [*near_rows(rng, np.eye(64)[0], 120, 0.99)]
+    for _ in range(4):
+        v = rng.normal(size=64)
+        rows += [v, near_rows(rng, v / np.linalg.norm(v), 1, 0.96)[0]]
+    graph, kept = nn_descent.neighbour_graph, []
+
+    def lossy(*args):
+        kept.append(graph(*args).where("node < 120"))
+        return kept[-1]
+
+    monkeypatch.setattr(nn_descent, "neighbour_graph", lossy)
+    monkeypatch.setattr(nn_descent, "TRIES", 1)
+    want = brute_vectors(rows)
+    assert all(want[i][0] == 1 for i in range(120, 128))
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in nn_descent.near_vectors(vectors_of(spark, rows)).collect()}
+    assert got == want and len(kept) == 1
+
+
 # fingerprints
 
 
