@@ -2,8 +2,8 @@
 
 Plain identifiers are found in the text itself.  Then a transducer rewrites the
 text: look-alike letters become the ASCII ones, invisible characters go, runs
-of spelled digits become digits, and disguised at and dot signs become ``@``
-and ``.``.  It keeps the source range of every character it writes, so what is
+of spelled digits become digits, disguised at and dot signs become ``@`` and
+``.``, and so do the written-out dots of an address of four numbers.  It keeps the source range of every character it writes, so what is
 detected in the rewritten text maps back to a span of the source.  Those spans
 are added to the plain ones, unless a plain span of the kind contains them.
 
@@ -44,6 +44,11 @@ SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four":
 _DIGIT_WORD = "(?:" + "|".join(SPELLED) + ")"
 _SPELLED_RUN = re.compile(rf"(?<![A-Za-z]){_DIGIT_WORD}(?:[ ,.()-]{{0,3}}(?:(?:dot|point)[ ]?)?(?<![A-Za-z]){_DIGIT_WORD}(?![A-Za-z])|[ -]?[0-9]+(?![A-Za-z0-9]))+(?![A-Za-z])", re.I)
 _SPELLED_ITEM = re.compile(rf"{_DIGIT_WORD}|dot|point|[0-9]|[.]|[ ,()-]+", re.I)
+# four parts of an address, in digits or spelled, with dots of which some are written out
+_IP_PART = rf"(?:[0-9]{{1,3}}|{_DIGIT_WORD}(?:[ _-]{{1,2}}{_DIGIT_WORD}){{0,2}})"
+_WRITTEN_DOT = "(?:[ ]{1,2}(?:dot|point)[ ]{1,2}|_(?:dot|point)_|-(?:dot|point)-)"
+_WRITTEN_IP = re.compile(rf"(?<![0-9])(?:(?<![A-Za-z])|(?=[0-9])){_IP_PART}(?:(?:{_WRITTEN_DOT}|[.]){_IP_PART}){{3}}(?![0-9])(?:(?![A-Za-z])|(?<=[0-9]))", re.I)
+_IP_ITEM = re.compile(rf"{_WRITTEN_DOT}|{_DIGIT_WORD}|[0-9.]", re.I)
 _PLUS = re.compile(r"(?<![A-Za-z])plus[ ](?=[0-9])", re.I)
 _BRACKET_AT = re.compile(r"[ ]{0,2}[\[({<][ ]{0,2}(?:at|@|arroba)[ ]{0,2}[\])}>][ ]{0,2}", re.I)
 _BRACKET_DOT = re.compile(r"[ ]{0,2}[\[({<][ ]{0,2}(?:dot|\.|punkt|punto)[ ]{0,2}[\])}>][ ]{0,2}", re.I)
@@ -186,11 +191,22 @@ def rewrite(text: str) -> Rewritten:
     if _SPELLED_RUN.search(out.text):
         _spelled(out)
         _signs(out, _PLUS, "+")
+    if "dot" in low or "point" in low:
+        _written_ips(out)
     if _DIGIT.search(out.text):
         _mixed_numbers(out)
     return out
 
 
+def _written_ips(out: Rewritten) -> None:
+    """Written-out dots between the four parts of an address; parts in words become digits."""
+    edits = []
+    for ip in _WRITTEN_IP.finditer(out.text):
+        items = _IP_ITEM.finditer(out.text, ip.start(), ip.end())
+        edits.append((ip.start(), ip.end(), [(SPELLED.get(i[0].lower(), i[0] if len(i[0]) == 1 else "."), i.start(), i.end()) for i in items]))
+    out.replace(edits)
+
+
 def _name_ats(out: Rewritten) -> None:
     """`` at `` between an account's name and a plain domain."""
     edits, at = [], out.text.find(" at ")

@@ -54,6 +54,23 @@ def test_disguises_map_back_to_the_source(text, kind, source):
     assert [text[a:b] for a, b in every[kind]] == [source or text]
 
 
+@pytest.mark.parametrize("ip", [
+    "192 dot 168 dot 0 dot 1", "10_dot_0_dot_0_dot_1", "10-DOT-0-dot-0-dot-1", "one nine two dot 168 dot 0 dot 1", "192 dot one six eight dot zero dot one",
+    "192.168 dot 0 dot 1", "192 dot 168 dot 0 dot one", "one nine two dot one six eight dot 0 dot 1", "one_nine_two_dot_168_dot_0_dot_1"])
+def test_written_dots_of_addresses(ip):
+    for before, after in (("", ""), ("host ", " is up"), ("5 ", "."), ("(", ")")):
+        text = before + ip + after
+        plain, every = pii.spans(text)
+        assert not plain["ip"] and [text[a:b] for a, b in every["ip"]] == [ip], text
+
+
+def test_written_dots_of_other_numbers_stay():
+    for text in ("192 dot 168 dot 0", "999 dot 1 dot 1 dot 1", "1192 dot 168 dot 0 dot 1", "192 dot 168 dot 0 dot 1234", "someone dot one dot two dot three",
+                 "at 3 dot 5 and 2 dot 1 dot"):
+        assert not pii.spans(text)[1]["ip"], text
+    pii.spans("1 dot " * 50_000), pii.spans("one dot " * 50_000)
+
+
 def test_clean_texts_get_no_spans():
     for text in ("he was at home dot", "we met at one or two places", "a [note] (at) the end", "stand at ease. dot com boom",
                  "we met at example.com", "version 2.0 at noon.", "the illOIl lOll", "sections three, four, five, six", "a look-at-me dot com", ""):
