@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,13 +31,33 @@ from .common import as_column, importable
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int]
 
-# The look-alikes of ASCII letters (Cyrillic, Greek, small dotless i) and full-width signs.
+# The look-alikes of ASCII letters (Cyrillic, Greek, small dotless i) and full-width signs.  Letters that stand
+# for ASCII ones by NFKC and the digits of all scripts follow; superscript and circled digits, and letters with marks, stay.
 LOOKALIKES = dict(zip(
     "аАВеЕкКМНоОрРсСТуУхХіІјЈѕЅԁԛԝһΑΒΕΖΗΙΚΜΝΟΡΤΥΧοινıɑɡ",
     "aABeEkKMHoOpPcCTyYxXiIjJsSdqwhABEZHIKMNOPTYXoiviag".replace(" ", ""), strict=True))
 LOOKALIKES |= {chr(0xFF01 + i): chr(0x21 + i) for i in range(94)}
 LOOKALIKES |= {chr(0x0660 + i): str(i) for i in range(10)} | {chr(0x06F0 + i): str(i) for i in range(10)}
 LOOKALIKES |= {" ": " ", " ": " ", " ": " ", "　": " ", "。": ".", "․": ".", "‐": "-", "‑": "-", "‒": "-", "–": "-", "﹫": "@"}
+# further confusables: Greek and Cyrillic letters (palochka too), Armenian ones
+LOOKALIKES |= dict(zip("\u03b1\u03b5\u03b3\u03b7\u03ba\u03c1\u03c3\u03c4\u03c5\u03c7\u03c9\u03f2\u03f3\u03f9\u037f", "aeynkpotuxwcjCJ", strict=True))
+LOOKALIKES |= dict(zip("\u04c0\u04cf\u0433\u043a\u043c\u0442\u0474\u0475\u04ae\u04af\u051c\u050c\u04bb", "IlrkmtVvYyWGh", strict=True))
+LOOKALIKES |= dict(zip("\u0585\u057d\u0578\u0570\u0581\u0566\u0555", "ounhgqO", strict=True))
+
+
+def _folded(c: str) -> str:
+    """ASCII letters or digits that NFKC (or the digit's value) gives for a letter, digit or letter sign, else nothing."""
+    kind = unicodedata.category(c)
+    if kind == "Nd":
+        return str(unicodedata.decimal(c))
+    one = unicodedata.normalize("NFKC", c)
+    one = LOOKALIKES.get(one, one)
+    fits = kind in ("Ll", "Lu", "Lm", "Nl", "So") and len(one) == 1 or "\ufb00" <= c <= "\ufb06"
+    return one if fits and one.isascii() and one.isalnum() else ""
+
+
+# the two lowest planes hold all that fold to ASCII
+LOOKALIKES |= {c: f for c in map(chr, range(0x80, 0x20000)) if c not in LOOKALIKES and (f := _folded(c))}
 INVISIBLE = "­​‌‍‎‏⁠﻿"
 SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6",
            "seven": "7", "eight": "8", "nine": "9"}
@@ -67,7 +88,8 @@ _SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])(?:[ ]{1,2}@[ ]{0,2}|@[ ]{1,2})(?=[A-Z
 _AT_LEFT = re.compile(r"[A-Za-z0-9_%+-]*@[A-Za-z0-9.-]*(?:[ _-]{1,2}dot[ _-]{1,2}[A-Za-z0-9-]+)*\Z", re.I)
 _AT_RIGHT = re.compile(r"[A-Za-z0-9._%+-]+(?:[ _-]{1,2}dot[ _-]{1,2}[A-Za-z0-9._%+-]+)*@", re.I)
 _DIGIT = re.compile("[0-9]")
-_ODD = re.compile("[" + re.escape("".join(LOOKALIKES) + INVISIBLE) + "]")
+# one range for the upper plane: a class that lists its letters is searched one by one
+_ODD = re.compile("[" + re.escape("".join(c for c in LOOKALIKES if c < "\U00010000") + INVISIBLE) + "\U00010000-\U0001ffff]")
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -150,7 +172,8 @@ class Rewritten:
 
 
 def _letters(out: Rewritten) -> None:
-    out.replace([(m.start(), m.end(), [(LOOKALIKES[m[0]], m.start(), m.end())] if m[0] in LOOKALIKES else []) for m in _ODD.finditer(out.text)])
+    out.replace([(m.start(), m.end(), [(c, m.start(), m.end()) for c in LOOKALIKES.get(m[0], "")])
+                 for m in _ODD.finditer(out.text) if m[0] in LOOKALIKES or m[0] in INVISIBLE])
 
 
 def _spelled(out: Rewritten) -> None:

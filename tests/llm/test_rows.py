@@ -64,6 +64,15 @@ def test_written_dots_of_addresses(ip):
         assert not plain["ip"] and [text[a:b] for a, b in every["ip"]] == [ip], text
 
 
+@pytest.mark.parametrize("text, kind", [
+    ("j\u03b1ne@ex\u03b1mple.com", "email"), ("\u03c1\u03b1\u03c5l@\u03ba\u03c1\u03c4.com", "email"), ("\U0001d41aa\U0001d6fc@b.\U0001d5bcom", "email"),
+    ("\u04cfee\u04c0@x.com", "email"), ("o\ufb03ce@x.com", "email"), ("\u24d0b@x.com", "email"), ("\u0967\u0966.0.0.\U0001d7cf", "ip"),
+    ("\U0001d7d2111 1111 1111 \u0e51111", "card")])
+def test_more_lookalikes_map_back_to_the_source(text, kind):
+    assert [(0, len(text))] == [s for s in pii.spans(text)[1][kind] if s == (0, len(text))]
+    assert pii.spans(f"to {text} \u00b2")[1][kind][0][0] == 3
+
+
 def test_written_dots_of_other_numbers_stay():
     for text in ("192 dot 168 dot 0", "999 dot 1 dot 1 dot 1", "1192 dot 168 dot 0 dot 1", "192 dot 168 dot 0 dot 1234", "someone dot one dot two dot three",
                  "at 3 dot 5 and 2 dot 1 dot"):
