@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, line_dedup, minhash, mixing, nn_descent, packing, pii, quality, suffix_dedup, url_filter
+from . import conversation, fingerprint, line_dedup, merkle, minhash, mixing, nn_descent, packing, pii, quality, suffix_dedup, url_filter
 from .common import table
 
 
@@ -69,6 +69,16 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and verification in the Merkle manifest of the table."""
+    return merkle.document_proofs(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after damage and its cheapest repair."""
+    return conversation.repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_pii": op2_pii,
@@ -80,10 +90,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_url_filter": op9_url_filter,
     "op10_fingerprint": op10_fingerprint,
+    "op11_merkle": op11_merkle,
+    "op12_conversation": op12_conversation,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": mixing.ORACLE_SQL,
     "op5_line_dedup": line_dedup.ORACLE_SQL,
     "op9_url_filter": url_filter.ORACLE_SQL,
+    "op11_merkle": merkle.ORACLE_SQL,
 }
