@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conversation, fingerprint, line_dedup, merkle, minhash, mixing, nn_descent, packing, pii, quality, suffix_dedup, url_filter
+from . import conversation, fingerprint, line_dedup, merkle, minhash, mixing, nn_descent, packing, pii, quality, suffix_dedup, toxicity, url_filter
 from .common import table
 
 
@@ -79,6 +79,12 @@ def op12_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation.repair(table(spark, sf_dir, "conversations"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt from voters and the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_pii": op2_pii,
@@ -92,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fingerprint": op10_fingerprint,
     "op11_merkle": op11_merkle,
     "op12_conversation": op12_conversation,
+    "op13_toxicity": op13_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {

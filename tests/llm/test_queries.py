@@ -26,7 +26,7 @@ def test_query_equals_its_sql(spark, name):
 def test_every_operator_and_the_pipeline_are_registered():
     import __spark_entry__
     names = set(__spark_entry__.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 13)} and {"pipeline", *QUERIES} <= names
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} and {"pipeline", *QUERIES} <= names
     assert "pipeline" not in __spark_entry__.oracle_sql()
 
 
