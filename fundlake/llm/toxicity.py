@@ -3,8 +3,9 @@
 1. Voters.  Each looks at a whole text and fires or not: fixed lexicons (nouns
    and adjectives of abuse, profanity, other languages), fixed patterns (abuse
    of the reader, threats, shouting), lexicons learnt from labelled rows (words,
-   and beginnings of words, which catch inflected forms; each kind dealt to two
-   voters) and a voter for several different hits.
+   and beginnings of words, which catch inflected forms, and several different
+   words of one beginning close together; each kind dealt to two voters) and a
+   voter for several different hits.
 2. Label model.  Votes are taken to be drawn from an unknown class: a prior, and
    for each voter the chance to fire given the class and one other voter.  Those
    parents form the spanning tree of largest conditional mutual information
@@ -12,7 +13,7 @@
    all of it from how often each vote pattern occurs among all documents that
    are not held out (counted in Spark; at most ``2 ** len(VOTERS)`` patterns),
    anchored by the patterns of the labelled sample.
-3. Classifier.  A logistic regression over hashed words, beginnings of words and
+3. Classifier.  A logistic regression over those features and the
    votes, learnt on posterior labels; weights are not negative, so a long text
    cannot outweigh abuse, and features that a test does not part from
    chance are left out.
@@ -42,6 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_column, blocks, importable, staged, text_or_empty, utf8_buffers
+from .minhash import sets_of
 from .shingles import mix, seeds
 
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_OTHER = 1500, 4500, 1500
@@ -62,20 +64,22 @@ PATTERNS = {
     "threat": r"\b(shut up|go to hell|drop dead|kill yourself|hate you|hope you die|get lost|screw you|deserve to die)\b",
     "shouting": r"(\b[A-Z]{3,}\b[ ,]+){3,}[A-Z]{3,}\s?!",
 }
-#: Beginnings of words that are looked at, in bytes.
+#: Beginnings of words that are looked at, in bytes, and the stretch of words in which several words of one beginning are a feature of their own.
 PREFIXES = (4, 5, 6)
+STRETCH = 128
 VOTERS = ("nouns", "adjectives", "profanity", "other_languages", "at_reader", "threat", "shouting", "words_0", "words_1", "prefixes_0", "prefixes_1", "several")
 _LEXICONS = (ABUSE_NOUNS, ABUSE_ADJECTIVES, PROFANITY, OTHER_LANGUAGES)
 _WORDS, _PREFIX, _SEVERAL = 7, 9, 11
 #: Likelihood ratio statistics that a feature of the classifier, and an entry of a learnt lexicon, must reach.
-FEATURE_TEST, LEXICON_TEST = 12.0, 20.0
+FEATURE_TEST, LEXICON_TEST = 16.0, 24.0
 #: How many times likelier in a toxic text an entry of a learnt lexicon must be.
-LEXICON_LIFT = 8.0
+LEXICON_LIFT = 20.0
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(ord("0"), ord("9") + 1), *range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = True
 _BYTE = seeds(256, 5000)
 _KIND = seeds(1 + len(PREFIXES), 6000)
+_DENSE = seeds(1, 6500)[0]
 _BASE = int(seeds(1, 17)[0])
 
 
@@ -84,8 +88,12 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, hash, kind) of every word and beginning of a word; kind 0 is the whole word.  ``data`` is lower-cased."""
+def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash, kind, word) of every word and beginning of a word; kind 0 is the whole word.
+
+    ``word`` is the place among all words, which come first and in order.
+    ``data`` is lower-cased.
+    """
     letter = _LETTER[data]
     begins = letter.copy()
     begins[1:] &= ~letter[:-1]
@@ -93,7 +101,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     begins[edges] = letter[edges]
     starts = np.flatnonzero(begins)
     if not len(starts):
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int8)
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int8), np.empty(0, np.int64)
     stops = ~letter
     stops[edges] = True
     ends = np.append(np.flatnonzero(stops), len(data))
@@ -106,12 +114,30 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
     text = np.searchsorted(offsets, starts, side="right") - 1
     texts, hashes, kinds = [text], [mix((upto[ends] - upto[starts]) ^ _KIND[0])], [np.zeros(len(starts), np.int8)]
+    words = [np.arange(len(starts))]
     for k, n in enumerate(PREFIXES, 1):
         long = np.flatnonzero(lengths >= n)
         texts.append(text[long])
         hashes.append(mix((upto[starts[long] + n] - upto[starts[long]]) ^ _KIND[k]))
         kinds.append(np.full(len(long), k, np.int8))
-    return np.concatenate(texts), np.concatenate(hashes), np.concatenate(kinds)
+        words.append(long)
+    return np.concatenate(texts), np.concatenate(hashes), np.concatenate(kinds), np.concatenate(words)
+
+
+def dense(text: np.ndarray, key: np.ndarray, word: np.ndarray, word_hash: np.ndarray, first_word: np.ndarray) -> np.ndarray:
+    """Rows (one each) of the (text, key) pairs that several different words bear within ``STRETCH`` words."""
+    stretch = (word - first_word[text]) // STRETCH
+    order = np.lexsort((word_hash, key, stretch, text))
+    same = np.ones(max(len(order) - 1, 0), bool)
+    for column in (text, stretch, key):
+        same &= column[order][1:] == column[order][:-1]
+    rows = order[1:][same & (word_hash[order][1:] != word_hash[order][:-1])]
+    return rows[np.unique(np.stack([text[rows], key[rows].astype(np.uint64).view(np.int64)]), axis=1, return_index=True)[1]] if len(rows) else rows
+
+
+def first_words(text: np.ndarray, kinds: np.ndarray, n: int) -> np.ndarray:
+    """The first word of each of ``n`` texts."""
+    return np.searchsorted(text[:np.count_nonzero(kinds == 0)], np.arange(n))
 
 
 def word_hash(word: str) -> int:
@@ -119,8 +145,8 @@ def word_hash(word: str) -> int:
     return int(features(data, np.array([0, len(data)]))[1][0])
 
 
-def present(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first text, number of texts, text, hash, kind): the features of whole texts, a block of them at a time."""
+def present(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first text, number of texts, text, hash, kind, word): the features of whole texts, a block of them at a time."""
     data, offsets = utf8_buffers(pc.utf8_lower(texts.fill_null("")))
     for a, b in blocks(offsets):
         yield a, b - a, *features(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
@@ -128,11 +154,13 @@ def present(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
 
 @dataclass(frozen=True)
 class Table:
-    """Hashes of interest, sorted; for each the voters it belongs to (bits) and the classifier's column (-1: none)."""
+    """Hashes of interest, sorted; for each the voters it belongs to (bits), the classifier's column
+    (-1: none) and the row of the feature that several of its words in a stretch make (-1: none)."""
 
     keys: np.ndarray
     voters: np.ndarray
     columns: np.ndarray
+    several: np.ndarray
 
     def __post_init__(self) -> None:
         maybe = np.zeros(1 << 16, bool)
@@ -154,8 +182,12 @@ def votes(table: Table, texts: pa.Array) -> tuple[np.ndarray, list[tuple[np.ndar
     texts = texts.fill_null("")
     bits = np.zeros(len(texts), np.int64)
     pairs = []
-    for first, n, text, hashes, _ in present(texts):
+    for first, n, text, hashes, kinds, word in present(texts):
         at, row = table.find(hashes)
+        text_of, word_of = text[at], word[at]
+        part = np.flatnonzero(table.several[row] >= 0)
+        part = part[dense(text_of[part], row[part], word_of[part], hashes[word_of[part]], first_words(text, kinds, n))] if len(part) else part
+        at, row = np.append(at, at[part]), np.append(row, table.several[row[part]])
         own = np.unique(text[at] * len(table.keys) + row)
         text_of, row = own // max(len(table.keys), 1), own % max(len(table.keys), 1)
         np.bitwise_or.at(bits, first + text_of, table.voters[row])
@@ -179,10 +211,37 @@ def likelihood_ratio(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> np.nda
     return 2 * (part(a, n_a * share) + part(b, n_b * share) + part(n_a - a, n_a * (1 - share)) + part(n_b - b, n_b * (1 - share)))
 
 
+def first_of_copies(texts: list[str], held: int = 8) -> np.ndarray:
+    """Which texts are not near copies of an earlier one: fewer than half of the ``held`` least shingle hashes in common.
+
+    A family of copies would make each of its words look like a sign of its label.
+    """
+    seen: dict[int, list[int]] = {}
+    once = np.ones(len(texts), bool)
+    for i, found in enumerate(sets_of(pa.array(texts, pa.string()))):
+        least = found[:held].tolist()
+        common: dict[int, int] = {}
+        for h in least:
+            for j in seen.get(h, ()):
+                common[j] = common.get(j, 0) + 1
+        once[i] = 2 * max(common.values(), default=0) < len(least) or not least
+        if once[i]:
+            for h in least:
+                seen.setdefault(h, []).append(i)
+    return once
+
+
 def build_table(texts: list[str], labels: np.ndarray) -> tuple[Table, int]:
-    """(table of fixed and learnt entries, number of the classifier's columns) from labelled texts."""
-    doc, key, kind = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.int8)]
-    for first, _, text, hashes, kinds in present(pa.array(texts, pa.string())):
+    """(table of fixed and learnt entries, number of the classifier's columns) from labelled texts, near copies counted once."""
+    once = first_of_copies(texts)
+    texts, labels = [t for t, o in zip(texts, once, strict=True) if o], labels[once]
+    doc, key, kind, base = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.int8)], [np.empty((2, 0), np.uint64)]
+    for first, n, text, hashes, kinds, word in present(pa.array(texts, pa.string())):
+        parts = np.flatnonzero(kinds > 0)
+        parts = parts[dense(text[parts], hashes[parts], word[parts], hashes[word[parts]], first_words(text, kinds, n))]
+        text, kinds = np.append(text, text[parts]), np.append(kinds, np.full(len(parts), 1 + len(PREFIXES), np.int8))
+        base.append(np.stack([hashes[parts], mix(hashes[parts] ^ _DENSE)]))
+        hashes = np.append(hashes, base[-1][1])
         order = np.lexsort((hashes, text))
         new = np.ones(len(order), bool)
         new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (text[order][1:] != text[order][:-1])
@@ -205,12 +264,17 @@ def build_table(texts: list[str], labels: np.ndarray) -> tuple[Table, int]:
             entries[word_hash(word)] = entries.get(word_hash(word), 0) | 1 << i
     for k, is_prefix in zip(keys[strong].tolist(), (kinds[strong] > 0).tolist(), strict=True):
         entries[k] = entries.get(k, 0) | 1 << ((_PREFIX if is_prefix else _WORDS) + (k >> 60) % 2)
-    every = np.unique(np.concatenate([np.array(sorted(entries), np.uint64), keys[useful]]))
+    chosen = np.unique(np.concatenate([np.array(sorted(entries), np.uint64), keys[useful]]))
+    pairs = np.concatenate(base, axis=1)
+    pairs = np.unique(pairs[:, np.isin(pairs[1], chosen)], axis=1)
+    every = np.union1d(chosen, pairs[0])
     voters = np.array([entries.get(k, 0) for k in every.tolist()], np.int64)
     columns = np.full(len(every), -1, np.int64)
     own = np.isin(every, keys[useful])
     columns[own] = np.arange(own.sum())
-    return Table(every, voters, columns), int(own.sum())
+    several = np.full(len(every), -1, np.int64)
+    several[np.searchsorted(every, pairs[0])] = np.searchsorted(every, pairs[1])
+    return Table(every, voters, columns, several), int(own.sum())
 
 
 def vote_matrix(patterns: np.ndarray) -> np.ndarray:
