@@ -12,11 +12,15 @@ confirm 100 * |intersection| >= 75 * |union|.
 Linking goes by components, so no group is compared all with all:
 
 1. equal sets collapse into a class first;
-2. in a band's bucket of at most ``SMALL`` classes all pairs are candidates, in
-   a larger one those with a few centres; each class verifies its likeliest
-   candidate first, and afterwards only those candidates of small buckets that
-   lie in another component;
-3. the classes of larger buckets that still lie in several components are
+2. in a band's bucket of at most ``SMALL`` classes all pairs are candidates; each
+   class verifies its likeliest one first, and afterwards only those that lie in
+   another component;
+3. a larger bucket has one centre, its class of the smallest hash, so that a
+   family of near copies has the same centre in most of its bands.  Each
+   class takes one of its large buckets and verifies its centre: one pair per
+   class, however many bands it shares.  What lies apart afterwards takes another
+   bucket and centre, ``ROUNDS`` times;
+4. the classes of larger buckets that still lie in several components are
    compared exactly, in tiles of bounded size, and only links that join
    components are put out.  So centres lose nothing.
 
@@ -27,9 +31,9 @@ Defined cases: a null, empty or wordless text has an empty set, links with
 nothing and is its own component; fewer than five words form one shingle;
 component ids are the smallest doc_id, a row without doc_id takes its class's
 (null if no row of the class has one) and is kept only then; rows that share a
-doc_id are judged by their own texts (classes with the same smallest doc_id
-are one); extra columns are ignored; an empty table
-gives an empty result.
+doc_id are judged by their own texts, each in its own group (groups with the
+same smallest doc_id have the same id); extra columns are ignored; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -50,8 +54,8 @@ ROWS, BANDS = 4, 36
 COORDINATES = ROWS * BANDS
 #: Links are pairs with PERCENT * |union| <= 100 * |intersection|.
 PERCENT = 75
-#: Buckets up to this size give all their pairs, larger ones the pairs with CENTRES centres.
-SMALL, CENTRES = 16, 4
+#: Buckets up to this size give all their pairs, larger ones a pair with their centre for each class, in so many rounds.
+SMALL, ROUNDS = 16, 3
 #: Bytes of shingle hashes in one block of a tile.
 TILE_BYTES = 4 << 20
 
@@ -125,35 +129,50 @@ def _buckets(classes: DataFrame) -> DataFrame:
     return every.join(shared, "band")
 
 
-def _candidates(members: DataFrame) -> DataFrame:
-    """(a, b, times, small): each class with the other classes of its small buckets (``small``), and with the centres of its large ones."""
+def _small_pairs(members: DataFrame) -> DataFrame:
+    """(a, b, times): the pairs of classes that share small buckets, and how many they share."""
     small = members.where(F.col("size") <= SMALL).groupBy("band").agg(F.sort_array(F.collect_list("cid")).alias("cids"))
     pairs = small.select(F.explode(F.expr(
         "flatten(transform(cids, (x, i) -> transform(slice(cids, i + 2, size(cids)), y -> named_struct('a', x, 'b', y))))")).alias("p")).select("p.*")
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("times"))
+
+
+def _split_buckets(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(band, cid, size, component) of the large buckets whose classes lie in several components."""
     large = members.where(F.col("size") > SMALL)
-    turn = [F.min("cid").alias("c0"), *[F.min(F.struct(F.xxhash64("cid", "band", F.lit(k)), F.col("cid")))["cid"].alias(f"c{k}") for k in range(1, CENTRES)]]
-    centres = staged(large.groupBy("band").agg(*turn).select("band", F.array_distinct(F.array(*[f"c{k}" for k in range(CENTRES)])).alias("centres")),
-                     "minhash-centres")
-    stars = (large.join(centres, "band").select("cid", F.explode("centres").alias("c")).where("cid != c")
-             .select(F.least("cid", "c").alias("a"), F.greatest("cid", "c").alias("b")))
-    every = pairs.withColumn("small", F.lit(True)).unionByName(stars.withColumn("small", F.lit(False)))
-    return every.groupBy("a", "b").agg(F.count("*").alias("times"), F.max("small").alias("small"))
+    if labels is None:
+        return large.withColumn("component", F.col("cid"))
+    own = large.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    split = own.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("band")
+    return own.join(split, "band").select("band", "cid", "size", "component")
+
+
+def _star_pairs(members: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
+    """(a, b): for each class of a split large bucket at most one pair, with the centre of one of its buckets."""
+    own = staged(_split_buckets(members, labels), "minhash-split")
+    centre = F.min(F.struct(F.xxhash64("cid", F.lit(turn)).alias("h"), F.col("cid").alias("c"), F.col("component").alias("of_c")))
+    centres = staged(own.groupBy("band").agg(centre.alias("centre")).select("band", "centre.c", "centre.of_c"), "minhash-centres")
+    # the largest bucket first, then others
+    first = F.col("size") if turn == 0 else F.xxhash64("band", F.lit(turn))
+    chosen = own.groupBy("cid", "component").agg(F.max(F.struct(first.alias("first"), "band")).alias("best")).select("cid", "component", "best.band")
+    return (chosen.join(centres, "band").where("component != of_c")
+            .select(F.least("cid", "c").alias("a"), F.greatest("cid", "c").alias("b")).distinct())
 
 
 def _full_sets(docs: DataFrame, classes: DataFrame, needed: DataFrame) -> DataFrame:
     """(cid, shingles): the whole sorted sets of the classes in ``needed``, from the documents that represent them."""
-    wanted = classes.select("cid", "set_key").join(needed.select("cid").distinct(), "cid").select(F.col("cid").alias("doc_id"), "set_key")
+    wanted = classes.select("cid", "set_key", "doc_id", "tag").join(needed.select("cid").distinct(), "cid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, out = [], []
-            for doc, key, found in zip(batch["doc_id"].to_pylist(), batch["set_key"].to_pylist(), sets_of(batch["text"]), strict=True):
+            for cid, key, found in zip(batch["cid"].to_pylist(), batch["set_key"].to_pylist(), sets_of(batch["text"]), strict=True):
                 if len(found) and _set_key(found) == key:
-                    ids.append(doc)
+                    ids.append(cid)
                     out.append(found.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], names=["cid", "shingles"])
 
-    return docs.join(wanted, "doc_id").select("doc_id", "set_key", "text").mapInArrow(run, "cid long, shingles binary").dropDuplicates(["cid"])
+    return docs.join(wanted, ["doc_id", "tag"]).select("cid", "set_key", "text").mapInArrow(run, "cid long, shingles binary").dropDuplicates(["cid"])
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -191,10 +210,9 @@ def _rest_links(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataF
     blocks of about ``TILE_BYTES``, and a tile compares two blocks: every pair
     in different components once, by counting common shingles.
     """
-    own = members.where(F.col("size") > SMALL).join(labels.withColumnRenamed("node", "cid"), "cid", "left") \
-        .select("band", "cid", F.coalesce("component", "cid").alias("component"))
-    split = own.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("cid").alias("first")).where("low != high")
-    rest = staged(own.join(split.select("band", "first"), "band").select("cid", "component", "first").distinct(), "minhash-rest")
+    split = staged(_split_buckets(members, labels), "minhash-split")
+    first = split.groupBy("band").agg(F.min("cid").alias("first"))
+    rest = staged(split.join(first, "band").select("cid", "component", "first").distinct(), "minhash-rest")
     if rest.isEmpty():
         return None
     clusters = components(rest.where("cid != first").select(F.col("cid").alias("a"), F.col("first").alias("b")), "minhash-clusters")
@@ -243,34 +261,44 @@ def _linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     members = staged(_buckets(classes), "minhash-members")
     if members.isEmpty():
         return None
-    pairs = staged(_candidates(members), "minhash-pairs")
+    pairs = staged(_small_pairs(members), "minhash-pairs")
     sets = staged(_full_sets(docs, classes, members), "minhash-sets")
     best = pairs.select(F.col("b").alias("cid"), F.struct(-F.col("times"), "a", "b").alias("p")).groupBy("cid").agg(F.min("p").alias("p")).select("p.a", "p.b")
-    links = staged(_verified(best, sets), "minhash-links")
+    links = staged(_verified(best.unionByName(_star_pairs(members, None, 0)).distinct(), sets), "minhash-links")
     labels = components(links, "minhash-first")
-    # of large buckets, the tiles compare what is still apart
-    more = staged(_verified(_apart(pairs.where("small").join(best, ["a", "b"], "left_anti"), labels), sets), "minhash-links")
-    links = links.unionByName(more)
-    labels = components(links, "minhash-second")
+    for turn in range(1, ROUNDS + 1):
+        more = _star_pairs(members, labels, turn)
+        if turn == 1:
+            more = more.unionByName(_apart(pairs.join(best, ["a", "b"], "left_anti").select("a", "b"), labels)).distinct()
+        found = staged(_verified(more, sets), "minhash-links")
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        labels = components(links, "minhash-more")
     rest = _rest_links(members, labels, sets)
-    return labels if rest is None else components(links.unionByName(rest), "minhash-third")
+    return labels if rest is None else components(links.unionByName(rest), "minhash-last")
 
 
 def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, tag, n_shingles, set_key, component_id, kept) of every row; tag is a hash of the text."""
+    """(doc_id, tag, n_shingles, set_key, component_id, kept, group) of every row; tag is a hash of the text, group a number of the group."""
     importable(docs.sparkSession)
     own = docs.select(as_column(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn("tag", F.xxhash64("text"))
     rows = staged(sketched(own), "minhash-rows")
     classes = staged(rows.where("set_key is not null and doc_id is not null").groupBy("set_key")
-                     .agg(F.min("doc_id").alias("cid"), F.first("bands").alias("bands")), "minhash-classes")
+                     .agg(F.min(F.struct("doc_id", "tag")).alias("least"), F.first("bands").alias("bands"))
+                     .select("set_key", "least.doc_id", "least.tag", "bands", F.monotonically_increasing_id().alias("cid")), "minhash-classes")
     labels = _linked_classes(own, classes)
-    named = classes.select("set_key", "cid")
-    if labels is not None:
-        named = named.join(labels.withColumnRenamed("node", "cid"), "cid", "left").select("set_key", F.coalesce("component", "cid").alias("cid"))
-    component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("cid"))
+    named = classes.select("set_key", "cid", "doc_id")
+    if labels is None:
+        named = named.select("set_key", F.col("cid").alias("group"), F.col("doc_id").alias("low"))
+    else:
+        named = staged(named.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+                       .select("set_key", F.coalesce("component", "cid").alias("group"), "doc_id"), "minhash-named")
+        named = named.join(named.groupBy("group").agg(F.min("doc_id").alias("low")), "group").drop("doc_id")
+    component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("low"))
     return (rows.drop("bands").join(named, "set_key", "left").withColumn("component_id", component)
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
-            .select("doc_id", "tag", "n_shingles", "set_key", "component_id", "kept"))
+            .select("doc_id", "tag", "n_shingles", "set_key", "component_id", "kept", "group"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -281,12 +309,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group of near-duplicates, and every text without words; all columns kept.
 
-    A group keeps the row of its smallest doc_id; of several rows with that id
-    the one with the smallest text hash stays, once.  A group of rows without
+    A group keeps the row of its smallest doc_id; of several of its rows with that
+    id the one with the smallest text hash stays, once.  A group of rows without
     doc_id keeps one in the same way.
     """
     judged = _judged(docs, id_col, text_col).where("kept")
-    groups = judged.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("set_key")).alias("set_key"),
+    groups = judged.groupBy("doc_id", "group", F.when(F.col("group").isNull(), F.col("set_key")).alias("set_key"),
                             F.when(F.col("set_key").isNull(), F.col("tag")).alias("empty")).agg(F.min("tag").alias("tag"))
     doc, tag, own = free_names(docs, "kept_doc", "kept_tag", "own_tag")
     stay = groups.select(F.col("doc_id").alias(doc), F.col("tag").alias(tag)).distinct()

@@ -84,10 +84,33 @@ def test_near_duplicates_of_awkward_rows(spark):
     assert by_id[None] == [(None, True)] * 2 and by_id[6] == [(6, True)] * 2
     kept = minhash.keep_one(awkward(spark))
     assert kept.columns == awkward(spark).columns
-    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "2", "3", "4", "6", "7", "8", "9", "10", "None", "None"])
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "2", "3", "4", "6", "6", "7", "8", "9", "10", "None", "None"])
     assert minhash.near_duplicates(empty(spark)).count() == 0 and minhash.keep_one(empty(spark)).count() == 0
 
 
+def test_rows_that_share_a_doc_id_keep_their_own_links(spark):
+    """(1, A), (1, B), (2, near A), (3, near B): two groups, both named by doc 1, and one row of each stays."""
+    rng = random.Random(12)
+    a, b = words(rng, 200), words(rng, 200)
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, b + " more")]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(documents(spark, rows)).collect())
+    assert got == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 1, False)]
+    assert sorted((r.doc_id, r.text) for r in minhash.keep_one(documents(spark, rows)).collect()) == sorted([(1, a), (1, b)])
+
+
+def test_proposed_pairs_grow_with_the_family(spark, monkeypatch):
+    """A family of n near copies proposes pairs in proportion to n, not to n times its bands."""
+    rng = random.Random(13)
+    base, seen = words(rng, 200), []
+    verified = minhash._verified
+    monkeypatch.setattr(minhash, "_verified", lambda pairs, sets: seen.append(pairs.count()) or verified(pairs, sets))
+    for n in (100, 300):
+        rows = [(i, t) for i, t in enumerate(variants(rng, base, n, 3))]
+        seen.clear()
+        assert {r.component_id for r in minhash.near_duplicates(documents(spark, rows)).collect()} == {0}
+        assert sum(seen) <= 3 * n
+
+
 # substring dedup
 
 
