@@ -55,12 +55,12 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     The two added columns get other names (a trailing underscore) when the table has them already.
     """
-    n_lines, n_removed, tag, lines, starts = free_names(docs, "n_lines", "n_removed", "line_tag", "line_list", "line_starts")
+    n_lines, n_removed, tag, lines, starts, own, of = free_names(docs, "n_lines", "n_removed", "line_tag", "line_list", "line_starts", "line_own", "line_of")
     base = docs.select(as_column(id_col).alias("doc_id"), F.coalesce(as_column(text_col), F.lit("")).alias("text"))
-    found = repeated_lines(base, width).select(F.col("doc_id").alias("__id"), F.col("tag").alias(tag), F.col("starts").alias(starts))
+    found = repeated_lines(base, width).select(F.col("doc_id").alias(of), F.col("tag").alias(tag), F.col("starts").alias(starts))
     text = F.coalesce(as_column(text_col), F.lit(""))
-    joined = docs.withColumn(tag + "own", F.xxhash64(text)).join(
-        found, as_column(id_col).eqNullSafe(F.col("__id")) & (F.col(tag + "own") == F.col(tag)), "left")
+    joined = docs.withColumn(own, F.xxhash64(text)).join(
+        found, as_column(id_col).eqNullSafe(F.col(of)) & (F.col(own) == F.col(tag)), "left")
     covered = " or ".join(f"array_contains({starts}, i - {k})" for k in range(width))
     kept = F.expr(f"filter({lines}, (x, i) -> not ({covered}))")
     split = joined.withColumn(lines, F.split(text, "\n", -1))

@@ -54,8 +54,8 @@ ROWS, BANDS = 4, 36
 COORDINATES = ROWS * BANDS
 #: Links are pairs with PERCENT * |union| <= 100 * |intersection|.
 PERCENT = 75
-#: Buckets up to this size give all their pairs, larger ones a pair with their centre for each class, in so many rounds.
-SMALL, ROUNDS = 16, 3
+#: Buckets up to this size give all their pairs, larger ones a pair with their centre for each class, then once more in so many rounds.
+SMALL, ROUNDS = 16, 1
 #: Bytes of shingle hashes in one block of a tile.
 TILE_BYTES = 4 << 20
 
@@ -271,8 +271,6 @@ def _linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
         if turn == 1:
             more = more.unionByName(_apart(pairs.join(best, ["a", "b"], "left_anti").select("a", "b"), labels)).distinct()
         found = staged(_verified(more, sets), "minhash-links")
-        if found.isEmpty():
-            break
         links = links.unionByName(found)
         labels = components(links, "minhash-more")
     rest = _rest_links(members, labels, sets)

@@ -9,13 +9,11 @@ Probabilities stay within 1 during the raking (``bounded_fit``): a category
 that holds fewer words than its target is kept whole, and what it lacks goes to
 the other categories of its margin in proportion to their targets.  Targets
 that contradict each other across margins are met as nearly as the last rounds
-come.  ``op1_mixing`` is defined by its SQL, which rakes without that bound and
-cuts at the end (``fit`` and ``probabilities``).
+come.
 
 The targets are parameters and list their categories; anything else falls into
 the category ``other``, whose target, unless it is listed too, is its own share
-of the corpus's words: such documents are thinned like the rest, not dropped
-(in ``op1_mixing`` an unlisted ``other`` has target 0).  So the number of cells is bounded by the parameters,
+of the corpus's words: such documents are thinned like the rest, not dropped.  So the number of cells is bounded by the parameters,
 not by the data, and the raking itself is one array expression over one row.
 
 Defined cases: null source, language or topic count as ``other``; a null or
@@ -50,11 +48,10 @@ TOPIC_RULES = {
     "marked": "[0-9$%&#*|!]",
 }
 
-ROUNDS = 30
-#: Rounds of the bounded raking; cells at probability 1 slow it down.
+#: Rounds of the raking; cells at probability 1 slow it down.
 BOUNDED_ROUNDS = 100
 SEED = "mix-1"
-#: Share of the corpus's words that the expected sample has (in ``probabilities``: before they are cut at 1).
+#: Share of the corpus's words that the expected sample has.
 SAMPLE_SHARE = 0.5
 
 
@@ -117,57 +114,6 @@ def _dense(cells: DataFrame, s: list[str], g: list[str], t: list[str]) -> DataFr
     ).alias("w"))
 
 
-def fit(cells: DataFrame, sources: Mapping[str, float], langs: Mapping[str, float], topics: Mapping[str, float],
-        rounds: int = ROUNDS) -> DataFrame:
-    """(mix_source, mix_lang, mix_topic, weight) of every cell, raked to the three targets.
-
-    ``cells`` holds mix_source, mix_lang, mix_topic and words, one row each.
-    Each round sets the factors of one margin after the other, so that the
-    margin's words under the current factors have its target shares.  A
-    category with target 0 and no listing gets weight 0.
-    """
-    (s, st), (g, gt), (t, tt) = _shares(sources), _shares(langs), _shares(topics)
-    ns, ng, nt = len(s), len(g), len(t)
-    dense = _dense(cells, s, g, t)
-
-    def margin(size: int, target: str, index: str, others: tuple[int, int], product: str) -> str:
-        """The factors of one margin: target share over the words that the other two factors give it."""
-        total = (f"aggregate(sequence(0, {others[0] * others[1] - 1}), 0D, (sum, j) -> sum + get(w, cast({index} as int)) * {product})")
-        return (f"transform(sequence(0, {size - 1}), i -> named_struct('sum', {total}, 'goal', get({target}, i)))")
-
-    def scaled(sums: str) -> str:
-        """Targets of categories without words are given to the others."""
-        live = f"aggregate({sums}, 0D, (a, x) -> a + if(x.sum > 0, x.goal, 0D))"
-        return f"transform({sums}, x -> if(x.sum > 0 and {live} > 0, x.goal / {live} / x.sum, 0D))"
-
-    src = margin(ns, "goal_s", f"i * {ng * nt} + j", (ng, nt), f"get(f.g, cast(j div {nt} as int)) * get(f.t, cast(j % {nt} as int))")
-    lng = margin(ng, "goal_g", f"(j div {nt}) * {ng * nt} + i * {nt} + j % {nt}", (ns, nt), f"get(f.s, cast(j div {nt} as int)) * get(f.t, cast(j % {nt} as int))")
-    top = margin(nt, "goal_t", f"j * {nt} + i", (ns, ng), f"get(f.s, cast(j div {ng} as int)) * get(f.g, cast(j % {ng} as int))")
-    start = (f"named_struct('s', array_repeat(1D, {ns}), 'g', array_repeat(1D, {ng}), 't', array_repeat(1D, {nt}))")
-    step = (f"aggregate(array(0, 1, 2), acc, (f, m) -> case m "
-            f"when 0 then named_struct('s', {scaled(src)}, 'g', f.g, 't', f.t) "
-            f"when 1 then named_struct('s', f.s, 'g', {scaled(lng)}, 't', f.t) "
-            f"else named_struct('s', f.s, 'g', f.g, 't', {scaled(top)}) end)")
-    steps = f"aggregate(sequence(1, {int(rounds)}), {start}, (acc, r) -> {step})"
-    fitted = (dense.select("w", F.expr(_numbers(st)).alias("goal_s"), F.expr(_numbers(gt)).alias("goal_g"), F.expr(_numbers(tt)).alias("goal_t"))
-              .select("w", F.expr(steps).alias("f")))
-    weight = f"get(f.s, cast(i div {ng * nt} as int)) * get(f.g, cast((i div {nt}) % {ng} as int)) * get(f.t, cast(i % {nt} as int))"
-    weighed = fitted.select("w", F.expr(f"transform(sequence(0, {ns * ng * nt - 1}), i -> {weight})").alias("x"))
-    total = "aggregate(w, 0D, (a, v) -> a + v)"
-    expected = "aggregate(zip_with(w, x, (v, y) -> v * y), 0D, (a, v) -> a + v)"
-    rows = weighed.select("w", "x", F.expr(f"try_divide({total}, {expected})").alias("scale")).select(F.expr(
-        f"inline(transform(sequence(0, {ns * ng * nt - 1}), i -> named_struct("
-        f"'mix_source', get({_listed(s)}, cast(i div {ng * nt} as int)), 'mix_lang', get({_listed(g)}, cast((i div {nt}) % {ng} as int)), "
-        f"'mix_topic', get({_listed(t)}, cast(i % {nt} as int)), 'words', get(w, i), 'weight', get(x, i), 'scale', scale)))"))
-    return rows.where("words > 0")
-
-
-def probabilities(fitted: DataFrame, share: float = SAMPLE_SHARE) -> DataFrame:
-    """Adds each cell's ``probability``: in proportion to its weight, at most 1, with ``share`` of all words expected before that."""
-    p = F.least(F.lit(1.0), F.col("weight") * F.col("scale") * F.lit(float(share)))
-    return fitted.withColumn("probability", F.coalesce(F.round(p, 9), F.lit(0.0)))
-
-
 def _let(name: str, value: str, body: str) -> str:
     """``body`` with ``name`` for ``value``, which is computed once."""
     return f"get(transform(array({value}), {name} -> {body}), 0)"
@@ -235,19 +181,15 @@ def bounded_fit(cells: DataFrame, sources: Mapping[str, float], langs: Mapping[s
 
 def calibrated(docs: DataFrame, sources: Mapping[str, float] = SOURCE_TARGETS, langs: Mapping[str, float] = LANG_TARGETS,
                topics: Mapping[str, float] = TOPIC_TARGETS, rules: Mapping[str, str] = TOPIC_RULES,
-               share: float = SAMPLE_SHARE, seed: str = SEED, rounds: int | None = None, bounded: bool = True) -> DataFrame:
+               share: float = SAMPLE_SHARE, seed: str = SEED, rounds: int = BOUNDED_ROUNDS) -> DataFrame:
     """One row per document: doc_id, mix_source, mix_lang, mix_topic, words, probability, u and ``selected``.
 
     The features are computed once and staged without the text; the cells are
-    bounded by the targets, so their table is broadcast.  ``bounded=False``
-    rakes as ``ORACLE_SQL`` does: weights without a bound, cut at probability 1.
+    bounded by the targets, so their table is broadcast.
     """
     own = staged(docs.select(as_column("doc_id"), *features(docs, rules, sources, langs)), "mix-features")
     cells = own.groupBy("mix_source", "mix_lang", "mix_topic").agg(F.sum("words").alias("words"))
-    if bounded:
-        table = bounded_fit(cells, sources, langs, topics, share, rounds or BOUNDED_ROUNDS)
-    else:
-        table = probabilities(fit(cells, sources, langs, topics, rounds or ROUNDS), share)
+    table = bounded_fit(cells, sources, langs, topics, share, rounds)
     out = own.join(F.broadcast(table.select("mix_source", "mix_lang", "mix_topic", "probability")), ["mix_source", "mix_lang", "mix_topic"], "left")
     probability = F.coalesce("probability", F.lit(0.0))
     return (out.withColumn("probability", probability).withColumn("u", unit(F.col("doc_id"), seed))
@@ -257,12 +199,12 @@ def calibrated(docs: DataFrame, sources: Mapping[str, float] = SOURCE_TARGETS, l
 
 def mix(docs: DataFrame, sources: Mapping[str, float] = SOURCE_TARGETS, langs: Mapping[str, float] = LANG_TARGETS,
         topics: Mapping[str, float] = TOPIC_TARGETS, rules: Mapping[str, str] = TOPIC_RULES,
-        share: float = SAMPLE_SHARE, seed: str = SEED, rounds: int | None = None) -> DataFrame:
+        share: float = SAMPLE_SHARE, seed: str = SEED, rounds: int = BOUNDED_ROUNDS) -> DataFrame:
     """The sampled rows of ``docs``, all columns kept.  The decisions of ``calibrated`` without a join on ids."""
     s, g, t, w, p = free_names(docs, "mix_source", "mix_lang", "mix_topic", "mix_words", "mix_probability")
     cols = features(docs, rules, sources, langs)
     cells = (docs.select(*cols).groupBy("mix_source", "mix_lang", "mix_topic").agg(F.sum("words").alias("words")))
-    table = bounded_fit(staged(cells, "mix-cells"), sources, langs, topics, share, rounds or BOUNDED_ROUNDS)
+    table = bounded_fit(staged(cells, "mix-cells"), sources, langs, topics, share, rounds)
     table = F.broadcast(table.select(F.col("mix_source").alias(s), F.col("mix_lang").alias(g), F.col("mix_topic").alias(t), F.col("probability").alias(p)))
     named = docs.select(*[as_column(c) for c in docs.columns], *[c.alias(n) for c, n in zip(cols[:3], (s, g, t), strict=True)])
     # a left join that stays one: an inner join would evaluate the topics again to test them for null
@@ -270,11 +212,8 @@ def mix(docs: DataFrame, sources: Mapping[str, float] = SOURCE_TARGETS, langs: M
 
 
 def _oracle() -> str:
-    """DuckDB SQL for ``calibrated`` with the default parameters: the same raking as a chain of window sums."""
-    (s, st), (g, gt), (t, tt) = _shares(SOURCE_TARGETS), _shares(LANG_TARGETS), _shares(TOPIC_TARGETS)
-
-    def values(names: list[str], goals: list[float]) -> str:
-        return ", ".join(f"('{n}', {v!r}::DOUBLE)" for n, v in zip(names, goals, strict=True))
+    """DuckDB SQL for ``calibrated`` with the default parameters: goals by recursion over levels, raking by recursion over window sums."""
+    margins = {"s": SOURCE_TARGETS, "g": LANG_TARGETS, "t": TOPIC_TARGETS}
 
     def listed(targets: Mapping[str, float]) -> str:
         return ", ".join(f"'{n}'" for n in targets if n != OTHER)
@@ -282,17 +221,27 @@ def _oracle() -> str:
     counts = ", ".join(f"len(regexp_extract_all(' ' || body, '{p}'))" for p in TOPIC_RULES.values())
     names = ", ".join(f"'{n}'" for n in TOPIC_RULES)
     ctes = []
-    last = "x0"
-    for r in range(ROUNDS):
-        for k, name in enumerate(("s", "g", "t")):
-            now = f"x{3 * r + k + 1}"
-            ctes.append(f"""{now} AS MATERIALIZED (SELECT s, g, t, w, x * goal_{name} / sum(x) OVER (PARTITION BY {name}) AS x,
-  goal_s, goal_g, goal_t FROM {last})""")
-            last = now
-    chain = ",\n".join(ctes)
+    for k, targets in margins.items():
+        given, goals = _shares(targets)
+        values = ", ".join(f"('{n}', {v!r}::DOUBLE)" for n, v in zip(given, goals, strict=True))
+        share = "goal"
+        if OTHER not in targets:
+            other = f"coalesce(sum(own) FILTER (WHERE n = '{OTHER}') OVER () / sum(own) OVER (), 0)"
+            share = f"CASE WHEN n = '{OTHER}' THEN {other} ELSE coalesce((1 - {other}) * goal / nullif(sum(CASE WHEN own > 0 THEN goal ELSE 0 END) OVER (), 0), 0) END"
+        ctes.append(f"""named_{k}(n, goal) AS (VALUES {values}),
+target_{k} AS MATERIALIZED (SELECT n, {share} AS t FROM (
+  SELECT n, goal, coalesce(sum(w), 0) AS own FROM named_{k} LEFT JOIN cells ON cells.{k} = n GROUP BY n, goal))""")
+    for k, targets in margins.items():
+        ctes.append(f"""held_{k} AS MATERIALIZED (SELECT n, any_value(c.t) AS t, coalesce(sum(live), 0) AS h
+  FROM target_{k} c LEFT JOIN alive ON alive.{k} = n GROUP BY n),
+level_{k}(r, l) AS (SELECT 0, 0::DOUBLE UNION ALL
+  SELECT r + 1, coalesce(((SELECT size FROM total) - (SELECT sum(CASE WHEN h <= l * t THEN h ELSE 0 END) FROM held_{k}))
+    / nullif((SELECT sum(CASE WHEN h <= l * t THEN 0 ELSE t END) FROM held_{k}), 0), l) FROM level_{k} WHERE r <= {len(_shares(targets)[0])}),
+goal_{k} AS MATERIALIZED (SELECT n, least(h, t * (SELECT l FROM level_{k} ORDER BY r DESC LIMIT 1)) AS goal FROM held_{k})""")
+    margin_ctes = ",\n".join(ctes[:3])
+    goal_ctes = ",\n".join(ctes[3:])
     return f"""
-WITH src(n, goal) AS (VALUES {values(s, st)}), lng(n, goal) AS (VALUES {values(g, gt)}), top(n, goal) AS (VALUES {values(t, tt)}),
-base AS MATERIALIZED (
+WITH RECURSIVE base AS MATERIALIZED (
   SELECT doc_id, CASE WHEN source IN ({listed(SOURCE_TARGETS)}) THEN source ELSE '{OTHER}' END AS mix_source,
     CASE WHEN lang IN ({listed(LANG_TARGETS)}) THEN lang ELSE '{OTHER}' END AS mix_lang, body,
     [{counts}] AS counts, len(regexp_extract_all(body, '[^ \t\n\r\f\x0B]+'))::BIGINT AS words
@@ -302,13 +251,19 @@ own AS MATERIALIZED (
     THEN list_extract([{names}], list_position(counts, list_max(counts))) ELSE '{OTHER}' END AS mix_topic FROM base),
 cells AS MATERIALIZED (
   SELECT mix_source AS s, mix_lang AS g, mix_topic AS t, sum(words)::DOUBLE AS w FROM own GROUP BY ALL HAVING sum(words) > 0),
-live_s AS (SELECT n, goal / sum(goal) OVER () AS goal FROM src WHERE n IN (SELECT s FROM cells)),
-live_g AS (SELECT n, goal / sum(goal) OVER () AS goal FROM lng WHERE n IN (SELECT g FROM cells)),
-live_t AS (SELECT n, goal / sum(goal) OVER () AS goal FROM top WHERE n IN (SELECT t FROM cells)),
-x0 AS MATERIALIZED (SELECT c.*, w AS x, a.goal AS goal_s, b.goal AS goal_g, d.goal AS goal_t
-  FROM cells c JOIN live_s a ON c.s = a.n JOIN live_g b ON c.g = b.n JOIN live_t d ON c.t = d.n),
-{chain},
-fitted AS (SELECT s, g, t, round(least(1.0, x / w * ({SAMPLE_SHARE!r} * sum(w) OVER () / sum(x) OVER ())), 9) AS p FROM {last}),
+{margin_ctes},
+alive AS MATERIALIZED (SELECT c.s, c.g, c.t, w, CASE WHEN a.t > 0 AND b.t > 0 AND d.t > 0 THEN w ELSE 0 END AS live
+  FROM cells c JOIN target_s a ON c.s = a.n JOIN target_g b ON c.g = b.n JOIN target_t d ON c.t = d.n),
+total AS MATERIALIZED (SELECT least({SAMPLE_SHARE!r} * sum(w), sum(live)) AS size, sum(live) AS live FROM alive),
+{goal_ctes},
+raked(r, s, g, t, w, live, x, goal_s, goal_g, goal_t) AS (
+  SELECT 0, s, g, c.t, w, c.live, coalesce(c.live * size / nullif(total.live, 0), 0), a.goal, b.goal, d.goal
+  FROM alive c, total, goal_s a, goal_g b, goal_t d WHERE a.n = s AND b.n = g AND d.n = c.t
+  UNION ALL
+  SELECT r + 1, s, g, t, w, live, least(live, x * coalesce(CASE r % 3 WHEN 0 THEN goal_s / nullif(sum(x) OVER (PARTITION BY s), 0)
+    WHEN 1 THEN goal_g / nullif(sum(x) OVER (PARTITION BY g), 0) ELSE goal_t / nullif(sum(x) OVER (PARTITION BY t), 0) END, 0)),
+    goal_s, goal_g, goal_t FROM raked WHERE r < {3 * BOUNDED_ROUNDS}),
+fitted AS (SELECT s, g, t, round(least(1.0, x / w), 9) AS p FROM raked WHERE r = {3 * BOUNDED_ROUNDS}),
 out AS (SELECT o.*, coalesce(p, 0.0) AS probability,
     ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::UBIGINT::DOUBLE / 4294967296.0 AS u
   FROM own o LEFT JOIN fitted f ON o.mix_source = f.s AND o.mix_lang = f.g AND o.mix_topic = f.t)

@@ -15,7 +15,7 @@ go in.
 
 Defined cases: a null text counts as empty; an empty text has no chunk and
 gets the score that the network gives to silence; null labels are not learnt
-from; with fewer than two labels to learn from, every score is the share of
+from, an id with both labels is learnt as both; rows that repeat a labelled id count once; with fewer than two labels to learn from, every score is the share of
 label 1 (0.5 without any); a null doc_id hashes as the empty string; repeated
 rows give repeated results; an empty table gives an empty result.
 """
@@ -216,12 +216,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL, m
     """A network from a bounded sample of the labelled documents that are not held out."""
     usable = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1))
     # somewhat more ids than are taken: some have no document, or a text that is too long
-    ids = [usable.where(F.col("quality") == q).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * per_label) for q in (0, 1)]
+    turn = F.xxhash64("doc_id")
+    ids = [usable.where(F.col("quality") == q).distinct().orderBy(turn, "doc_id").limit(2 * per_label) for q in (0, 1)]
     chosen = staged(ids[0].unionByName(ids[1]).coalesce(1), "quality-sample")
     texts = docs.select("doc_id", text_or_empty().alias("text")).where(F.octet_length("text") <= max_bytes)
-    rows = (texts.join(F.broadcast(chosen), "doc_id").withColumn("turn", F.xxhash64("doc_id"))
-            .orderBy("quality", "turn", "doc_id", "text").collect())
-    taken = [r for q in (0, 1) for r in [r for r in rows if r.quality == q][:per_label]]
+    # repeated rows of one id count once, by the least text; the cap comes before anything is collected
+    once = staged(texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text")), "quality-texts")
+    taken = [r for q in (0, 1) for r in once.where(F.col("quality") == q).orderBy(turn, "doc_id").limit(per_label).collect()]
     return train([r.text.encode("utf-8") for r in taken], np.array([r.quality for r in taken], float))
 
 

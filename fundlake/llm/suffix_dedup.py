@@ -110,11 +110,20 @@ def _anchored(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, tag long, start int, windows int, anchor long, content long")
 
 
+def _once(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each (doc_id, tag); only the texts of repeated ones move."""
+    repeated = staged(docs.groupBy("doc_id", "tag").count().where("count > 1").select(F.col("doc_id").alias("r_id"), F.col("tag").alias("r_tag")), "suffix-repeated")
+    if repeated.isEmpty():
+        return docs
+    same = F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("tag") == F.col("r_tag"))
+    return docs.join(repeated, same, "left_anti").unionByName(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "tag"]))
+
+
 def _texts(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
     """(anchor, content, n, windows, segment): the distinct segments with their bytes and how often they occur."""
     one = shared.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "tag", "start", "windows")).alias("at"))
     wanted = one.groupBy("at.doc_id", "at.tag").agg(F.collect_list(F.struct("at.start", "at.windows", "anchor", "content", "n")).alias("parts"))
-    there = docs.join(wanted.withColumnRenamed("doc_id", "of").withColumnRenamed("tag", "with"), (F.col("doc_id").eqNullSafe(F.col("of"))) & (F.col("tag") == F.col("with")))
+    there = _once(docs).join(wanted.withColumnRenamed("doc_id", "of").withColumnRenamed("tag", "with"), (F.col("doc_id").eqNullSafe(F.col("of"))) & (F.col("tag") == F.col("with")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,7 +236,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     else:
         found = _by_array(texts.join(large, "anchor", "left_anti"), length).unionByName(_by_window(texts.join(large, "anchor"), length))
     moved = shared.join(found, ["anchor", "content"]).select("doc_id", "tag", F.expr("transform(spans, x -> x + start)").alias("spans"))
-    return moved.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    # a set: rows that repeat doc_id and text have equal spans
+    return moved.groupBy("doc_id", "tag").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
 def merged(spans: np.ndarray) -> list[tuple[int, int]]:

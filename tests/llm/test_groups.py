@@ -152,6 +152,16 @@ def test_suffix_dedup_of_awkward_rows(spark):
     assert suffix_dedup.suffix_dedup(empty(spark)).count() == 0
 
 
+def test_suffix_dedup_of_many_repeated_rows(spark):
+    """5,000 equal rows with one id and 1,000 without any: every byte of each occurs elsewhere; others keep theirs."""
+    rng = random.Random(14)
+    a, b, c = words(rng, 120), words(rng, 100), words(rng, 100)
+    docs = documents(spark, [(1, a)] * 5000 + [(None, b)] * 1000 + [(2, c)])
+    got = suffix_dedup.suffix_dedup(docs).groupBy("doc_id", "n_bytes", "n_removed", "n_spans").count().collect()
+    assert sorted(((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r["count"]) for r in got)) == sorted([
+        ("1", len(a), len(a), 1, 5000), ("None", len(b), len(b), 1, 1000), ("2", len(c), 0, 0, 1)])
+
+
 def test_segments_cover_all_windows_in_slices(monkeypatch):
     rng = random.Random(9)
     texts = [words(rng, n).encode() for n in (500, 3, 0, 90, 200)]

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from llm_cases import awkward, documents, empty, words
 
-from fundlake.llm import mixing, packing, pii, quality, url_filter
+from fundlake.llm import mixing, packing, pii, quality, queries, url_filter
 from fundlake.llm.queries import tokenizer_path
 
 # personal data
@@ -120,6 +120,37 @@ def test_quality_tells_junk_on_held_out_rows(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in scored)
 
 
+def test_probabilities_equal_a_plain_loop():
+    """Chunks, places, filters, pooling and combination spelled out one by one."""
+    rng = np.random.default_rng(21)
+    net = quality.Network(rng.normal(size=(quality.SYMBOLS, quality.DIM)).astype(np.float32), rng.normal(0, 0.2, (quality.WIDTH * quality.DIM, quality.FILTERS)).astype(np.float32),
+                          rng.normal(size=quality.FILTERS).astype(np.float32), rng.normal(size=2 * quality.FILTERS).astype(np.float32), 0.3)
+    net.embed[quality._PAD] = 0
+    texts = [b"", b"ab", bytes(rng.integers(97, 105, 511).astype(np.uint8)), bytes(rng.integers(97, 105, 513).astype(np.uint8)), bytes(rng.integers(97, 122, 1500).astype(np.uint8))]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    marked = quality.symbols(data, offsets)
+    for t, got in enumerate(quality.probabilities(net, data, offsets)):
+        own = marked[offsets[t]:offsets[t + 1]].tolist()
+        answers, a = [], 0
+        while own and (a == 0 or a + quality.CHUNK - quality.STEP < len(own)):
+            chunk = (own[a:a + quality.CHUNK] + [quality._PAD] * quality.CHUNK)[:quality.CHUNK]
+            best = np.max([net.embed[chunk[p:p + quality.WIDTH]].ravel() @ net.filters for p in range(0, quality.CHUNK - quality.WIDTH + 1, quality.STRIDE)], axis=0)
+            answers.append(np.maximum(best + net.bias, 0))
+            a += quality.STEP
+        features = np.concatenate([np.mean(answers, axis=0), np.max(answers, axis=0)]) if answers else np.zeros(2 * quality.FILTERS)
+        assert got == pytest.approx(1 / (1 + np.exp(-(features @ net.weights + net.offset))), abs=1e-4)
+
+
+def test_quality_fit_takes_repeated_rows_once(spark):
+    texts = [(i, f"good words of text {i} go on here", 1) for i in range(0, 40) if zlib.crc32(str(i).encode()) % 4 != 2]
+    texts += [(100 + i, "### $$$ %%% " * (2 + i % 5), 0) for i in range(40) if zlib.crc32(str(100 + i).encode()) % 4 != 2]
+    labels = spark.createDataFrame([(i, q) for i, _, q in texts], "doc_id long, quality int")
+    one = quality.fit(documents(spark, [(i, t) for i, t, _ in texts]), labels)
+    many = quality.fit(documents(spark, [(i, t) for i, t, _ in texts] + [texts[0][:2]] * 3000), labels.unionByName(labels))
+    assert np.array_equal(one.embed, many.embed) and one.offset == many.offset
+
+
 def test_quality_of_awkward_rows(spark):
     net = quality.Network.constant(0.8)
     assert {r.score for r in quality.score(awkward(spark), net).collect()} == {0.8}
@@ -238,29 +269,16 @@ def test_piece_lengths():
 # mixing
 
 
-def plain_fit(cells, targets, rounds=30):
-    x = dict(cells)
-    for _ in range(rounds):
-        for k, goals in enumerate(targets):
-            sums = {}
-            for key, v in x.items():
-                sums[key[k]] = sums.get(key[k], 0) + v
-            live = sum(goals.get(c, 0.0) for c in sums)
-            x = {key: v * goals.get(key[k], 0.0) / live / sums[key[k]] for key, v in x.items()}
-    return {key: v / cells[key] for key, v in x.items()}
-
-
-def test_fit_reaches_the_margins(spark):
-    rng = random.Random(2)
-    targets = ({"a": 0.5, "b": 0.3, "other": 0.2}, {"en": 0.7, "fr": 0.3}, {"x": 0.6, "y": 0.4})
-    cells = {(s, g, t): rng.randint(1, 500) for s in ("a", "b", "other") for g in ("en", "fr") for t in ("x", "y")}
-    table = spark.createDataFrame([(*k, v) for k, v in cells.items()], "mix_source string, mix_lang string, mix_topic string, words long")
-    got = {(r.mix_source, r.mix_lang, r.mix_topic): r.weight for r in mixing.fit(table, *targets).collect()}
-    want = plain_fit(cells, targets)
-    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], rel=1e-9) for k in got)
-    for k, goals in enumerate(targets):
-        for name, goal in goals.items():
-            assert sum(got[c] * cells[c] for c in cells if c[k] == name) == pytest.approx(goal, abs=1e-3)
+def test_query_reaches_its_margins(spark):
+    """The expected sample of the registered query: half of the words, sources and languages at their targets."""
+    rows = queries.op1_mixing(spark, "/root/testdata/sf0.1").collect()
+    expected = [(r, r.words * r.probability) for r in rows]
+    size = sum(v for _, v in expected)
+    assert size == pytest.approx(0.5 * sum(r.words for r in rows), rel=1e-3)
+    for name, targets in (("mix_source", mixing.SOURCE_TARGETS), ("mix_lang", mixing.LANG_TARGETS)):
+        for category, target in targets.items():
+            share = sum(v for r, v in expected if r[name] == category) / size
+            assert share == pytest.approx(target / sum(targets.values()), rel=0.01), category
 
 
 def test_mix_and_calibrated_agree(spark):
