@@ -1,7 +1,9 @@
 """Batch jobs: Bronze -> Silver -> Gold, written as Parquet and registered.
 
 One action per output table (the write), with its row count observed in
-the same job.  Nothing is collected to the driver.
+the same job.  Nothing is collected to the driver but counts.  A layer's tables
+are published together (``sources.snapshot``): a job that fails leaves every
+table, and the catalog, as they were.
 """
 
 from __future__ import annotations
@@ -14,8 +16,7 @@ from pyspark.sql import functions as F
 from fundlake.operators import cast_rejects
 from fundlake.plans import gold, silver
 from fundlake.schemas import BRONZE_ENTITIES
-from fundlake.sources import (create_layers, read_bronze_all, read_table, register_table,
-                              write_table)
+from fundlake.sources import LayerRun, create_layers, publish, read_bronze_all, read_layer
 from fundlake.sources.bronze import LOAD_DATE
 
 SILVER_TABLES = ("portfolio_companies", "company_financials", "quarterly_cashflows",
@@ -29,9 +30,16 @@ SORT_KEYS = {"pipeline": ("stage",), "quarterly_cashflows": ("row_num",),
              "cashflow_jcurve": ("row_num",)}
 
 
-def _write(df, root: str, name: str) -> int:
-    return write_table(df, root, name, sort_within=SORT_KEYS.get(name, ()),
-                       cluster_by=CLUSTER_KEYS.get(name, ()))
+def _write_all(run: LayerRun, frames) -> dict[str, int]:
+    return {name: run.write(df, name, sort_within=SORT_KEYS.get(name, ()), cluster_by=CLUSTER_KEYS.get(name, ()))
+            for name, df in frames.items()}
+
+
+def _publish(spark: SparkSession, run: LayerRun, layer: str, register: bool) -> None:
+    snapshot = run.commit()
+    if register:
+        create_layers(spark, run.root.rsplit("/", 1)[0], [layer])
+        publish(spark, layer, snapshot)
 
 
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, load_date: str,
@@ -40,9 +48,9 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, load_dat
                allow_empty: Sequence[str] = ()) -> dict[str, int]:
     """Bronze CSV of one load date -> eight Silver Parquet tables; rows written.
 
-    All drops are looked up before the first table is overwritten: a missing
-    one fails the run (unless ``allow_empty`` names its entity) and leaves
-    Silver as it was.  ``multiline=False`` lets large files be split.
+    All drops are looked up before the first table is written: a missing one
+    fails the run (unless ``allow_empty`` names its entity).  The tables are
+    published together at the end, so any failure leaves Silver as it was.  ``multiline=False`` lets large files be split.
 
     ``quarantine=True`` also writes, per Bronze entity, every cell whose text
     is present but does not cast to its Silver type (``_rejects/<entity>``,
@@ -51,18 +59,16 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, load_dat
     """
     bronze = read_bronze_all(spark, bronze_root, load_date, multiline=multiline,
                              allow_empty=allow_empty)
-    frames = silver.build_silver(bronze, as_of_year)
-    counts = {name: _write(df, silver_root, name) for name, df in frames.items()}
+    run = LayerRun(spark, silver_root)
+    counts = _write_all(run, silver.build_silver(bronze, as_of_year))
     if quarantine:
+        quarantined = LayerRun(spark, f"{silver_root.rstrip('/')}/_rejects")
         for entity, raw in bronze.items():
             schema = BRONZE_ENTITIES[entity][0]
             rejects = cast_rejects(raw, schema, keys=[raw.columns[0]])
-            counts[f"rejects:{entity}"] = write_table(
-                rejects, f"{silver_root}/_rejects", entity)
-    if register:
-        create_layers(spark, silver_root.rsplit("/", 1)[0], ["silver"])
-        for name in frames:
-            register_table(spark, "silver", name, f"{silver_root}/{name}")
+            counts[f"rejects:{entity}"] = quarantined.write(rejects, entity)
+        quarantined.commit()
+    _publish(spark, run, "silver", register)
     return counts
 
 
@@ -82,14 +88,11 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str,
     ``load_date``; ``load_date`` takes one of them (Silver of the batch job
     holds one date only and has no such column).
     """
-    sv = {name: _one_date(read_table(spark, silver_root, name), name, load_date)
-          for name in SILVER_TABLES}
-    frames = gold.build_gold(sv)
-    counts = {name: _write(df, gold_root, name) for name, df in frames.items()}
-    if register:
-        create_layers(spark, gold_root.rsplit("/", 1)[0], ["gold"])
-        for name in frames:
-            register_table(spark, "gold", name, f"{gold_root}/{name}")
+    tables = read_layer(spark, silver_root, SILVER_TABLES)
+    sv = {name: _one_date(df, name, load_date) for name, df in tables.items()}
+    run = LayerRun(spark, gold_root)
+    counts = _write_all(run, gold.build_gold(sv))
+    _publish(spark, run, "gold", register)
     return counts
 
 

@@ -1,18 +1,13 @@
-"""Columnar layers: Parquet scan (S3) and sink with a row count."""
+"""Columnar layers: Parquet sink with a row count (S4, S5); for the scan see ``snapshot``."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Parquet table ``<root>/<name>`` (S3); filters and projections push down."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
-
-
 def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite",
                 partition_by: Sequence[str] = (), sort_within: Sequence[str] = (),
                 cluster_by: Sequence[str] = ()) -> int:
