@@ -25,6 +25,9 @@ def sql_lenient_cast(x: str, dtype: T.DataType, int_via_decimal: bool = True) ->
         return f"try_to_date(CAST({x} AS STRING))"
     if isinstance(dtype, _INTEGRAL) and int_via_decimal:
         return f"coalesce(try_cast({x} AS {t}), try_cast(try_cast({x} AS DECIMAL(38,6)) AS {t}))"
+    if isinstance(dtype, T.DoubleType):
+        # the JVM's parser also takes a type suffix ('12D') and hexadecimal
+        return f"CASE WHEN CAST({x} AS STRING) NOT RLIKE '[0-9.][dDfF][ ]*$|[xX]' THEN try_cast({x} AS {t}) END"
     return f"try_cast({x} AS {t})"
 
 
@@ -38,4 +41,6 @@ def lenient_cast(c, dtype: T.DataType, int_via_decimal: bool = True) -> Column:
         return F.try_to_date(c.cast("string"))
     if isinstance(dtype, _INTEGRAL) and int_via_decimal:
         return F.coalesce(c.try_cast(dtype), c.try_cast("decimal(38,6)").try_cast(dtype))
+    if isinstance(dtype, T.DoubleType):
+        return F.when(~c.cast("string").rlike("[0-9.][dDfF][ ]*$|[xX]"), c.try_cast(dtype))
     return c.try_cast(dtype)

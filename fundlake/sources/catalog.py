@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fundlake.schemas import LAYERS
-from fundlake.sources.bronze import CSV_OPTIONS
+from fundlake.sources.discover import register_layouts
 
 
 def _q(name: str) -> str:
@@ -24,18 +24,16 @@ def register_table(spark: SparkSession, database: str, name: str, path: str,
                    fmt: str = "parquet") -> DataFrame:
     """Register files at ``path`` as ``database.name`` (schema from the files).
 
-    Parquet takes its schema from the footers; CSV (Bronze) reads the header
-    as text columns and discovers ``load_date`` partitions.  Re-registering
-    replaces the table definition (the files stay).
+    Parquet takes its schema from the footers; CSV (Bronze) becomes a view that
+    reads every drop by its own header (``discover.register_layouts``).
+    Re-registering replaces the table definition (the files stay).
     """
+    if fmt == "csv":
+        return register_layouts(spark, database, name, path)
     full = f"{_q(database)}.{_q(name)}"
     spark.sql(f"DROP TABLE IF EXISTS {full}")
-    opts = ""
-    if fmt == "csv":
-        opts = " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in CSV_OPTIONS.items()) + ")"
-    elif fmt == "parquet":
-        # files written by later runs may add columns: merge footers' schemas
-        opts = " OPTIONS ('mergeSchema' 'true')"
+    # files written by later runs may add columns: merge footers' schemas
+    opts = " OPTIONS ('mergeSchema' 'true')" if fmt == "parquet" else ""
     spark.sql(f"CREATE TABLE {full} USING {fmt}{opts} LOCATION '{path}'")
     if spark.table(full).columns and "load_date" in spark.table(full).columns:
         spark.catalog.recoverPartitions(f"{database}.{name}")

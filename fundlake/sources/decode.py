@@ -18,11 +18,16 @@ def _present(x: str) -> str:
     return f"({x} IS NOT NULL AND {x} <> '')"
 
 
-def _class(x: str) -> str:
-    """Bitmask of the candidate types that a present cell casts to: a cell that is no double can
-    only be a boolean, one that is a double may be a bigint too."""
-    return (f"CASE WHEN try_cast({x} AS DOUBLE) IS NULL THEN IF(lower(trim({x})) IN ('true', 'false'), 1, 0) "
-            f"WHEN trim({x}) RLIKE '^[+-]?[0-9]+$' AND try_cast({x} AS BIGINT) IS NOT NULL THEN 6 ELSE 4 END")
+def sql_number(x: str) -> str:
+    """Text ``x`` as a double; NULL for what only the JVM's parser takes as one (a type suffix as in '12D', hexadecimal)."""
+    return f"CASE WHEN {x} NOT RLIKE '[0-9.][dDfF][ ]*$|[xX]' THEN try_cast({x} AS DOUBLE) END"
+
+
+def cell_class(x: str) -> str:
+    """Bitmask of the candidate types that a present cell casts to: an integer is a double too, a
+    cell that is neither can only be a boolean."""
+    return (f"CASE WHEN try_cast({x} AS BIGINT) IS NOT NULL THEN 6 WHEN ({sql_number(x)}) IS NOT NULL THEN 4 "
+            f"WHEN lower(trim({x})) IN ('true', 'false') THEN 1 ELSE 0 END")
 
 
 def infer_types(df: DataFrame) -> DataFrame:
@@ -36,7 +41,7 @@ def infer_types(df: DataFrame) -> DataFrame:
     cells, aggs = [], []
     for i, name in enumerate(df.columns):
         x = f"CAST({q(name)} AS STRING)"
-        cells.append(f"CASE WHEN {_present(x)} THEN {_class(x)} END AS `c{i}`")
+        cells.append(f"CASE WHEN {_present(x)} THEN {cell_class(x)} END AS `c{i}`")
         aggs += [f"count(`c{i}`) AS `n{i}`", f"bit_and(`c{i}`) AS `m{i}`"]
     one = df.selectExpr(*cells).selectExpr(*aggs)
     rows = []
@@ -66,6 +71,8 @@ def decode(df: DataFrame, types: dict[str, str] | None = None) -> DataFrame:
             v = f"lower(trim({x})) = 'true'"
         elif t == "string":
             v = x
+        elif t == "double":
+            v = sql_number(x)
         else:
             v = f"try_cast({x} AS {t.upper()})"
         exprs.append(f"CASE WHEN {_present(x)} THEN {v} END AS {q(name)}")
