@@ -6,6 +6,7 @@ existing key partitioning).
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -116,8 +117,9 @@ def range_buckets(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
 
 
 def _prefix(df: DataFrame, keys: Sequence[str], values: dict[str, str],
-            partitions: int | None) -> DataFrame:
-    """Prefix sums of ``values`` (SQL expressions of a decimal or other numeric type) in ``keys`` order.
+            partitions: int | None, group: Sequence[str] = ()) -> DataFrame:
+    """Prefix sums of ``values`` (SQL expressions of a decimal or other numeric type) in ``keys`` order,
+    starting anew for every value of ``group``.
 
     One shuffle of the rows, no single-partition window over them, no files:
 
@@ -125,35 +127,41 @@ def _prefix(df: DataFrame, keys: Sequence[str], values: dict[str, str],
        even when one order value is hot, because ``keys`` ends in a unique
        tie-break);
     2. per-bucket totals from a narrow scan, combined map-side -> at most
-       ``partitions`` rows -> running sum over them (the only
-       single-partition step, bounded by ``partitions``), broadcast;
+       ``partitions`` rows (and one more per group) -> running sum over them
+       (the only single-partition step, bounded by that), broadcast
+       without groups and joined with them;
     3. the rows are dealt out by bucket, one task each, and a running sum
        inside each bucket is added to the offset.
     Returns ``df`` plus ``_cum_<name>`` columns.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = range_buckets(df, keys, n).withColumns({f"_v_{k}": F.expr(v) for k, v in values.items()})
-    totals = (placed.groupBy("_part").agg(*[F.expr(e) for k in values for e in (
+    by = ["_part", *group]
+    placed = range_buckets(df, [*group, *keys], n).withColumns({f"_v_{k}": F.expr(v) for k, v in values.items()})
+    totals = (placed.groupBy(*by).agg(*[F.expr(e) for k in values for e in (
                     f"try_sum(`_v_{k}`) AS `_t_{k}`", f"count(`_v_{k}`) AS `_n_{k}`")]))
-    before = "OVER (ORDER BY _part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    offsets = totals.selectExpr("_part", *[e for k in values for e in (
+    partition = ", ".join(q(c) for c in group)
+    before = f"OVER ({f'PARTITION BY {partition} ' if group else ''}ORDER BY _part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    offsets = totals.selectExpr(*[f"{q(c)} AS `_by_{c}`" for c in by], *[e for k in values for e in (
         f"sum(`_t_{k}`) {before} AS `_o_{k}`",
         f"coalesce(sum(`_n_{k}`) {before}, 0) AS `_on_{k}`")])
     order_sql = ", ".join(f"{q(k)} ASC NULLS FIRST" for k in keys)
-    inside = (f"OVER (PARTITION BY _part ORDER BY {order_sql} "
+    inside = (f"OVER (PARTITION BY {', '.join(q(c) for c in by)} ORDER BY {order_sql} "
               "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
-    out = placed.repartitionById(n, F.col("_part")).join(F.broadcast(offsets), "_part").withColumns({
+    dealt = placed.repartitionById(n, F.col("_part"))
+    same = functools.reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by])
+    # without groups the offsets are one row per bucket; their number with groups is not bounded by it
+    out = dealt.join(offsets if group else F.broadcast(offsets), same).withColumns({
         f"_cum_{k}": F.expr(f"CASE WHEN `_on_{k}` = 0 THEN sum(`_v_{k}`) {inside} "
                             f"WHEN count(`_v_{k}`) {inside} = 0 THEN `_o_{k}` "
                             f"ELSE `_o_{k}` + sum(`_v_{k}`) {inside} END")
         for k in values})
-    return out.drop("_part", *[c for k in values for c in (f"_v_{k}", f"_o_{k}", f"_on_{k}")])
+    return out.drop("_part", *[f"_by_{c}" for c in by], *[c for k in values for c in (f"_v_{k}", f"_o_{k}", f"_on_{k}")])
 
 
 def running_total(df: DataFrame, order, cols: Sequence[str], tiebreak: Sequence[str] = (),
                   prefix: str = "cum_", out: Sequence[str] | None = None, scale: int = 2,
-                  partitions: int | None = None) -> DataFrame:
-    """Cumulative sums of ``cols`` over the whole table, ordered by
+                  partitions: int | None = None, group: Sequence[str] = ()) -> DataFrame:
+    """Cumulative sums of ``cols`` over the whole table (or each ``group`` of it), ordered by
     ``order`` + ``tiebreak`` (rows unbounded preceding .. current row).
 
     NULL order keys sort first; NULL values are skipped (the result stays
@@ -166,7 +174,7 @@ def running_total(df: DataFrame, order, cols: Sequence[str], tiebreak: Sequence[
     values = {f"{o}{kind}": e for c, o in zip(cols, outs) for kind, e in (
         ("", f"CASE WHEN NOT {sql_inexact(q(c))} THEN {sql_exact(q(c))} END"),
         ("_rest", f"CASE WHEN {sql_inexact(q(c))} THEN CAST({q(c)} AS DOUBLE) END"))}
-    res = _prefix(df, keys, values, partitions)
+    res = _prefix(df, keys, values, partitions, group)
     return res.selectExpr(*[q(c) for c in df.columns], *[
         f"CASE WHEN `_cum_{o}_rest` IS NULL THEN CAST(round(`_cum_{o}`, {scale}) AS DOUBLE) ELSE "
         f"round(coalesce(CAST(`_cum_{o}` AS DOUBLE), 0D) + `_cum_{o}_rest`, {scale}) END AS {q(o)}"

@@ -27,8 +27,8 @@ def _sql_value(v) -> str:
 
 
 def typed_select(df: DataFrame, schema: T.StructType, int_via_decimal: bool = True,
-                 defaults: Mapping[str, object] | None = None) -> DataFrame:
-    """Select exactly the schema's columns, cast leniently, in schema order.
+                 defaults: Mapping[str, object] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Select exactly the schema's columns, cast leniently, in schema order, then ``keep`` as they are.
 
     Text input is cast with :func:`lenient_cast` (malformed -> NULL).  A
     column missing from ``df`` is an error unless ``defaults`` names a value
@@ -48,7 +48,7 @@ def typed_select(df: DataFrame, schema: T.StructType, int_via_decimal: bool = Tr
         else:
             raise ValueError(f"column {f.name!r} missing from input")
         exprs.append(f"{e} AS {q(f.name)}")
-    return df.selectExpr(*exprs)
+    return df.selectExpr(*exprs, *[q(c) for c in keep])
 
 
 def cast_rejects(df: DataFrame, schema: T.StructType, keys: Sequence[str] = ()) -> DataFrame:

@@ -18,9 +18,9 @@ from fundlake.functions.numeric import sql_avg, sql_round
 from fundlake.operators import (cagr, cast_report, flatten, global_stats, irr, irr_check, multiples_check,
                                 number_rows, running_total, unpivot_years, weighted_mean)
 from fundlake.plans import etl, gold, seeds, silver, star, views
+from fundlake.plans.backfill import SILVER_SOURCES
 from fundlake.session import fresh_dir, materialize
 from fundlake.sources import decode, infer_types, read_bronze, write_bronze, write_bronze_all
-from fundlake.streaming.ingest import SILVER_SOURCES
 
 AS_OF = star.STAR_AS_OF_YEAR
 

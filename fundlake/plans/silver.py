@@ -1,7 +1,9 @@
 """Silver tables T1-T8: typed projection + derived columns of Bronze input.
 
 Each builder takes the Bronze DataFrame (text or already typed) and returns
-a lazy DataFrame.  ``build_silver`` maps Bronze entity names to all eight.
+a lazy DataFrame.  Columns named by ``keep`` (the load date, when the input holds
+many) are carried along, and joins, growth and running totals stay within their
+values.  ``build_silver`` maps Bronze entity names to all eight.
 """
 
 from __future__ import annotations
@@ -18,9 +20,10 @@ from fundlake.operators import (difference, growth, product, ratio, running_tota
 DEFAULT_AS_OF_YEAR = 2026
 
 
-def portfolio_companies(raw: DataFrame, as_of_year: int = DEFAULT_AS_OF_YEAR) -> DataFrame:
+def portfolio_companies(raw: DataFrame, as_of_year: int = DEFAULT_AS_OF_YEAR,
+                        keep: Sequence[str] = ()) -> DataFrame:
     """P1 + D1-D5 (leverage only where current EBITDA > 0)."""
-    df = typed_select(raw, schemas.PORTFOLIO_COMPANIES)
+    df = typed_select(raw, schemas.PORTFOLIO_COMPANIES, keep=keep)
     df = years_held(df, "entry_year", as_of_year)
     df = difference(df, "current_multiple", "entry_multiple", "multiple_expansion")
     df = difference(df, "fmv", "invested_capital", "gross_value_creation_m")
@@ -29,64 +32,65 @@ def portfolio_companies(raw: DataFrame, as_of_year: int = DEFAULT_AS_OF_YEAR) ->
 
 
 def company_financials(revenue_raw: DataFrame, ebitda_raw: DataFrame,
-                       keys: Sequence[str] = ("company_id", "year", "is_estimate")) -> DataFrame:
+                       keys: Sequence[str] = ("company_id", "year", "is_estimate"),
+                       keep: Sequence[str] = ()) -> DataFrame:
     """Revenue LEFT JOIN EBITDA, margin (D6), YoY growth.
 
     The join key includes ``is_estimate`` so an actual and an estimate of the
     same year stay two rows instead of fanning out 2x2; pass
     ``keys=("company_id", "year")`` for the year-only join.
     """
-    keys = list(keys)
-    rev = typed_select(revenue_raw, schemas.COMPANY_REVENUE)
-    eb = typed_select(ebitda_raw, schemas.COMPANY_EBITDA).select(*keys, "ebitda_m")
+    keys = [*keep, *keys]
+    rev = typed_select(revenue_raw, schemas.COMPANY_REVENUE, keep=keep)
+    eb = typed_select(ebitda_raw, schemas.COMPANY_EBITDA, keep=keep).select(*keys, "ebitda_m")
     # an unreadable is_estimate (NULL) matches another unreadable one
     eb = eb.select(*[eb[k].alias(f"_{k}") for k in keys], "ebitda_m")
     match = [rev[k].eqNullSafe(eb[f"_{k}"]) if k == "is_estimate" else rev[k] == eb[f"_{k}"]
              for k in keys]
     fin = rev.join(eb, match, "left").select(
-        "company_id", "year", "company_name", "is_estimate", "revenue_m", "ebitda_m")
+        "company_id", "year", "company_name", "is_estimate", "revenue_m", "ebitda_m", *[rev[c] for c in keep])
     fin = ratio(fin, "ebitda_m", "revenue_m", "ebitda_margin_pct", factor=100.0,
                 require_positive=True)
-    return growth(fin, "company_id", "year", ["revenue_m", "ebitda_m"],
+    return growth(fin, [*keep, "company_id"], "year", ["revenue_m", "ebitda_m"],
                   tiebreak=["is_estimate"])
 
 
-def quarterly_cashflows(raw: DataFrame) -> DataFrame:
+def quarterly_cashflows(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """P4 + cumulative contributions / distributions / net.
 
     Distributed prefix sum ordered by ``row_num`` (quarter label breaks ties).
     """
-    cf = typed_select(raw, schemas.CASHFLOWS)
+    cf = typed_select(raw, schemas.CASHFLOWS, keep=keep)
     return running_total(cf, "row_num", ["contributions_m", "distributions_m", "net_cashflow_m"],
-                         tiebreak=["quarter"])
+                         tiebreak=["quarter"], group=keep)
 
 
-def fund_history(raw: DataFrame) -> DataFrame:
+def fund_history(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """T4: P5."""
-    return typed_select(raw, schemas.FUND_HISTORY)
+    return typed_select(raw, schemas.FUND_HISTORY, keep=keep)
 
 
-def fund_metrics(raw: DataFrame) -> DataFrame:
+def fund_metrics(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """T5: P6 + deployed_pct (D7) and unrealised_pct (D8), NULL on a zero divisor."""
-    fm = typed_select(raw, schemas.FUND_METRICS)
+    fm = typed_select(raw, schemas.FUND_METRICS, keep=keep)
     fm = ratio(fm, "called_capital", "committed_capital", "deployed_pct", factor=100.0)
     return ratio(fm, "nav", "total_value", "unrealised_pct", factor=100.0)
 
 
-def deal_pipeline(raw: DataFrame) -> DataFrame:
+def deal_pipeline(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """P7 + probability-weighted equity."""
-    pl = typed_select(raw, schemas.DEAL_PIPELINE)
+    pl = typed_select(raw, schemas.DEAL_PIPELINE, keep=keep)
     return product(pl, "equity_m", "probability", "weighted_equity_m", divisor=100.0)
 
 
-def sector_breakdown(raw: DataFrame) -> DataFrame:
+def sector_breakdown(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """P8."""
-    return typed_select(raw, schemas.SECTOR_BREAKDOWN)
+    return typed_select(raw, schemas.SECTOR_BREAKDOWN, keep=keep)
 
 
-def geo_breakdown(raw: DataFrame) -> DataFrame:
+def geo_breakdown(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """P9."""
-    return typed_select(raw, schemas.GEO_BREAKDOWN)
+    return typed_select(raw, schemas.GEO_BREAKDOWN, keep=keep)
 
 
 def build_silver(bronze: Mapping[str, DataFrame],

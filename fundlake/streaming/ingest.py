@@ -18,24 +18,11 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fundlake.plans import silver
+from fundlake.plans.backfill import SILVER_SOURCES, dated_table, write_dates
 from fundlake.schemas import BRONZE_ENTITIES
-from fundlake.sources.bronze import LOAD_DATE, entity_path, read_bronze
-
-# Silver table -> Bronze entities it is built from, and its builder.
-SILVER_SOURCES = {
-    "portfolio_companies": (("portfolio-companies",), silver.portfolio_companies),
-    "company_financials": (("company-revenue", "company-ebitda"), silver.company_financials),
-    "quarterly_cashflows": (("cashflows",), silver.quarterly_cashflows),
-    "fund_history": (("fund-history",), silver.fund_history),
-    "fund_metrics": (("fund-metrics",), silver.fund_metrics),
-    "deal_pipeline": (("deal-pipeline",), silver.deal_pipeline),
-    "sector_breakdown": (("sector-breakdown",), silver.sector_breakdown),
-    "geo_breakdown": (("geo-breakdown",), silver.geo_breakdown),
-}
-
+from fundlake.sources.bronze import LOAD_DATE, entity_path
 
 def bronze_stream(spark: SparkSession, bronze_root: str, entity: str) -> DataFrame:
     """Change feed of one Bronze entity: the lines of landing files not seen
@@ -62,18 +49,8 @@ def _landed(spark: SparkSession, bronze_root: str, entity: str) -> bool:
 
 def rebuild_dates(spark: SparkSession, bronze_root: str, silver_root: str, table: str,
                   dates: Sequence[str], as_of_year: int = silver.DEFAULT_AS_OF_YEAR) -> None:
-    """Rebuild the Silver partitions of ``dates`` for one table (whole dates)."""
-    entities, build = SILVER_SOURCES[table]
-    parts = []
-    for d in dates:
-        frames = [read_bronze(spark, bronze_root, e, d, allow_empty=True) for e in entities]
-        df = build(*frames, as_of_year) if table == "portfolio_companies" else build(*frames)
-        parts.append(df.withColumn(LOAD_DATE, F.lit(d)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(LOAD_DATE).parquet(f"{silver_root.rstrip('/')}/{table}"))
+    """Rebuild the Silver partitions of ``dates`` for one table (whole dates, one plan for all of them)."""
+    write_dates(dated_table(spark, bronze_root, table, dates, as_of_year), silver_root, table)
 
 
 def ingest(spark: SparkSession, bronze_root: str, silver_root: str, checkpoint_root: str,
