@@ -478,3 +478,26 @@ def _order_sql() -> str:
 
 
 ORACLE_SQL["served_order"] = _order_sql()
+
+
+ORACLE_SQL["registered_two_headers"] = _w(DEALS) + """
+SELECT '2002-01-01' AS load_date, CAST(id AS VARCHAR) AS id, stage, equity_m, owner, notes, CAST(NULL AS VARCHAR) AS desk FROM deal_pipeline
+UNION ALL SELECT '2002-02-01', CAST(id AS VARCHAR) || 'D', stage, equity_m, owner, NULL, owner FROM deal_pipeline"""
+ORACLE_SQL["schema_drift"] = """
+SELECT '2002-02-01' AS load_date, * FROM (VALUES ('desk', 'added', NULL, 'bigint'), ('id', 'retyped', 'bigint', 'string'),
+  ('notes', 'removed', NULL, NULL)) AS t(column_name, change, old_type, new_type) WHERE EXISTS (SELECT 1 FROM orders)"""
+ORACLE_SQL["decode_codes"] = """
+SELECT o_orderkey AS id, CAST(o_orderkey AS VARCHAR) || CASE WHEN o_orderkey % 2 = 0 THEN 'D' ELSE 'f' END AS code,
+       '0x' || CAST(o_orderkey AS VARCHAR) AS hex, o_totalprice AS price FROM orders"""
+ORACLE_SQL["quoted_text"] = """
+SELECT o_orderkey AS id, '"' || o_orderpriority || '", ' || o_orderstatus || chr(10) || CAST(o_custkey AS VARCHAR) AS name FROM orders"""
+ORACLE_SQL["backfill_cashflows"] = f"""
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS load_date, event_id AS row_num, {_cum("value")} AS cum_contributions_m,
+       {_cum("-value")} AS cum_distributions_m, {_cum("value / 2")} AS cum_net_cashflow_m
+FROM events WINDOW w AS (PARTITION BY CAST(ts AS DATE) ORDER BY event_id ROWS UNBOUNDED PRECEDING)"""
+ORACLE_SQL["running_total_increments"] = ORACLE_SQL["running_total_distributed"]
+ORACLE_SQL["company_unknown_id"] = f"SELECT * FROM ({ORACLE_SQL['company_by_literal_id']}) WHERE company_id < 0"
+ORACLE_SQL["multiples_check_perturbed"] = f"""
+SELECT metric, s AS supplied, recomputed, {R("s - recomputed")} AS difference FROM (
+  SELECT metric, recomputed, CASE metric WHEN 'tvpi' THEN supplied + 0.25 WHEN 'dpi' THEN supplied - 0.5 WHEN 'moic' THEN supplied END AS s
+  FROM ({ORACLE_SQL['multiples_check']}))"""

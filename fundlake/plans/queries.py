@@ -18,9 +18,11 @@ from fundlake.functions.numeric import sql_avg, sql_round
 from fundlake.operators import (cagr, cast_report, flatten, global_stats, irr, irr_check, multiples_check,
                                 number_rows, running_total, unpivot_years, weighted_mean)
 from fundlake.plans import etl, gold, seeds, silver, star, views
-from fundlake.plans.backfill import SILVER_SOURCES
+from fundlake.operators.increment import RunningTotals
+from fundlake.plans.backfill import SILVER_SOURCES, backfill
 from fundlake.session import fresh_dir, materialize
-from fundlake.sources import decode, infer_types, read_bronze, write_bronze, write_bronze_all
+from fundlake.sources import (create_layers, decode, drift, infer_types, layouts, read_bronze, read_dates, register_table,
+                              types_by_date, write_bronze, write_bronze_all, write_drops)
 
 AS_OF = star.STAR_AS_OF_YEAR
 
@@ -404,6 +406,89 @@ def cast_rejects_corrupted(spark, sf):
     return cast_report(text, schemas.PORTFOLIO_COMPANIES)
 
 
+# -- Many drops: layouts, ledger, increments ----------------------------------
+
+DROP_DATES = ("2002-01-01", "2002-02-01")
+
+
+def _two_drops(spark, sf) -> str:
+    """The deals landed on two dates: as they are, and in another column order, without ``notes``
+    and with a column of its own, ``desk``, ids as codes; returns the entity's folder."""
+    root, deals_ = fresh_dir(spark, "bronze"), star.deals(spark, sf)
+    write_bronze(deals_, root, "deal-pipeline", DROP_DATES[0])
+    other = deals_.selectExpr("owner AS desk", *[f"concat(CAST(id AS STRING), 'D') AS {c}" if c == "id" else c
+                                                 for c in reversed(deals_.columns) if c != "notes"])
+    return write_bronze(other, root, "deal-pipeline", DROP_DATES[1])
+
+
+def registered_two_headers(spark, sf):
+    """Drops with different headers behind one registered name; every column by its name."""
+    path = _two_drops(spark, sf)
+    create_layers(spark, path.rsplit("/", 1)[0], ["bronze"])
+    name = "deals_" + path.split("/")[-2].rsplit("-", 1)[-1]
+    return register_table(spark, "bronze", name, path, "csv").selectExpr(
+        "load_date", "id", "stage", "CAST(equity_m AS DOUBLE) AS equity_m", "owner", "notes", "desk")
+
+
+def schema_drift(spark, sf):
+    """Columns added, removed and retyped between the two drops."""
+    path = _two_drops(spark, sf)
+    return drift(types_by_date(read_dates(spark, path), layouts(spark, [path])))
+
+
+def decode_codes(spark, sf):
+    """Order keys as codes that only the JVM's parser takes for numbers stay text; prices become doubles."""
+    text = star.table(spark, sf, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS id", "concat(CAST(o_orderkey AS STRING), IF(o_orderkey % 2 = 0, 'D', 'f')) AS code",
+        "concat('0x', CAST(o_orderkey AS STRING)) AS hex", "CAST(o_totalprice AS STRING) AS price")
+    path = fresh_dir(spark, "text")
+    text.write.parquet(path)
+    return decode(spark.read.parquet(path))
+
+
+def quoted_text(spark, sf):
+    """Quotes, separators and line breaks in landed text come back as they were."""
+    root = fresh_dir(spark, "bronze")
+    text = star.table(spark, sf, "orders").selectExpr(
+        "o_orderkey AS id", "concat('\"', o_orderpriority, '\", ', o_orderstatus, '\\n', CAST(o_custkey AS STRING)) AS name")
+    write_bronze(text, root, "deal-pipeline", TEXT_DATE)
+    return read_bronze(spark, root, "deal-pipeline", TEXT_DATE).selectExpr("CAST(id AS BIGINT) AS id", "name")
+
+
+def backfill_cashflows(spark, sf):
+    """Events landed as one drop per day, all days built by one backfill; running totals start anew each day."""
+    lake = fresh_dir(spark, "lake")
+    ev = star.table(spark, sf, "events").selectExpr(
+        "event_id AS row_num", "event_type AS quarter", "value AS contributions_m", "-value AS distributions_m",
+        "value / 2 AS net_cashflow_m", "CAST(CAST(ts AS DATE) AS STRING) AS load_date")
+    write_drops(ev, f"{lake}/bronze", "cashflows")
+    backfill(spark, f"{lake}/bronze", f"{lake}/silver", ["quarterly_cashflows"])
+    return spark.read.parquet(f"{lake}/silver/quarterly_cashflows").selectExpr(
+        "CAST(load_date AS STRING) AS load_date", "row_num", "cum_contributions_m", "cum_distributions_m", "cum_net_cashflow_m")
+
+
+def running_total_increments(spark, sf):
+    """The events taken in by two increments, a day of late ones in the second; equal to one full run."""
+    ev = star.flows_fine(spark, sf)
+    second = "CAST(ts AS DATE) >= DATE'2024-01-20' OR CAST(ts AS DATE) = DATE'2024-01-05'"
+    store = RunningTotals(fresh_dir(spark, "totals"), ["ts", "event_id"], ["value"])
+    store.append(ev.where(f"NOT ({second})"))
+    store.append(ev.where(second))
+    return store.read(spark).select("event_id", "value", F.col("cum_value"))
+
+
+def company_unknown_id(spark, sf):
+    """F4 / Q6 for an id that no company has: no rows, the served columns."""
+    return views.serve(spark, "company_financials", {"company_financials": gold.company_financials(
+        _fin(spark, sf))}, company_id=10 ** 15)
+
+
+def multiples_check_perturbed(spark, sf):
+    """X1 on supplied multiples that are off by known amounts, or missing."""
+    fm = _fm(spark, sf).withColumns({"tvpi": F.expr("tvpi + 0.25"), "dpi": F.expr("dpi - 0.5"), "rvpi": F.expr("CAST(NULL AS DOUBLE)")})
+    return multiples_check(fm)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "leverage_bands": leverage_bands,
     "moic_bands": moic_bands,
@@ -444,5 +529,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "layers_roundtrip": layers_roundtrip,
     "seeds_to_bronze": seeds_to_bronze,
     "served_order": served_order,
+    "registered_two_headers": registered_two_headers,
+    "schema_drift": schema_drift,
+    "decode_codes": decode_codes,
+    "quoted_text": quoted_text,
+    "backfill_cashflows": backfill_cashflows,
+    "running_total_increments": running_total_increments,
+    "company_unknown_id": company_unknown_id,
+    "multiples_check_perturbed": multiples_check_perturbed,
     **{f"text_{t}": _from_text(t) for t in SILVER_SOURCES if t != "portfolio_companies"},
 }

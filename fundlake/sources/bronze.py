@@ -75,10 +75,14 @@ def write_bronze(df: DataFrame, root: str, entity: str, load_date: str,
     doubled; NULL is written as an empty field.  Overwrite is dynamic per
     partition, so other load dates stay.  Returns the entity path.
     """
+    return write_drops(df.withColumn(LOAD_DATE, F.lit(load_date)), root, entity, mode)
+
+
+def write_drops(df: DataFrame, root: str, entity: str, mode: str = "overwrite") -> str:
+    """Land the rows of many load dates, named by ``df``'s column ``load_date``, as :func:`write_bronze` does."""
     path = entity_path(root, entity)
     text = df.selectExpr(*[f"CAST({q(c)} AS STRING) AS {q(c)}" for c in df.columns])
-    (text.withColumn(LOAD_DATE, F.lit(load_date))
-         .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    (text.write.mode(mode).option("partitionOverwriteMode", "dynamic")
          .options(**{k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"})
          .option("emptyValue", "").option("nullValue", "")
          .partitionBy(LOAD_DATE).csv(path))
