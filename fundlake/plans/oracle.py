@@ -501,3 +501,7 @@ ORACLE_SQL["multiples_check_perturbed"] = f"""
 SELECT metric, s AS supplied, recomputed, {R("s - recomputed")} AS difference FROM (
   SELECT metric, recomputed, CASE metric WHEN 'tvpi' THEN supplied + 0.25 WHEN 'dpi' THEN supplied - 0.5 WHEN 'moic' THEN supplied END AS s
   FROM ({ORACLE_SQL['multiples_check']}))"""
+ORACLE_SQL["served_page"] = f"""
+SELECT position, id, fmv FROM (
+  SELECT row_number() OVER (ORDER BY fmv DESC NULLS LAST, id) AS position, id, fmv FROM ({ORACLE_SQL['portfolio_table']}))
+WHERE position BETWEEN 101 AND 150"""

@@ -17,7 +17,7 @@ from fundlake import schemas
 from fundlake.functions.numeric import sql_avg, sql_round
 from fundlake.operators import (cagr, cast_report, flatten, global_stats, irr, irr_check, multiples_check,
                                 number_rows, running_total, unpivot_years, weighted_mean)
-from fundlake.plans import etl, gold, seeds, silver, star, views
+from fundlake.plans import etl, gold, pages, seeds, silver, star, views
 from fundlake.operators.increment import RunningTotals
 from fundlake.plans.backfill import SILVER_SOURCES, backfill
 from fundlake.session import fresh_dir, materialize
@@ -483,6 +483,17 @@ def company_unknown_id(spark, sf):
         _fin(spark, sf))}, company_id=10 ** 15)
 
 
+def served_page(spark, sf):
+    """The third page of 50 rows of the portfolio view, reached by the tokens of the first two."""
+    path = fresh_dir(spark, "page")
+    gold.portfolio_table(_portco(spark, sf), _fin(spark, sf)).write.parquet(path)
+    table, keys, token = spark.read.parquet(path), pages.VIEW_KEYS["portfolio"], None
+    for _ in range(2):
+        token = pages.page(table, keys, 50, token).token
+    rows = pages.page(table, keys, 50, token).rows
+    return spark.createDataFrame([(101 + i, r["id"], r["fmv"]) for i, r in enumerate(rows)], "position long, id long, fmv double")
+
+
 def multiples_check_perturbed(spark, sf):
     """X1 on supplied multiples that are off by known amounts, or missing."""
     fm = _fm(spark, sf).withColumns({"tvpi": F.expr("tvpi + 0.25"), "dpi": F.expr("dpi - 0.5"), "rvpi": F.expr("CAST(NULL AS DOUBLE)")})
@@ -536,6 +547,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_cashflows": backfill_cashflows,
     "running_total_increments": running_total_increments,
     "company_unknown_id": company_unknown_id,
+    "served_page": served_page,
     "multiples_check_perturbed": multiples_check_perturbed,
     **{f"text_{t}": _from_text(t) for t in SILVER_SOURCES if t != "portfolio_companies"},
 }
