@@ -25,13 +25,19 @@ SILVER_TABLES = ("portfolio_companies", "company_financials", "quarterly_cashflo
 
 # Write-time layout.  Tables served by key lookups are range-clustered on the
 # key (files and row groups cover narrow key ranges); others are sorted per task.
+# Silver tables that Gold joins, groups and windows by company lie in hash buckets of it
+# (``sources.buckets``): no job after Silver shuffles by company.
+BUCKET_KEYS = {"portfolio_companies": ("id",), "company_financials": ("company_id",)}
+BUCKET_SORT = {"portfolio_companies": ("id",), "company_financials": ("company_id", "year", "is_estimate")}
 CLUSTER_KEYS = {"company_financials": ("company_id", "year"), "portfolio_table": ("id",)}
 SORT_KEYS = {"pipeline": ("stage",), "quarterly_cashflows": ("row_num",),
              "cashflow_jcurve": ("row_num",)}
 
 
-def _write_all(run: LayerRun, frames) -> dict[str, int]:
-    return {name: run.write(df, name, sort_within=SORT_KEYS.get(name, ()), cluster_by=CLUSTER_KEYS.get(name, ()))
+def _write_all(run: LayerRun, frames, bucketed=(), buckets: int | None = None) -> dict[str, int]:
+    return {name: run.write(df, name, sort_within=BUCKET_SORT[name], bucket_by=BUCKET_KEYS[name], buckets=buckets)
+            if name in bucketed else
+            run.write(df, name, sort_within=SORT_KEYS.get(name, ()), cluster_by=CLUSTER_KEYS.get(name, ()))
             for name, df in frames.items()}
 
 
@@ -45,12 +51,13 @@ def _publish(spark: SparkSession, run: LayerRun, layer: str, register: bool) ->
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, load_date: str,
                as_of_year: int = silver.DEFAULT_AS_OF_YEAR,
                register: bool = False, quarantine: bool = False, multiline: bool = True,
-               allow_empty: Sequence[str] = ()) -> dict[str, int]:
+               allow_empty: Sequence[str] = (), buckets: int | None = None) -> dict[str, int]:
     """Bronze CSV of one load date -> eight Silver Parquet tables; rows written.
 
     All drops are looked up before the first table is written: a missing one
     fails the run (unless ``allow_empty`` names its entity).  The tables are
     published together at the end, so any failure leaves Silver as it was.  ``multiline=False`` lets large files be split.
+    Company tables lie in ``buckets`` hash buckets (default: the shuffle partitions).
 
     ``quarantine=True`` also writes, per Bronze entity, every cell whose text
     is present but does not cast to its Silver type (``_rejects/<entity>``,
@@ -60,7 +67,7 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, load_dat
     bronze = read_bronze_all(spark, bronze_root, load_date, multiline=multiline,
                              allow_empty=allow_empty)
     run = LayerRun(spark, silver_root)
-    counts = _write_all(run, silver.build_silver(bronze, as_of_year))
+    counts = _write_all(run, silver.build_silver(bronze, as_of_year), BUCKET_KEYS, buckets)
     if quarantine:
         quarantined = LayerRun(spark, f"{silver_root.rstrip('/')}/_rejects")
         for entity, raw in bronze.items():

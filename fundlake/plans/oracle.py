@@ -415,6 +415,9 @@ def _count_sql(layer: str, table: str, sql: str) -> str:
             f"count(*) AS read_rows FROM ({sql})")
 
 
+ORACLE_SQL["portfolio_copartitioned"] = ORACLE_SQL["portfolio_table"]
+ORACLE_SQL["financials_copartitioned"] = ORACLE_SQL["company_financials"]
+
 ORACLE_SQL["layers_roundtrip"] = "\nUNION ALL ".join(
     [_count_sql("silver", t, q) for t, q in {**_SILVER, "portfolio_companies":
                                              ORACLE_SQL["holding_metrics"]}.items()]

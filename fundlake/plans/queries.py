@@ -21,7 +21,7 @@ from fundlake.plans import etl, gold, pages, seeds, silver, star, views
 from fundlake.operators.increment import RunningTotals
 from fundlake.plans.backfill import SILVER_SOURCES, backfill
 from fundlake.session import fresh_dir, materialize
-from fundlake.sources import (create_layers, decode, drift, infer_types, layouts, read_bronze, read_dates, register_table,
+from fundlake.sources import (LayerRun, create_layers, decode, drift, infer_types, layouts, read_bronze, read_dates, register_table,
                               types_by_date, write_bronze, write_bronze_all, write_drops)
 
 AS_OF = star.STAR_AS_OF_YEAR
@@ -302,6 +302,26 @@ def layers_roundtrip(spark, sf):
     return functools.reduce(DataFrame.unionByName, rows)
 
 
+def _copartitioned(spark, sf) -> dict[str, DataFrame]:
+    """The two company tables of Silver, written in equal hash buckets of the company and read back."""
+    run = LayerRun(spark, fresh_dir(spark, "buckets"))
+    for name, df in (("portfolio_companies", _portco(spark, sf)), ("company_financials", _fin(spark, sf))):
+        run.write(df, name, sort_within=etl.BUCKET_SORT[name], bucket_by=etl.BUCKET_KEYS[name])
+    snapshot = run.commit()
+    return {name: snapshot.read(spark, name) for name in snapshot.paths}
+
+
+def portfolio_copartitioned(spark, sf):
+    """G6 over bucketed Silver (J2, W4 without an exchange by company)."""
+    sv = _copartitioned(spark, sf)
+    return gold.portfolio_table(sv["portfolio_companies"], sv["company_financials"])
+
+
+def financials_copartitioned(spark, sf):
+    """G7 over bucketed Silver (J4, A7-A9 without an exchange by company)."""
+    return gold.company_financials(_copartitioned(spark, sf)["company_financials"])
+
+
 def _holdings_text(spark, sf) -> DataFrame:
     h = star.holdings(spark, sf, AS_OF)
     return h.selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in h.columns])
@@ -538,6 +558,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "company_by_literal_id": company_by_literal_id,
     "cast_rejects_corrupted": cast_rejects_corrupted,
     "layers_roundtrip": layers_roundtrip,
+    "portfolio_copartitioned": portfolio_copartitioned,
+    "financials_copartitioned": financials_copartitioned,
     "seeds_to_bronze": seeds_to_bronze,
     "served_order": served_order,
     "registered_two_headers": registered_two_headers,

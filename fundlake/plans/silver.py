@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from fundlake import schemas
 from fundlake.operators import (difference, growth, product, ratio, running_total, total,
@@ -31,6 +32,14 @@ def portfolio_companies(raw: DataFrame, as_of_year: int = DEFAULT_AS_OF_YEAR,
     return ratio(df, "debt", "current_ebitda", "net_leverage_x", require_positive=True)
 
 
+def _same(a: Column, b: Column, key: str, hashed: bool) -> Column:
+    if hashed:
+        return a == b
+    if key == "is_estimate":  # an unreadable one (NULL) matches another unreadable one
+        a, b = (F.coalesce(x.cast("int"), F.lit(2)) for x in (a, b))
+    return a.between(b, b)
+
+
 def company_financials(revenue_raw: DataFrame, ebitda_raw: DataFrame,
                        keys: Sequence[str] = ("company_id", "year", "is_estimate"),
                        keep: Sequence[str] = ()) -> DataFrame:
@@ -39,14 +48,16 @@ def company_financials(revenue_raw: DataFrame, ebitda_raw: DataFrame,
     The join key includes ``is_estimate`` so an actual and an estimate of the
     same year stay two rows instead of fanning out 2x2; pass
     ``keys=("company_id", "year")`` for the year-only join.
+
+    Only ``company_id`` (with ``keep``) is a hash key of the join: the other keys
+    are ranges of one value, which the join tests within a company, so join and
+    growth window share one partitioning by company.  A company has few years.
     """
     keys = [*keep, *keys]
     rev = typed_select(revenue_raw, schemas.COMPANY_REVENUE, keep=keep)
     eb = typed_select(ebitda_raw, schemas.COMPANY_EBITDA, keep=keep).select(*keys, "ebitda_m")
-    # an unreadable is_estimate (NULL) matches another unreadable one
     eb = eb.select(*[eb[k].alias(f"_{k}") for k in keys], "ebitda_m")
-    match = [rev[k].eqNullSafe(eb[f"_{k}"]) if k == "is_estimate" else rev[k] == eb[f"_{k}"]
-             for k in keys]
+    match = [_same(rev[k], eb[f"_{k}"], k, hashed=k == "company_id" or k in keep) for k in keys]
     fin = rev.join(eb, match, "left").select(
         "company_id", "year", "company_name", "is_estimate", "revenue_m", "ebitda_m", *[rev[c] for c in keep])
     fin = ratio(fin, "ebitda_m", "revenue_m", "ebitda_margin_pct", factor=100.0,

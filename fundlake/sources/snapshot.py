@@ -14,16 +14,17 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from fundlake.sources.buckets import Buckets, forget, read_buckets, write_buckets
 from fundlake.sources.catalog import register_table
 from fundlake.sources.tables import write_table
 
 MANIFEST, RUNS = "_manifest", "_runs"
-_SCHEMA = "version long, run_id string, tables array<struct<name:string,path:string,rows:long>>"
+_SCHEMA = "version long, run_id string, tables array<struct<name:string,path:string,rows:long,layout:string>>"
 
 
 class CountMismatch(RuntimeError):
@@ -43,14 +44,24 @@ class Snapshot:
     run_id: str
     paths: dict[str, str]
     rows: dict[str, int]
+    layouts: dict[str, Buckets] = field(default_factory=dict)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{self.paths[name]}"
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
+        """The table as it was written; one in buckets keeps its partitioning."""
+        if name in self.layouts:
+            return read_buckets(spark, self.path(name), self.layouts[name], _definition(self.paths[name]))
         return spark.read.parquet(self.path(name))
 
 
+def _definition(path: str) -> str:
+    """Name of a bucketed folder's definition: that of the table and its run."""
+    _, run_id, name = path.split("/", 2)
+    return f"{name}_{run_id}"
+
+
 def _missing(e: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e)
 
@@ -70,7 +81,8 @@ def versions(spark: SparkSession, root: str) -> list[Snapshot]:
     out: dict[int, Snapshot] = {}
     for r in rows:
         out.setdefault(r["version"], Snapshot(root, r["version"], r["run_id"], {t["name"]: t["path"] for t in r["tables"]},
-                                              {t["name"]: t["rows"] for t in r["tables"]}))
+                                              {t["name"]: t["rows"] for t in r["tables"]},
+                                              {t["name"]: Buckets.from_json(t["layout"]) for t in r["tables"] if t["layout"]}))
     return list(out.values())
 
 
@@ -105,11 +117,19 @@ class LayerRun:
         self.run_id = uuid.uuid4().hex
         self._paths: dict[str, str] = {}
         self._rows: dict[str, int] = {}
+        self._layouts: dict[str, Buckets] = {}
 
     def write(self, df: DataFrame, name: str, sort_within: Sequence[str] = (), cluster_by: Sequence[str] = (),
-              partition_by: Sequence[str] = ()) -> int:
-        """Write one table into the run's folder; the number of rows written."""
+              partition_by: Sequence[str] = (), bucket_by: Sequence[str] = (), buckets: int | None = None) -> int:
+        """Write one table into the run's folder; the number of rows written.
+
+        ``bucket_by`` lays it out in hash buckets (``sources.buckets``), sorted by ``sort_within``.
+        """
         base = f"{RUNS}/{self.run_id}"
+        if bucket_by:
+            self._rows[name], self._layouts[name] = write_buckets(df, f"{self.root}/{base}/{name}", bucket_by, sort_within, buckets)
+            self._paths[name] = f"{base}/{name}"
+            return self._rows[name]
         self._rows[name] = write_table(df, f"{self.root}/{base}", name, mode="errorifexists", partition_by=partition_by,
                                        sort_within=sort_within, cluster_by=cluster_by)
         self._paths[name] = f"{base}/{name}"
@@ -118,10 +138,12 @@ class LayerRun:
     def keep(self, *names: str) -> None:
         for name in names:
             self._paths[name], self._rows[name] = self.before.paths[name], self.before.rows[name]
+            if name in self.before.layouts:
+                self._layouts[name] = self.before.layouts[name]
 
     def read(self, name: str) -> DataFrame:
         """A table of this run, before it is published."""
-        return self.spark.read.parquet(f"{self.root}/{self._paths[name]}")
+        return Snapshot(self.root, 0, self.run_id, self._paths, self._rows, self._layouts).read(self.spark, name)
 
     def check(self) -> None:
         """Compare each count with the rows that are there (from the files' footers)."""
@@ -133,7 +155,8 @@ class LayerRun:
     def commit(self) -> Snapshot:
         self.check()
         version = self.before.version + 1 if self.before else 1
-        tables = [(name, path, self._rows[name]) for name, path in self._paths.items()]
+        tables = [(name, path, self._rows[name], self._layouts[name].to_json() if name in self._layouts else None)
+                  for name, path in self._paths.items()]
         row = self.spark.createDataFrame([(version, self.run_id, tables)], _SCHEMA).coalesce(1)
         row.write.mode("append").json(f"{self.root}/{MANIFEST}")
         now = next(s for s in versions(self.spark, self.root) if s.version == version)
@@ -152,17 +175,29 @@ def _location(spark: SparkSession, full: str) -> str | None:
 def publish(spark: SparkSession, database: str, snapshot: Snapshot, names: Sequence[str] | None = None) -> list[str]:
     """Point the catalog's tables at a version, all of them or (if one fails) none."""
     switched: dict[str, str | None] = {}
+
+    def register(name: str, location: str, layout: Buckets | None) -> None:
+        if layout is None:
+            register_table(spark, database, name, location)
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+            layout.create(spark, f"`{database}`.`{name}`", location)
+
+    def layout_at(location: str) -> Buckets | None:
+        return next((layout for s in versions(spark, snapshot.root) for name, layout in s.layouts.items()
+                     if location.endswith(s.paths[name])), None)
+
     try:
         for name in names or snapshot.paths:
             full = f"`{database}`.`{name}`"
             switched[name] = _location(spark, full)
-            register_table(spark, database, name, snapshot.path(name))
+            register(name, snapshot.path(name), snapshot.layouts.get(name))
     except Exception:
         for name, before in switched.items():
             if before is None:
                 spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
             else:
-                register_table(spark, database, name, before)
+                register(name, before, layout_at(before))
         raise
     return list(switched)
 
@@ -184,6 +219,8 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2, older_than_hours: floa
     for status in fs.listStatus(folder):
         run_id = status.getPath().getName()
         last = max([status.getModificationTime(), *[s.getModificationTime() for s in fs.listStatus(status.getPath())]])
+        tables = [t.getPath().getName() for t in fs.listStatus(status.getPath())]
         if run_id not in used and last <= limit and fs.delete(status.getPath(), True):
+            forget(spark, [f"{t}_{run_id}" for t in tables])
             gone.append(run_id)
     return sorted(gone)

@@ -31,7 +31,7 @@ def test_failing_sixth_table_leaves_the_old_state_everywhere(spark, lake, monkey
     written = []
 
     def failing(df, root, name, **layout):
-        if len(written) == 5:
+        if len(written) == 3:  # two tables in buckets came before
             raise OSError("disk full")
         written.append(name)
         return original(df, root, name, **layout)
@@ -40,7 +40,7 @@ def test_failing_sixth_table_leaves_the_old_state_everywhere(spark, lake, monkey
     monkeypatch.setattr(snapshot, "write_table", failing)
     with pytest.raises(OSError):
         etl.run_silver(spark, f"{lake}/bronze", f"{lake}/silver", "2002-02-01", 2002, register=True)
-    assert len(written) == 5
+    assert len(written) == 3
     assert _state(spark, lake) == before and current(spark, f"{lake}/silver").version == version
     monkeypatch.undo()
     # Gold of the same lake is built from one version, and the next good run replaces all tables
