@@ -11,11 +11,14 @@ count first.
    compared with each other; lists keep the ``K`` best; this repeats until few
    lists change.  Neighbours under ``FLOOR`` are not listed: no link leads
    through them.
-3. Saturation: a list full of links may be too short.  Classes with such lists
-   are compared with each other exactly, in tiles of bounded size, so that links
-   which the lists cut join their components; then links are counted over each
-   whole component, again in tiles.  Nothing is capped there.  The tiles grow
-   with the square of a label's saturated classes.
+3. Saturation: a list full of links may be too short.  Such lists are enlarged,
+   twice as long each time, and filled again from buckets and the neighbours of
+   neighbours, until a list ends under the threshold or is ``LONGEST``.  What is full even
+   then (groups of more near copies than that) is compared with each other
+   exactly, in tiles of bounded size, so that links which the lists cut join their
+   components; then links are counted over each whole component, again in
+   tiles.  Nothing is capped there.  The tiles grow with the square of what stays
+   full in a label, and of a component.
 4. Audit: up to ``AUDIT`` classes, those with the smallest hash, are compared
    with all vectors in blocks.  Recall is the mean of the classes' own recalls,
    once with equal weights and once with a group's classes sharing one weight,
@@ -26,8 +29,8 @@ count first.
 Defined cases: a vector that is null, empty, zero or holds null or non-finite
 components, or whose label is null, has no links and is its own component; so
 is a row without vec_id (its component is null, it is kept); rows that share a
-vec_id count as often as they occur, and classes with the same smallest vec_id
-are one component; an empty table gives an empty result.
+vec_id are vectors of their own, each with its own links and component, named
+by the smallest vec_id in it; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import as_column, importable, staged
@@ -44,7 +47,8 @@ from .components import components
 
 COSINE = 0.93
 FLOOR = 0.75
-K = 10
+#: Length of the lists at first, and of the longest ones.
+K, LONGEST = 10, 40
 TABLES = 14
 #: Vectors of one bucket part or tile block; mean size that buckets are aimed at.
 PART, AIM = 1024, 24
@@ -54,11 +58,14 @@ SEED = 11
 
 
 def _classes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
-    """(node, place, unit, n): one row per distinct comparable vector; place is its label and length as a hash, unit its direction."""
+    """(node, first, place, label, v, n), staged: one row per distinct comparable vector of a label.
+
+    ``node`` is its number, ``first`` its smallest vec_id, ``place`` a hash of its label and length.
+    """
     rows = vectors.select(as_column(id_col).cast("long").alias("vec_id"), as_column(label_col).alias("label"),
                           F.transform(as_column(vector_col), lambda x: x.cast("double")).alias("v")).where(_comparable())
-    return (rows.groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count("*").alias("n"))
-            .select("node", F.xxhash64("label", F.size("v")).alias("place"), "label", "v", "n"))
+    return staged(rows.groupBy("label", "v").agg(F.min("vec_id").alias("first"), F.count("*").alias("n"))
+                  .select(F.monotonically_increasing_id().alias("node"), "first", F.xxhash64("label", F.size("v")).alias("place"), "label", "v", "n"), "nn-classes")
 
 
 def _comparable():
@@ -115,7 +122,7 @@ _LIST = "array<struct<far: double, other: bigint>>"
 _LIST_TYPE = pa.list_(pa.struct([("far", pa.float64()), ("other", pa.int64())]))
 
 
-def _first_lists(classes: DataFrame, tables: int, seed: int) -> DataFrame:
+def _first_lists(classes: DataFrame, tables: int, seed: int, k: int = K) -> DataFrame:
     """(node, near): neighbours from all tables' buckets."""
     largest = classes.groupBy("place").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
     bits = max(1, int(np.ceil(np.log2(max(largest / AIM, 2)))))
@@ -129,7 +136,7 @@ def _first_lists(classes: DataFrame, tables: int, seed: int) -> DataFrame:
         held: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
-            owners, lists = best_neighbours(np.array([r[1] for r in held]), np.array([r[2] for r in held]))
+            owners, lists = best_neighbours(np.array([r[1] for r in held]), np.array([r[2] for r in held]), k)
             return pa.RecordBatch.from_arrays([pa.array(owners, pa.int64()), pa.array(lists, _LIST_TYPE)], names=["node", "near"])
 
         for batch in batches:
@@ -145,29 +152,75 @@ def _first_lists(classes: DataFrame, tables: int, seed: int) -> DataFrame:
 
     found = (dealt.repartition(count, "bucket", "place", "part").sortWithinPartitions("bucket", "place", "part")
              .select("bucket", "place", "part", "node", "unit").mapInArrow(run, f"node long, near {_LIST}"))
-    return _merged(found)
+    return _merged(found, k)
 
 
-def _merged(lists: DataFrame) -> DataFrame:
-    """One list per node: the K nearest of all its lists; partial lists are exploded, so a hub's combine map-side."""
-    one = lists.select("node", F.explode("near").alias("x")).groupBy("node", "x.other").agg(F.min("x.far").alias("far"))
-    return one.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("far", "other"))), 1, K).alias("near"))
+def _entries(lists: DataFrame) -> DataFrame:
+    return lists.select("node", F.explode("near").alias("x")).select("node", "x.far", "x.other")
 
 
-def _refined(lists: DataFrame, classes: DataFrame) -> DataFrame:
-    """One round of comparing the neighbours of every node, listed ones and listing ones, with each other."""
-    forward = lists.select("node", F.explode("near").alias("x")).select("node", F.col("x.other").alias("other"), F.col("x.far").alias("far"))
-    backward = (forward.select(F.col("other").alias("node"), F.struct("far", F.col("node").alias("other")).alias("x"))
-                .groupBy("node").agg(F.slice(F.sort_array(F.collect_list("x")), 1, K).alias("near")))
-    around = (lists.unionByName(backward).select("node", F.explode("near.other").alias("other")).distinct()
-              .join(classes.select(F.col("node").alias("other"), "v"), "other"))
+def _nearest(entries: DataFrame, k: int) -> DataFrame:
+    """(node, near): the ``k`` nearest of (node, far, other) for each node; the window's group limit cuts a hub's entries map-side."""
+    ranked = entries.withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("far", "other"))).where(F.col("rank") <= k)
+    return ranked.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("far", "other"))).alias("near"))
+
+
+def _merged(lists: DataFrame, k: int = K) -> DataFrame:
+    """One list per node: the ``k`` nearest of all its lists."""
+    return _nearest(_entries(lists).groupBy("node", "other").agg(F.min("far").alias("far")), k)
+
+
+def _listing(lists: DataFrame) -> DataFrame:
+    """(node, far, other): for each node those that list it."""
+    return _entries(lists).select(F.col("other").alias("node"), "far", F.col("node").alias("other"))
+
+
+def _compared(around: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """(node, near): the ``others`` around each node, compared with each other."""
+    vectors = around.join(classes.select(F.col("node").alias("other"), "v"), "other")
 
     def run(group: pa.Table) -> pa.Table:
         own = group.combine_chunks()
-        owners, lists = best_neighbours(own["other"].to_numpy(), unit_rows(own["v"].chunk(0)))
+        owners, lists = best_neighbours(own["other"].to_numpy(), unit_rows(own["v"].chunk(0)), k)
         return pa.table({"node": pa.array(owners, pa.int64()), "near": pa.array(lists, _LIST_TYPE)})
 
-    return _merged(around.select("node", "other", "v").groupBy("node").applyInArrow(run, f"node long, near {_LIST}").unionByName(lists))
+    return vectors.select("node", "other", "v").groupBy("node").applyInArrow(run, f"node long, near {_LIST}")
+
+
+def _refined(lists: DataFrame, classes: DataFrame) -> DataFrame:
+    """One round of comparing the neighbours of every node, listed ones and listing ones, with each other."""
+    around = lists.unionByName(_nearest(_listing(lists), K)).select("node", F.explode("near.other").alias("other")).distinct()
+    return _merged(_compared(around, classes, K).unionByName(lists))
+
+
+def _full(lists: DataFrame, k: int) -> DataFrame:
+    """The nodes whose lists hold ``k`` links, so that further links may have been cut."""
+    return lists.where((F.size("near") >= k) & (F.element_at("near", -1)["far"] <= 1 - COSINE + 1e-4)).select("node")
+
+
+def enlarged(lists: DataFrame, classes: DataFrame, tables: int = TABLES, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """(lists, nodes still full): lists full of links get twice the length until they end under the threshold or are LONGEST.
+
+    A full node's new list comes from the buckets of full nodes, from its own list,
+    from those that list it, and from comparing the neighbours of full nodes, two
+    rounds at each length.  The buckets are needed: groups whose lists all filled
+    with their own members have no common neighbour yet.
+    """
+    k = K
+    full = staged(_full(lists, k), "nn-full")
+    while k < LONGEST and not full.isEmpty():
+        k = min(2 * k, LONGEST)
+        fresh = _first_lists(classes.join(full, "node", "left_semi"), tables, seed + k, k)
+        lists = staged(lists.join(full, "node", "left_anti").unionByName(_merged(fresh.unionByName(lists.join(full, "node", "left_semi")), k)), "nn-lists")
+        for _ in range(2):
+            own = lists.join(full, "node", "left_semi")
+            listing = _nearest(_listing(lists).join(full, "node", "left_semi"), k)
+            both = own.unionByName(listing)
+            around = both.select("node", F.explode("near.other").alias("other")).unionByName(full.select("node", F.col("node").alias("other"))).distinct()
+            found = _compared(around, classes, k).join(full, "node", "left_semi")
+            lists = staged(lists.join(full, "node", "left_anti").unionByName(_merged(found.unionByName(both), k)), "nn-lists")
+        full = staged(_full(lists, k), "nn-full")
+    return lists, full
 
 
 def _links_within(classes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -228,12 +281,6 @@ def _exact_edges(classes: DataFrame) -> DataFrame:
     return tiles.groupBy("place", "i", "j").applyInArrow(run, "a long, b long")
 
 
-def _saturated(lists: DataFrame, classes: DataFrame) -> DataFrame:
-    """The classes whose lists are full of links, so that further links may have been cut."""
-    full = lists.where((F.size("near") >= K) & (F.element_at("near", -1)["far"] <= 1 - COSINE + 1e-4))
-    return classes.join(full.select("node"), "node", "left_semi")
-
-
 def _edges(lists: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b): listed pairs whose cosine, computed again in double precision, reaches COSINE."""
     pairs = (lists.select("node", F.explode("near").alias("x")).where(F.col("x.far") <= 1 - COSINE + 1e-4)
@@ -257,7 +304,7 @@ def audit(classes: DataFrame, links: DataFrame, size: int = AUDIT) -> float:
     The lower of two means of found / there: over the audited classes that have
     links, and over the same weighted by 1 / there.
     """
-    asked = classes.orderBy(F.xxhash64("node"), "node").limit(size).select("node", "place", "v").collect()
+    asked = classes.orderBy(F.xxhash64("label", "v"), "first").limit(size).select("node", "place", "v").collect()
     groups = {}
     for place in {r.place for r in asked}:
         rows = [r for r in asked if r.place == place]
@@ -305,22 +352,26 @@ def neighbour_graph(classes: DataFrame, tables: int = TABLES, seed: int = SEED)
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
-    """(vec_id, n_links, component_id, kept) of every row."""
+    """(vec_id, n_links, component_id, kept, recall) of every row; recall is the audit's figure, 1 after an exact comparison."""
     importable(vectors.sparkSession)
-    classes = staged(_classes(vectors, id_col, vector_col, label_col), "nn-classes")
+    classes = _classes(vectors, id_col, vector_col, label_col)
     tables = TABLES
     for attempt in range(TRIES):
-        lists = neighbour_graph(classes, tables, SEED + attempt)
-        labels, counted = _joined(_edges(lists, classes).unionByName(_exact_edges(_saturated(lists, classes))), classes)
-        if audit(classes, counted) >= RECALL:
+        lists, full = enlarged(neighbour_graph(classes, tables, SEED + attempt), classes, tables, SEED + attempt)
+        labels, counted = _joined(_edges(lists, classes).unionByName(_exact_edges(classes.join(full, "node", "left_semi"))), classes)
+        recall = audit(classes, counted)
+        if recall >= RECALL:
             break
         tables *= 2
     else:
         labels, counted = _joined(_exact_edges(classes), classes)
-    whole = (classes.join(counted, "node", "left").join(labels, "node", "left")
-             .select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "node").alias("component")))
+        recall = 1.0
+    named = labels.join(classes.select("node", "first"), "node").groupBy("component").agg(F.min("first").alias("lowest"))
+    whole = (classes.join(counted, "node", "left").join(labels, "node", "left").join(named, "component", "left")
+             .select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("lowest", "first").alias("component")))
     rows = vectors.select(as_column(id_col).cast("long").alias("vec_id"), as_column(label_col).alias("label"),
                           F.transform(as_column(vector_col), lambda x: x.cast("double")).alias("v"))
     good = rows.where(_comparable()).join(whole, ["label", "v"]).select("vec_id", "n_links", F.col("component").alias("component_id"))
     alone = rows.where(~_comparable()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return good.unionByName(alone).select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return good.unionByName(alone).select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"),
+                                          F.lit(float(recall)).alias("recall"))

@@ -282,6 +282,27 @@ def test_links_between_saturated_cliques_are_found(spark, part, monkeypatch):
     assert got == want
 
 
+def test_lists_grow_past_a_clique(spark, monkeypatch):
+    """The same two groups with no exact comparison at all: lists twice as long, and again, find the links across."""
+    rng = np.random.default_rng(5)
+    first = rng.normal(size=64)
+    first /= np.linalg.norm(first)
+    second = near_rows(rng, first, 1, 0.95)[0]
+    rows = [*near_rows(rng, first, 15, 0.997), *near_rows(rng, second, 15, 0.997), *rng.normal(size=(30, 64))]
+    want = brute_vectors(rows)
+    assert len({want[i][1] for i in range(30)}) == 1 and min(want[i][0] for i in range(30)) > nn_descent.K
+    monkeypatch.setattr(nn_descent, "_exact_edges", lambda classes: spark.createDataFrame([], "a long, b long"))
+    got = nn_descent.near_vectors(vectors_of(spark, rows)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == want and {r.recall for r in got} == {1.0}
+
+
+def test_rows_that_share_a_vec_id_have_their_own_links(spark):
+    x, y = np.eye(16)[0], np.eye(16)[1]
+    rows = [(1, x), (1, y), (2, x + 0.1 * np.eye(16)[2]), (3, y + 0.1 * np.eye(16)[3]), (4, np.eye(16)[5])]
+    got = nn_descent.near_vectors(spark.createDataFrame([(i, v.tolist(), 0) for i, v in rows], "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 0, 4)]
+
+
 def test_audit_sees_small_groups_beside_a_clique(spark, monkeypatch):
     """A graph that has lost the links of all pairs does not pass, and after the last try everything is compared exactly."""
     rng = np.random.default_rng(8)
@@ -292,7 +313,7 @@ def test_audit_sees_small_groups_beside_a_clique(spark, monkeypatch):
     graph, kept = nn_descent.neighbour_graph, []
 
     def lossy(*args):
-        kept.append(graph(*args).where("node < 120"))
+        kept.append(graph(*args).join(args[0].where("first < 120"), "node", "left_semi"))
         return kept[-1]
 
     monkeypatch.setattr(nn_descent, "neighbour_graph", lossy)
