@@ -8,13 +8,15 @@ table, and the catalog, as they were.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.operators import cast_rejects
+from fundlake.operators.validation import Rule, validate
 from fundlake.plans import gold, silver
+from fundlake.plans.checks import silver_rules
 from fundlake.schemas import BRONZE_ENTITIES
 from fundlake.sources import LayerRun, create_layers, publish, read_bronze_all, read_layer
 from fundlake.sources.bronze import LOAD_DATE
@@ -41,6 +43,27 @@ def _write_all(run: LayerRun, frames, bucketed=(), buckets: int | None = None) -
             for name, df in frames.items()}
 
 
+Rules = Callable[[Mapping[str, DataFrame], Mapping[str, int]], Mapping[str, Sequence[Rule]]]
+
+
+class RejectedTable(RuntimeError):
+    """A table breaks a rule that concerns it as a whole."""
+
+
+def _validated(run: LayerRun, frames: dict[str, DataFrame], rules: Rules) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """(tables with their good rows, quarantined rows by table)."""
+    good, bad = dict(frames), {}
+    for name, chosen in rules(frames, run.before.rows if run.before else {}).items():
+        judged = validate(frames[name], chosen)
+        whole = [r.name for r in chosen if r.kind == "rows"]
+        # one row per rule
+        for line in judged.report.where("NOT passed").collect():
+            if line["rule"] in whole:
+                raise RejectedTable(f"{name}: {line['checked_rows']} rows break {line['rule']}")
+        good[name], bad[name] = judged.good, judged.quarantined
+    return good, bad
+
+
 def _publish(spark: SparkSession, run: LayerRun, layer: str, register: bool) -> None:
     snapshot = run.commit()
     if register:
@@ -51,7 +74,8 @@ def _publish(spark: SparkSession, run: LayerRun, layer: str, register: bool) ->
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, load_date: str,
                as_of_year: int = silver.DEFAULT_AS_OF_YEAR,
                register: bool = False, quarantine: bool = False, multiline: bool = True,
-               allow_empty: Sequence[str] = (), buckets: int | None = None) -> dict[str, int]:
+               allow_empty: Sequence[str] = (), buckets: int | None = None,
+               rules: Rules | None = None) -> dict[str, int]:
     """Bronze CSV of one load date -> eight Silver Parquet tables; rows written.
 
     All drops are looked up before the first table is written: a missing one
@@ -63,11 +87,22 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, load_dat
     is present but does not cast to its Silver type (``_rejects/<entity>``,
     one row per cell with the row's first column as key) and reports the
     counts as ``rejects:<entity>``.
+
+    ``rules`` (such as ``checks.silver_rules``) gives the rules of each table: rows that
+    break one go whole to ``_quarantine/<table>``, counted as ``quarantined:<table>``,
+    and a table that breaks a rule of its row count fails the run.
     """
     bronze = read_bronze_all(spark, bronze_root, load_date, multiline=multiline,
                              allow_empty=allow_empty)
     run = LayerRun(spark, silver_root)
-    counts = _write_all(run, silver.build_silver(bronze, as_of_year), BUCKET_KEYS, buckets)
+    frames, bad = silver.build_silver(bronze, as_of_year), {}
+    if rules:
+        frames, bad = _validated(run, frames, rules)
+    counts = _write_all(run, frames, BUCKET_KEYS, buckets)
+    if bad:
+        broken = LayerRun(spark, f"{silver_root.rstrip('/')}/_quarantine")
+        counts |= {f"quarantined:{name}": broken.write(df, name) for name, df in bad.items()}
+        broken.commit()
     if quarantine:
         quarantined = LayerRun(spark, f"{silver_root.rstrip('/')}/_rejects")
         for entity, raw in bronze.items():
@@ -123,6 +158,7 @@ def main(argv=None) -> None:
     ap.add_argument("--as-of-year", type=int, default=silver.DEFAULT_AS_OF_YEAR)
     ap.add_argument("--register", action="store_true")
     ap.add_argument("--quarantine", action="store_true")
+    ap.add_argument("--validate", action="store_true", help="quarantine rows that break the rules of Silver")
     ap.add_argument("--split-files", action="store_true",
                     help="no value holds a newline: split large CSV files")
     ap.add_argument("--allow-empty", nargs="*", default=(), metavar="ENTITY")
@@ -134,7 +170,7 @@ def main(argv=None) -> None:
             ap.error("silver needs --bronze-root and --load-date")
         out["silver"] = run_silver(spark, a.bronze_root, a.silver_root, a.load_date,
                                    a.as_of_year, a.register, a.quarantine,
-                                   not a.split_files, a.allow_empty)
+                                   not a.split_files, a.allow_empty, rules=silver_rules if a.validate else None)
     if a.step in ("gold", "all"):
         if not a.gold_root:
             ap.error("gold needs --gold-root")
