@@ -144,8 +144,8 @@ def _irr_frame(pdf: pd.DataFrame) -> pd.DataFrame:
                          "last_date": last.astype("datetime64[D]")})
 
 
-def _irr_partition(batches):
-    """Arrow batches of one partition, sorted by key: solve whole keys per
+def whole_keys(batches, solve):
+    """Arrow batches of one partition, sorted by key: ``solve`` whole keys per
     batch; the last key of a batch is carried into the next one."""
     carry = None
     for pdf in batches:
@@ -156,9 +156,24 @@ def _irr_partition(batches):
         tail = ((pdf["key"] == pdf["key"].iloc[-1]) & (pdf["no_key"] == pdf["no_key"].iloc[-1])).to_numpy()
         carry = pdf[tail]
         if (~tail).any():
-            yield _irr_frame(pdf[~tail].reset_index(drop=True))
+            yield solve(pdf[~tail].reset_index(drop=True))
     if carry is not None and len(carry):
-        yield _irr_frame(carry.reset_index(drop=True))
+        yield solve(carry.reset_index(drop=True))
+
+
+def _irr_partition(batches):
+    return whole_keys(batches, _irr_frame)
+
+
+def netted(flows: DataFrame, key: str, date, amount, partitions: int | None = None) -> tuple[DataFrame, str]:
+    """(net flows dealt by key and sorted by (no_key, key, flow_date), the key's type)."""
+    net = dated_flows(flows, key, date, amount)
+    n = partitions or int(flows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key_type = net.schema["key"].dataType.simpleString()
+    # pandas has no NULL for integers: a stand-in and a flag keep every digit of the others
+    stand_in = F.lit("1970-01-01" if key_type in ("date", "timestamp") else "0").cast(key_type)
+    net = net.withColumn("no_key", F.col("key").isNull()).withColumn("key", F.coalesce("key", stand_in))
+    return net.repartition(n, "key").sortWithinPartitions("no_key", "key", "flow_date"), key_type
 
 
 def irr(flows: DataFrame, key: str, date, amount, out_key: str | None = None,
@@ -173,16 +188,10 @@ def irr(flows: DataFrame, key: str, date, amount, out_key: str | None = None,
     """
     # Ship the solver by value: executors need not have this package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    net = dated_flows(flows, key, date, amount)
-    n = partitions or int(flows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key_type = net.schema["key"].dataType.simpleString()
-    # pandas has no NULL for integers: a stand-in and a flag keep every digit of the others
-    stand_in = F.lit("1970-01-01" if key_type in ("date", "timestamp") else "0").cast(key_type)
-    net = net.withColumn("no_key", F.col("key").isNull()).withColumn("key", F.coalesce("key", stand_in))
+    net, key_type = netted(flows, key, date, amount, partitions)
     schema = (f"key {key_type}, no_key boolean, irr_pct double, n_flows long, first_date date, "
               "last_date date")
-    res = (net.repartition(n, "key").sortWithinPartitions("no_key", "key", "flow_date")
-              .mapInPandas(_irr_partition, schema=schema))
+    res = net.mapInPandas(_irr_partition, schema=schema)
     rate = F.col("irr_pct") if scale is None else exact_round("irr_pct", scale)
     return res.select(F.when(~F.col("no_key"), F.col("key")).alias(out_key or key),
                       F.when(~F.isnan("irr_pct"), rate).alias("irr_pct"),
