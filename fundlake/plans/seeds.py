@@ -4,12 +4,13 @@ Source records are JSON Lines, one file set per entity: one company, deal,
 quarter, ... per line, so reading splits across tasks.  Company records
 carry ``{year: value}`` maps for revenue and EBITDA, where a key ending in
 ``E`` marks an estimate.  Field names are camelCase; each entity maps them
-to its Bronze columns with a fixed table.
+to its Bronze columns with a fixed table.  With ``keep_extra`` the fields that no
+table names become Bronze columns too (``sources.variants``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from fundlake.operators import flatten, number_rows, unpivot_years
 from fundlake.plans.views import QUARTER_KEY
+from fundlake.sources import variants
 
 S, D, L = T.StringType(), T.DoubleType(), T.LongType()
 YEAR_MAP = T.MapType(T.StringType(), T.DoubleType())
@@ -69,14 +71,19 @@ def read_records(spark: SparkSession, path: str, fields, extra=()) -> DataFrame:
     return spark.read.schema(_schema(fields, extra)).json(path)
 
 
-def companies_to_bronze(companies: DataFrame) -> dict[str, DataFrame]:
+def read_with_extra(spark: SparkSession, path: str, fields: Mapping[str, str], extra=()) -> tuple[DataFrame, list[str]]:
+    """:func:`read_records` and a column for every field outside the schema; the names of those columns."""
+    return variants.read_records(spark, path, _schema(fields, extra), fields)
+
+
+def companies_to_bronze(companies: DataFrame, keep: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Company records -> portfolio-companies, company-revenue, company-ebitda.
 
     ``realized`` missing -> 0 (D13); the year maps are unpivoted with the
-    estimate suffix stripped and flagged (D17).
+    estimate suffix stripped and flagged (D17).  ``keep`` names further columns of
+    the portfolio companies.
     """
-    pc = flatten(companies, {f: c for f, c in COMPANY_FIELDS.items()},
-                 defaults={"realized": 0.0})
+    pc = flatten(companies, {**COMPANY_FIELDS, **{c: c for c in keep}}, defaults={"realized": 0.0})
     ids = [F.col("id").alias("company_id"), F.col("name").alias("company_name")]
     out = {"portfolio-companies": pc}
     for entity, col, value in (("company-revenue", "revenue", "revenue_m"),
@@ -88,30 +95,37 @@ def companies_to_bronze(companies: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
-def records_to_bronze(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
+def records_to_bronze(spark: SparkSession, paths: Mapping[str, str], keep_extra: bool = False) -> dict[str, DataFrame]:
     """JSON Lines per entity -> the nine Bronze entities (typed; land them
     with ``write_bronze``).  ``paths`` keys: fund, companies, cashflows,
-    history, pipeline, sectors, geo.
+    history, pipeline, sectors, geo.  ``keep_extra`` lands fields outside the
+    fixed tables as further columns (one more pass over the records finds them).
 
     Row numbers (D14) follow an explicit order, since input position is not
     defined across files: cash flows by parsed quarter, deals by stage, name
     and then all other columns, so that only equal deals could swap ids.
     """
-    out = companies_to_bronze(read_records(
-        spark, paths["companies"], COMPANY_FIELDS, (("revenue", YEAR_MAP), ("ebitda", YEAR_MAP))))
-    out["fund-metrics"] = flatten(read_records(spark, paths["fund"], FUND_FIELDS), FUND_FIELDS)
-    cf = flatten(read_records(spark, paths["cashflows"], CASHFLOW_FIELDS), CASHFLOW_FIELDS)
+    def read(name: str, fields: Mapping[str, str], extra=()) -> tuple[DataFrame, list[str]]:
+        if keep_extra:
+            return read_with_extra(spark, paths[name], fields, extra)
+        return read_records(spark, paths[name], fields, extra), []
+
+    def flat(name: str, fields: Mapping[str, str]) -> tuple[DataFrame, list[str]]:
+        records, more = read(name, fields)
+        return flatten(records, {**fields, **{c: c for c in more}}), more
+
+    companies, more = read("companies", COMPANY_FIELDS, (("revenue", YEAR_MAP), ("ebitda", YEAR_MAP)))
+    out = companies_to_bronze(companies, more)
+    for entity, name, fields in (("fund-metrics", "fund", FUND_FIELDS), ("fund-history", "history", HISTORY_FIELDS),
+                                 ("sector-breakdown", "sectors", SECTOR_FIELDS), ("geo-breakdown", "geo", GEO_FIELDS)):
+        out[entity] = flat(name, fields)[0]
+    cf, more = flat("cashflows", CASHFLOW_FIELDS)
     cf = cf.withColumns({"net_cashflow_m": F.expr("contributions_m + distributions_m"),
                          "_qk": F.expr(QUARTER_KEY)})
     out["cashflows"] = number_rows(cf, "_qk", "row_num", tiebreak=["quarter"]).select(
-        "row_num", "quarter", "contributions_m", "distributions_m", "net_cashflow_m")
-    out["fund-history"] = flatten(read_records(spark, paths["history"], HISTORY_FIELDS),
-                                  HISTORY_FIELDS)
-    deals = flatten(read_records(spark, paths["pipeline"], DEAL_FIELDS), DEAL_FIELDS)
+        "row_num", "quarter", "contributions_m", "distributions_m", "net_cashflow_m", *more)
+    deals, more = flat("pipeline", DEAL_FIELDS)
     rest = [c for c in DEAL_FIELDS.values() if c not in ("stage", "name")]
-    out["deal-pipeline"] = number_rows(deals, ["stage", "name"], "id", tiebreak=rest).select(
-        "id", *DEAL_FIELDS.values())
-    out["sector-breakdown"] = flatten(read_records(spark, paths["sectors"], SECTOR_FIELDS),
-                                      SECTOR_FIELDS)
-    out["geo-breakdown"] = flatten(read_records(spark, paths["geo"], GEO_FIELDS), GEO_FIELDS)
+    out["deal-pipeline"] = number_rows(deals, ["stage", "name"], "id", tiebreak=[*rest, *more]).select(
+        "id", *DEAL_FIELDS.values(), *more)
     return out

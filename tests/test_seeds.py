@@ -3,9 +3,11 @@
 import json
 import os
 
+from pyspark.sql import types as T
+
 from fundlake.plans import seeds, silver
 from fundlake.session import fresh_dir, local_path
-from fundlake.sources import read_bronze_all, write_bronze_all
+from fundlake.sources import read_bronze_all, variants, write_bronze_all
 
 FIXTURE = {
     "fund": [{"name": "Fund, One", "shortName": "F1", "vintage": 2020, "strategy": "Buyout",
@@ -68,3 +70,48 @@ def test_records_to_bronze_to_silver(spark):
     assert deals == {"Eta": 1, "Zeta": 2, "Theta": 3}
     fm = sv["fund_metrics"].first()
     assert fm["fund_name"] == "Fund, One" and fm["deployed_pct"] == 60.0
+
+
+def _lines(spark, name, lines):
+    root = local_path(fresh_dir(spark, name))
+    os.makedirs(root)
+    with open(f"{root}/part-0.json", "w") as fh:
+        fh.write("\n".join(x if isinstance(x, str) else json.dumps(x) for x in lines))
+    return root
+
+
+def test_extra_fields_reach_bronze(spark):
+    paths = {name: _lines(spark, f"t-extra-{name}", rows) for name, rows in FIXTURE.items()}
+    companies = [dict(FIXTURE["companies"][0], esgScore=7, board={"chair": "X", "n": 3}, fmvM=1.5, mixed="a", realizedGain=None),
+                 dict(FIXTURE["companies"][1], board={"n": 4, "seat": [1, 2]}, fmvM=2, mixed=5, entry_year="clash", listed=True)]
+    paths["companies"] = _lines(spark, "t-extra", companies)
+    paths["pipeline"] = _lines(spark, "t-extra-deals", [dict(r, **{"a.b": i}) for i, r in enumerate(FIXTURE["pipeline"])])
+    entities = seeds.records_to_bronze(spark, paths, keep_extra=True)
+    root = fresh_dir(spark, "t-extra-lake")
+    write_bronze_all(entities, f"{root}/bronze", "2026-06-30")
+    bronze = read_bronze_all(spark, f"{root}/bronze", "2026-06-30")
+    got = {r["id"]: (r["esg_score"], r["board"], r["fmv_m"], r["mixed"], r["entry_year"], r["entry_year_extra"], r["listed"])
+           for r in bronze["portfolio-companies"].collect()}
+    assert got == {"1": ("7", '{"chair":"X","n":3}', "1.5", '"a"', "2021", None, None),
+                   "2": (None, '{"n":4,"seat":[1,2]}', "2.0", "5", "2022", "clash", "true")}
+    assert "realized_gain" not in bronze["portfolio-companies"].columns
+    assert sorted(r["a_b"] for r in bronze["deal-pipeline"].collect()) == ["0", "1", "2"]
+    plain = seeds.records_to_bronze(spark, paths)
+    assert {e: df.columns for e, df in plain.items() if e not in ("portfolio-companies", "deal-pipeline")} == {
+        e: df.columns for e, df in entities.items() if e not in ("portfolio-companies", "deal-pipeline")}
+    sv = silver.build_silver(bronze)
+    assert sv["portfolio_companies"].columns == silver.build_silver(plain)["portfolio_companies"].columns
+
+
+def test_extra_fields_are_listed_and_kept_together_when_many(spark):
+    path = _lines(spark, "t-many", [{"id": i, f"k{i}": i, "s": "x"} for i in range(6)] + ["", "no json", "[1]", '{"id": 9, "s": null}'])
+    lines = variants.read_lines(spark, path)
+    assert {tuple(r) for r in variants.extra_fields(lines, ["id"]).collect()} == {("s", "string", 6), *((f"k{i}", "bigint", 1) for i in range(6))}
+    assert sorted(r["line"] for r in variants.malformed(lines).collect()) == ["[1]", "no json"]
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    many, names = variants.read_records(spark, path, schema, {"id": "extra"}, max_fields=3)
+    assert names == ["extra_extra"]
+    assert sorted((tuple(r) for r in many.collect()), key=str) == sorted(
+        [(i, f'{{"k{i}":"{i}","s":"x"}}') for i in range(6)] + [(9, None), (None, None), (None, None)], key=str)
+    few, names = variants.read_records(spark, path, schema, {"id": "id"})
+    assert names == [*(f"k{i}" for i in range(6)), "s"] and few.where("s = 'x'").count() == 6
