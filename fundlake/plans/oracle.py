@@ -508,3 +508,55 @@ ORACLE_SQL["served_page"] = f"""
 SELECT position, id, fmv FROM (
   SELECT row_number() OVER (ORDER BY fmv DESC NULLS LAST, id) AS position, id, fmv FROM ({ORACLE_SQL['portfolio_table']}))
 WHERE position BETWEEN 101 AND 150"""
+
+ORACLE_SQL["kpis_from_states"] = ORACLE_SQL["fund_kpis"]
+ORACLE_SQL["risk_from_states"] = ORACLE_SQL["risk_summary"]
+
+_JUDGED = _w(FEEDS + """,
+s0 AS (
+  SELECT CASE WHEN company_id % 10 = 5 THEN company_id + 1000000000000 ELSE company_id END AS company_id,
+         CASE WHEN company_id % 10 <> 7 THEN company_name END AS company_name,
+         CASE WHEN company_id % 10 = 3 THEN year + 1000 ELSE year END AS year, is_estimate,
+         CASE WHEN company_id % 10 = 4 THEN -revenue_m ELSE revenue_m END AS revenue_m FROM revenue),
+spoilt AS (SELECT * FROM s0 UNION ALL SELECT * FROM s0 WHERE company_id % 10 = 6),
+judged AS (
+  SELECT *, year NOT BETWEEN 1900 AND 2100 AS f1, revenue_m < 0 AS f2, company_name IS NULL AS f3,
+         count(*) OVER (PARTITION BY company_id, year, is_estimate) > 1 AS f4,
+         company_id NOT IN (SELECT c_custkey FROM customer) AS f5 FROM spoilt)""")
+_RULES = {"f1": "year_in_range", "f2": "revenue_m_in_range", "f3": "company_name_present", "f4": "one_row", "f5": "company_id_known"}
+ORACLE_SQL["validated_feed"] = _JUDGED + "\n" + "\nUNION ALL ".join(
+    [f"SELECT '{rule}' AS rule, count(*) AS checked_rows, count(*) FILTER (WHERE {f}) AS failed_rows, "
+     f"count(*) FILTER (WHERE {f}) = 0 AS passed FROM judged" for f, rule in _RULES.items()]
+    + ["SELECT 'row_change', count(*), CAST(0 AS BIGINT), count(*) BETWEEN 0.95 * (SELECT count(*) FROM revenue) "
+       "AND 1.05 * (SELECT count(*) FROM revenue) FROM judged"])
+ORACLE_SQL["quarantined_feed"] = _JUDGED + """
+SELECT company_id, company_name, year, is_estimate, revenue_m, concat_ws(',', """ + ", ".join(
+    f"CASE WHEN {f} THEN '{rule}' END" for f, rule in _RULES.items()) + """) AS failed
+FROM judged WHERE """ + " OR ".join(_RULES)
+
+ORACLE_SQL["irr_roots_constructed"] = """
+WITH known AS (
+  SELECT c_custkey, CASE c_custkey % 3 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 3 END AS n, c_custkey % 20 + 1 AS first FROM customer)
+SELECT c_custkey AS company_id, CAST(n AS BIGINT) AS sign_changes, CAST(n AS BIGINT) AS n_roots, CAST(0 AS BIGINT) AS unresolved,
+       CAST(first AS DOUBLE) AS irr_pct, root_no, CAST(first + added AS DOUBLE) AS root_pct
+FROM known JOIN (VALUES (0, 0), (1, 25), (2, 60)) AS r(root_no, added) ON root_no < n"""
+ORACLE_SQL["irr_root_parity"] = f"""
+WITH net AS (
+  SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS d,
+         {S("CASE WHEN o_orderstatus = 'F' THEN -o_totalprice ELSE o_totalprice END")} AS amount
+  FROM orders GROUP BY 1, 2),
+turns AS (SELECT k, sign(amount) <> lag(sign(amount)) OVER (PARTITION BY k ORDER BY d) AS turn FROM net WHERE amount <> 0)
+SELECT k AS company_id, (SELECT count(*) FROM turns t WHERE t.k = n.k AND turn) AS sign_changes, TRUE AS bounded, TRUE AS parity, TRUE AS has_rate
+FROM (SELECT DISTINCT k FROM net) n"""
+
+ORACLE_SQL["seeds_extra_keys"] = _w(HOLDINGS) + """
+SELECT id, status, CASE WHEN id % 3 = 0 THEN id % 100 END AS esg_score,
+       CASE WHEN id % 4 = 1 THEN '{"chair":"' || name || '","n":' || CAST(id % 9 AS VARCHAR) || '}' END AS board,
+       CASE WHEN id % 2 = 0 THEN CAST(id AS VARCHAR) ELSE '"R' || CAST(id AS VARCHAR) || '"' END AS deal_ref,
+       id / 4.0::DOUBLE + 0.125 AS drift_rate FROM holdings"""
+ORACLE_SQL["seeds_extra_fields"] = """
+SELECT * FROM (
+  SELECT 'esgScore' AS field, 'bigint' AS type, count(*) FILTER (WHERE c_custkey % 3 = 0) AS present FROM customer
+  UNION ALL SELECT 'board', 'json', count(*) FILTER (WHERE c_custkey % 4 = 1) FROM customer
+  UNION ALL SELECT 'dealRef', 'json', count(*) FROM customer
+  UNION ALL SELECT 'driftRate', 'double', count(*) FROM customer) WHERE present > 0"""

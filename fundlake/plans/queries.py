@@ -17,12 +17,14 @@ from fundlake import schemas
 from fundlake.functions.numeric import sql_avg, sql_round
 from fundlake.operators import (cagr, cast_report, flatten, global_stats, irr, irr_check, multiples_check,
                                 number_rows, running_total, unpivot_years, weighted_mean)
-from fundlake.plans import etl, gold, pages, seeds, silver, star, views
+from fundlake.plans import etl, gold, pages, partials, seeds, silver, star, views
 from fundlake.operators.increment import RunningTotals
+from fundlake.operators.roots import irr_roots
+from fundlake.operators.validation import FAILED, Validation, in_range, present, refers, row_change, unique, validate
 from fundlake.plans.backfill import SILVER_SOURCES, backfill
 from fundlake.session import fresh_dir, materialize
 from fundlake.sources import (LayerRun, create_layers, decode, drift, infer_types, layouts, read_bronze, read_dates, register_table,
-                              types_by_date, write_bronze, write_bronze_all, write_drops)
+                              types_by_date, variants, write_bronze, write_bronze_all, write_drops)
 
 AS_OF = star.STAR_AS_OF_YEAR
 
@@ -520,6 +522,98 @@ def multiples_check_perturbed(spark, sf):
     return multiples_check(fm)
 
 
+# -- Stored states, validation, all roots, unknown fields ---------------------
+
+def _portfolio_states(spark, sf) -> partials.PartialStats:
+    """States of the holdings by entry year, from two deliveries; the first held wrong values of 1993."""
+    pc = materialize(_portco(spark, sf).select("entry_year", "sector", "geography", "status", "fmv", "invested_capital", "moic", "irr", "net_leverage_x"))
+    states = partials.portfolio_states(fresh_dir(spark, "states"), ["entry_year"])
+    states.update(pc.where("coalesce(entry_year <= 1993, true)").withColumn("fmv", F.expr("IF(entry_year = 1993, fmv * 2, fmv)")))
+    states.update(pc.where("entry_year >= 1993"))
+    return states
+
+
+def kpis_from_states(spark, sf):
+    """G1: A1, A2, F2 merged from stored states."""
+    return partials.fund_kpis(spark, _portfolio_states(spark, sf), _fm(spark, sf))
+
+
+def risk_from_states(spark, sf):
+    """A3, A10-A12 merged from stored states."""
+    return partials.risk_summary(spark, _portfolio_states(spark, sf))
+
+
+def _validated_feed(spark, sf) -> Validation:
+    """The revenue feed with years, signs, names and companies spoilt by the company's last digit, and some rows twice."""
+    feed = star.revenue(spark, sf)
+    spoilt = feed.selectExpr(
+        "IF(company_id % 10 = 5, company_id + 1000000000000, company_id) AS company_id", "IF(company_id % 10 = 7, NULL, company_name) AS company_name",
+        "IF(company_id % 10 = 3, year + 1000, year) AS year", "is_estimate", "IF(company_id % 10 = 4, -revenue_m, revenue_m) AS revenue_m")
+    return validate(spoilt.unionByName(spoilt.where("company_id % 10 = 6")), [
+        in_range("year", 1900, 2100), in_range("revenue_m", 0.0), present("company_name"), unique(["company_id", "year", "is_estimate"], "one_row"),
+        refers(["company_id"], star.table(spark, sf, "customer"), ["c_custkey"]), row_change(feed.count(), 0.95, 1.05)])
+
+
+def validated_feed(spark, sf):
+    """The report of the rules over the spoilt revenue feed."""
+    return _validated_feed(spark, sf).report
+
+
+def quarantined_feed(spark, sf):
+    """The rows of the spoilt revenue feed that break a rule, whole, with the rules."""
+    return _validated_feed(spark, sf).quarantined.select("company_id", "company_name", "year", "is_estimate", "revenue_m",
+                                                         F.array_join(FAILED, ",").alias("failed"))
+
+
+def irr_roots_constructed(spark, sf):
+    """Yearly flows of every customer made to have one, two or three known rates; all are found."""
+    a, b, c = "(1.01D + c_custkey % 20 / 100D)", "(1.26D + c_custkey % 20 / 100D)", "(1.61D + c_custkey % 20 / 100D)"
+    one = [f"{a}"]
+    two = [f"{a} + {b}", f"-{a} * {b}"]
+    three = [f"{a} + {b} + {c}", f"-({a} * {b} + {b} * {c} + {c} * {a})", f"{a} * {b} * {c}"]
+    amounts = " ".join(f"WHEN {n} THEN array({', '.join(f'1000D * ({x})' for x in ['-1D', *flows])})" for n, flows in ((1, one), (2, two), (0, three)))
+    flows = star.table(spark, sf, "customer").select("c_custkey", F.posexplode(F.expr(f"CASE c_custkey % 3 {amounts} END")).alias("at", "amount"))
+    found = irr_roots(flows, "c_custkey", F.expr("date_add(DATE'2001-01-01', 365 * at)"), "amount", out_key="company_id", scale=4)
+    return found.select("company_id", "sign_changes", "n_roots", "unresolved", "irr_pct", F.posexplode("roots_pct").alias("root_no", "root_pct"))
+
+
+def irr_root_parity(spark, sf):
+    """X2 on order flows: the roots are at most the sign changes of the net flows, and as many but for an even number."""
+    o = star.table(spark, sf, "orders")
+    flows = o.selectExpr("o_custkey", "o_orderdate", "IF(o_orderstatus = 'F', -o_totalprice, o_totalprice) AS amount")
+    return irr_roots(flows, "o_custkey", "o_orderdate", "amount", out_key="company_id").selectExpr(
+        "company_id", "sign_changes", "n_roots <= sign_changes AS bounded", "(sign_changes - n_roots) % 2 = 0 AS parity",
+        "(irr_pct IS NOT NULL) = (n_roots > 0) AS has_rate")
+
+
+def _seeds_with_extra(spark, sf) -> str:
+    """Holdings as JSON Lines with fields that no table names; some have an object, some values of two kinds."""
+    h = star.holdings(spark, sf, AS_OF)
+    record = [*[f"{c} AS {f}" for f, c in seeds.COMPANY_FIELDS.items()], "IF(id % 3 = 0, id % 100, NULL) AS esgScore",
+              "IF(id % 4 = 1, named_struct('chair', name, 'n', id % 9), NULL) AS board", "id / 4D + 0.125D AS driftRate"]
+    names = ", ".join(e.rsplit(" AS ", 1)[1] for e in record)
+    path = fresh_dir(spark, "seeds")
+    (h.selectExpr(*record, "id AS _id")
+      .selectExpr(f"IF(_id % 2 = 0, to_json(struct({names}, _id AS dealRef)), to_json(struct({names}, concat('R', _id) AS dealRef))) AS value")
+      .write.text(path))
+    return path
+
+
+def seeds_extra_keys(spark, sf):
+    """Records with unknown fields, landed as Bronze CSV and read back with a column for each."""
+    records, extra = seeds.read_with_extra(spark, _seeds_with_extra(spark, sf), seeds.COMPANY_FIELDS)
+    root = fresh_dir(spark, "bronze")
+    write_bronze(seeds.companies_to_bronze(records.withColumns({c: F.lit(None).cast(seeds.YEAR_MAP) for c in ("revenue", "ebitda")}), extra)[
+        "portfolio-companies"], root, "portfolio-companies", TEXT_DATE)
+    return read_bronze(spark, root, "portfolio-companies", TEXT_DATE).selectExpr(
+        "CAST(id AS BIGINT) AS id", "status", "CAST(esg_score AS BIGINT) AS esg_score", "board", "deal_ref", "CAST(drift_rate AS DOUBLE) AS drift_rate")
+
+
+def seeds_extra_fields(spark, sf):
+    """The unknown fields, with the type that holds all their values."""
+    return variants.extra_fields(variants.read_lines(spark, _seeds_with_extra(spark, sf)), list(seeds.COMPANY_FIELDS))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "leverage_bands": leverage_bands,
     "moic_bands": moic_bands,
@@ -571,5 +665,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "company_unknown_id": company_unknown_id,
     "served_page": served_page,
     "multiples_check_perturbed": multiples_check_perturbed,
+    "kpis_from_states": kpis_from_states,
+    "risk_from_states": risk_from_states,
+    "validated_feed": validated_feed,
+    "quarantined_feed": quarantined_feed,
+    "irr_roots_constructed": irr_roots_constructed,
+    "irr_root_parity": irr_root_parity,
+    "seeds_extra_keys": seeds_extra_keys,
+    "seeds_extra_fields": seeds_extra_fields,
     **{f"text_{t}": _from_text(t) for t in SILVER_SOURCES if t != "portfolio_companies"},
 }
