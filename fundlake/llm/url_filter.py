@@ -10,12 +10,15 @@ Level 1 is a Bloom filter of the listed keys.  Level 2 holds the universe's
 keys that level 1 takes wrongly, level 3 the listed keys that level 2 takes
 wrongly, and so on by turns until no key is taken wrongly.  A key's answer is
 the number of leading levels that take it: odd means listed.  For every key of
-the universe that is exact, so a url needs no join with the list.  Levels are
+the universe that is exact, so a url needs no join with the list.  Each verdict
+has a cascade of its own, so that executors get filters only, never the list: a
+key that a cascade takes names its rule, and the cascade its verdict.  Levels are
 sized by what they hold; level 1's error rate follows the universe so that
 level 2 expects about as many keys as are listed, which bounds what is sent to
 executors by the list, not by the corpus.
 
-Defined cases: a null url, or one without ``://``, has an empty host and path,
+Defined cases: of rules of equal length that fit a url the one with the longer
+host decides; of rules listed twice the last one counts; a null url, or one without ``://``, has an empty host and path,
 no rule and the default verdict; repeated rows give repeated results; an empty
 table gives an empty result; an empty list takes nothing.
 """
@@ -120,19 +123,17 @@ def parts(pages: DataFrame, url_col: str = "url") -> list:
             F.coalesce(path, F.lit("")).alias("path")]
 
 
-def _wrongly_taken(urls: DataFrame, levels: tuple[Bloom, ...], listed: frozenset, lengths: Sequence[int]) -> DataFrame:
-    """The distinct unlisted keys that all levels so far take."""
-    cascade = urls.sparkSession.sparkContext.broadcast(Cascade(levels))
-    names = urls.sparkSession.sparkContext.broadcast(listed)
+def _taken(urls: DataFrame, firsts: dict[str, Bloom], lengths: Sequence[int]) -> DataFrame:
+    """(verdict, key): the distinct keys of the universe that a verdict's level 1 takes, listed or not."""
+    filters = urls.sparkSession.sparkContext.broadcast(firsts)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = sorted({k for h, p in zip(batch["host"].to_pylist(), batch["path"].to_pylist(), strict=True)
-                           for k in url_keys(h, p, lengths)} - names.value)
-            depth = cascade.value.depth(keys)
-            yield pa.RecordBatch.from_pydict({"key": pa.array([k for k, d in zip(keys, depth, strict=True) if d == len(levels)], pa.string())})
+            keys = sorted({k for h, p in zip(batch["host"].to_pylist(), batch["path"].to_pylist(), strict=True) for k in url_keys(h, p, lengths)})
+            taken = [(v, keys[i]) for v, level in filters.value.items() for i in np.flatnonzero(level.takes(keys))]
+            yield pa.RecordBatch.from_pydict({n: pa.array([t[i] for t in taken], pa.string()) for i, n in enumerate(("verdict", "key"))})
 
-    return urls.select("host", "path").mapInArrow(search, "key string").distinct()
+    return urls.select("host", "path").mapInArrow(search, "verdict string, key string").distinct()
 
 
 def _key_counts(urls: DataFrame, lengths: Sequence[int]) -> int:
@@ -141,33 +142,46 @@ def _key_counts(urls: DataFrame, lengths: Sequence[int]) -> int:
     return int(urls.agg(F.sum(dots * len(lengths))).first()[0] or 0)
 
 
-def build_cascade(urls: DataFrame, rules: Iterable[tuple[str, str, str]], first_rate: float = FIRST_RATE,
-                  later_rate: float = LATER_RATE) -> Cascade:
-    """Levels over the complete key universe of ``urls`` (host, path).
+def _levels(first: Bloom, listed: list[str], outside: list[str], later_rate: float) -> Cascade:
+    """The cascade that begins with ``first``; ``outside``: the unlisted keys that it takes."""
+    levels, inside, other = [first], sorted(outside), listed
+    while inside:
+        bits, hashes = Bloom.shape(len(inside), later_rate)
+        levels.append(Bloom(np.zeros(bits // 8, np.uint8), hashes, len(levels)).with_keys(inside))
+        # this level's wrong ones are among the keys of the level before
+        inside, other = [k for k, t in zip(other, levels[-1].takes(other), strict=True) if t], inside
+    return Cascade(tuple(levels))
+
+
+def build_cascades(urls: DataFrame, listed: dict[str, list[str]], first_rate: float = FIRST_RATE,
+                   later_rate: float = LATER_RATE) -> dict[str, Cascade]:
+    """One cascade per verdict over the complete key universe of ``urls`` (host, path); ``listed``: each verdict's keys.
 
-    Only the wrongly taken keys of a level come to the driver: level 1's rate
-    is lowered with the universe so that they are about as many as the listed
-    keys (or a thousand), and each later level takes a fraction of the one
-    before.
+    Only the keys that a level 1 takes come to the driver, which has the list
+    and tells which are unlisted: level 1's rate is lowered with the universe so
+    that those are about as many as the listed keys (or a thousand), and each
+    later level takes a fraction of the one before.
     """
-    listed = sorted({key_of(h, p) for h, p, _ in rules})
+    listed = {v: sorted(set(keys)) for v, keys in listed.items() if keys}
     if not listed:
-        return Cascade(())
-    lengths = sorted({len(k.split("\n", 1)[1]) for k in listed})
+        return {}
+    lengths = sorted({len(k.split("\n", 1)[1]) for keys in listed.values() for k in keys})
     universe = _key_counts(urls, lengths)
-    rate = min(first_rate, max(len(listed), 1000) / max(universe, 1))
-    levels: list[Bloom] = []
-    inside, outside, bound = listed, None, frozenset(listed)
-    while inside:
-        bits, hashes = Bloom.shape(len(inside), rate if not levels else later_rate)
-        levels.append(Bloom(np.zeros(bits // 8, np.uint8), hashes, len(levels)).with_keys(inside))
-        if outside is None:
-            outside = [r.key for r in _wrongly_taken(urls, tuple(levels), bound, lengths).collect()]
-            inside, other = sorted(outside), inside
-        else:
-            # this level's wrong ones are among the keys of the level before
-            inside, other = [k for k, t in zip(other, levels[-1].takes(other), strict=True) if t], inside
-    return Cascade(tuple(levels))
+    firsts = {}
+    for v, keys in listed.items():
+        bits, hashes = Bloom.shape(len(keys), min(first_rate, max(len(keys), 1000) / max(universe, 1)))
+        firsts[v] = Bloom(np.zeros(bits // 8, np.uint8), hashes, 0).with_keys(keys)
+    own, outside = {v: frozenset(keys) for v, keys in listed.items()}, {v: [] for v in listed}
+    for row in _taken(urls, firsts, lengths).collect():
+        if row.key not in own[row.verdict]:
+            outside[row.verdict].append(row.key)
+    return {v: _levels(firsts[v], keys, outside[v], later_rate) for v, keys in listed.items()}
+
+
+def build_cascade(urls: DataFrame, rules: Iterable[tuple[str, str, str]], first_rate: float = FIRST_RATE,
+                  later_rate: float = LATER_RATE) -> Cascade:
+    """One cascade of all rules, whatever their verdicts."""
+    return build_cascades(urls, {"": [key_of(h, p) for h, p, _ in rules]}, first_rate, later_rate).get("", Cascade(()))
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, id_col: str = "page_id", url_col: str = "url",
@@ -176,20 +190,25 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     importable(pages.sparkSession)
     urls = pages.select(as_column(id_col).alias("page_id"), *parts(pages, url_col))
     spark = pages.sparkSession
-    cascade = spark.sparkContext.broadcast(build_cascade(urls, rules, first_rate))
-    verdicts = spark.sparkContext.broadcast({key_of(h, p): v for h, p, v in rules})
+    verdict_of = {key_of(h, p): v for h, p, v in rules}
+    listed: dict[str, list[str]] = {}
+    for key, verdict in verdict_of.items():
+        listed.setdefault(verdict, []).append(key)
+    cascades = spark.sparkContext.broadcast(build_cascades(urls, listed, first_rate))
+    # the lengths of paths: as many as there are different ones
     lengths = sorted({len(p) for _, p, _ in rules})
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             each = [url_keys(h, p, lengths) for h, p in zip(batch["host"].to_pylist(), batch["path"].to_pylist(), strict=True)]
             universe = sorted({k for keys in each for k in keys})
-            found = {k for k, t in zip(universe, cascade.value.listed(universe), strict=True) if t}
+            found = {universe[i]: v for v, cascade in cascades.value.items() for i in np.flatnonzero(cascade.listed(universe))}
+            # keys come with the longest host first, which decides between equal lengths
             best = [max((k for k in keys if k in found), key=len, default=None) for keys in each]
             yield pa.RecordBatch.from_arrays([
                 batch["page_id"], batch["host"], batch["path"],
                 pa.array([None if k is None else k.replace("\n", "", 1) for k in best], pa.string()),
-                pa.array([default if k is None else verdicts.value[k] for k in best], pa.string()),
+                pa.array([default if k is None else found[k] for k in best], pa.string()),
             ], names=["page_id", "host", "path", "rule", "verdict"])
 
     kind = dict(urls.dtypes)["page_id"]
@@ -202,7 +221,7 @@ cut AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url,
 parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     substr(regexp_extract(rest, '^[^?#]*'), length(regexp_extract(rest, '^[^/?#]*')) + 1) AS path FROM cut),
 fits AS (SELECT p.page_id, p.host, p.path, r.rhost || r.rpath AS rule, r.verdict,
-    row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.rhost || r.rpath) DESC NULLS LAST) AS rn
+    row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.rhost || r.rpath) DESC NULLS LAST, length(r.rhost) DESC) AS rn
   FROM parts p LEFT JOIN rules r ON (p.host = r.rhost OR ends_with(p.host, '.' || r.rhost)) AND starts_with(p.path, r.rpath))
 SELECT page_id, host, path, rule, coalesce(verdict, '{DEFAULT_VERDICT}') AS verdict FROM fits WHERE rn = 1
 """

@@ -224,6 +224,28 @@ def test_cascade_is_exact_over_its_universe(spark):
     assert url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_rules_of_equal_length_and_repeated_ones(spark):
+    rules = [("b.com", "/x/", "block"), ("com", "/x/y/", "allow"), ("twice.org", "/", "allow"), ("twice.org", "/", "block"), ("third.org", "/", "review")]
+    urls = ["http://b.com/x/y/z", "http://a.b.com/x/y/", "http://b.com/x/q", "http://c.com/x/y/", "http://twice.org/", "http://third.org/a"]
+    rows = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.filter_urls(rows, rules, first_rate=0.5).collect()}
+    assert got == {0: ("b.com/x/", "block"), 1: ("b.com/x/", "block"), 2: ("b.com/x/", "block"), 3: ("com/x/y/", "allow"),
+                   4: ("twice.org/", "block"), 5: ("third.org/", "review")}
+
+
+def test_executors_get_filters_and_no_list(spark, monkeypatch):
+    """What is broadcast holds bits only: no listed host is spelled in it."""
+    import pickle
+    sent = []
+    original = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(pickle.dumps(value)) or original(self, value))
+    rules = [(f"listed{i}.org", "/", "block" if i % 3 else "allow") for i in range(2000)]
+    rows = spark.createDataFrame([(i, f"http://listed{i}.org/") for i in range(0, 4000, 7)], "page_id long, url string")
+    got = {r.page_id: r.rule for r in url_filter.filter_urls(rows, rules).collect()}
+    assert got == {i: f"listed{i}.org/" if i < 2000 else None for i in range(0, 4000, 7)}
+    assert len(sent) == 2 and not any(b"listed" in value.replace(b"url_filter", b"") for value in sent) and sum(map(len, sent)) < 20 * 2000
+
+
 # packing
 
 
