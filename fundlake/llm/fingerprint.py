@@ -8,7 +8,7 @@ shingle sets, from one the number of distinct shingles.  Words are as in
 Defined cases: a null text counts as empty; an empty text has the empty
 fingerprint, alike (1.0) to another empty one and unlike (0.0) any other;
 rows without doc_id come last in the order of documents, rows that share one
-are ordered by a hash of their text; a table's only document is its own next
+are ordered by a hash of their text and spread over tasks by it; a table's only document is its own next
 one; an empty table gives an empty result.
 """
 
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -98,29 +99,55 @@ def _parts(texts: list[str]) -> Iterator[list[str]]:
         yield run
 
 
+def _place(place, hash_) -> str:
+    return f"named_struct('place', {place}, 'hash', {hash_})"
+
+
+def _long(x: int) -> str:
+    return f"{x}L" if x > -2**63 else "(-9223372036854775807L - 1L)"
+
+
+def _part(bounds: list[tuple[int, int]]) -> tuple[str, str]:
+    """(SQL array of the bounds, SQL of a row's part): by binary search, the last bound that is not above the row's place."""
+    listed = "array(" + ", ".join(_place(_long(b), _long(h)) for b, h in bounds) + ")"
+    steps = "array(" + ", ".join(str(1 << i) for i in range(len(bounds).bit_length() - 1, -1, -1)) + ")"
+    return listed, (f"aggregate({steps}, 0, (low, step) -> if(low + step < {len(bounds)} and get({listed}, low + step) <= "
+                    f"{_place('place', 'hash')}, low + step, low))")
+
+
+def _bounds(docs: DataFrame, parts: int) -> list[tuple[int, int]]:
+    """About ``parts`` places (id, hash of the text) of rows of ``docs``, ascending, the first row's among them.
+
+    Quantiles of the ids cut the table; an id that comes out several times holds
+    that many parts' rows, which equal ranges of the hash cut.  The bounds are the
+    first places in those ranges.  At most about 2 * ``parts`` rows are collected.
+    """
+    found = docs.agg(F.percentile_approx("place", [i / parts for i in range(parts)], 10000).alias("ids")).first()["ids"]
+    times = Counter(found or [])
+    cuts = sorted({(-2**63, -2**63), *((i, -2**63 + k * 2**64 // n) for i, n in times.items() for k in range(n))})
+    firsts = docs.groupBy(F.expr(_part(cuts)[1]).alias("part")).agg(F.min(F.struct("place", "hash")).alias("first")).collect()
+    return sorted((r["first"]["place"], r["first"]["hash"]) for r in firsts)
+
+
 def in_order(docs: DataFrame, parts: int) -> DataFrame:
     """(guest, doc_id, text): documents in ascending order within range partitions, each followed by the next partition's first one.
 
-    The ranges begin at ids that the table holds, so a partition's successor
-    row is known from the bounds: it is sent twice, as itself and as a guest of
-    the partition before.  The texts are shuffled once.
+    Places are (doc_id, hash of the text), so rows of one id, or without one,
+    spread as well; only equal rows stay together.  The ranges begin at places
+    that the table holds, so a partition's first row is known from its bound: one
+    copy of it goes as a guest to the partition before.  The texts are shuffled
+    once.
     """
-    key = F.coalesce("doc_id", F.lit(_LAST))
-    ranks = [i / parts for i in range(parts)]
-    found = docs.agg(F.min(key).alias("least"), F.percentile_approx(key, ranks, 10000).alias("bounds")).first()
-    bounds = sorted({found["least"], *(found["bounds"] or [])} - {None}) or [_LAST]
-    listed = "array(" + ", ".join(f"{b}L" for b in bounds) + ")"
-    steps = "array(" + ", ".join(str(1 << i) for i in range(len(bounds).bit_length() - 1, -1, -1)) + ")"
-    # binary search: the last bound that is not above the row's place
-    at = F.expr(f"aggregate({steps}, 0, (low, step) -> if(low + step < {len(bounds)} and get({listed}, low + step) <= place, low + step, low))")
-    one = F.struct(F.col("part"), F.lit(False).alias("guest"))
-    before = F.struct(F.expr(f"pmod(part - 1, {len(bounds)})").alias("part"), F.lit(True).alias("guest"))
-    begins = F.expr(f"get({listed}, part) = place")
-    placed = (docs.select("doc_id", "text", key.alias("place")).withColumn("part", at)
-              .withColumn("to", F.explode(F.when(begins, F.array(one, before)).otherwise(F.array(one))))
-              .select("doc_id", "text", "place", "to.part", "to.guest"))
-    return (placed.repartitionById(len(bounds), F.col("part"))
-            .sortWithinPartitions("guest", "place", F.xxhash64("text")).select("guest", "doc_id", "text"))
+    own = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(_LAST)).alias("place"), F.xxhash64("text").alias("hash"))
+    bounds = _bounds(own, parts) or [(_LAST, 0)]
+    listed, part = _part(bounds)
+    placed = own.withColumn("part", F.expr(part)).withColumn("guest", F.lit(False))
+    # equal rows share a place: one of them is the guest
+    first = placed.where(F.col("place").isin(sorted({b for b, _ in bounds}))).where(F.expr(f"get({listed}, part) = {_place('place', 'hash')}"))
+    guests = first.groupBy("part").agg(F.min(F.struct("text", "doc_id")).alias("row"), F.first("place").alias("place"), F.first("hash").alias("hash"))
+    sent = guests.select("row.doc_id", "row.text", "place", "hash", F.expr(f"pmod(part - 1, {len(bounds)})").alias("part"), F.lit(True).alias("guest"))
+    return (placed.unionByName(sent).repartitionById(len(bounds), F.col("part"))
+            .sortWithinPartitions("guest", "place", "hash", "text").select("guest", "doc_id", "text"))
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, parts: int | None = None) -> DataFrame:

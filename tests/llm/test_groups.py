@@ -9,6 +9,8 @@ import pytest
 from llm_cases import awkward, documents, empty, words
 from test_shared import plain_shingles
 
+from pyspark.sql import functions as F
+
 from fundlake.llm import fingerprint, line_dedup, minhash, nn_descent, suffix_dedup
 
 
@@ -348,6 +350,26 @@ def test_edited_fingerprints_equal_the_definition(spark):
     assert got[7 * 44].fingerprint == got[7 * 45].fingerprint
 
 
+@pytest.mark.parametrize("hot", [None, 5])
+def test_rows_of_one_id_spread_and_keep_their_order(spark, hot):
+    """A third of all rows without an id, or with the same one: no task holds them all, and every row's next one is right."""
+    rng = random.Random(31)
+    rows = [(i, words(rng, 8)) for i in range(200)] + [(hot, words(rng, 8)) for _ in range(300)] + [(hot, "the same text in many equal rows of it")] * 60
+    docs = documents(spark, rows)
+    placed = fingerprint.in_order(docs.select("doc_id", "text"), 16).withColumn("task", F.spark_partition_id()).collect()
+    held = collections.Counter(r.task for r in placed if not r.guest)
+    guests = collections.Counter(r.task for r in placed if r.guest)
+    assert sum(held.values()) == len(rows) and max(held.values()) < 150 and set(guests.values()) == {1} and set(guests) == set(held)
+    got = collections.Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in fingerprint.edited_fingerprints(docs, parts=16).collect())
+    hashed = [tuple(r) for r in docs.select("doc_id", "text", F.xxhash64("text")).collect()]
+    order = sorted(hashed, key=lambda r: (2**63 if r[0] is None else r[0], r[2]))
+    want = collections.Counter()
+    for (i, text, _), (_, after, _) in zip(order, order[1:] + order[:1], strict=True):
+        n = len(text) // 4
+        want[i, len(text), hashlib.sha256((text[:len(text) - n] + after[:n]).encode()).hexdigest()] += 1
+    assert got == want
+
+
 def test_fingerprints_of_awkward_rows(spark):
     rows = fingerprint.edited_fingerprints(awkward(spark), parts=3).collect()
     assert sorted(str(r.doc_id) for r in rows) == sorted(str(r.doc_id) for r in awkward(spark).collect())
