@@ -13,7 +13,8 @@ that fails its condition is dropped without another try.
 
 Defined cases: a null or empty text has no spans; offsets count code points,
 ends are exclusive; repeated rows give repeated results; an empty table gives
-an empty result.  Texts are searched whole, in time linear in their length.
+an empty result.  Texts are searched whole, in time linear in their length, and
+chains of written-out signs are followed however long they are.
 """
 
 from __future__ import annotations
@@ -75,24 +76,28 @@ _BRACKET_AT = re.compile(r"[ ]{0,2}[\[({<][ ]{0,2}(?:at|@|arroba)[ ]{0,2}[\])}>]
 _BRACKET_DOT = re.compile(r"[ ]{0,2}[\[({<][ ]{0,2}(?:dot|\.|punkt|punto)[ ]{0,2}[\])}>][ ]{0,2}", re.I)
 _GAPS = (("[ ]{1,2}", "[A-Za-z0-9-]"), ("_", "[A-Za-z0-9-]"), ("-", "[A-Za-z0-9]"))
 _WORD_AT = re.compile("|".join(
-    rf"(?<=[A-Za-z0-9_%+-]){gap}at{gap}(?={label}{{1,63}}(?:{gap}dot{gap}{label}{{1,63}}){{1,4}}(?![A-Za-z0-9]))" for gap, label in _GAPS), re.I)
+    rf"(?<=[A-Za-z0-9_%+-]){gap}at{gap}(?={label}+{gap}dot{gap}{label})" for gap, label in _GAPS), re.I)
 _WORD_DOT = re.compile("|".join(rf"(?<=[A-Za-z0-9]){gap}dot{gap}(?=[A-Za-z0-9])" for gap, _ in _GAPS), re.I)
 # before a plain domain only what cannot be a word of prose counts as the local part
-_NAME = re.compile(r"(?:[A-Za-z0-9._%+-]*[A-Za-z][A-Za-z0-9._%+-]*[0-9_]|[A-Za-z]+[._][A-Za-z]{2,}|[A-Za-z][A-Za-z0-9._%+-]*[0-9_][A-Za-z0-9._%+-]*)\Z")
+_LOCAL_WORD = re.compile(r"[A-Za-z0-9._%+-]+")
+_TWO_NAMES = re.compile(r"[A-Za-z]+[._][A-Za-z]{2,}")
+_LETTER, _DIGIT_SIGN = re.compile("[A-Za-z]"), re.compile("[0-9_]")
+_SPACED_WORD_AT = re.compile(" at ", re.I)
 _PLAIN_DOMAIN = re.compile(r"[A-Za-z0-9-]{1,63}(?:[.][A-Za-z0-9-]{1,63})*[.][A-Za-z]{2,24}(?![A-Za-z0-9])")
 # letters that stand for digits inside a long number; every part of it has a digit
 _PART = "(?=[OoIl]{0,9}[0-9])[0-9OoIl]+"
 _MIXED_NUMBER = re.compile(rf"(?<![A-Za-z0-9]){_PART}(?:[ ().-]{{1,2}}{_PART})*(?![A-Za-z0-9])")
 _AS_DIGIT = {"O": "0", "o": "0", "I": "1", "l": "1"}
-_SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])(?:[ ]{1,2}@[ ]{0,2}|@[ ]{1,2})(?=[A-Za-z0-9-]{1,63}\.[A-Za-z0-9-])")
-_AT_LEFT = re.compile(r"[A-Za-z0-9_%+-]*@[A-Za-z0-9.-]*(?:[ _-]{1,2}dot[ _-]{1,2}[A-Za-z0-9-]+)*\Z", re.I)
-_AT_RIGHT = re.compile(r"[A-Za-z0-9._%+-]+(?:[ _-]{1,2}dot[ _-]{1,2}[A-Za-z0-9._%+-]+)*@", re.I)
+_SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])(?:[ ]{1,2}@[ ]{0,2}|@[ ]{1,2})(?=[A-Za-z0-9-]+(?:\.|[ ]{1,2}dot[ ]{1,2})[A-Za-z0-9-])", re.I)
+# what ends a stretch after an at sign, what a stretch up to one begins with, and whole labels between written-out dots
+_AT_LEFT = re.compile(r"@[A-Za-z0-9.-]*\Z")
+_AT_RIGHT = re.compile(r"[A-Za-z0-9._%+-]+@")
+_LABEL = re.compile("[A-Za-z0-9-]+")
 _DIGIT = re.compile("[0-9]")
 # one range for the upper plane: a class that lists its letters is searched one by one
 _ODD = re.compile("[" + re.escape("".join(c for c in LOOKALIKES if c < "\U00010000") + INVISIBLE) + "\U00010000-\U0001ffff]")
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
@@ -207,9 +212,9 @@ def rewrite(text: str) -> Rewritten:
         _signs(out, _BRACKET_AT, "@")
         _signs(out, _BRACKET_DOT, ".")
         _signs(out, _WORD_AT, "@")
+        _signs(out, _SPACED_AT, "@")
         if "@" in out.text and "dot" in low:
             _word_dots(out)
-        _signs(out, _SPACED_AT, "@")
     _name_ats(out)
     if _SPELLED_RUN.search(out.text):
         _spelled(out)
@@ -230,13 +235,27 @@ def _written_ips(out: Rewritten) -> None:
     out.replace(edits)
 
 
+def _is_name(word: str) -> bool:
+    """Whether it cannot be a word of prose: an account's characters with a digit or underscore, or two names joined."""
+    if not _LOCAL_WORD.fullmatch(word) or not _LETTER.search(word):
+        return False
+    if _DIGIT_SIGN.match(word[-1]) or _TWO_NAMES.fullmatch(word):
+        return True
+    return bool(_LETTER.match(word) and _DIGIT_SIGN.search(word))
+
+
 def _name_ats(out: Rewritten) -> None:
-    """`` at `` between an account's name and a plain domain."""
-    edits, at = [], out.text.find(" at ")
-    while at >= 0:
-        if _PLAIN_DOMAIN.match(out.text, at + 4) and _NAME.match("".join(out.text[max(0, at - 64):at].split()[-1:])):
-            edits.append((at, at + 4, [("@", at, at + 4)]))
-        at = out.text.find(" at ", at + 4)
+    """`` at `` between an account's name and a plain domain; each word before one is read once."""
+    edits, text, last = [], out.text, 0
+    for m in _SPACED_WORD_AT.finditer(text):
+        at = m.start()
+        if _PLAIN_DOMAIN.match(text, m.end()):
+            start = at
+            while start > last and not text[start - 1].isspace():
+                start -= 1
+            if _is_name(text[start:at]):
+                edits.append((at, m.end(), [("@", at, m.end())]))
+        last = m.end()
     out.replace(edits)
 
 
@@ -249,14 +268,21 @@ def _mixed_numbers(out: Rewritten) -> None:
 
 
 def _word_dots(out: Rewritten) -> None:
-    """`` dot `` counts in what touches an at sign: the words that it chains to the sign's left or right."""
-    edits, text = [], out.text
-    for m in _WORD_DOT.finditer(text):
-        left = _AT_LEFT.search(text, max(0, m.start() - 300), m.start())
-        right = _AT_RIGHT.match(text, m.end(), m.end() + 300)
-        if left or right:
-            edits.append((m.start(), m.end(), [(".", m.start(), m.end())]))
-    out.replace(edits)
+    """`` dot `` counts in what touches an at sign: the words that it chains to the sign's left or right, however many."""
+    text, dots = out.text, list(_WORD_DOT.finditer(out.text))
+    if not dots:
+        return
+    ends = [0, *[m.end() for m in dots]]
+    begins = [*[m.start() for m in dots], len(text)]
+    between = [text[a:b] for a, b in zip(ends, begins, strict=True)]
+    # a chain goes on over whole labels only
+    left = []
+    for i in range(len(dots)):
+        left.append(bool(_AT_LEFT.search(between[i])) or (i > 0 and left[-1] and bool(_LABEL.fullmatch(between[i]))))
+    right = [False] * (len(dots) + 1)
+    for i in range(len(dots) - 1, -1, -1):
+        right[i] = bool(_AT_RIGHT.match(between[i + 1])) or (right[i + 1] and bool(_LOCAL_WORD.fullmatch(between[i + 1])))
+    out.replace([(m.start(), m.end(), [(".", m.start(), m.end())]) for m, x, y in zip(dots, left, right, strict=False) if x or y])
 
 
 def spans(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:

@@ -43,6 +43,13 @@ def test_plain_spans_equal_the_patterns():
     ("HSR.29 {AT} MAIL5 (DOT) EXAMPLE.COM", "email", "HSR.29 {AT} MAIL5 (DOT) EXAMPLE.COM"),
     ("plus one (nine eight eight) five five five two four eight five ok", "phone", "plus one (nine eight eight) five five five two four eight five"),
     ("card 4532 O151 1283 O366 x", "card", "4532 O151 1283 O366"),
+    ("mail john @ example dot com now", "email", "john @ example dot com"),
+    ("jane dot roe @ example dot com", "email", "jane dot roe @ example dot com"),
+    ("is jane99 AT example.org ok", "email", "jane99 AT example.org"),
+    ("john_doe At example.com.", "email", "john_doe At example.com"),
+    ("jo at " + " dot ".join("abcdefgh" * 60) + " dot com", "email", "jo at " + " dot ".join("abcdefgh" * 60) + " dot com"),
+    ("a" * 90 + "7 at example.com", "email", "a" * 90 + "7 at example.com"),
+    ("jo at " + "a" * 80 + " dot com", "email", "jo at " + "a" * 80 + " dot com"),
     ("j\u043ehn@ex\u0430mple.com cyr", "email", "j\u043ehn@ex\u0430mple.com"),
     ("x\u200b@foo.bar", "email", "x\u200b@foo.bar"),
     ("ip one nine two dot one six eight dot one dot one", "ip", "one nine two dot one six eight dot one dot one"),
@@ -73,6 +80,14 @@ def test_more_lookalikes_map_back_to_the_source(text, kind):
     assert pii.spans(f"to {text} \u00b2")[1][kind][0][0] == 3
 
 
+def test_long_chains_of_written_dots_are_one_address():
+    address = " dot ".join(["john", *"abcdef" * 20, "z"]) + "@example.com"
+    text = f"x {address} y"
+    plain, every = pii.spans(text)
+    assert [text[a:b] for a, b in plain["email"]] == ["z@example.com"]
+    assert [text[a:b] for a, b in every["email"]] == [address, "z@example.com"]
+
+
 def test_written_dots_of_other_numbers_stay():
     for text in ("192 dot 168 dot 0", "999 dot 1 dot 1 dot 1", "1192 dot 168 dot 0 dot 1", "192 dot 168 dot 0 dot 1234", "someone dot one dot two dot three",
                  "at 3 dot 5 and 2 dot 1 dot"):
@@ -87,7 +102,9 @@ def test_clean_texts_get_no_spans():
 
 
 def test_long_runs_are_linear():
-    for text in ("1" * 200_000, "1.1." * 50_000, "a@" * 100_000, "one " * 50_000, "0" * 5000 + ".0.0.0"):
+    for text in ("1" * 200_000, "1.1." * 50_000, "a@" * 100_000, "one " * 50_000, "0" * 5000 + ".0.0.0", "a dot " * 50_000, "a dot " * 50_000 + "b@c.de",
+                 "x@" + "a dot " * 50_000 + "b", "a at " * 50_000, "a at b dot " * 30_000, "a" * 200_000 + " at b.cd", "a @ " * 60_000, "a_" * 60_000 + " at x.de",
+                 "a-at-" * 40_000 + "b-dot-c", "x at " + "a." * 100_000, "b at c." * 40_000):
         pii.spans(text)
     assert pii.find("0" * 5000 + ".0.0.0")["ip"]
 
