@@ -29,6 +29,8 @@ from .shingles import shingle_sets
 
 K = 128
 _LAST = 2**63 - 1
+#: Number of the hashes that order the rows of one id.
+_HASHES = 2**53
 
 
 def sketches(texts: Sequence[str], k: int = K) -> list[np.ndarray]:
@@ -124,9 +126,11 @@ def _bounds(docs: DataFrame, parts: int) -> list[tuple[int, int]]:
     """
     found = docs.agg(F.percentile_approx("place", [i / parts for i in range(parts)], 10000).alias("ids")).first()["ids"]
     times = Counter(found or [])
-    cuts = sorted({(-2**63, -2**63), *((i, -2**63 + k * 2**64 // n) for i, n in times.items() for k in range(n))})
-    firsts = docs.groupBy(F.expr(_part(cuts)[1]).alias("part")).agg(F.min(F.struct("place", "hash")).alias("first")).collect()
-    return sorted((r["first"]["place"], r["first"]["hash"]) for r in firsts)
+    cuts = sorted({(-2**63, 0), *((i, k * _HASHES // n) for i, n in times.items() for k in range(n))})
+    # one number for both, so that the least is found by a hash aggregate
+    both = f"CAST(place AS DECIMAL(20, 0)) * {_HASHES} + hash"
+    firsts = docs.groupBy(F.expr(_part(cuts)[1]).alias("part")).agg(F.min(F.expr(both)).alias("first")).collect()
+    return sorted(divmod(int(r["first"]), _HASHES) for r in firsts)
 
 
 def in_order(docs: DataFrame, parts: int) -> DataFrame:
@@ -134,19 +138,19 @@ def in_order(docs: DataFrame, parts: int) -> DataFrame:
 
     Places are (doc_id, hash of the text), so rows of one id, or without one,
     spread as well; only equal rows stay together.  The ranges begin at places
-    that the table holds, so a partition's first row is known from its bound: one
-    copy of it goes as a guest to the partition before.  The texts are shuffled
-    once.
+    that the table holds, so a partition's first row is known from its bound: it is
+    sent twice, as itself and as a guest of the partition before (the first of
+    equal guests counts).  The texts are shuffled once.
     """
-    own = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(_LAST)).alias("place"), F.xxhash64("text").alias("hash"))
+    own = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(_LAST)).alias("place"), F.shiftrightunsigned(F.xxhash64("text"), 11).alias("hash"))
     bounds = _bounds(own, parts) or [(_LAST, 0)]
     listed, part = _part(bounds)
-    placed = own.withColumn("part", F.expr(part)).withColumn("guest", F.lit(False))
-    # equal rows share a place: one of them is the guest
-    first = placed.where(F.col("place").isin(sorted({b for b, _ in bounds}))).where(F.expr(f"get({listed}, part) = {_place('place', 'hash')}"))
-    guests = first.groupBy("part").agg(F.min(F.struct("text", "doc_id")).alias("row"), F.first("place").alias("place"), F.first("hash").alias("hash"))
-    sent = guests.select("row.doc_id", "row.text", "place", "hash", F.expr(f"pmod(part - 1, {len(bounds)})").alias("part"), F.lit(True).alias("guest"))
-    return (placed.unionByName(sent).repartitionById(len(bounds), F.col("part"))
+    one = F.struct(F.col("at").alias("part"), F.lit(False).alias("guest"))
+    before = F.struct(F.expr(f"pmod(at - 1, {len(bounds)})").alias("part"), F.lit(True).alias("guest"))
+    begins = F.expr(f"get({listed}, at) = {_place('place', 'hash')}")
+    placed = (own.withColumn("at", F.expr(part)).withColumn("to", F.explode(F.when(begins, F.array(one, before)).otherwise(F.array(one))))
+              .select("doc_id", "text", "place", "hash", "to.part", "to.guest"))
+    return (placed.repartitionById(len(bounds), F.col("part"))
             .sortWithinPartitions("guest", "place", "hash", "text").select("guest", "doc_id", "text"))
 
 
