@@ -32,6 +32,8 @@ SILVER_TABLES = ("portfolio_companies", "company_financials", "quarterly_cashflo
 BUCKET_KEYS = {"portfolio_companies": ("id",), "company_financials": ("company_id",)}
 BUCKET_SORT = {"portfolio_companies": ("id",), "company_financials": ("company_id", "year", "is_estimate")}
 CLUSTER_KEYS = {"company_financials": ("company_id", "year"), "portfolio_table": ("id",)}
+# Names are looked up too: Bloom filters, since the tables are clustered by id.
+BLOOM_KEYS = {"company_financials": ("company_name",), "portfolio_table": ("name",)}
 SORT_KEYS = {"pipeline": ("stage",), "quarterly_cashflows": ("row_num",),
              "cashflow_jcurve": ("row_num",)}
 
@@ -39,7 +41,8 @@ SORT_KEYS = {"pipeline": ("stage",), "quarterly_cashflows": ("row_num",),
 def _write_all(run: LayerRun, frames, bucketed=(), buckets: int | None = None) -> dict[str, int]:
     return {name: run.write(df, name, sort_within=BUCKET_SORT[name], bucket_by=BUCKET_KEYS[name], buckets=buckets)
             if name in bucketed else
-            run.write(df, name, sort_within=SORT_KEYS.get(name, ()), cluster_by=CLUSTER_KEYS.get(name, ()))
+            run.write(df, name, sort_within=SORT_KEYS.get(name, ()), cluster_by=CLUSTER_KEYS.get(name, ()),
+                      bloom_by=BLOOM_KEYS.get(name, ()))
             for name, df in frames.items()}
 
 

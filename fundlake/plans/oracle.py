@@ -560,3 +560,4 @@ SELECT * FROM (
   UNION ALL SELECT 'board', 'json', count(*) FILTER (WHERE c_custkey % 4 = 1) FROM customer
   UNION ALL SELECT 'dealRef', 'json', count(*) FROM customer
   UNION ALL SELECT 'driftRate', 'double', count(*) FROM customer) WHERE present > 0"""
+ORACLE_SQL["company_by_name"] = _w(FIN + "," + CAGR) + "\nSELECT * FROM gold_fin WHERE company_name = 'Customer#000000007'"

@@ -505,6 +505,14 @@ def company_unknown_id(spark, sf):
         _fin(spark, sf))}, company_id=10 ** 15)
 
 
+def company_by_name(spark, sf):
+    """F4 by a column that does not order the table: Bloom filters of G7's names skip row groups."""
+    run = LayerRun(spark, fresh_dir(spark, "bloom"))
+    name = "company_financials"
+    run.write(gold.company_financials(_fin(spark, sf)), name, cluster_by=etl.CLUSTER_KEYS[name], bloom_by=etl.BLOOM_KEYS[name])
+    return run.commit().read(spark, name).where("company_name = 'Customer#000000007'")
+
+
 def served_page(spark, sf):
     """The third page of 50 rows of the portfolio view, reached by the tokens of the first two."""
     path = fresh_dir(spark, "page")
@@ -664,6 +672,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "running_total_increments": running_total_increments,
     "company_unknown_id": company_unknown_id,
     "served_page": served_page,
+    "company_by_name": company_by_name,
     "multiples_check_perturbed": multiples_check_perturbed,
     "kpis_from_states": kpis_from_states,
     "risk_from_states": risk_from_states,

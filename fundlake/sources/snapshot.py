@@ -120,7 +120,8 @@ class LayerRun:
         self._layouts: dict[str, Buckets] = {}
 
     def write(self, df: DataFrame, name: str, sort_within: Sequence[str] = (), cluster_by: Sequence[str] = (),
-              partition_by: Sequence[str] = (), bucket_by: Sequence[str] = (), buckets: int | None = None) -> int:
+              partition_by: Sequence[str] = (), bucket_by: Sequence[str] = (), buckets: int | None = None,
+              bloom_by: Sequence[str] = ()) -> int:
         """Write one table into the run's folder; the number of rows written.
 
         ``bucket_by`` lays it out in hash buckets (``sources.buckets``), sorted by ``sort_within``.
@@ -131,7 +132,7 @@ class LayerRun:
             self._paths[name] = f"{base}/{name}"
             return self._rows[name]
         self._rows[name] = write_table(df, f"{self.root}/{base}", name, mode="errorifexists", partition_by=partition_by,
-                                       sort_within=sort_within, cluster_by=cluster_by)
+                                       sort_within=sort_within, cluster_by=cluster_by, bloom_by=bloom_by)
         self._paths[name] = f"{base}/{name}"
         return self._rows[name]
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite",
                 partition_by: Sequence[str] = (), sort_within: Sequence[str] = (),
-                cluster_by: Sequence[str] = ()) -> int:
+                cluster_by: Sequence[str] = (), bloom_by: Sequence[str] = ()) -> int:
     """Write Parquet and return the row count from the same job.
 
     No ``coalesce(1)``: the write keeps the plan's parallelism (AQE sizes
@@ -20,6 +20,9 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite",
     and sorts the rows on a lookup key, so each file and row group covers a
     narrow key range and a point filter skips the rest by min/max
     statistics; ``sort_within`` only sorts inside each task's output.
+    ``bloom_by`` names columns that are looked up by value but do not order the
+    table: each row group gets a Bloom filter of them, so a filter on equality
+    skips the row groups that lack the value.
     """
     obs = Observation(f"rows_{name}")
     out = df
@@ -29,6 +32,8 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite",
     elif sort_within:
         out = out.sortWithinPartitions(*sort_within)
     w = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    for c in bloom_by:
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true").option(f"parquet.bloom.filter.adaptive.enabled#{c}", "true")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(f"{root.rstrip('/')}/{name}")
