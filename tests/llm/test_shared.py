@@ -67,3 +67,22 @@ def test_helpers(spark):
     assert data.tobytes() == "cdé".encode() and offsets.tolist() == [0, 0, 0, 4]
     assert list(blocks(np.array([0, 5, 5, 30, 31]), 6)) == [(0, 2), (2, 3), (3, 4)]
     assert free_names(spark.range(1).withColumnRenamed("id", "X"), "x", "y", "y") == ["x_", "y", "y_"]
+
+
+def test_links_within_a_component_are_read_once(spark, monkeypatch):
+    rng = random.Random(3)
+    links = [(1_000 * k + rng.randrange(300, 400), 1_000 * k + rng.randrange(30)) for k in range(3) for _ in range(1_500)]
+    frame = spark.createDataFrame(links, "a long, b long")
+    made, join = [], type(frame).join
+
+    def counted(self, other, on=None, how=None):
+        out = join(self, other, on, how)
+        if on == "b":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(type(frame), "join", counted)
+    found = {r.node: r.component for r in components.components(frame).collect()}
+    both = len({*links, *((b, a) for a, b in links)})
+    assert len(made) > 1 and sum(made) < 1.5 * both  # once, and few more where components were not yet joined
+    assert found == {n: min(m for link in links for m in link if m // 1_000 == n // 1_000) for link in links for n in link}
