@@ -1,11 +1,14 @@
 """Drops with different headers: layouts, registration, drift, ledger."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from fundlake.session import fresh_dir, local_path
 from fundlake.sources import (create_layers, decode, drift, infer_types, layouts, list_files, pending, read_dates, record,
                               register_table, types_by_date, write_bronze)
+from fundlake.sources.decode import cell_class
 from fundlake.sources.discover import MixedDrop, ledger_events
 
 ENTITY = "geo-breakdown"
@@ -107,3 +110,28 @@ def test_codes_are_not_numbers(spark):
     from pyspark.sql import types as T
     assert [r[0] for r in df.select(lenient_cast("a", T.DoubleType())).collect()] == [None] * 3
     assert [r[0] for r in df.select(lenient_cast(F.col("c"), T.DoubleType())).collect()] == [1000.0, -0.5, 4.0]
+
+
+def test_looking_at_text_costs_no_more_than_casting_numbers(spark):
+    # a cast that fails throws and catches an exception, many times the cost of one that succeeds
+    names = [f"c{i}" for i in range(6)]
+    seconds = {}
+    for kind, cell in (("bigint", "CAST(id AS STRING)"), ("string", "concat('1-row ', CAST(id AS STRING))")):
+        path = fresh_dir(spark, "cells")
+        spark.range(200_000).repartition(4).selectExpr(*[f"{cell} AS {c}" for c in names]).write.parquet(path)
+        df = spark.read.parquet(path)
+        for _ in range(3):
+            begin = time.perf_counter()
+            assert {r["inferred_type"] for r in infer_types(df).collect()} == {kind}
+            seconds[kind] = min(seconds.get(kind, 1e9), time.perf_counter() - begin)
+    assert seconds["string"] < 4 * seconds["bigint"] + 0.5
+
+
+def test_cells_are_classed_as_their_casts_say(spark):
+    edges = ["", " ", "\t", "\n", "\x00", "\x7f", "\x85", "\xa0", "\u2028", "x", "-", "+"]
+    bodies = ["1", "12D", "1e5", "1.e5", ".5", ".", "1e", "1-URGENT", "0x1p3", "iNf", "Infinity", "nan", "1.0", "9" * 19, "1_0", "\u0661", "tRue", "a"]
+    df = spark.createDataFrame([(a + sign + b + c,) for a in edges for sign in ("", "-") for b in bodies for c in edges], "x string")
+    number = "CASE WHEN x NOT RLIKE '[0-9.][dDfF][ ]*$|[xX]' THEN try_cast(x AS DOUBLE) END"
+    plain = (f"CASE WHEN try_cast(x AS BIGINT) IS NOT NULL THEN 6 WHEN ({number}) IS NOT NULL THEN 4 "
+             "WHEN lower(trim(x)) IN ('true', 'false') THEN 1 ELSE 0 END")
+    assert df.selectExpr("x", f"{plain} AS a", f"{cell_class('x')} AS b").where("NOT (a <=> b)").collect() == []
