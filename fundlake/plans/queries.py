@@ -293,7 +293,7 @@ def layers_roundtrip(spark, sf):
     """Bronze CSV -> Silver -> Gold Parquet by the batch jobs, registered;
     per table the row count that the job reported and the rows read back from the catalog."""
     lake = fresh_dir(spark, "lake")
-    write_bronze_all(star.bronze_entities(spark, sf), f"{lake}/bronze", TEXT_DATE)
+    write_bronze_all(star.bronze_entities(spark, sf, stored=True), f"{lake}/bronze", TEXT_DATE)
     rows = []
     for layer, counts in (
             ("silver", etl.run_silver(spark, f"{lake}/bronze", f"{lake}/silver", TEXT_DATE, AS_OF, register=True)),

@@ -149,11 +149,11 @@ def _quarterly(spark, sf_dir) -> DataFrame:
 _QUARTER_LABEL = "concat(CAST(_y AS STRING), 'Q', CAST(_q AS STRING))"
 
 
-def cashflows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cashflows(spark: SparkSession, sf_dir: str, quarterly: DataFrame | None = None) -> DataFrame:
     """Bronze-shaped cashflows: per quarter, contributions (-F), distributions
     (+O), net; ``row_num`` numbers quarters in calendar order (D14)."""
     # one row per quarter: numbering reads it several times
-    q = materialize(_quarterly(spark, sf_dir))
+    q = materialize(_quarterly(spark, sf_dir)) if quarterly is None else quarterly
     contrib, dist = "(0.0D - coalesce(_f, 0.0D))", "coalesce(_o, 0.0D)"
     cf = q.selectExpr("_y", "_q", f"{_QUARTER_LABEL} AS quarter",
                       f"{contrib} AS contributions_m", f"{dist} AS distributions_m",
@@ -163,9 +163,9 @@ def cashflows(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "net_cashflow_m")
 
 
-def fund_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze-shaped fund history: NAV, IRR proxy and TVPI per quarter."""
-    q = _quarterly(spark, sf_dir)
+def fund_history(spark: SparkSession, sf_dir: str, quarterly: DataFrame | None = None) -> DataFrame:
+    """Bronze-shaped fund history: NAV, IRR proxy and TVPI per quarter (of ``quarterly``, if it is there already)."""
+    q = _quarterly(spark, sf_dir) if quarterly is None else quarterly
     return q.selectExpr(
         f"{_QUARTER_LABEL} AS quarter", "_all AS nav_m",
         f"{sql_round('try_divide(_p, _all) * 100', 2)} AS net_irr",
@@ -234,16 +234,23 @@ def flows_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_entities(spark: SparkSession, sf_dir: str,
-                    as_of_year: int = STAR_AS_OF_YEAR) -> dict[str, DataFrame]:
-    """All nine Bronze entities (typed; write them with ``write_bronze``)."""
+                    as_of_year: int = STAR_AS_OF_YEAR, stored: bool = False) -> dict[str, DataFrame]:
+    """All nine Bronze entities (typed; write them with ``write_bronze``).
+
+    ``stored`` computes the holdings, which three entities are made of, once and
+    at once: for those who land them all.
+    """
     h = holdings(spark, sf_dir, as_of_year)
+    if stored:
+        h = materialize(h)
+    quarterly = materialize(_quarterly(spark, sf_dir))
     return {
         "fund-metrics": fund_metrics(spark, sf_dir),
         "portfolio-companies": h,
         "company-revenue": revenue(spark, sf_dir),
         "company-ebitda": ebitda(spark, sf_dir, with_name=True),
-        "cashflows": cashflows(spark, sf_dir),
-        "fund-history": fund_history(spark, sf_dir),
+        "cashflows": cashflows(spark, sf_dir, quarterly),
+        "fund-history": fund_history(spark, sf_dir, quarterly),
         "deal-pipeline": deals(spark, sf_dir),
         "sector-breakdown": sector_breakdown(h),
         "geo-breakdown": geo_breakdown(h),

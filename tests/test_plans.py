@@ -96,3 +96,11 @@ def test_attached_scalars_must_be_one_row(spark):
     assert attach_scalar(df, spark.sql("SELECT 1 AS a, 2 AS b")).columns == ["id", "a", "b"]
     with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
         attach_scalar(df, spark.range(2).withColumnRenamed("id", "a")).collect()
+
+
+def test_entities_landed_together_share_what_they_are_made_of(spark):
+    """Holdings and quarters are computed once: the entities made of them read no table again."""
+    stored, each = star.bronze_entities(spark, SF01, stored=True), star.bronze_entities(spark, SF01)
+    for name in ("portfolio-companies", "sector-breakdown", "geo-breakdown", "cashflows", "fund-history"):
+        assert ".parquet]" not in _plan(stored[name]), name
+        assert sorted(map(str, stored[name].collect())) == sorted(map(str, each[name].collect())), name
